@@ -1,0 +1,21 @@
+"""Broadcast only what is shown to be small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_BROADCAST_ROWS = 100_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df`` as is.
+
+    The check reads at most ``max_rows + 1`` rows (``limit`` stops the scan),
+    so it stays cheap even when the answer is no; the unhinted frame then
+    joins by shuffle, or by adaptive broadcast if it is small in bytes.
+    Meant for small side tables given by the caller (e.g. per-partition start
+    offsets), not for the output of a large computation.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df

@@ -1,0 +1,109 @@
+"""Transaction-log lines rendered from the ``events`` table.
+
+The test tables carry no raw log, so the jobs run on lines Spark renders from
+``events`` in the 60-field transaction layout. Rendering is one projection;
+it scales with ``events`` like any scan.
+
+Layout (1-based fields, the rest empty):
+
+====  ==================================================================
+ 1    ``event_id``
+ 2    ``ts`` as ``yyyy-MM-dd HH:mm:ss SSS`` (``ts`` is TIMESTAMP_NTZ, so the
+      text does not depend on the session time zone)
+ 5    ``APP_`` + ``user_id % 20`` zero-padded to 6 digits
+10    ``ussd`` when ``event_id % 3 = 0``, else ``sms``
+16    ``mo`` for ``view`` and ``click`` events, else ``mt``
+====  ==================================================================
+
+Fields 17-60 are empty, so field 16 is the last non-empty one.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from linefold.config import TRANSACTION_FIELD_COUNT
+
+TS_FORMAT = "yyyy-MM-dd HH:mm:ss SSS"
+
+
+def _fields(events: DataFrame) -> dict[str, Column]:
+    return {
+        "id": F.col("event_id").cast("string"),
+        "ts": F.date_format(F.col("ts"), TS_FORMAT),
+        "app": F.format_string("APP_%06d", F.col("user_id") % 20),
+        "channel": F.when(F.col("event_id") % 3 == 0, F.lit("ussd")).otherwise(F.lit("sms")),
+        "direction": F.when(F.col("event_type").isin("view", "click"), F.lit("mo")).otherwise(F.lit("mt")),
+    }
+
+
+def _join(*parts: Column | str) -> Column:
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+
+
+def render_line(events: DataFrame, upto: int = TRANSACTION_FIELD_COUNT) -> Column:
+    """The rendered line, cut after field ``upto`` (60 = the full line)."""
+    f = _fields(events)
+    placed = {1: f["id"], 2: f["ts"], 5: f["app"], 10: f["channel"], 16: f["direction"]}
+    parts: list[Column | str] = []
+    for i in range(1, upto + 1):
+        if i > 1:
+            parts.append("|")
+        if i in placed:
+            parts.append(placed[i])
+    # fold adjacent literal pipes into one literal
+    merged: list[Column | str] = []
+    for p in parts:
+        if isinstance(p, str) and merged and isinstance(merged[-1], str):
+            merged[-1] += p
+        else:
+            merged.append(p)
+    return _join(*merged)
+
+
+def event_lines(events: DataFrame) -> DataFrame:
+    """``event_id, value``: one full transaction line per event."""
+    return events.select("event_id", render_line(events).alias("value"))
+
+
+def ragged_event_lines(events: DataFrame) -> DataFrame:
+    """``event_id, value`` with line ends varied by ``event_id % 5``.
+
+    0 full line; 1 three extra fields 61-63 appended; 2 cut after field 5;
+    3 cut after field 16 (no trailing empties); 4 field 10 left empty.
+    """
+    k = F.col("event_id") % 5
+    f = _fields(events)
+    full = render_line(events)
+    no_channel = _join(
+        f["id"], "|", f["ts"], "|||", f["app"], "|" * 11, f["direction"], "|" * (TRANSACTION_FIELD_COUNT - 16)
+    )
+    value = (
+        F.when(k == 0, full)
+        .when(k == 1, _join(full, "|x61|x62|x63"))
+        .when(k == 2, render_line(events, 5))
+        .when(k == 3, render_line(events, 16))
+        .otherwise(no_channel)
+    )
+    return events.select("event_id", value.alias("value"))
+
+
+def damaged_event_lines(events: DataFrame) -> DataFrame:
+    """``event_id, value`` where most lines cannot be parsed, by ``event_id % 6``.
+
+    0 NULL; 1 empty line; 2 delimiters only; 3 field 2 holds only the month
+    (``yyyy-MM``, too short for the 10-character day slice); 4 full line
+    (good); 5 field 1 only.
+    """
+    k = F.col("event_id") % 6
+    f = _fields(events)
+    value = (
+        F.when(k == 0, F.lit(None).cast("string"))
+        .when(k == 1, F.lit(""))
+        .when(k == 2, F.lit("|||"))
+        .when(k == 3, _join(f["id"], "|", F.date_format(F.col("ts"), "yyyy-MM")))
+        .when(k == 4, render_line(events))
+        .otherwise(f["id"])
+    )
+    return events.select("event_id", value.alias("value"))
