@@ -91,8 +91,11 @@ def java_field(line: Column | str, delimiter: str, ordinal: int) -> Column:
 
 
 def field_from_parts(parts: Column, ordinal: int) -> Column:
-    """Field ``ordinal`` (1-based) from a ``java_split`` array, padded with ``" "``."""
-    return F.coalesce(F.get(parts, ordinal - 1), F.lit(PAD))
+    """Field ``ordinal`` (1-based) from a ``java_split`` array, padded with ``" "``.
+
+    NULL when the array is NULL (a NULL line), so the column stays nullable.
+    """
+    return F.when(parts.isNotNull(), F.coalesce(F.get(parts, ordinal - 1), F.lit(PAD)))
 
 
 def slice_chars(value: Column, begin: int, end: int) -> Column:

@@ -22,32 +22,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linefold.config import LogSpec
-from linefold.functions.split import (
-    field_from_parts,
-    java_field,
-    java_split,
-    slice_chars,
-    too_short,
-)
+from linefold.functions.split import field_from_parts, java_split, slice_chars, too_short
 
 REJECT_COL = "_reject"
 VALUE_COL = "value"
+PARTS_COL = "_parts"
 MODES = ("reject", "failfast")
-METHODS = ("scan", "array")
 
 
-def field_columns(line: Column, spec: LogSpec, method: str = "scan") -> list[tuple[str, Column, Column | None]]:
+def field_columns(parts: Column, spec: LogSpec) -> list[tuple[str, Column, Column | None]]:
     """``(name, sliced value, short-field test or None)`` for each selected field."""
-    if method not in METHODS:
-        raise ValueError(f"method must be one of {METHODS}")
-    if method == "array":
-        parts = java_split(line, spec.delimiter, spec.max_ordinal + 1)
-        raw = {f.name: field_from_parts(parts, f.ordinal) for f in spec.fields}
-    else:
-        raw = {f.name: java_field(line, spec.delimiter, f.ordinal) for f in spec.fields}
     out = []
     for f in spec.fields:
-        v = raw[f.name]
+        v = field_from_parts(parts, f.ordinal)
         if f.slice is None:
             out.append((f.name, v, None))
         else:
@@ -71,20 +58,34 @@ def parse(
     *,
     value_col: str = VALUE_COL,
     keep: tuple[str, ...] | list[str] = (),
-    method: str = "scan",
 ) -> DataFrame:
     """``keep..., value, <fields...>, _reject`` for every input line.
 
     ``value_col`` names the string column holding the line (a binary Kafka
     ``value`` is cast). Field columns are nullable strings, as in the schema the
     spec describes; they are only meaningful where ``_reject`` is NULL.
+
+    The line is split once, into an array holding only fields up to the
+    highest selected ordinal, by a one-element ``explode``. That ``Generate``
+    node is deliberate: Catalyst pushes filters on the fields (the reject test,
+    the user predicate) below a plain projection and would then re-evaluate the
+    split -- and whatever expression produced the line -- once per field
+    reference, since filters get no common-subexpression elimination. A filter
+    on generated columns stays above the ``Generate``, which evaluates the
+    split exactly once per line, inside whole-stage codegen.
     """
     line = F.col(value_col).cast("string")
-    cols = field_columns(line, spec, method)
-    reason = reject_reason(line, [(n, s) for n, _, s in cols])
-    return lines.select(
+    parts = java_split(line, spec.delimiter, spec.max_ordinal + 1)
+    split = lines.select(
         *[F.col(k) for k in keep],
         line.alias(VALUE_COL),
+        F.explode(F.array(parts)).alias(PARTS_COL),
+    )
+    cols = field_columns(F.col(PARTS_COL), spec)
+    reason = reject_reason(F.col(VALUE_COL), [(n, s) for n, _, s in cols])
+    return split.select(
+        *[F.col(k) for k in keep],
+        F.col(VALUE_COL),
         *[v.alias(n) for n, v, _ in cols],
         reason.alias(REJECT_COL),
     )

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from linefold.config import FieldSpec, LogSpec, SummarySpec
 from linefold.operators.parse import parse, parse_accepted, rejects
+from linefold.operators.partitioning import spread
 from linefold.operators.summary import apply_predicate, count_by, preview, rollup_counts, summarize
 from linefold.session import HadoopFS, scratch_path
 from linefold.sinks.batch_table import BatchTable
@@ -55,7 +56,8 @@ def summary_spec() -> SummarySpec:
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    """The ``events`` table, spread over the cores if its scan is too coarse."""
+    return spread(spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet"))
 
 
 def lines_of(spark: SparkSession, sf_dir: str) -> DataFrame:

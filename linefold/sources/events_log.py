@@ -25,14 +25,30 @@ from pyspark.sql import functions as F
 
 from linefold.config import TRANSACTION_FIELD_COUNT
 
-TS_FORMAT = "yyyy-MM-dd HH:mm:ss SSS"
+
+def ts_text(ts: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss SSS`` of a TIMESTAMP_NTZ, without any time-zone step.
+
+    The first 19 characters of its ISO text plus milliseconds from the
+    fractional seconds; ``date_format`` would first cast to a zoned timestamp.
+    """
+    millis = (F.floor(F.extract(F.lit("SECOND"), ts) * 1000) % 1000).cast("int").cast("string")
+    return F.concat(F.substring(ts.cast("string"), 1, 19), F.lit(" "), F.lpad(millis, 3, "0"))
+
+
+def zero_pad(x: Column, width: int) -> Column:
+    """``printf('%0<width>d', x)`` for values of at most ``width - 1`` digits."""
+    return F.when(x < 0, F.concat(F.lit("-"), F.lpad((-x).cast("string"), width - 1, "0"))).otherwise(
+        F.lpad(x.cast("string"), width, "0")
+    )
 
 
 def _fields(events: DataFrame) -> dict[str, Column]:
     return {
         "id": F.col("event_id").cast("string"),
-        "ts": F.date_format(F.col("ts"), TS_FORMAT),
-        "app": F.format_string("APP_%06d", F.col("user_id") % 20),
+        "ts": ts_text(F.col("ts")),
+        # user_id % 20 has at most two digits, so padding to 6 never truncates
+        "app": F.concat(F.lit("APP_"), zero_pad(F.col("user_id") % 20, 6)),
         "channel": F.when(F.col("event_id") % 3 == 0, F.lit("ussd")).otherwise(F.lit("sms")),
         "direction": F.when(F.col("event_type").isin("view", "click"), F.lit("mo")).otherwise(F.lit("mt")),
     }
@@ -102,7 +118,7 @@ def damaged_event_lines(events: DataFrame) -> DataFrame:
         F.when(k == 0, F.lit(None).cast("string"))
         .when(k == 1, F.lit(""))
         .when(k == 2, F.lit("|||"))
-        .when(k == 3, _join(f["id"], "|", F.date_format(F.col("ts"), "yyyy-MM")))
+        .when(k == 3, _join(f["id"], "|", F.substring(F.col("ts").cast("string"), 1, 7)))
         .when(k == 4, render_line(events))
         .otherwise(f["id"])
     )

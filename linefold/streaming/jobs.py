@@ -86,10 +86,9 @@ def fold_batch(
     reject_sink: BatchTable | None = None,
     compact_every: int | None = None,
     mode: str = "reject",
-    method: str = "scan",
 ) -> None:
     """Parse, filter, count one batch and fold the counts into the ledger."""
-    parsed = parse(batch, log_spec, method=method)
+    parsed = parse(batch, log_spec)
     if reject_sink is not None:
         # two outputs from one bounded micro-batch: parse it once
         parsed = parsed.persist()
@@ -117,7 +116,6 @@ def start_summary_stream(
     reject_sink: BatchTable | None = None,
     compact_every: int | None = None,
     mode: str = "reject",
-    method: str = "scan",
     query_name: str | None = None,
 ) -> StreamingQuery:
     """Stream lines into the running summary: parse -> filter -> count -> ledger."""
@@ -126,7 +124,7 @@ def start_summary_stream(
     def _each(batch: DataFrame, batch_id: int) -> None:
         fold_batch(
             batch, batch_id, log_spec, summary_spec, ledger,
-            reject_sink=reject_sink, compact_every=compact_every, mode=mode, method=method,
+            reject_sink=reject_sink, compact_every=compact_every, mode=mode,
         )
 
     return _start(lines.writeStream.foreachBatch(_each), checkpoint, trigger, query_name)
