@@ -16,5 +16,5 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     this returns ``df`` unchanged and adds no shuffle.
     """
     want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    have = df._jdf.rdd().getNumPartitions()
+    have = df.rdd.getNumPartitions()
     return df.repartition(want) if have < want else df

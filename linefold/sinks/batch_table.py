@@ -54,6 +54,12 @@ class BatchTable:
             return self.spark.createDataFrame([], self.read_schema)
         return self.spark.read.schema(self.read_schema).option("basePath", self.path).parquet(self.path)
 
+    def latest(self) -> DataFrame:
+        """Rows of the newest batch only (e.g. the current running total)."""
+        ids = self.batch_ids()
+        df = self.read()
+        return df.filter(F.col(self.batch_col) == ids[-1]) if ids else df
+
     def drop_batches(self, upto: int) -> None:
         """Delete partitions with ``batch_id <= upto``."""
         for b in self.batch_ids():

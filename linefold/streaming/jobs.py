@@ -196,6 +196,19 @@ def start_archive(
     return _start(writer, checkpoint, trigger, query_name)
 
 
+def start_console_preview(
+    lines: DataFrame,
+    checkpoint: str,
+    *,
+    num_rows: int = 10,
+    trigger: Mapping | None = None,
+    query_name: str | None = None,
+) -> StreamingQuery:
+    """Print the first ``num_rows`` rows of every micro-batch to the driver log."""
+    writer = lines.writeStream.format("console").option("numRows", int(num_rows)).option("truncate", "false")
+    return _start(writer, checkpoint, trigger, query_name)
+
+
 def run_bounded(query: StreamingQuery, timeout_s: float | None = None) -> bool:
     """Wait for the query to finish or for ``timeout_s``, then stop it.
 

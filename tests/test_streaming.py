@@ -18,6 +18,7 @@ from linefold.streaming.jobs import (
     run_bounded,
     start_archive,
     start_batch_counts,
+    start_console_preview,
     start_running_total,
     start_summary_stream,
 )
@@ -93,6 +94,14 @@ def test_running_total_survives_restart(spark, scratch, lines):
         run_bounded(start_running_total(stream_lines(spark, inp), sink, ckpt, trigger=NOW))
     got = sorted((r["batch_id"], r["total"]) for r in sink.read().collect())
     assert got == [(0, sizes[0]), (1, sizes[0] + sizes[1]), (2, sum(sizes))]
+    assert [r["total"] for r in sink.latest().collect()] == [sum(sizes)]
+
+
+def test_console_preview_runs(spark, scratch, lines):
+    inp = f"{scratch}/in"
+    write_lines(lines, inp)
+    q = start_console_preview(stream_lines(spark, inp), f"{scratch}/ckpt", num_rows=3, trigger=NOW)
+    assert run_bounded(q) is True
 
 
 def test_archive_every_line_once(spark, scratch, lines):
