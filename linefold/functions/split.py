@@ -106,3 +106,45 @@ def slice_chars(value: Column, begin: int, end: int) -> Column:
 def too_short(value: Column, end: int) -> Column:
     """True when ``value`` cannot be sliced up to ``end``."""
     return F.length(value) < F.lit(end)
+
+
+# -- the same expressions as SQL text -------------------------------------------
+# Building a projection from F.* calls costs one JVM round trip per call; a
+# streaming fold rebuilds its projection every micro-batch. These builders
+# return SQL text for ``selectExpr``: one round trip per projection.
+def sql_str(text: str) -> str:
+    """A Spark SQL string literal holding ``text``."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def java_split_sql(line: str, delimiter: str, limit: int | None = None) -> str:
+    """SQL text of ``java_split`` over the SQL expression ``line``."""
+    pattern = sql_str(regex_literal(delimiter))
+    n = -1 if limit is None else int(limit)
+    if len(delimiter) == 1:
+        trimmed = f"TRIM(TRAILING {sql_str(delimiter)} FROM {line})"
+        return (
+            f"CASE WHEN {trimmed} = '' AND {line} <> '' THEN CAST(array() AS ARRAY<STRING>) "
+            f"ELSE split({trimmed}, {pattern}, {n}) END"
+        )
+    parts = f"split({line}, {pattern}, -1)"
+    from_end = f"array_position(transform(reverse({parts}), x -> x <> ''), true)"
+    keep = f"CASE WHEN {from_end} = 0 THEN 0 ELSE size({parts}) - {from_end} + 1 END"
+    return f"CASE WHEN {line} = '' THEN {parts} ELSE slice({parts}, 1, {keep}) END"
+
+
+def field_from_parts_sql(parts: str, ordinal: int) -> str:
+    """SQL text of ``field_from_parts``."""
+    return f"CASE WHEN {parts} IS NOT NULL THEN coalesce(get({parts}, {ordinal - 1}), {sql_str(PAD)}) END"
+
+
+def slice_chars_sql(value: str, begin: int, end: int) -> str:
+    return f"substring({value}, {begin + 1}, {end - begin})"
+
+
+def too_short_sql(value: str, end: int) -> str:
+    return f"length({value}) < {end}"

@@ -18,11 +18,18 @@ such lines before filtering. ``mode="failfast"`` reproduces that failure with
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linefold.config import LogSpec
-from linefold.functions.split import field_from_parts, java_split, slice_chars, too_short
+from linefold.functions.split import (
+    field_from_parts_sql,
+    java_split_sql,
+    slice_chars_sql,
+    sql_ident,
+    sql_str,
+    too_short_sql,
+)
 
 REJECT_COL = "_reject"
 VALUE_COL = "value"
@@ -30,26 +37,26 @@ PARTS_COL = "_parts"
 MODES = ("reject", "failfast")
 
 
-def field_columns(parts: Column, spec: LogSpec) -> list[tuple[str, Column, Column | None]]:
-    """``(name, sliced value, short-field test or None)`` for each selected field."""
+def field_exprs(parts: str, spec: LogSpec) -> list[tuple[str, str, str | None]]:
+    """``(name, value SQL, short-field test SQL or None)`` for each selected field."""
     out = []
     for f in spec.fields:
-        v = field_from_parts(parts, f.ordinal)
+        v = field_from_parts_sql(parts, f.ordinal)
         if f.slice is None:
             out.append((f.name, v, None))
         else:
             begin, end = f.slice
-            out.append((f.name, slice_chars(v, begin, end), too_short(v, end)))
+            out.append((f.name, slice_chars_sql(v, begin, end), too_short_sql(v, end)))
     return out
 
 
-def reject_reason(line: Column, checks: list[tuple[str, Column | None]]) -> Column:
+def reject_reason_sql(line: str, checks: list[tuple[str, str | None]]) -> str:
     """First failing check, as a reason string; NULL when the line is good."""
-    reason = F.when(line.isNull(), F.lit("null_value"))
+    whens = [f"WHEN {line} IS NULL THEN 'null_value'"]
     for name, short in checks:
         if short is not None:
-            reason = reason.when(short, F.lit(f"short_field:{name}"))
-    return reason
+            whens.append(f"WHEN {short} THEN {sql_str('short_field:' + name)}")
+    return "CASE " + " ".join(whens) + " END"
 
 
 def parse(
@@ -73,21 +80,24 @@ def parse(
     reference, since filters get no common-subexpression elimination. A filter
     on generated columns stays above the ``Generate``, which evaluates the
     split exactly once per line, inside whole-stage codegen.
+
+    Both projections are handed over as SQL text, two JVM calls in all,
+    because a stream rebuilds them for every micro-batch.
     """
-    line = F.col(value_col).cast("string")
-    parts = java_split(line, spec.delimiter, spec.max_ordinal + 1)
-    split = lines.select(
-        *[F.col(k) for k in keep],
-        line.alias(VALUE_COL),
-        F.explode(F.array(parts)).alias(PARTS_COL),
+    kept = [sql_ident(k) for k in keep]
+    line, parts = sql_ident(VALUE_COL), sql_ident(PARTS_COL)
+    split = lines.selectExpr(
+        *kept,
+        f"CAST({sql_ident(value_col)} AS STRING) AS {line}",
+        f"explode(array({java_split_sql(line, spec.delimiter, spec.max_ordinal + 1)})) AS {parts}",
     )
-    cols = field_columns(F.col(PARTS_COL), spec)
-    reason = reject_reason(F.col(VALUE_COL), [(n, s) for n, _, s in cols])
-    return split.select(
-        *[F.col(k) for k in keep],
-        F.col(VALUE_COL),
-        *[v.alias(n) for n, v, _ in cols],
-        reason.alias(REJECT_COL),
+    cols = field_exprs(parts, spec)
+    reason = reject_reason_sql(line, [(n, s) for n, _, s in cols])
+    return split.selectExpr(
+        *kept,
+        line,
+        *[f"{v} AS {sql_ident(n)}" for n, v, _ in cols],
+        f"{reason} AS {sql_ident(REJECT_COL)}",
     )
 
 

@@ -24,63 +24,75 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linefold.config import TRANSACTION_FIELD_COUNT
+from linefold.functions.split import sql_str
 
 
-def ts_text(ts: Column) -> Column:
+def ts_text_sql(ts: str = "ts") -> str:
     """``yyyy-MM-dd HH:mm:ss SSS`` of a TIMESTAMP_NTZ, without any time-zone step.
 
     The first 19 characters of its ISO text plus milliseconds from the
     fractional seconds; ``date_format`` would first cast to a zoned timestamp.
     """
-    millis = (F.floor(F.extract(F.lit("SECOND"), ts) * 1000) % 1000).cast("int").cast("string")
-    return F.concat(F.substring(ts.cast("string"), 1, 19), F.lit(" "), F.lpad(millis, 3, "0"))
+    millis = f"CAST(CAST(floor(extract(SECOND FROM {ts}) * 1000) % 1000 AS INT) AS STRING)"
+    return f"concat(substring(CAST({ts} AS STRING), 1, 19), ' ', lpad({millis}, 3, '0'))"
 
 
-def zero_pad(x: Column, width: int) -> Column:
+def zero_pad_sql(x: str, width: int) -> str:
     """``printf('%0<width>d', x)`` for values of at most ``width - 1`` digits."""
-    return F.when(x < 0, F.concat(F.lit("-"), F.lpad((-x).cast("string"), width - 1, "0"))).otherwise(
-        F.lpad(x.cast("string"), width, "0")
+    return (
+        f"CASE WHEN {x} < 0 THEN concat('-', lpad(CAST(-({x}) AS STRING), {width - 1}, '0')) "
+        f"ELSE lpad(CAST({x} AS STRING), {width}, '0') END"
     )
 
 
-def _fields(events: DataFrame) -> dict[str, Column]:
-    return {
-        "id": F.col("event_id").cast("string"),
-        "ts": ts_text(F.col("ts")),
-        # user_id % 20 has at most two digits, so padding to 6 never truncates
-        "app": F.concat(F.lit("APP_"), zero_pad(F.col("user_id") % 20, 6)),
-        "channel": F.when(F.col("event_id") % 3 == 0, F.lit("ussd")).otherwise(F.lit("sms")),
-        "direction": F.when(F.col("event_type").isin("view", "click"), F.lit("mo")).otherwise(F.lit("mt")),
-    }
+# SQL text of the rendered fields; user_id % 20 has at most two digits, so
+# padding to 6 never truncates.
+FIELD_SQL = {
+    1: "CAST(event_id AS STRING)",
+    2: ts_text_sql("ts"),
+    5: f"concat('APP_', {zero_pad_sql('user_id % 20', 6)})",
+    10: "CASE WHEN event_id % 3 = 0 THEN 'ussd' ELSE 'sms' END",
+    16: "CASE WHEN event_type IN ('view', 'click') THEN 'mo' ELSE 'mt' END",
+}
 
 
-def _join(*parts: Column | str) -> Column:
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
-
-
-def render_line(events: DataFrame, upto: int = TRANSACTION_FIELD_COUNT) -> Column:
-    """The rendered line, cut after field ``upto`` (60 = the full line)."""
-    f = _fields(events)
-    placed = {1: f["id"], 2: f["ts"], 5: f["app"], 10: f["channel"], 16: f["direction"]}
-    parts: list[Column | str] = []
+def _concat(parts: list[str]) -> str:
+    """``concat`` of SQL expressions, adjacent literal pipes merged into one literal."""
+    merged: list[str] = []
+    pending = ""
+    for p in parts:
+        if p == "|":
+            pending += "|"
+            continue
+        if pending:
+            merged.append(sql_str(pending))
+            pending = ""
+        merged.append(p)
+    if pending:
+        merged.append(sql_str(pending))
+    return "concat(" + ", ".join(merged) + ")"
+
+
+def render_line_sql(upto: int = TRANSACTION_FIELD_COUNT, fields: dict[int, str] | None = None) -> str:
+    """SQL text of the rendered line, cut after field ``upto`` (60 = the full line)."""
+    fields = FIELD_SQL if fields is None else fields
+    parts: list[str] = []
     for i in range(1, upto + 1):
         if i > 1:
             parts.append("|")
-        if i in placed:
-            parts.append(placed[i])
-    # fold adjacent literal pipes into one literal
-    merged: list[Column | str] = []
-    for p in parts:
-        if isinstance(p, str) and merged and isinstance(merged[-1], str):
-            merged[-1] += p
-        else:
-            merged.append(p)
-    return _join(*merged)
+        if i in fields:
+            parts.append(fields[i])
+    return _concat(parts)
+
+
+def render_line(upto: int = TRANSACTION_FIELD_COUNT) -> Column:
+    """The rendered line as a column over ``events`` columns."""
+    return F.expr(render_line_sql(upto))
 
 
 def event_lines(events: DataFrame) -> DataFrame:
     """``event_id, value``: one full transaction line per event."""
-    return events.select("event_id", render_line(events).alias("value"))
+    return events.selectExpr("event_id", f"{render_line_sql()} AS value")
 
 
 def ragged_event_lines(events: DataFrame) -> DataFrame:
@@ -89,20 +101,17 @@ def ragged_event_lines(events: DataFrame) -> DataFrame:
     0 full line; 1 three extra fields 61-63 appended; 2 cut after field 5;
     3 cut after field 16 (no trailing empties); 4 field 10 left empty.
     """
-    k = F.col("event_id") % 5
-    f = _fields(events)
-    full = render_line(events)
-    no_channel = _join(
-        f["id"], "|", f["ts"], "|||", f["app"], "|" * 11, f["direction"], "|" * (TRANSACTION_FIELD_COUNT - 16)
-    )
+    full = render_line_sql()
+    no_channel = render_line_sql(fields={k: v for k, v in FIELD_SQL.items() if k != 10})
     value = (
-        F.when(k == 0, full)
-        .when(k == 1, _join(full, "|x61|x62|x63"))
-        .when(k == 2, render_line(events, 5))
-        .when(k == 3, render_line(events, 16))
-        .otherwise(no_channel)
+        "CASE event_id % 5"
+        f" WHEN 0 THEN {full}"
+        f" WHEN 1 THEN concat({full}, '|x61|x62|x63')"
+        f" WHEN 2 THEN {render_line_sql(5)}"
+        f" WHEN 3 THEN {render_line_sql(16)}"
+        f" ELSE {no_channel} END"
     )
-    return events.select("event_id", value.alias("value"))
+    return events.selectExpr("event_id", f"{value} AS value")
 
 
 def damaged_event_lines(events: DataFrame) -> DataFrame:
@@ -112,14 +121,13 @@ def damaged_event_lines(events: DataFrame) -> DataFrame:
     (``yyyy-MM``, too short for the 10-character day slice); 4 full line
     (good); 5 field 1 only.
     """
-    k = F.col("event_id") % 6
-    f = _fields(events)
     value = (
-        F.when(k == 0, F.lit(None).cast("string"))
-        .when(k == 1, F.lit(""))
-        .when(k == 2, F.lit("|||"))
-        .when(k == 3, _join(f["id"], "|", F.substring(F.col("ts").cast("string"), 1, 7)))
-        .when(k == 4, render_line(events))
-        .otherwise(f["id"])
+        "CASE event_id % 6"
+        " WHEN 0 THEN CAST(NULL AS STRING)"
+        " WHEN 1 THEN ''"
+        " WHEN 2 THEN '|||'"
+        f" WHEN 3 THEN concat({FIELD_SQL[1]}, '|', substring(CAST(ts AS STRING), 1, 7))"
+        f" WHEN 4 THEN {render_line_sql()}"
+        f" ELSE {FIELD_SQL[1]} END"
     )
-    return events.select("event_id", value.alias("value"))
+    return events.selectExpr("event_id", f"{value} AS value")

@@ -23,7 +23,7 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 from linefold.config import KafkaSpec
 from linefold.operators.joins import bounded_broadcast
 from linefold.operators.numbering import number_within_groups
-from linefold.sources.events_log import render_line
+from linefold.sources.events_log import render_line_sql
 
 RECORD_COLUMNS = ("topic", "partition", "offset", "timestamp", "key", "value")
 START_SCHEMA = StructType(
@@ -103,13 +103,13 @@ def event_records(events: DataFrame, *, block_width: int = 1 << 20) -> DataFrame
     position of ``event_id`` within its (topic, partition), timestamp ``ts``,
     no key, value = the rendered transaction line.
     """
-    base = events.select(
-        F.concat(F.lit("t"), (F.col("event_id") % 2).cast("string")).alias("topic"),
-        (F.col("user_id") % 3).cast("int").alias("partition"),
-        F.col("event_id"),
-        F.col("ts").alias("timestamp"),
-        F.lit(None).cast("string").alias("key"),
-        render_line(events).alias("value"),
+    base = events.selectExpr(
+        "concat('t', CAST(event_id % 2 AS STRING)) AS topic",
+        "CAST(user_id % 3 AS INT) AS `partition`",
+        "event_id",
+        "ts AS timestamp",
+        "CAST(NULL AS STRING) AS key",
+        f"{render_line_sql()} AS value",
     )
     numbered = number_within_groups(base, ["topic", "partition"], "event_id", "offset", block_width=block_width)
     return numbered.select(*RECORD_COLUMNS, "event_id")
