@@ -104,9 +104,15 @@ class SummaryTable:
     def rewrite_fold(self, counts: DataFrame) -> bool:
         """Fold one batch's counts in by rewriting the table; False if the batch is empty."""
         self.create()
-        if counts.isEmpty():
-            return False
-        self.append(counts)
+        # the emptiness test and the insert both need the batch's counts:
+        # keep the (small) aggregate instead of computing it twice
+        counts = counts.persist()
+        try:
+            if counts.isEmpty():
+                return False
+            self.append(counts)
+        finally:
+            counts.unpersist()
         self.create_staging()
         self.append_staging(self.rollup())
         self.truncate()

@@ -24,6 +24,7 @@ from linefold.config import KafkaSpec
 from linefold.operators.joins import bounded_broadcast
 from linefold.operators.numbering import number_within_groups
 from linefold.sources.events_log import render_line_sql
+from linefold.sources.lines import record_values
 
 RECORD_COLUMNS = ("topic", "partition", "offset", "timestamp", "key", "value")
 START_SCHEMA = StructType(
@@ -41,6 +42,11 @@ def kafka_stream(spark: SparkSession, spec: KafkaSpec, from_offsets: Mapping | N
     return spark.readStream.format("kafka").options(**opts).load()
 
 
+def kafka_lines(spark: SparkSession, spec: KafkaSpec, from_offsets: Mapping | None = None) -> DataFrame:
+    """Streaming record values as lines (``value STRING``), ready for ``parse``."""
+    return record_values(kafka_stream(spark, spec, from_offsets))
+
+
 def kafka_batch(
     spark: SparkSession, spec: KafkaSpec, from_offsets: Mapping | None = None, ending: str = "latest"
 ) -> DataFrame:
