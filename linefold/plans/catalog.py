@@ -209,6 +209,24 @@ def q_summary_stream(spark, sf_dir):
     return ledger.read()
 
 
+def q_summary_compact(spark, sf_dir):
+    """Stream with ledger compaction every two batches and archived source files."""
+    landing = _Landing(spark, sf_dir, "summary_compact")
+    ledger = SummaryLedger(spark, f"{landing.root}/summary", summary_spec().keys)
+
+    def start(resume):
+        lines = stream_lines(
+            spark, landing.input, clean_source="archive", source_archive_dir=f"{landing.root}/done"
+        )
+        return start_summary_stream(
+            lines, LogSpec.transaction_log(), summary_spec(), ledger,
+            landing.checkpoint, trigger=AVAILABLE_NOW, resume=resume, compact_every=2,
+        )
+
+    _run_slices(landing, start)
+    return ledger.read()
+
+
 def q_summary_restart(spark, sf_dir):
     """Stop, strict resume, and a replayed batch still give the batch answer."""
     landing = _Landing(spark, sf_dir, "summary_restart")
@@ -277,6 +295,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "summary_read": q_summary_read,
     "summary_stream": q_summary_stream,
     "summary_restart": q_summary_restart,
+    "summary_compact": q_summary_compact,
     "batch_counts": q_batch_counts,
     "running_total": q_running_total,
     "raw_archive": q_raw_archive,

@@ -84,6 +84,7 @@ ORACLES: dict[str, str] = {
     """,
     "summary_stream": _GROUP_COUNT,
     "summary_restart": _GROUP_COUNT,
+    "summary_compact": _GROUP_COUNT,
     "batch_counts": f"WITH ev AS ({_EV}) SELECT slice, COUNT(*) AS n FROM ev GROUP BY slice",
     "running_total": f"""
       WITH ev AS ({_EV})
