@@ -5,7 +5,7 @@ task, which does not survive a group holding a third of 100 TB. This computes
 the same 0-based number with a two-level prefix sum instead:
 
 1. cut each group's ordering key into blocks of ``block_width`` consecutive
-   key values (``floor(key / width)``);
+   key values (``key div width``);
 2. count rows per (group, block): a partial aggregate, one row per block;
 3. running sum of those counts over blocks within a group gives each block's
    first number (a window over the small count table: one row per block);
@@ -40,7 +40,8 @@ def number_within_groups(
     if block_width < 1:
         raise ValueError("block_width must be positive")
     groups = list(groups)
-    blocked = df.withColumn(BLOCK_COL, F.floor(F.col(key) / F.lit(block_width)).cast("bigint"))
+    # integer division: exact for any BIGINT key, and monotonic in the key
+    blocked = df.withColumn(BLOCK_COL, F.expr(f"CAST(`{key}` AS BIGINT) div {int(block_width)}"))
     counts = blocked.groupBy(*groups, BLOCK_COL).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*groups).orderBy(BLOCK_COL).rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(
