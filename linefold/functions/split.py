@@ -148,3 +148,32 @@ def slice_chars_sql(value: str, begin: int, end: int) -> str:
 
 def too_short_sql(value: str, end: int) -> str:
     return f"length({value}) < {end}"
+
+
+def raw_split_sql(line: str, delimiter: str, limit: int) -> str:
+    """Spark's own split (trailing empties kept) into at most ``limit`` elements."""
+    return f"split({line}, {sql_str(regex_literal(delimiter))}, {int(limit)})"
+
+
+def java_field_from_raw_sql(parts: str, line: str, delimiter: str, ordinal: int, limit: int) -> str:
+    """Field ``ordinal`` with ``String.split`` semantics, from ``raw_split_sql(line, d, limit)``.
+
+    Trailing empties matter only for a field that is itself empty: it is
+    missing (``" "``) iff everything from it to the end of the line is
+    delimiters, else it is an interior ``""``. A non-empty field is taken as
+    is, so full lines never pay for trimming the line. One-character
+    delimiters only; ``ordinal < limit``.
+    """
+    if len(delimiter) != 1 or not 1 <= ordinal < limit:
+        raise ValueError("one-character delimiter and 1 <= ordinal < limit required")
+    item = f"get({parts}, {ordinal - 1})"
+    tail = f"replace(array_join(slice({parts}, {ordinal}, {int(limit)}), ''), {sql_str(delimiter)}, '')"
+    on_empty_line = sql_str("") if ordinal == 1 else sql_str(PAD)
+    return (
+        f"CASE WHEN {parts} IS NULL THEN NULL"
+        f" WHEN {line} = '' THEN {on_empty_line}"
+        f" WHEN {item} IS NULL THEN {sql_str(PAD)}"
+        f" WHEN {item} <> '' THEN {item}"
+        f" WHEN {tail} = '' THEN {sql_str(PAD)}"
+        f" ELSE '' END"
+    )

@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 from linefold.config import LogSpec
 from linefold.functions.split import (
     field_from_parts_sql,
+    java_field_from_raw_sql,
     java_split_sql,
+    raw_split_sql,
     slice_chars_sql,
     sql_ident,
     sql_str,
@@ -37,11 +39,26 @@ PARTS_COL = "_parts"
 MODES = ("reject", "failfast")
 
 
-def field_exprs(parts: str, spec: LogSpec) -> list[tuple[str, str, str | None]]:
+def split_expr(line: str, spec: LogSpec) -> str:
+    """SQL of the per-line field array that ``field_exprs`` reads.
+
+    One-character delimiter: Spark's split of the raw line, bounded after the
+    highest selected field (no trim of the line). Otherwise the exact
+    ``String.split`` array.
+    """
+    if len(spec.delimiter) == 1:
+        return raw_split_sql(line, spec.delimiter, spec.max_ordinal + 1)
+    return java_split_sql(line, spec.delimiter)
+
+
+def field_exprs(parts: str, line: str, spec: LogSpec) -> list[tuple[str, str, str | None]]:
     """``(name, value SQL, short-field test SQL or None)`` for each selected field."""
     out = []
     for f in spec.fields:
-        v = field_from_parts_sql(parts, f.ordinal)
+        if len(spec.delimiter) == 1:
+            v = java_field_from_raw_sql(parts, line, spec.delimiter, f.ordinal, spec.max_ordinal + 1)
+        else:
+            v = field_from_parts_sql(parts, f.ordinal)
         if f.slice is None:
             out.append((f.name, v, None))
         else:
@@ -73,7 +90,9 @@ def parse(
     spec describes; they are only meaningful where ``_reject`` is NULL.
 
     The line is split once, into an array holding only fields up to the
-    highest selected ordinal, by a one-element ``explode``. That ``Generate``
+    highest selected ordinal, by a one-element ``explode``; a selected field
+    that comes out empty is then told apart as interior (``""``) or trailing
+    (``" "``) from the rest of the array, so the line itself is never trimmed. That ``Generate``
     node is deliberate: Catalyst pushes filters on the fields (the reject test,
     the user predicate) below a plain projection and would then re-evaluate the
     split -- and whatever expression produced the line -- once per field
@@ -89,9 +108,9 @@ def parse(
     split = lines.selectExpr(
         *kept,
         f"CAST({sql_ident(value_col)} AS STRING) AS {line}",
-        f"explode(array({java_split_sql(line, spec.delimiter, spec.max_ordinal + 1)})) AS {parts}",
+        f"explode(array({split_expr(line, spec)})) AS {parts}",
     )
-    cols = field_exprs(parts, spec)
+    cols = field_exprs(parts, line, spec)
     reason = reject_reason_sql(line, [(n, s) for n, _, s in cols])
     return split.selectExpr(
         *kept,

@@ -79,3 +79,14 @@ def test_parse_fields_match_java(spark, lines):
         for n in (1, 2, 3, 5):
             assert got[i][f"f{n}"] == field_model(line, "|", n), (line, n)
         assert got[i]["_reject"] is None
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.text(alphabet="a||| ", max_size=30), min_size=1, max_size=60))
+def test_parse_fields_match_java_many_pipes(spark, lines):
+    ordinals = (1, 2, 4, 7, 9)
+    spec = LogSpec(tuple(FieldSpec(f"f{n}", n) for n in ordinals), "|", 12)
+    got = {r["i"]: r for r in parse(_frame(spark, lines), spec, keep=["i"]).collect()}
+    for i, line in enumerate(lines):
+        for n in ordinals:
+            assert got[i][f"f{n}"] == field_model(line, "|", n), (line, n)
