@@ -30,10 +30,13 @@ from linefold.functions.split import sql_str
 def ts_text_sql(ts: str = "ts") -> str:
     """``yyyy-MM-dd HH:mm:ss SSS`` of a TIMESTAMP_NTZ, without any time-zone step.
 
-    The first 19 characters of its ISO text plus milliseconds from the
-    fractional seconds; ``date_format`` would first cast to a zoned timestamp.
+    The first 19 characters of its ISO text, plus milliseconds taken from the
+    epoch microseconds: casting to a zoned timestamp shifts by whole seconds
+    only, so the sub-second part is the same in every session time zone.
+    (``date_format`` would shift the rest of the text; ``extract(SECOND ...)``
+    gives the same digits through decimal arithmetic, about 6x slower.)
     """
-    millis = f"CAST(CAST(floor(extract(SECOND FROM {ts}) * 1000) % 1000 AS INT) AS STRING)"
+    millis = f"CAST(pmod(unix_micros(CAST({ts} AS TIMESTAMP)), 1000000) div 1000 AS STRING)"
     return f"concat(substring(CAST({ts} AS STRING), 1, 19), ' ', lpad({millis}, 3, '0'))"
 
 
