@@ -119,7 +119,7 @@ def start_summary_stream(
     query_name: str | None = None,
 ) -> StreamingQuery:
     """Stream lines into the running summary: parse -> filter -> count -> ledger."""
-    check_resume(lines.sparkSession, checkpoint, resume, ledger.ledger, reject_sink)
+    check_resume(lines.sparkSession, checkpoint, resume, ledger, reject_sink)
 
     def _each(batch: DataFrame, batch_id: int) -> None:
         fold_batch(

@@ -114,3 +114,15 @@ def test_archive_every_line_once(spark, scratch, lines):
     run_bounded(start_archive(stream_lines(spark, inp), out, ckpt, trigger=NOW))
     got = sorted(r["value"] for r in spark.read.text(out).collect())
     assert got == sorted(r["value"] for r in lines.collect())
+
+
+def test_new_checkpoint_refused_after_full_compaction(spark, scratch, lines):
+    """History that only survives in the compacted base still blocks a fresh checkpoint."""
+    lspec, sspec = LogSpec.transaction_log(), SummarySpec()
+    led = SummaryLedger(spark, f"{scratch}/summary", sspec.keys)
+    led.fold(summarize(lines, lspec, sspec), 0)
+    led.compact(0)
+    assert led.batch_ids() == [] and not led.is_empty()
+    HadoopFS(spark).mkdirs(f"{scratch}/in")
+    with pytest.raises(CheckpointError):
+        start_summary_stream(stream_lines(spark, f"{scratch}/in"), lspec, sspec, led, f"{scratch}/ckpt", trigger=NOW)
