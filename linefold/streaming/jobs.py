@@ -227,30 +227,41 @@ def run_bounded(query: StreamingQuery, timeout_s: float | None = None) -> bool:
 def progress_offset_ranges(query: StreamingQuery) -> list[dict]:
     """Offset ranges of the last batch per source partition, from query progress.
 
-    For a Kafka source, ``startOffset``/``endOffset`` are JSON maps topic ->
+    For a Kafka source, ``startOffset``/``endOffset`` are maps topic ->
     partition -> offset; the end is exclusive. Returns rows
-    ``{topic, partition, from_offset, until_offset}``.
+    ``{topic, partition, from_offset, until_offset}``; sources without such
+    maps (files) contribute none. Reads the progress through its JSON form,
+    which is stable across PySpark versions.
     """
     import json
 
     prog = query.lastProgress
-    out: list[dict] = []
     if not prog:
-        return out
-    for src in prog.get("sources", []):
-        start, end = src.get("startOffset"), src.get("endOffset")
-        if isinstance(start, str):
-            start = json.loads(start)
-        if isinstance(end, str):
-            end = json.loads(end)
-        if not isinstance(end, dict):
-            continue
+        return []
+    data = json.loads(prog.json) if hasattr(prog, "json") else dict(prog)
+
+    def offsets(x):
+        if isinstance(x, str):
+            try:
+                x = json.loads(x)
+            except ValueError:
+                return {}
+        return x if isinstance(x, dict) else {}
+
+    out: list[dict] = []
+    for src in data.get("sources", []):
+        start, end = offsets(src.get("startOffset")), offsets(src.get("endOffset"))
         for topic, parts in end.items():
             if not isinstance(parts, dict):
                 continue
+            begun = start.get(topic, {}) if isinstance(start.get(topic), dict) else {}
             for part, until in parts.items():
-                begin = (start or {}).get(topic, {}).get(part, until) if isinstance(start, dict) else until
                 out.append(
-                    {"topic": topic, "partition": int(part), "from_offset": int(begin), "until_offset": int(until)}
+                    {
+                        "topic": topic,
+                        "partition": int(part),
+                        "from_offset": int(begun.get(part, until)),
+                        "until_offset": int(until),
+                    }
                 )
     return out

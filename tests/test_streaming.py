@@ -1,5 +1,7 @@
 """Stream jobs: restart, strict resume, replay after a lost commit, running total, archive."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -126,3 +128,37 @@ def test_new_checkpoint_refused_after_full_compaction(spark, scratch, lines):
     HadoopFS(spark).mkdirs(f"{scratch}/in")
     with pytest.raises(CheckpointError):
         start_summary_stream(stream_lines(spark, f"{scratch}/in"), lspec, sspec, led, f"{scratch}/ckpt", trigger=NOW)
+
+
+class _FakeProgress:
+    def __init__(self, payload):
+        self.json = json.dumps(payload)
+
+
+class _FakeQuery:
+    """Just enough of a StreamingQuery for progress parsing."""
+
+    def __init__(self, payload):
+        self.lastProgress = _FakeProgress(payload)
+
+
+def test_progress_offset_ranges_kafka_shape():
+    from linefold.streaming.jobs import progress_offset_ranges
+
+    q = _FakeQuery({"sources": [{
+        "description": "KafkaV2[Subscribe[t]]",
+        "startOffset": {"t": {"0": 5, "1": 7}},
+        "endOffset": {"t": {"0": 9, "1": 7, "2": 3}},
+    }]})
+    got = sorted((r["topic"], r["partition"], r["from_offset"], r["until_offset"]) for r in progress_offset_ranges(q))
+    assert got == [("t", 0, 5, 9), ("t", 1, 7, 7), ("t", 2, 3, 3)]
+
+
+def test_progress_offset_ranges_file_source(spark, scratch, lines):
+    from linefold.streaming.jobs import progress_offset_ranges
+
+    write_lines(lines.limit(5), f"{scratch}/in")
+    q = start_batch_counts(stream_lines(spark, f"{scratch}/in"), BatchTable(spark, f"{scratch}/n", COUNT_SCHEMA),
+                           f"{scratch}/ckpt", trigger=NOW)
+    run_bounded(q)
+    assert progress_offset_ranges(q) == []
