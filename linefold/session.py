@@ -91,11 +91,3 @@ class HadoopFS:
     def mkdirs(self, path: str) -> None:
         fs, p = self._fs(path)
         fs.mkdirs(p)
-
-    def write_text(self, path: str, text: str) -> None:
-        fs, p = self._fs(path)
-        out = fs.create(p, True)
-        try:
-            out.write(bytearray(text.encode("utf-8")))
-        finally:
-            out.close()

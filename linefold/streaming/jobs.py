@@ -69,6 +69,21 @@ def check_resume(spark, checkpoint: str, resume: str, *outputs) -> bool:
     return found
 
 
+class _FileSinkLog:
+    """A file sink's own batch log, as an output for ``check_resume``.
+
+    The file sink skips batch ids already in ``path/_spark_metadata``; with a
+    new checkpoint ids restart at 0, so new lines would be silently dropped.
+    """
+
+    def __init__(self, spark, path: str):
+        self.path = path
+        self._fs = HadoopFS(spark)
+
+    def is_empty(self) -> bool:
+        return not any(n.isdigit() or n.endswith(".compact") for n in self._fs.list_files(f"{self.path}/_spark_metadata"))
+
+
 def _start(writer, checkpoint: str, trigger: Mapping | None, query_name: str | None) -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint).trigger(**dict(trigger or DEFAULT_TRIGGER))
     if query_name:
@@ -191,7 +206,7 @@ def start_archive(
     so a replayed batch does not duplicate lines. ``fmt="text"`` writes one
     line per row; ``"parquet"`` keeps NULL lines as NULL.
     """
-    check_resume(lines.sparkSession, checkpoint, resume)
+    check_resume(lines.sparkSession, checkpoint, resume, _FileSinkLog(lines.sparkSession, path))
     writer = lines.select(F.col("value").cast("string")).writeStream.format(fmt).option("path", path)
     return _start(writer, checkpoint, trigger, query_name)
 

@@ -116,6 +116,9 @@ def test_archive_every_line_once(spark, scratch, lines):
     run_bounded(start_archive(stream_lines(spark, inp), out, ckpt, trigger=NOW))
     got = sorted(r["value"] for r in spark.read.text(out).collect())
     assert got == sorted(r["value"] for r in lines.collect())
+    # a new checkpoint would restart batch ids under the sink's log: refused
+    with pytest.raises(CheckpointError):
+        start_archive(stream_lines(spark, inp), out, f"{scratch}/other", trigger=NOW)
 
 
 def test_new_checkpoint_refused_after_full_compaction(spark, scratch, lines):
