@@ -101,9 +101,31 @@ class SummaryTable:
         """Per-key sum of the stored counts, count as a string like the column."""
         return rollup_counts(self.read(), self.keys, self.count_col, as_string=True)
 
+    def staging_exists(self) -> bool:
+        return self.spark.catalog.tableExists(self.staging)
+
+    def finish_interrupted_fold(self) -> bool:
+        """Complete a fold that died after filling staging; True if there was one.
+
+        Staging then holds the complete roll-up, so the table is rebuilt from
+        it whether or not the truncate had happened.
+        """
+        if not self.staging_exists():
+            return False
+        self.truncate()
+        self.refill_from_staging()
+        self.drop_staging()
+        return True
+
     def rewrite_fold(self, counts: DataFrame) -> bool:
-        """Fold one batch's counts in by rewriting the table; False if the batch is empty."""
+        """Fold one batch's counts in by rewriting the table; False if the batch is empty.
+
+        A staging table left by an interrupted fold is folded back first, so a
+        crash between statements leaves no split keys behind. A batch replayed
+        after its own append still counts twice: only the ledger is idempotent.
+        """
         self.create()
+        self.finish_interrupted_fold()
         # the emptiness test and the insert both need the batch's counts:
         # keep the (small) aggregate instead of computing it twice
         counts = counts.persist()

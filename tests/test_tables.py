@@ -25,3 +25,23 @@ def test_table_lifecycle(spark, scratch):
         t.drop_staging()
         t.drop()
         spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+
+
+def test_interrupted_fold_is_finished(spark, scratch):
+    db = "lf_test_tables2"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch}/wh'")
+    t = SummaryTable(spark, f"{db}.daily_summary", ["d", "a"], staging_table=f"{db}.temp_view")
+    try:
+        t.create()
+        t.append(spark.createDataFrame([("d1", "a", 10), ("d1", "a", 3)], "d string, a string, count bigint"))
+        # die after filling staging with the roll-up, before truncate/refill
+        t.create_staging()
+        t.append_staging(t.rollup())
+        c = spark.createDataFrame([("d2", "b", 1)], "d string, a string, count bigint")
+        assert t.rewrite_fold(c)
+        rows = sorted((r["d"], r["a"], r["count"]) for r in t.read().collect())
+        assert rows == [("d1", "a", "13"), ("d2", "b", "1")]
+    finally:
+        t.drop_staging()
+        t.drop()
+        spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
