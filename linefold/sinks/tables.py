@@ -105,15 +105,18 @@ class SummaryTable:
         return self.spark.catalog.tableExists(self.staging)
 
     def finish_interrupted_fold(self) -> bool:
-        """Complete a fold that died after filling staging; True if there was one.
+        """Complete a fold that died between statements; True if there was one.
 
-        Staging then holds the complete roll-up, so the table is rebuilt from
-        it whether or not the truncate had happened.
+        A filled staging table holds the complete roll-up (each INSERT commits
+        whole), so the table is rebuilt from it whether or not the truncate
+        had happened. An empty one means the fold died before filling it,
+        while the table was still intact: it is only dropped.
         """
         if not self.staging_exists():
             return False
-        self.truncate()
-        self.refill_from_staging()
+        if not self.spark.table(self.staging).isEmpty():
+            self.truncate()
+            self.refill_from_staging()
         self.drop_staging()
         return True
 

@@ -45,3 +45,20 @@ def test_interrupted_fold_is_finished(spark, scratch):
         t.drop_staging()
         t.drop()
         spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+
+
+def test_interrupted_before_staging_filled_keeps_table(spark, scratch):
+    db = "lf_test_tables3"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch}/wh'")
+    t = SummaryTable(spark, f"{db}.daily_summary", ["d", "a"], staging_table=f"{db}.temp_view")
+    try:
+        t.create()
+        t.append(spark.createDataFrame([("d1", "a", 10)], "d string, a string, count bigint"))
+        t.create_staging()  # died here
+        assert t.finish_interrupted_fold()
+        assert [(r["d"], r["count"]) for r in t.read().collect()] == [("d1", "10")]
+        assert not t.staging_exists()
+    finally:
+        t.drop_staging()
+        t.drop()
+        spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
