@@ -1,5 +1,6 @@
 """Java String.split semantics of the field functions."""
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -90,3 +91,18 @@ def test_parse_fields_match_java_many_pipes(spark, lines):
     for i, line in enumerate(lines):
         for n in ordinals:
             assert got[i][f"f{n}"] == field_model(line, "|", n), (line, n)
+
+
+@pytest.mark.parametrize("delim,alphabet", [(".", "ab. "), ("\\", "ab\\ "), ("ab", "abx"), ("'", "a' "), ("$", "a$ ")])
+def test_parse_any_delimiter_matches_java(spark, delim, alphabet):
+    @settings(max_examples=8, deadline=None)
+    @given(st.lists(st.text(alphabet=alphabet, max_size=16), min_size=1, max_size=40))
+    def check(lines):
+        ordinals = (1, 2, 3, 5)
+        spec = LogSpec(tuple(FieldSpec(f"f{n}", n) for n in ordinals), delim, 8)
+        got = {r["i"]: r for r in parse(_frame(spark, lines), spec, keep=["i"]).collect()}
+        for i, line in enumerate(lines):
+            for n in ordinals:
+                assert got[i][f"f{n}"] == field_model(line, delim, n), (line, n)
+
+    check()
