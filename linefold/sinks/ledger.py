@@ -96,6 +96,16 @@ class SummaryLedger:
         """The summary with ``count`` as a string, the original table layout."""
         return self.read().withColumn(self.count_col, F.col(self.count_col).cast("string"))
 
+    def register(self, name: str, *, compat: bool = False) -> DataFrame:
+        """Name the summary for SQL (``SELECT * FROM <name>``) as a temp view.
+
+        The view holds the file listing of the moment: call again after new
+        batches or a compaction to see them.
+        """
+        df = self.read_compat() if compat else self.read()
+        df.createOrReplaceTempView(name)
+        return df
+
     def batch_ids(self) -> list[int]:
         return self.ledger.batch_ids()
 

@@ -77,6 +77,8 @@ def test_compat_read_is_string(spark, scratch):
     led.fold(counts(spark, [("d1", "a", 10)]), 0)
     r = led.read_compat().collect()[0]
     assert r["count"] == "10"
+    led.register("lf_daily_summary", compat=True)
+    assert spark.sql("SELECT * FROM lf_daily_summary").collect()[0]["count"] == "10"
 
 
 def test_rollup_string_counts(spark):
