@@ -27,7 +27,7 @@ from linefold.sinks.ledger import SummaryLedger
 from linefold.sinks.tables import SummaryTable
 from linefold.sources import kafka
 from linefold.sources.events_log import damaged_event_lines, event_lines, ragged_event_lines
-from linefold.sources.lines import read_lines, stream_lines, write_lines
+from linefold.sources.lines import read_lines, record_values, stream_lines, write_lines
 from linefold.streaming.jobs import (
     COUNT_SCHEMA,
     TOTAL_SCHEMA,
@@ -258,6 +258,33 @@ def q_summary_restart(spark, sf_dir):
     return ledger.read()
 
 
+def q_kafka_summary_stream(spark, sf_dir):
+    """Kafka-layout records as a stream: subscribe -> value -> parse -> fold.
+
+    Records rendered from ``events`` land as parquet, one slice per run; the
+    stream reads them with the Kafka source's schema, keeps the subscribed
+    topic and folds the record values into the ledger, as a Kafka source
+    feeding the same job would.
+    """
+    root = scratch_path(spark, "kafka_summary_stream")
+    # number the records once; each run then lands one slice (a pruned read)
+    staged = f"{root}/records"
+    records_of(spark, sf_dir).withColumn("slice", F.col("offset") % SLICES).write.partitionBy("slice").parquet(staged)
+    ledger = SummaryLedger(spark, f"{root}/summary", summary_spec().keys)
+    schema = None
+    for k in range(SLICES):
+        landing = spark.read.parquet(staged).filter(F.col("slice") == k).drop("slice")
+        schema = schema or landing.schema
+        landing.write.mode("append").parquet(f"{root}/input")
+        stream = spark.readStream.schema(schema).parquet(f"{root}/input")
+        values = record_values(kafka.subscribe(stream, SUBSCRIBED_TOPICS))
+        run_bounded(start_summary_stream(
+            values, LogSpec.transaction_log(), summary_spec(), ledger,
+            f"{root}/checkpoint", trigger=AVAILABLE_NOW,
+        ))
+    return ledger.read()
+
+
 def q_batch_counts(spark, sf_dir):
     landing = _Landing(spark, sf_dir, "batch_counts")
     sink = BatchTable(spark, f"{landing.root}/counts", COUNT_SCHEMA)
@@ -296,6 +323,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "summary_stream": q_summary_stream,
     "summary_restart": q_summary_restart,
     "summary_compact": q_summary_compact,
+    "kafka_summary_stream": q_kafka_summary_stream,
     "batch_counts": q_batch_counts,
     "running_total": q_running_total,
     "raw_archive": q_raw_archive,

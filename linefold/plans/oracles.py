@@ -85,6 +85,11 @@ ORACLES: dict[str, str] = {
     "summary_stream": _GROUP_COUNT,
     "summary_restart": _GROUP_COUNT,
     "summary_compact": _GROUP_COUNT,
+    "kafka_summary_stream": f"""
+      WITH ev AS ({_EV})
+      SELECT day AS time_stamp, app AS app_id, COUNT(*) AS "count"
+      FROM ev WHERE {_PASS} AND 't' || CAST(event_id % 2 AS VARCHAR) IN ('t1') GROUP BY day, app
+    """,
     "batch_counts": f"WITH ev AS ({_EV}) SELECT slice, COUNT(*) AS n FROM ev GROUP BY slice",
     "running_total": f"""
       WITH ev AS ({_EV})
