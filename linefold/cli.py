@@ -70,6 +70,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     s.add_argument("--resume", choices=("auto", "require", "new"), default="auto")
     s.add_argument("--compact-every", type=int)
     s.add_argument("--once", action="store_true", help="stop when the available input is consumed")
+    s.add_argument("--show", type=int, help="print this many summary rows after each batch")
     r = sub.add_parser("show", help="print the summary the ledger holds")
     r.add_argument("--config", required=True)
     r.add_argument("--summary", required=True)
@@ -93,7 +94,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         q = start_summary_stream(
             lines, log, summary, ledger, args.checkpoint,
             trigger=trigger_of(conf, args.once), resume=args.resume,
-            reject_sink=rejects, compact_every=args.compact_every, query_name="linefold-summary",
+            reject_sink=rejects, compact_every=args.compact_every, show_rows=args.show,
+            query_name="linefold-summary",
         )
         run_bounded(q)
     return 0

@@ -101,8 +101,13 @@ def fold_batch(
     reject_sink: BatchTable | None = None,
     compact_every: int | None = None,
     mode: str = "reject",
+    show_rows: int | None = None,
 ) -> None:
-    """Parse, filter, count one batch and fold the counts into the ledger."""
+    """Parse, filter, count one batch and fold the counts into the ledger.
+
+    ``show_rows`` prints that many rows of the updated summary afterwards
+    (T11); it reads the whole summary, so it is off by default.
+    """
     parsed = parse(batch, log_spec)
     if reject_sink is not None:
         # two outputs from one bounded micro-batch: parse it once
@@ -117,6 +122,8 @@ def fold_batch(
             parsed.unpersist()
     if compact_every and batch_id > 0 and batch_id % compact_every == 0:
         ledger.compact(batch_id - 1)
+    if show_rows:
+        ledger.read().show(show_rows, truncate=False)
 
 
 def start_summary_stream(
@@ -131,6 +138,7 @@ def start_summary_stream(
     reject_sink: BatchTable | None = None,
     compact_every: int | None = None,
     mode: str = "reject",
+    show_rows: int | None = None,
     query_name: str | None = None,
 ) -> StreamingQuery:
     """Stream lines into the running summary: parse -> filter -> count -> ledger."""
@@ -139,7 +147,7 @@ def start_summary_stream(
     def _each(batch: DataFrame, batch_id: int) -> None:
         fold_batch(
             batch, batch_id, log_spec, summary_spec, ledger,
-            reject_sink=reject_sink, compact_every=compact_every, mode=mode,
+            reject_sink=reject_sink, compact_every=compact_every, mode=mode, show_rows=show_rows,
         )
 
     return _start(lines.writeStream.foreachBatch(_each), checkpoint, trigger, query_name)

@@ -45,7 +45,7 @@ def test_stream_then_show(spark, scratch, tmp_path, capsys):
     lines = event_lines(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
     write_lines(lines, f"{scratch}/in")
     args = ["stream", "--config", str(conf), "--summary", f"{scratch}/summary",
-            "--checkpoint", f"{scratch}/ckpt", "--lines", f"{scratch}/in", "--once"]
+            "--checkpoint", f"{scratch}/ckpt", "--lines", f"{scratch}/in", "--once", "--show", "2"]
     assert cli.main(args, spark) == 0
     led = SummaryLedger(spark, f"{scratch}/summary", ["time_stamp", "app_id"])
     from linefold.config import LogSpec, SummarySpec
