@@ -165,3 +165,16 @@ def test_progress_offset_ranges_file_source(spark, scratch, lines):
                            f"{scratch}/ckpt", trigger=NOW)
     run_bounded(q)
     assert progress_offset_ranges(q) == []
+
+
+def test_failfast_stream_stops_on_a_bad_line(spark, scratch, lines):
+    """mode='failfast' fails the batch on a malformed line, as the original jobs did."""
+    inp = f"{scratch}/in"
+    write_lines(lines.limit(20), inp)
+    write_lines(spark.createDataFrame([("|||",)], "value string"), inp)
+    led = SummaryLedger(spark, f"{scratch}/summary", ("time_stamp", "app_id"))
+    q = start_summary_stream(stream_lines(spark, inp), LogSpec.transaction_log(), SummarySpec(), led,
+                             f"{scratch}/ckpt", trigger=NOW, mode="failfast")
+    with pytest.raises(Exception, match="malformed log line"):
+        run_bounded(q)
+    assert led.is_empty()  # nothing of the failed batch was folded
