@@ -39,6 +39,12 @@ def main(argv: list[str]) -> None:
         f"Generated by `tools/explain_plans.py` at `{os.path.basename(sf_dir)}` on `local[8]`, "
         "after one run of each query, so adaptive plans are final.",
         "",
+        "The `RoundRobinPartitioning(8)` exchange right above each scan comes from `spread`: "
+        "the test tables are single parquet row groups, so the scan is one task. "
+        "On an input with at least as many splits as cores it is not there. "
+        "`*(n)` marks whole-stage codegen spans; `AQEShuffleRead coalesced` marks shuffles that "
+        "adaptive execution merged into fewer partitions.",
+        "",
     ]
     for name in NAMES:
         df = QUERIES[name](spark, sf_dir)
