@@ -1,8 +1,9 @@
 """Parse raw log lines into named string fields (P1-P7), with reject routing.
 
-``parse`` is one narrow projection: no shuffle, no Python. It keeps the raw
-line, adds one nullable string column per selected field and a ``_reject``
-reason that is NULL for good lines. ``accepted`` and ``rejects`` split that
+``parse`` is narrow (a one-row ``Generate`` and a projection, fused into one
+codegen stage): no shuffle, no Python. It keeps the raw line, adds one
+nullable string column per selected field and a ``_reject`` reason that is
+NULL for good lines. ``accepted`` and ``rejects`` split that
 frame; a job that writes both should persist the parsed batch first (the
 streaming fold does), a job that needs only the counts reads the input once.
 
