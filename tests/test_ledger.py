@@ -116,3 +116,13 @@ def test_count_by_skewed_key_is_partial(spark):
     df = spark.range(0, 3000).select((F.col("id") % 3 == 0).cast("string").alias("k"))
     plan = count_by(df, ["k"])._jdf.queryExecution().executedPlan().toString()
     assert "partial_count" in plan
+
+
+def test_uncommitted_attempt_is_invisible(spark, scratch):
+    """Files of an attempt that died before commit sit in hidden staging folders."""
+    led = SummaryLedger(spark, scratch, KEYS)
+    led.fold(counts(spark, [("d1", "a", 10)]), 0)
+    counts(spark, [("d1", "a", 999)]).write.parquet(f"{scratch}/ledger/.spark-staging-dead/batch_id=1")
+    counts(spark, [("d1", "a", 999)]).write.parquet(f"{scratch}/ledger/_temporary/0/batch_id=2")
+    assert led.batch_ids() == [0]
+    assert as_dict(led.read()) == {("d1", "a"): 10}
