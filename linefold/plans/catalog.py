@@ -30,6 +30,7 @@ from linefold.sources.events_log import damaged_event_lines, event_lines, ragged
 from linefold.sources.lines import read_lines, record_values, stream_lines, write_lines
 from linefold.streaming.jobs import (
     COUNT_SCHEMA,
+    REJECT_SCHEMA,
     TOTAL_SCHEMA,
     run_bounded,
     start_archive,
@@ -175,12 +176,12 @@ def q_offset_ranges(spark, sf_dir):
 class _Landing:
     """Input folder for a file stream, filled one slice at a time."""
 
-    def __init__(self, spark, sf_dir, name):
+    def __init__(self, spark, sf_dir, name, lines: DataFrame | None = None):
         self.spark = spark
         self.root = scratch_path(spark, name)
         self.input = f"{self.root}/input"
         self.checkpoint = f"{self.root}/checkpoint"
-        self.lines = lines_of(spark, sf_dir)
+        self.lines = lines if lines is not None else lines_of(spark, sf_dir)
 
     def land(self, k: int) -> None:
         write_lines(slice_of(self.lines, k), self.input)
@@ -285,6 +286,21 @@ def q_kafka_summary_stream(spark, sf_dir):
     return ledger.read()
 
 
+def q_stream_rejects(spark, sf_dir):
+    """Damaged lines through the stream: rejects land per batch next to the ledger.
+
+    Text files cannot hold a NULL line (it lands as an empty line), so here
+    those are rejected as too short rather than as ``null_value``.
+    """
+    landing = _Landing(spark, sf_dir, "stream_rejects", damaged_event_lines(events(spark, sf_dir)))
+    ledger = SummaryLedger(spark, f"{landing.root}/summary", summary_spec().keys)
+    rejected = BatchTable(spark, f"{landing.root}/rejects", REJECT_SCHEMA)
+    _run_slices(landing, lambda resume: start_summary_stream(
+        landing.stream(), LogSpec.transaction_log(), summary_spec(), ledger, landing.checkpoint,
+        trigger=AVAILABLE_NOW, resume=resume, reject_sink=rejected))
+    return rejected.read().select(F.col("batch_id").alias("slice"), "value", "reason")
+
+
 def q_batch_counts(spark, sf_dir):
     landing = _Landing(spark, sf_dir, "batch_counts")
     sink = BatchTable(spark, f"{landing.root}/counts", COUNT_SCHEMA)
@@ -324,6 +340,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "summary_restart": q_summary_restart,
     "summary_compact": q_summary_compact,
     "kafka_summary_stream": q_kafka_summary_stream,
+    "stream_rejects": q_stream_rejects,
     "batch_counts": q_batch_counts,
     "running_total": q_running_total,
     "raw_archive": q_raw_archive,

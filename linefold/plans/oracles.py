@@ -90,6 +90,15 @@ ORACLES: dict[str, str] = {
       SELECT day AS time_stamp, app AS app_id, COUNT(*) AS "count"
       FROM ev WHERE {_PASS} AND 't' || CAST(event_id % 2 AS VARCHAR) IN ('t1') GROUP BY day, app
     """,
+    "stream_rejects": f"""
+      WITH ev AS ({_EV})
+      SELECT slice,
+        CASE event_id % 6
+          WHEN 0 THEN '' WHEN 1 THEN '' WHEN 2 THEN '|||'
+          WHEN 3 THEN id || '|' || month ELSE id END AS value,
+        'short_field:time_stamp' AS reason
+      FROM ev WHERE event_id % 6 <> 4
+    """,
     "batch_counts": f"WITH ev AS ({_EV}) SELECT slice, COUNT(*) AS n FROM ev GROUP BY slice",
     "running_total": f"""
       WITH ev AS ({_EV})
