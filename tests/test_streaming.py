@@ -178,3 +178,34 @@ def test_failfast_stream_stops_on_a_bad_line(spark, scratch, lines):
     with pytest.raises(Exception, match="malformed log line"):
         run_bounded(q)
     assert led.is_empty()  # nothing of the failed batch was folded
+
+
+def test_random_slicings_and_replays_equal_batch(spark, lines):
+    """Property: whatever the slicing and whichever batch is replayed, the stream gives the batch answer."""
+    import random
+
+    from linefold.session import scratch_path
+
+    lspec, sspec = LogSpec.transaction_log(), SummarySpec()
+    expected = as_dict(summarize(lines, lspec, sspec))
+    rng = random.Random(11)
+    fs = HadoopFS(spark)
+    for trial in range(2):
+        root = scratch_path(spark, f"stream-prop{trial}")
+        n, salt = rng.randint(2, 4), rng.randint(0, 10**6)
+        sliced = lines.withColumn("_s", F.abs(F.hash(F.col("event_id"), F.lit(salt))) % n)
+        led = SummaryLedger(spark, f"{root}/summary", sspec.keys)
+        replay_after = rng.randrange(n)
+
+        def run():
+            run_bounded(start_summary_stream(stream_lines(spark, f"{root}/in"), lspec, sspec, led,
+                                             f"{root}/ckpt", trigger=NOW))
+
+        for k in range(n):
+            write_lines(sliced.filter(F.col("_s") == k), f"{root}/in")
+            run()
+            if k == replay_after:
+                fs.delete(f"{root}/ckpt/commits/{k}")
+                fs.delete(f"{root}/ckpt/commits/.{k}.crc")
+                run()
+        assert as_dict(led.read()) == expected, (n, salt, replay_after)
