@@ -85,3 +85,11 @@ def test_event_records_offsets_dense(spark):
     counts = {(x["topic"], x["partition"]): x["n"] for x in rec.groupBy("topic", "partition").agg(F.count("*").alias("n")).collect()}
     for x in ranges:
         assert x["from_offset"] == 0 and x["until_offset"] == counts[(x["topic"], x["partition"])]
+
+
+def test_numbering_keeps_null_groups_and_keys(spark):
+    rows = [(None, 5), (None, 1), ("a", None), ("a", 3), ("a", 1), ("b", 2)]
+    df = spark.createDataFrame(rows, "g string, k bigint")
+    got = sorted((r["g"] or "", r["k"] if r["k"] is not None else -1, r["n"])
+                 for r in number_within_groups(df, ["g"], "k", "n", block_width=2).collect())
+    assert got == [("", 1, 0), ("", 5, 1), ("a", -1, 0), ("a", 1, 1), ("a", 3, 2), ("b", 2, 0)]
