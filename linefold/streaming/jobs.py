@@ -126,6 +126,14 @@ def fold_batch(
         ledger.read().show(show_rows, truncate=False)
 
 
+def validate_summary(spark, log_spec: LogSpec, summary_spec: SummarySpec) -> None:
+    """Analyze parse -> predicate -> count on an empty frame: a bad predicate or
+    key fails here, before a stream starts, not in its first micro-batch."""
+    empty = spark.createDataFrame([], "value string")
+    good = apply_predicate(accepted(parse(empty, log_spec)), summary_spec.predicate)
+    count_by(good, summary_spec.keys, summary_spec.count_col).schema  # noqa: B018 - forces analysis
+
+
 def start_summary_stream(
     lines: DataFrame,
     log_spec: LogSpec,
@@ -142,6 +150,7 @@ def start_summary_stream(
     query_name: str | None = None,
 ) -> StreamingQuery:
     """Stream lines into the running summary: parse -> filter -> count -> ledger."""
+    validate_summary(lines.sparkSession, log_spec, summary_spec)
     check_resume(lines.sparkSession, checkpoint, resume, ledger, reject_sink)
 
     def _each(batch: DataFrame, batch_id: int) -> None:

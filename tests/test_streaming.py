@@ -209,3 +209,12 @@ def test_random_slicings_and_replays_equal_batch(spark, lines):
                 fs.delete(f"{root}/ckpt/commits/.{k}.crc")
                 run()
         assert as_dict(led.read()) == expected, (n, salt, replay_after)
+
+
+def test_bad_predicate_fails_before_the_stream_starts(spark, scratch):
+    HadoopFS(spark).mkdirs(f"{scratch}/in")
+    led = SummaryLedger(spark, f"{scratch}/summary", ("time_stamp", "app_id"))
+    with pytest.raises(Exception, match="(?i)no_such_field|cannot be resolved|UNRESOLVED"):
+        start_summary_stream(stream_lines(spark, f"{scratch}/in"), LogSpec.transaction_log(),
+                             SummarySpec(predicate="no_such_field = 'x'"), led, f"{scratch}/ckpt", trigger=NOW)
+    assert not spark.streams.active
