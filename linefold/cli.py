@@ -29,6 +29,7 @@ from linefold.config import KafkaSpec, LogSpec, SummarySpec
 from linefold.operators.summary import summarize
 from linefold.sinks.batch_table import BatchTable
 from linefold.sinks.ledger import SummaryLedger
+from linefold.sinks.tables import SummaryTable
 from linefold.sources.kafka import kafka_lines
 from linefold.sources.lines import read_lines, stream_lines
 from linefold.streaming.jobs import REJECT_SCHEMA, run_bounded, start_summary_stream
@@ -71,6 +72,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     s.add_argument("--compact-every", type=int)
     s.add_argument("--once", action="store_true", help="stop when the available input is consumed")
     s.add_argument("--show", type=int, help="print this many summary rows after each batch")
+    s.add_argument("--mirror-table", action="store_true",
+                   help="after each batch, overwrite the configured catalog table with the summary")
     r = sub.add_parser("show", help="print the summary the ledger holds")
     r.add_argument("--config", required=True)
     r.add_argument("--summary", required=True)
@@ -91,11 +94,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         lines = kafka_lines(spark, KafkaSpec.from_dict(conf["kafka"])) if args.kafka else stream_lines(spark, args.lines)
         ledger = SummaryLedger(spark, args.summary, summary.keys, summary.count_col)
         rejects = BatchTable(spark, args.rejects, REJECT_SCHEMA) if args.rejects else None
+        mirror = SummaryTable(spark, summary.table, summary.keys, count_col=summary.count_col) if args.mirror_table else None
         q = start_summary_stream(
             lines, log, summary, ledger, args.checkpoint,
             trigger=trigger_of(conf, args.once), resume=args.resume,
             reject_sink=rejects, compact_every=args.compact_every, show_rows=args.show,
-            query_name="linefold-summary",
+            mirror_table=mirror, query_name="linefold-summary",
         )
         run_bounded(q)
     return 0

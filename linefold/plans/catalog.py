@@ -150,6 +150,39 @@ def q_table_lifecycle(spark, sf_dir):
     return spark.read.parquet(snapshot)
 
 
+def q_summary_table_stream(spark, sf_dir):
+    """Stream with the original catalog table mirrored from the ledger, one batch replayed.
+
+    The table (count as a string) is rewritten from the exact ledger after
+    each batch, so the replay does not count twice in it either.
+    """
+    landing = _Landing(spark, sf_dir, "summary_table_stream")
+    db = "linefold_" + landing.root.rsplit("-", 1)[-1]
+    spec = summary_spec()
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{landing.root}/warehouse'")
+    table = SummaryTable(spark, f"{db}.{spec.table}", spec.keys)
+    ledger = SummaryLedger(spark, f"{landing.root}/summary", spec.keys)
+
+    def start(resume):
+        return start_summary_stream(
+            landing.stream(), LogSpec.transaction_log(), spec, ledger, landing.checkpoint,
+            trigger=AVAILABLE_NOW, resume=resume, mirror_table=table,
+        )
+
+    try:
+        _run_slices(landing, start)
+        fs = HadoopFS(spark)
+        fs.delete(f"{landing.checkpoint}/commits/{SLICES - 1}")
+        fs.delete(f"{landing.checkpoint}/commits/.{SLICES - 1}.crc")
+        run_bounded(start("require"))
+        snapshot = f"{landing.root}/snapshot"
+        table.read().write.mode("overwrite").parquet(snapshot)
+    finally:
+        table.drop()
+        spark.sql(f"DROP DATABASE IF EXISTS `{db}` CASCADE")
+    return spark.read.parquet(snapshot)
+
+
 def q_preview(spark, sf_dir):
     return preview(parse_accepted(lines_of(spark, sf_dir), log_spec()).select(*PARSED_COLS), 10)
 
@@ -348,5 +381,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "read_from_offsets": q_read_from_offsets,
     "offset_ranges": q_offset_ranges,
     "table_lifecycle": q_table_lifecycle,
+    "summary_table_stream": q_summary_table_stream,
     "preview": q_preview,
 }

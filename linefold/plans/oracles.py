@@ -117,6 +117,9 @@ ORACLES: dict[str, str] = {
       SELECT topic, "partition", MIN("offset") AS from_offset, MAX("offset") + 1 AS until_offset
       FROM ({_RECORDS}) GROUP BY topic, "partition"
     """,
+    "summary_table_stream": f"""
+      SELECT time_stamp, app_id, CAST("count" AS VARCHAR) AS "count" FROM ({_GROUP_COUNT})
+    """,
     "table_lifecycle": f"""
       SELECT time_stamp, app_id, CAST("count" AS VARCHAR) AS "count" FROM ({_GROUP_COUNT})
     """,

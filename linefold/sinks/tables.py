@@ -83,6 +83,21 @@ class SummaryTable:
     def refill_from_staging(self) -> None:
         self._insert(self.table, self.spark.table(self.staging))
 
+    def replace(self, df: DataFrame) -> None:
+        """Make ``df`` the table's whole content (``INSERT OVERWRITE``).
+
+        ``df`` must not read this table (Spark refuses to overwrite a table it
+        is reading); a summary derived from the ledger qualifies.
+        """
+        self.create()
+        view = f"linefold_in_{uuid.uuid4().hex[:10]}"
+        df.createOrReplaceTempView(view)
+        try:
+            cols = ", ".join(f"`{c}`" for c in self.columns)
+            self.spark.sql(f"INSERT OVERWRITE TABLE {_q(self.table)} SELECT {cols} FROM `{view}`")
+        finally:
+            self.spark.catalog.dropTempView(view)
+
     # T5, T6
     def truncate(self) -> None:
         self.spark.sql(f"TRUNCATE TABLE {_q(self.table)}")

@@ -32,6 +32,7 @@ from linefold.operators.summary import apply_predicate, count_by
 from linefold.session import HadoopFS
 from linefold.sinks.batch_table import BatchTable
 from linefold.sinks.ledger import SummaryLedger
+from linefold.sinks.tables import SummaryTable
 
 DEFAULT_TRIGGER: Mapping = {"processingTime": "2 seconds"}
 RESUME_MODES = ("auto", "require", "new")
@@ -102,11 +103,16 @@ def fold_batch(
     compact_every: int | None = None,
     mode: str = "reject",
     show_rows: int | None = None,
+    mirror_table: SummaryTable | None = None,
 ) -> None:
     """Parse, filter, count one batch and fold the counts into the ledger.
 
-    ``show_rows`` prints that many rows of the updated summary afterwards
-    (T11); it reads the whole summary, so it is off by default.
+    ``mirror_table`` (optional) is a catalog table in the original layout that
+    is overwritten with the ledger's summary after each batch, for readers of
+    that table. Being re-derived from the exact ledger, it never counts a
+    replayed batch twice; it costs a rewrite of the summary per batch, as the
+    original fold did. ``show_rows`` prints that many rows of the updated
+    summary (T11); it reads the whole summary, so it is off by default.
     """
     parsed = parse(batch, log_spec)
     if reject_sink is not None:
@@ -122,6 +128,8 @@ def fold_batch(
             parsed.unpersist()
     if compact_every and batch_id > 0 and batch_id % compact_every == 0:
         ledger.compact(batch_id - 1)
+    if mirror_table is not None:
+        mirror_table.replace(ledger.read_compat() if mirror_table.count_type.upper() == "STRING" else ledger.read())
     if show_rows:
         ledger.read().show(show_rows, truncate=False)
 
@@ -147,6 +155,7 @@ def start_summary_stream(
     compact_every: int | None = None,
     mode: str = "reject",
     show_rows: int | None = None,
+    mirror_table: SummaryTable | None = None,
     query_name: str | None = None,
 ) -> StreamingQuery:
     """Stream lines into the running summary: parse -> filter -> count -> ledger."""
@@ -157,6 +166,7 @@ def start_summary_stream(
         fold_batch(
             batch, batch_id, log_spec, summary_spec, ledger,
             reject_sink=reject_sink, compact_every=compact_every, mode=mode, show_rows=show_rows,
+            mirror_table=mirror_table,
         )
 
     return _start(lines.writeStream.foreachBatch(_each), checkpoint, trigger, query_name)
