@@ -69,7 +69,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     src.add_argument("--kafka", action="store_true")
     s.add_argument("--rejects")
     s.add_argument("--resume", choices=("auto", "require", "new"), default="auto")
-    s.add_argument("--compact-every", type=int)
+    s.add_argument("--compact-every", type=int, default=100, help="compact the ledger every N batches (0: never)")
     s.add_argument("--once", action="store_true", help="stop when the available input is consumed")
     s.add_argument("--show", type=int, help="print this many summary rows after each batch")
     s.add_argument("--mirror-table", action="store_true",
@@ -98,7 +98,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         q = start_summary_stream(
             lines, log, summary, ledger, args.checkpoint,
             trigger=trigger_of(conf, args.once), resume=args.resume,
-            reject_sink=rejects, compact_every=args.compact_every, show_rows=args.show,
+            reject_sink=rejects, compact_every=args.compact_every or None, show_rows=args.show,
             mirror_table=mirror, query_name="linefold-summary",
         )
         run_bounded(q)
