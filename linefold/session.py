@@ -78,6 +78,13 @@ class HadoopFS:
                 names.append(name)
         return sorted(names)
 
+    def list_dirs_all(self, path: str) -> list[str]:
+        """Names of all sub-folders of ``path``, hidden ones included."""
+        fs, p = self._fs(path)
+        if not fs.exists(p):
+            return []
+        return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
+
     def list_files(self, path: str) -> list[str]:
         fs, p = self._fs(path)
         if not fs.exists(p):

@@ -5,6 +5,12 @@
 overwrites its own earlier attempt instead of being added twice. A batch with
 no rows writes no partition, on the first try and on a replay alike.
 Uncommitted attempts live in a hidden staging folder that readers skip.
+
+``compact(N)`` keeps the folder short for long-running streams: the rows of
+batches ``<= N`` (with their ``batch_id``) are written to one base,
+``_base/upto=N`` (a hidden folder partition discovery skips), and their
+partitions are deleted. Readers take the newest base with a ``_SUCCESS``
+marker plus the partitions ``> N``.
 """
 
 from __future__ import annotations
@@ -40,25 +46,58 @@ class BatchTable:
             .parquet(self.path)
         )
 
+    @property
+    def base_dir(self) -> str:
+        return f"{self.path}/_base"
+
+    def _base_upto(self) -> int | None:
+        best = None
+        for name in self._fs.list_dirs_all(self.base_dir):
+            if name.startswith("upto=") and self._fs.exists(f"{self.base_dir}/{name}/_SUCCESS"):
+                n = int(name[len("upto="):])
+                best = n if best is None else max(best, n)
+        return best
+
     def batch_ids(self) -> list[int]:
-        """Batch ids present, from the folder listing (no data scan)."""
+        """Batch ids still in their own partition, from the folder listing (no data scan)."""
         prefix = f"{self.batch_col}="
         return sorted(int(d[len(prefix):]) for d in self._fs.list_dirs(self.path) if d.startswith(prefix))
 
     def is_empty(self) -> bool:
-        return not self.batch_ids()
+        return not self.batch_ids() and self._base_upto() is None
 
     def read(self) -> DataFrame:
         """All rows with their ``batch_id``; filters on it prune folders."""
-        if self.is_empty():
-            return self.spark.createDataFrame([], self.read_schema)
-        return self.spark.read.schema(self.read_schema).option("basePath", self.path).parquet(self.path)
+        upto = self._base_upto()
+        out = None
+        if self.batch_ids():
+            out = self.spark.read.schema(self.read_schema).option("basePath", self.path).parquet(self.path)
+            if upto is not None:
+                out = out.filter(F.col(self.batch_col) > upto)
+        if upto is not None:
+            base = self.spark.read.schema(self.read_schema).parquet(f"{self.base_dir}/upto={upto}")
+            out = base if out is None else out.unionByName(base)
+        return out if out is not None else self.spark.createDataFrame([], self.read_schema)
 
     def latest(self) -> DataFrame:
         """Rows of the newest batch only (e.g. the current running total)."""
         ids = self.batch_ids()
+        upto = self._base_upto()
+        newest = max(ids + ([upto] if upto is not None else []), default=None)
         df = self.read()
-        return df.filter(F.col(self.batch_col) == ids[-1]) if ids else df
+        return df if newest is None else df.filter(F.col(self.batch_col) == newest)
+
+    def compact(self, upto: int) -> None:
+        """Move the rows of batches ``<= upto`` into one base, then drop their partitions."""
+        current = self._base_upto()
+        if current is not None and upto <= current:
+            return
+        target = f"{self.base_dir}/upto={int(upto)}"
+        self.read().filter(F.col(self.batch_col) <= upto).write.mode("overwrite").parquet(target)
+        for name in self._fs.list_dirs_all(self.base_dir):
+            if name != f"upto={int(upto)}":
+                self._fs.delete(f"{self.base_dir}/{name}")
+        self.drop_batches(upto)
 
     def drop_batches(self, upto: int) -> None:
         """Delete partitions with ``batch_id <= upto``."""

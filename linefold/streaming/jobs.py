@@ -129,8 +129,10 @@ def fold_batch(
     finally:
         if reject_sink is not None:
             parsed.unpersist()
-    if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+    if _compact_due(batch_id, compact_every):
         ledger.compact(batch_id - 1)
+        if reject_sink is not None:
+            reject_sink.compact(batch_id - 1)
     if mirror_table is not None:
         mirror_table.replace(ledger.read_compat() if mirror_table.count_type.upper() == "STRING" else ledger.read())
     if show_rows:
@@ -178,6 +180,10 @@ def start_summary_stream(
     return _start(lines.writeStream.foreachBatch(_each), checkpoint, trigger, query_name)
 
 
+def _compact_due(batch_id: int, every: int | None) -> bool:
+    return bool(every) and batch_id > 0 and batch_id % every == 0
+
+
 def start_batch_counts(
     lines: DataFrame,
     sink: BatchTable,
@@ -185,6 +191,7 @@ def start_batch_counts(
     *,
     trigger: Mapping | None = None,
     resume: str = "auto",
+    compact_every: int | None = DEFAULT_COMPACT_EVERY,
     query_name: str | None = None,
 ) -> StreamingQuery:
     """Rows per micro-batch into ``sink`` as ``n`` per ``batch_id`` (A3)."""
@@ -192,6 +199,8 @@ def start_batch_counts(
 
     def _each(batch: DataFrame, batch_id: int) -> None:
         sink.write(batch.agg(F.count(F.lit(1)).alias("n")), batch_id)
+        if _compact_due(batch_id, compact_every):
+            sink.compact(batch_id - 1)
 
     return _start(lines.writeStream.foreachBatch(_each), checkpoint, trigger, query_name)
 
@@ -203,6 +212,7 @@ def start_running_total(
     *,
     trigger: Mapping | None = None,
     resume: str = "auto",
+    compact_every: int | None = DEFAULT_COMPACT_EVERY,
     query_name: str | None = None,
 ) -> StreamingQuery:
     """Total rows seen so far, after each batch, as ``total`` per ``batch_id`` (A4).
@@ -216,6 +226,8 @@ def start_running_total(
 
     def _each(batch: DataFrame, batch_id: int) -> None:
         sink.write(batch, batch_id)
+        if _compact_due(batch_id, compact_every):
+            sink.compact(batch_id - 1)
 
     return _start(
         totals.writeStream.outputMode("update").foreachBatch(_each), checkpoint, trigger, query_name

@@ -126,3 +126,25 @@ def test_uncommitted_attempt_is_invisible(spark, scratch):
     counts(spark, [("d1", "a", 999)]).write.parquet(f"{scratch}/ledger/_temporary/0/batch_id=2")
     assert led.batch_ids() == [0]
     assert as_dict(led.read()) == {("d1", "a"): 10}
+
+
+def test_batch_table_compaction(spark, scratch):
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    from linefold.sinks.batch_table import BatchTable
+
+    t = BatchTable(spark, scratch, StructType([StructField("n", LongType())]))
+    for b in range(5):
+        t.write(spark.createDataFrame([(b * 10,)], "n bigint"), b)
+    rows = lambda: sorted((r["batch_id"], r["n"]) for r in t.read().collect())
+    before = rows()
+    t.compact(2)
+    assert t.batch_ids() == [3, 4] and rows() == before
+    t.write(spark.createDataFrame([(50,)], "n bigint"), 5)
+    t.compact(5)
+    assert t.batch_ids() == [] and not t.is_empty()
+    assert rows() == before + [(5, 50)]
+    assert [(r["batch_id"], r["n"]) for r in t.latest().collect()] == [(5, 50)]
+    # a replayed, already compacted batch is ignored by readers
+    t.write(spark.createDataFrame([(999,)], "n bigint"), 1)
+    assert rows() == before + [(5, 50)]

@@ -93,7 +93,7 @@ def test_running_total_survives_restart(spark, scratch, lines):
         part = lines.filter(F.col("event_id") % 3 == k)
         sizes.append(part.count())
         write_lines(part, inp)
-        run_bounded(start_running_total(stream_lines(spark, inp), sink, ckpt, trigger=NOW))
+        run_bounded(start_running_total(stream_lines(spark, inp), sink, ckpt, trigger=NOW, compact_every=2))
     got = sorted((r["batch_id"], r["total"]) for r in sink.read().collect())
     assert got == [(0, sizes[0]), (1, sizes[0] + sizes[1]), (2, sum(sizes))]
     assert [r["total"] for r in sink.latest().collect()] == [sum(sizes)]
