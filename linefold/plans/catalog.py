@@ -335,10 +335,11 @@ def q_stream_rejects(spark, sf_dir):
 
 
 def q_batch_counts(spark, sf_dir):
+    """Rows per micro-batch; the sink compacts every two batches, so the read joins a base and partitions."""
     landing = _Landing(spark, sf_dir, "batch_counts")
     sink = BatchTable(spark, f"{landing.root}/counts", COUNT_SCHEMA)
     _run_slices(landing, lambda resume: start_batch_counts(
-        landing.stream(), sink, landing.checkpoint, trigger=AVAILABLE_NOW, resume=resume))
+        landing.stream(), sink, landing.checkpoint, trigger=AVAILABLE_NOW, resume=resume, compact_every=2))
     return sink.read().select(F.col("batch_id").alias("slice"), "n")
 
 
