@@ -80,12 +80,15 @@ class BatchTable:
         return out if out is not None else self.spark.createDataFrame([], self.read_schema)
 
     def latest(self) -> DataFrame:
-        """Rows of the newest batch only (e.g. the current running total)."""
-        ids = self.batch_ids()
+        """Rows of the newest batch that has rows (e.g. the current running total)."""
         upto = self._base_upto()
-        newest = max(ids + ([upto] if upto is not None else []), default=None)
+        live = [b for b in self.batch_ids() if upto is None or b > upto]
         df = self.read()
-        return df if newest is None else df.filter(F.col(self.batch_col) == newest)
+        if live:
+            return df.filter(F.col(self.batch_col) == live[-1])
+        # everything is in the base: its newest batch (a one-row aggregate)
+        newest = df.agg(F.max(self.batch_col).alias(self.batch_col))
+        return df.join(F.broadcast(newest), on=self.batch_col, how="left_semi")
 
     def compact(self, upto: int) -> None:
         """Move the rows of batches ``<= upto`` into one base, then drop their partitions."""

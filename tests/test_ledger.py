@@ -148,3 +148,8 @@ def test_batch_table_compaction(spark, scratch):
     # a replayed, already compacted batch is ignored by readers
     t.write(spark.createDataFrame([(999,)], "n bigint"), 1)
     assert rows() == before + [(5, 50)]
+    assert [(r["batch_id"], r["n"]) for r in t.latest().collect()] == [(5, 50)]
+    # an empty newest batch: latest is the newest batch with rows
+    t.write(spark.createDataFrame([], "n bigint"), 6)
+    t.compact(6)
+    assert [(r["batch_id"], r["n"]) for r in t.latest().collect()] == [(5, 50)]
