@@ -13,6 +13,7 @@ from linefold.streaming.jobs import (
     start_archive,
     start_batch_counts,
     start_console_preview,
+    start_offset_report,
     start_running_total,
     start_summary_stream,
 )
@@ -41,6 +42,7 @@ __all__ = [
     "start_archive",
     "start_batch_counts",
     "start_console_preview",
+    "start_offset_report",
     "start_running_total",
     "start_summary_stream",
     "stream_lines",

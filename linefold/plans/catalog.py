@@ -30,11 +30,13 @@ from linefold.sources.events_log import damaged_event_lines, event_lines, ragged
 from linefold.sources.lines import read_lines, record_values, stream_lines, write_lines
 from linefold.streaming.jobs import (
     COUNT_SCHEMA,
+    RANGE_SCHEMA,
     REJECT_SCHEMA,
     TOTAL_SCHEMA,
     run_bounded,
     start_archive,
     start_batch_counts,
+    start_offset_report,
     start_running_total,
     start_summary_stream,
 )
@@ -334,6 +336,35 @@ def q_stream_rejects(spark, sf_dir):
     return rejected.read().select(F.col("batch_id").alias("slice"), "value", "reason")
 
 
+def q_offset_report_stream(spark, sf_dir):
+    """Kafka-layout records streamed in four runs; each batch reports its offset ranges.
+
+    Run ``k`` lands the ``k``-th quarter of every partition's offsets, so each
+    batch covers one contiguous range per partition, as a Kafka batch does.
+    """
+    root = scratch_path(spark, "offset_report_stream")
+    records = records_of(spark, sf_dir)
+    sizes = records.groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("_size"))
+    staged = f"{root}/records"
+    (
+        records.join(F.broadcast(sizes), ["topic", "partition"])
+        .withColumn("slice", F.floor(F.col("offset") * SLICES / F.col("_size")).cast("bigint"))
+        .drop("_size")
+        .write.partitionBy("slice").parquet(staged)
+    )
+    sink = BatchTable(spark, f"{root}/ranges", RANGE_SCHEMA)
+    schema = None
+    for k in range(SLICES):
+        landing = spark.read.parquet(staged).filter(F.col("slice") == k).drop("slice")
+        schema = schema or landing.schema
+        landing.write.mode("append").parquet(f"{root}/input")
+        run_bounded(start_offset_report(
+            spark.readStream.schema(schema).parquet(f"{root}/input"), sink, f"{root}/checkpoint",
+            trigger=AVAILABLE_NOW,
+        ))
+    return sink.read().select(F.col("batch_id").alias("slice"), "topic", "partition", "from_offset", "until_offset")
+
+
 def q_batch_counts(spark, sf_dir):
     """Rows per micro-batch; the sink compacts every two batches, so the read joins a base and partitions."""
     landing = _Landing(spark, sf_dir, "batch_counts")
@@ -381,6 +412,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "topic_subscribe": q_topic_subscribe,
     "read_from_offsets": q_read_from_offsets,
     "offset_ranges": q_offset_ranges,
+    "offset_report_stream": q_offset_report_stream,
     "table_lifecycle": q_table_lifecycle,
     "summary_table_stream": q_summary_table_stream,
     "preview": q_preview,

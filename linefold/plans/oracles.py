@@ -120,6 +120,16 @@ ORACLES: dict[str, str] = {
     "summary_table_stream": f"""
       SELECT time_stamp, app_id, CAST("count" AS VARCHAR) AS "count" FROM ({_GROUP_COUNT})
     """,
+    "offset_report_stream": f"""
+      WITH r AS ({_RECORDS}),
+      q AS (
+        SELECT topic, "partition", "offset",
+          CAST(floor("offset" * 4 / COUNT(*) OVER (PARTITION BY topic, "partition")) AS BIGINT) AS slice
+        FROM r
+      )
+      SELECT slice, topic, "partition", MIN("offset") AS from_offset, MAX("offset") + 1 AS until_offset
+      FROM q GROUP BY slice, topic, "partition"
+    """,
     "table_lifecycle": f"""
       SELECT time_stamp, app_id, CAST("count" AS VARCHAR) AS "count" FROM ({_GROUP_COUNT})
     """,

@@ -24,7 +24,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from linefold.config import LogSpec, SummarySpec
 from linefold.operators.parse import accepted, parse, rejects
@@ -234,6 +234,45 @@ def start_running_total(
     )
 
 
+RANGE_SCHEMA = StructType(
+    [
+        StructField("topic", StringType(), True),
+        StructField("partition", IntegerType(), True),
+        StructField("from_offset", LongType(), True),
+        StructField("until_offset", LongType(), True),
+    ]
+)
+
+
+def start_offset_report(
+    records: DataFrame,
+    sink: BatchTable,
+    checkpoint: str,
+    *,
+    trigger: Mapping | None = None,
+    resume: str = "auto",
+    compact_every: int | None = DEFAULT_COMPACT_EVERY,
+    query_name: str | None = None,
+) -> StreamingQuery:
+    """Per micro-batch, the offset range each (topic, partition) contributed.
+
+    ``records`` is a stream of Kafka records (or any Kafka-shaped stream);
+    each batch writes ``topic, partition, from_offset, until_offset`` (until
+    exclusive) under its ``batch_id``: the batch's ranges, computed from its
+    own rows with a partial min/max aggregate.
+    """
+    from linefold.sources.kafka import offset_ranges
+
+    check_resume(records.sparkSession, checkpoint, resume, sink)
+
+    def _each(batch: DataFrame, batch_id: int) -> None:
+        sink.write(offset_ranges(batch), batch_id)
+        if _compact_due(batch_id, compact_every):
+            sink.compact(batch_id - 1)
+
+    return _start(records.writeStream.foreachBatch(_each), checkpoint, trigger, query_name)
+
+
 def start_archive(
     lines: DataFrame,
     path: str,
