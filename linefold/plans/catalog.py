@@ -294,6 +294,24 @@ def q_summary_restart(spark, sf_dir):
     return ledger.read()
 
 
+def _staged_slices(sliced: DataFrame, staged: str, landing: str):
+    """Write ``sliced`` (with a ``slice`` column) once, partitioned by slice.
+
+    Returns ``land(k)``, which appends slice ``k`` to ``landing`` (a pruned
+    read of the staged copy) and returns its schema; the records are numbered
+    once instead of once per slice.
+    """
+    sliced.write.partitionBy("slice").parquet(staged)
+    spark = sliced.sparkSession
+
+    def land(k: int):
+        part = spark.read.parquet(staged).filter(F.col("slice") == k).drop("slice")
+        part.write.mode("append").parquet(landing)
+        return part.schema
+
+    return land
+
+
 def q_kafka_summary_stream(spark, sf_dir):
     """Kafka-layout records as a stream: subscribe -> value -> parse -> fold.
 
@@ -303,15 +321,11 @@ def q_kafka_summary_stream(spark, sf_dir):
     feeding the same job would.
     """
     root = scratch_path(spark, "kafka_summary_stream")
-    # number the records once; each run then lands one slice (a pruned read)
-    staged = f"{root}/records"
-    records_of(spark, sf_dir).withColumn("slice", F.col("offset") % SLICES).write.partitionBy("slice").parquet(staged)
+    records = records_of(spark, sf_dir)
+    land = _staged_slices(records.withColumn("slice", F.col("offset") % SLICES), f"{root}/records", f"{root}/input")
     ledger = SummaryLedger(spark, f"{root}/summary", summary_spec().keys)
-    schema = None
     for k in range(SLICES):
-        landing = spark.read.parquet(staged).filter(F.col("slice") == k).drop("slice")
-        schema = schema or landing.schema
-        landing.write.mode("append").parquet(f"{root}/input")
+        schema = land(k)
         stream = spark.readStream.schema(schema).parquet(f"{root}/input")
         values = record_values(kafka.subscribe(stream, SUBSCRIBED_TOPICS))
         run_bounded(start_summary_stream(
@@ -321,21 +335,6 @@ def q_kafka_summary_stream(spark, sf_dir):
     return ledger.read()
 
 
-def q_stream_rejects(spark, sf_dir):
-    """Damaged lines through the stream: rejects land per batch next to the ledger.
-
-    Text files cannot hold a NULL line (it lands as an empty line), so here
-    those are rejected as too short rather than as ``null_value``.
-    """
-    landing = _Landing(spark, sf_dir, "stream_rejects", damaged_event_lines(events(spark, sf_dir)))
-    ledger = SummaryLedger(spark, f"{landing.root}/summary", summary_spec().keys)
-    rejected = BatchTable(spark, f"{landing.root}/rejects", REJECT_SCHEMA)
-    _run_slices(landing, lambda resume: start_summary_stream(
-        landing.stream(), LogSpec.transaction_log(), summary_spec(), ledger, landing.checkpoint,
-        trigger=AVAILABLE_NOW, resume=resume, reject_sink=rejected))
-    return rejected.read().select(F.col("batch_id").alias("slice"), "value", "reason")
-
-
 def q_offset_report_stream(spark, sf_dir):
     """Kafka-layout records streamed in four runs; each batch reports its offset ranges.
 
@@ -345,19 +344,16 @@ def q_offset_report_stream(spark, sf_dir):
     root = scratch_path(spark, "offset_report_stream")
     records = records_of(spark, sf_dir)
     sizes = records.groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("_size"))
-    staged = f"{root}/records"
-    (
-        records.join(F.broadcast(sizes), ["topic", "partition"])
+    quartered = (
+        # one row per topic-partition; adaptive execution broadcasts it by measured size
+        records.join(sizes, ["topic", "partition"])
         .withColumn("slice", F.floor(F.col("offset") * SLICES / F.col("_size")).cast("bigint"))
         .drop("_size")
-        .write.partitionBy("slice").parquet(staged)
     )
+    land = _staged_slices(quartered, f"{root}/records", f"{root}/input")
     sink = BatchTable(spark, f"{root}/ranges", RANGE_SCHEMA)
-    schema = None
     for k in range(SLICES):
-        landing = spark.read.parquet(staged).filter(F.col("slice") == k).drop("slice")
-        schema = schema or landing.schema
-        landing.write.mode("append").parquet(f"{root}/input")
+        schema = land(k)
         run_bounded(start_offset_report(
             spark.readStream.schema(schema).parquet(f"{root}/input"), sink, f"{root}/checkpoint",
             trigger=AVAILABLE_NOW,
@@ -365,6 +361,21 @@ def q_offset_report_stream(spark, sf_dir):
     return sink.read().select(F.col("batch_id").alias("slice"), "topic", "partition", "from_offset", "until_offset")
 
 
+def q_stream_rejects(spark, sf_dir):
+    """Damaged lines through the stream: rejects land per batch next to the ledger.
+
+    Text files cannot hold a NULL line (it lands as an empty line), so here
+    those are rejected as too short rather than as ``null_value``.
+    """
+    landing = _Landing(spark, sf_dir, "stream_rejects", damaged_event_lines(events(spark, sf_dir)))
+    ledger = SummaryLedger(spark, f"{landing.root}/summary", summary_spec().keys)
+    rejected = BatchTable(spark, f"{landing.root}/rejects", REJECT_SCHEMA)
+    _run_slices(landing, lambda resume: start_summary_stream(
+        landing.stream(), LogSpec.transaction_log(), summary_spec(), ledger, landing.checkpoint,
+        trigger=AVAILABLE_NOW, resume=resume, reject_sink=rejected))
+    return rejected.read().select(F.col("batch_id").alias("slice"), "value", "reason")
+
+
 def q_batch_counts(spark, sf_dir):
     """Rows per micro-batch; the sink compacts every two batches, so the read joins a base and partitions."""
     landing = _Landing(spark, sf_dir, "batch_counts")

@@ -85,6 +85,15 @@ class HadoopFS:
             return []
         return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
 
+    def newest_marked(self, path: str, prefix: str = "upto=") -> int | None:
+        """Largest ``N`` of the sub-folders ``<prefix>N`` of ``path`` that hold a ``_SUCCESS`` marker."""
+        best = None
+        for name in self.list_dirs_all(path):
+            if name.startswith(prefix) and self.exists(f"{path}/{name}/_SUCCESS"):
+                n = int(name[len(prefix):])
+                best = n if best is None else max(best, n)
+        return best
+
     def list_files(self, path: str) -> list[str]:
         fs, p = self._fs(path)
         if not fs.exists(p):

@@ -51,12 +51,7 @@ class BatchTable:
         return f"{self.path}/_base"
 
     def _base_upto(self) -> int | None:
-        best = None
-        for name in self._fs.list_dirs_all(self.base_dir):
-            if name.startswith("upto=") and self._fs.exists(f"{self.base_dir}/{name}/_SUCCESS"):
-                n = int(name[len("upto="):])
-                best = n if best is None else max(best, n)
-        return best
+        return self._fs.newest_marked(self.base_dir)
 
     def batch_ids(self) -> list[int]:
         """Batch ids still in their own partition, from the folder listing (no data scan)."""

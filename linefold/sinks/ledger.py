@@ -64,12 +64,7 @@ class SummaryLedger:
 
     # -- reading -------------------------------------------------------------
     def _base_upto(self) -> int | None:
-        best = None
-        for name in self._fs.list_dirs(self.base_path):
-            if name.startswith("upto=") and self._fs.exists(f"{self.base_path}/{name}/_SUCCESS"):
-                n = int(name[len("upto="):])
-                best = n if best is None else max(best, n)
-        return best
+        return self._fs.newest_marked(self.base_path)
 
     def _parts(self, upto_batch: int | None = None) -> DataFrame:
         base_upto = self._base_upto()
