@@ -7,7 +7,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from tests.conftest import SF_SMALL
-from tools.oracle_check import TABLES, digest
+from tools.oracle_check import TABLES, digest, type_mismatches
 
 
 @pytest.fixture(scope="module")
@@ -31,6 +31,7 @@ def test_query_matches_oracle(spark, con, name):
     res = con.sql(oracle_sql()[name])
     orows = res.fetchall()
     assert len(rows) == len(orows)
+    assert type_mismatches(df.dtypes, res.columns, res.types) == {}
     assert digest(df.columns, rows) == digest(res.columns, orows)
 
 
