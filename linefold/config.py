@@ -101,6 +101,18 @@ class LogSpec:
         """1-based position of a declared field name."""
         return self.field_names.index(name) + 1
 
+    def select(self, *names: str, slices: Mapping[str, tuple[int, int]] | None = None) -> LogSpec:
+        """The same layout with these declared field names selected (ordinals looked up).
+
+        ``slices`` optionally maps a name to its ``(begin, end)`` slice.
+        """
+        slices = slices or {}
+        missing = [n for n in names if n not in self.field_names]
+        if missing:
+            raise ValueError(f"not declared in this layout: {missing}")
+        fields = tuple(FieldSpec(n, self.ordinal_of(n), slices.get(n)) for n in names)
+        return LogSpec(fields, self.delimiter, self.field_count, self.field_names)
+
     def with_fields(self, *extra: FieldSpec) -> LogSpec:
         return LogSpec(self.fields + tuple(extra), self.delimiter, self.field_count, self.field_names)
 

@@ -129,3 +129,15 @@ def test_spec_validation():
         LogSpec((FieldSpec("x", 61),), "|", 60)
     with pytest.raises(ValueError):
         LogSpec((FieldSpec("x", 1), FieldSpec("x", 2)))
+
+
+def test_select_by_declared_name(spark):
+    s = LogSpec.transaction_log().select("time_stamp", "msisdn", "app_id", slices={"time_stamp": (0, 10)})
+    assert [(f.name, f.ordinal, f.slice) for f in s.fields] == [
+        ("time_stamp", 2, (0, 10)), ("msisdn", 24, None), ("app_id", 5, None)
+    ]
+    line = "|".join(["1", "2024-01-05 10:11:12 345", "", "", "APP_1"] + [""] * 18 + ["94770000000"] + [""] * 36)
+    r = parse_accepted(lines_only(spark, [line]), s).collect()[0]
+    assert (r["time_stamp"], r["msisdn"], r["app_id"]) == ("2024-01-05", "94770000000", "APP_1")
+    with pytest.raises(ValueError):
+        LogSpec.transaction_log().select("nope")
