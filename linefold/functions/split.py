@@ -49,7 +49,9 @@ def java_split(line: Column | str, delimiter: str, limit: int | None = None) ->
     ``limit`` elements, the last holding the rest of the line. Multi-character
     delimiters always give the full array.
     """
-    line = _col(line)
+    if isinstance(line, str):
+        # a column name: the SQL form, whose TRIM(TRAILING ...) is not deprecated
+        return F.expr(java_split_sql(sql_ident(line), delimiter, limit))
     pattern = regex_literal(delimiter)
     n = -1 if limit is None else int(limit)
     if len(delimiter) == 1:
@@ -76,7 +78,10 @@ def java_field(line: Column | str, delimiter: str, ordinal: int) -> Column:
     """
     if ordinal < 1:
         raise ValueError("ordinal is 1-based")
-    line = _col(line)
+    if isinstance(line, str):
+        name = sql_ident(line)
+        parts = java_split_sql(name, delimiter)
+        return F.expr(f"CASE WHEN {name} IS NULL THEN NULL ELSE coalesce(get({parts}, {ordinal - 1}), {sql_str(PAD)}) END")
     if len(delimiter) != 1:
         return F.coalesce(F.get(java_split(line, delimiter), ordinal - 1), F.lit(PAD))
     t = strip_trailing(line, delimiter)
