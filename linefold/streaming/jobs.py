@@ -139,12 +139,22 @@ def fold_batch(
         ledger.read().show(show_rows, truncate=False)
 
 
+_VALIDATED: set = set()
+
+
 def validate_summary(spark, log_spec: LogSpec, summary_spec: SummarySpec) -> None:
     """Analyze parse -> predicate -> count on an empty frame: a bad predicate or
-    key fails here, before a stream starts, not in its first micro-batch."""
+    key fails here, before a stream starts, not in its first micro-batch.
+
+    Remembered per session and specs (both frozen), so restarts skip it.
+    """
+    key = (id(spark), log_spec, summary_spec)
+    if key in _VALIDATED:
+        return
     empty = spark.createDataFrame([], "value string")
     good = apply_predicate(accepted(parse(empty, log_spec)), summary_spec.predicate)
     count_by(good, summary_spec.keys, summary_spec.count_col).schema  # noqa: B018 - forces analysis
+    _VALIDATED.add(key)
 
 
 def start_summary_stream(
