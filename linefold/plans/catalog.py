@@ -8,6 +8,10 @@ batch ``k`` holds slice ``k``; their state lives under the session's shared
 checkpoint folder. Every query returns a DataFrame; the stream and table
 queries have already done their work when they return, and the DataFrame
 reads what they left behind.
+
+The modulo expressions here (``event_id % 4`` slices, ``% 5`` / ``% 6``
+damage kinds, ``% 2`` topics, ``user_id % 3`` partitions) only assign rows to
+batches and fixture roles; no query drops a row of ``events``.
 """
 
 from __future__ import annotations
