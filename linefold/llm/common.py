@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import shutil
+import tempfile
+from pathlib import Path
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import linefold
 from linefold.session import scratch_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -53,3 +58,17 @@ def with_row_id(df: DataFrame, name: str = "_rid") -> DataFrame:
     """
     return df.withColumn(name, F.monotonically_increasing_id())
 
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per context (``addPyFile`` of a small archive).
+
+    Where the package is installed on every node the archive is not needed and does no harm.
+    """
+    sc = spark.sparkContext
+    root = Path(linefold.__file__).resolve().parent
+    if getattr(sc, "_linefold_shipped", False) or not root.is_dir():
+        return
+    archive = f"{tempfile.mkdtemp(prefix='linefold-ship-')}/linefold"
+    sc.addPyFile(shutil.make_archive(archive, "zip", root_dir=root.parent, base_dir=root.name))
+    sc._linefold_shipped = True

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linefold.llm import exact_dedup, mixing
+from linefold.llm import exact_dedup, mixing, packing, token_files
+from linefold.session import scratch_path
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +25,18 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in windows of 2048 tokens."""
+    return packing.pack(_documents(spark, sf_dir))
+
+
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as read back from the token-id files written of them."""
+    path = scratch_path(spark, "llm-token-files")
+    token_files.write(_documents(spark, sf_dir), path)
+    return token_files.read(spark, path).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Group and survivor of every document under equality after A-Z folding."""
     return exact_dedup.exact_groups(_documents(spark, sf_dir)).select(
@@ -31,4 +44,4 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_mix_sources, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op2_mix_sources, op8_pack_windows, op9_token_files, op10_exact_dedup)}
