@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linefold.llm import exact_dedup, mixing, packing, token_files
+from linefold.llm import exact_dedup, lang_id, mixing, packing, pii, token_files
 from linefold.session import scratch_path
 
 
@@ -13,6 +13,23 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every text: counts of the base kinds, their digest, and all spans."""
+    found = pii.find(_documents(spark, sf_dir).select("doc_id", "text"))
+    kinds = [k.name for k in pii.KINDS]
+    base = F.filter("pii", lambda s: s["kind"] < len(pii.BASE))
+
+    def count(name: str) -> Column:
+        return F.size(F.filter("pii", lambda s: s["kind"] == kinds.index(name))).cast("long").alias(f"n_{name}")
+
+    return found.select(
+        "doc_id",
+        *[count(k) for k in pii.BASE],
+        F.sha2(pii.joined(base).cast("binary"), 256).alias("base_sha256"),
+        pii.joined(F.col("pii")).alias("spans"),
+    )
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that the mix takes."""
     mix = mixing.Mix(_documents(spark, sf_dir))
@@ -25,6 +42,13 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learnt from the rows that are not held out."""
+    docs = _documents(spark, sf_dir)
+    found = lang_id.predict(docs.select("doc_id", "text"), lang_id.learn(docs))
+    return found.select("doc_id", lang_id.is_held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op8_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in windows of 2048 tokens."""
     return packing.pack(_documents(spark, sf_dir))
@@ -44,4 +68,4 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_mix_sources, op8_pack_windows, op9_token_files, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_mix_sources, op6_language_id, op8_pack_windows, op9_token_files, op10_exact_dedup)}
