@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linefold.llm import exact_dedup, lang_id, mixing, packing, pii, token_files
+from linefold.llm import exact_dedup, fingerprints, lang_id, mixing, packing, pii, token_files
 from linefold.session import scratch_path
 
 
@@ -42,6 +42,30 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text (second half replaced by the next document's beginning)."""
+    rows = fingerprints.with_next(_documents(spark, sf_dir), "doc_id", "text")
+    n = F.char_length("_text")
+    half = F.floor(n / 2).cast("int")
+    edited = F.concat(F.left("_text", n - half), F.left(F.col("_next.text"), half))
+    rows = rows.select(
+        F.col("_id").alias("doc_id"),
+        n.cast("long").alias("n_chars"),
+        edited.alias("edited"),
+        F.col("_fp").alias("fingerprint"),
+        F.col("_next.fp").alias("next_fingerprint"),
+    ).withColumn("edited_fingerprint", fingerprints.fingerprint(F.col("edited")))
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        fingerprints.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        fingerprints.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+    )
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document, learnt from the rows that are not held out."""
     docs = _documents(spark, sf_dir)
@@ -68,4 +92,4 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_mix_sources, op6_language_id, op8_pack_windows, op9_token_files, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_mix_sources, op5_fingerprints, op6_language_id, op8_pack_windows, op9_token_files, op10_exact_dedup)}
