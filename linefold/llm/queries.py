@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linefold.llm import exact_dedup, fingerprints, lang_id, mixing, packing, pii, token_files
+from linefold.llm import chat, exact_dedup, fingerprints, lang_id, licenses, mixing, packing, pii, token_files
 from linefold.session import scratch_path
 
 
@@ -42,6 +42,19 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence passages of every document: the best, its coefficient, how many, and their names in order."""
+    found = licenses.scan(_documents(spark, sf_dir).select("doc_id", "text"))
+    best = F.array_max("licences")
+    return found.select(
+        "doc_id",
+        F.when(F.size("licences") > 0, licenses.licence_name(best["template"])).alias("license"),
+        F.coalesce(best["dice"], F.lit(0.0)).alias("dice"),
+        F.size("licences").cast("long").alias("n_passages"),
+        F.array_join(F.transform("licences", lambda m: licenses.licence_name(m["template"])), ",").alias("licenses"),
+    )
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and of its edited text (second half replaced by the next document's beginning)."""
     rows = fingerprints.with_next(_documents(spark, sf_dir), "doc_id", "text")
@@ -73,6 +86,35 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", lang_id.is_held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+#: Styles in which the conversations table is written out as transcripts, a marker per role.
+_STYLES = (
+    ("System: ", "User: ", "Assistant: "),
+    ("[system] ", "Human: ", "AI: "),
+    ("Instructions: ", "Q: ", "A: "),
+    ("<<SYS>> ", "### Instruction: ", "### Response: "),
+)
+
+
+def _transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations as raw transcript lines: a style per conversation, and one turn in three without its marker."""
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    style = F.pmod(F.xxhash64("conv_id"), F.lit(len(_STYLES))).cast("int")
+    role = F.array_position(F.array(*[F.lit(r) for r in chat.ROLES]), F.coalesce("role", F.lit(""))).cast("int")
+    marker = F.get(F.get(F.array(*[F.array(*[F.lit(m) for m in s]) for s in _STYLES]), style), role - 1)
+    bare = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(3)) == 0
+    text = F.concat(F.when(bare, F.lit("")).otherwise(F.coalesce(marker, F.lit(""))), F.coalesce("text", F.lit("")))
+    return rows.select("conv_id", "turn", "role", text.alias("text"))
+
+
+def op7_chat_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recovered role and canonical rendering of every transcript line; learnt from two thirds of the conversations."""
+    rows = _transcripts(spark, sf_dir)
+    lines = chat.lines_of(rows, "conv_id", "turn", "text", keep=["role"])
+    model = chat.fit(lines.filter(F.crc32(F.col("conv").cast("binary")) % 3 != 1))
+    found = chat.recover(lines.drop("role"), model)
+    return found.select(F.col("conv").cast("long").alias("conv_id"), "turn", F.col("at").cast("long").alias("line"), "role", "begins", "rendered")
+
+
 def op8_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in windows of 2048 tokens."""
     return packing.pack(_documents(spark, sf_dir))
@@ -92,4 +134,17 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_mix_sources, op5_fingerprints, op6_language_id, op8_pack_windows, op9_token_files, op10_exact_dedup)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_pii,
+        op2_mix_sources,
+        op3_license_scan,
+        op5_fingerprints,
+        op6_language_id,
+        op7_chat_roles,
+        op8_pack_windows,
+        op9_token_files,
+        op10_exact_dedup,
+    )
+}
