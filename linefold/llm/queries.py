@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linefold.llm import chat, exact_dedup, fingerprints, lang_id, licenses, mixing, packing, pii, token_files
+from linefold.llm import chat, exact_dedup, fingerprints, jaccard, lang_id, licenses, mixing, packing, pii, token_files
 from linefold.session import scratch_path
 
 
@@ -55,6 +55,11 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document under Jaccard links of 80 percent."""
+    return jaccard.near_groups(_documents(spark, sf_dir)).select(F.col("_id").alias("doc_id"), "n_shingles", "component_id")
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of every text and of its edited text (second half replaced by the next document's beginning)."""
     rows = fingerprints.with_next(_documents(spark, sf_dir), "doc_id", "text")
@@ -140,6 +145,7 @@ QUERIES = {
         op1_pii,
         op2_mix_sources,
         op3_license_scan,
+        op4_jaccard_join,
         op5_fingerprints,
         op6_language_id,
         op7_chat_roles,
