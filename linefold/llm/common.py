@@ -60,6 +60,12 @@ def with_row_id(df: DataFrame, name: str = "_rid") -> DataFrame:
 
 
 
+def without_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose numbers ``dropped(_rid)`` lists; the columns of ``docs``, whatever they are called."""
+    rows = with_row_id(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")))
+    return rows.join(dropped, "_rid", "left_anti").select("_row.*")
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors' Python workers this package, once per context (``addPyFile`` of a small archive).
 

@@ -23,7 +23,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linefold.llm.common import ascii_lower, materialize, with_row_id
+from linefold.llm.common import ascii_lower, materialize, with_row_id, without_rows
 
 #: Code points in a block: most texts are one block, long ones a few.
 BLOCK = 16384
@@ -146,4 +146,4 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """``docs`` without the rows that do not stay; same columns."""
     dropped = materialize(exact_groups(docs, id_col, text_col, **how).filter(~F.col("kept")).select("_rid"), "dropped")
-    return with_row_id(docs).join(dropped, "_rid", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return without_rows(docs, dropped)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linefold.llm.common import materialize, ship, text_of, with_row_id
+from linefold.llm.common import materialize, ship, text_of, with_row_id, without_rows
 from linefold.llm.graph import components
 from linefold.llm.shingles import mix, shingle_sets
 
@@ -453,4 +453,4 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each component; same columns."""
     dropped = materialize(near_groups(docs, id_col, text_col, percent).filter(~F.col("kept")).select("_rid"), "dropped")
-    return with_row_id(docs).join(dropped, "_rid", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return without_rows(docs, dropped)

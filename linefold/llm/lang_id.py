@@ -256,7 +256,7 @@ _SCORERS: dict[int, Scorer] = {}
 
 
 def predict(docs: DataFrame, model: Unigrams, text_col: str = "text", lang: str = "lang_pred", score: str = "score") -> DataFrame:
-    """``docs`` with the predicted language and its posterior."""
+    """``docs`` with the predicted language and its posterior (in place of columns that are called so already)."""
     spark = docs.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(model)  # vocabulary size times languages, whatever the input
@@ -271,5 +271,6 @@ def predict(docs: DataFrame, model: Unigrams, text_col: str = "text", lang: str
         return pd.DataFrame({"lang": names, "score": scores})
 
     found = scored.asNondeterministic()(F.col(text_col))  # so that a filter above does not run it twice
-    out = docs.withColumn("_found", found)
-    return out.withColumns({lang: F.col("_found.lang"), score: F.col("_found.score")}).drop("_found")
+    kept = [c for c in docs.columns if c.lower() not in (lang.lower(), score.lower())]
+    out = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"), found.alias("_found"))
+    return out.select("_row.*", F.col("_found.lang").alias(lang), F.col("_found.score").alias(score))
