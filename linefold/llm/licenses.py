@@ -5,7 +5,7 @@ folded, everything but letters a-z and digits separates words) and its set of
 word bigrams compared with those of every template that the size bound leaves:
 a Dice coefficient of ``t`` needs between t/(2-t) and (2-t)/t times as many
 bigrams as the template has. A text is cut into passages only if it holds a
-marker word; every passage that can reach ``t`` holds one (``markers_suffice``).
+marker word; every passage that can reach ``t`` holds one (``marker_words``).
 
 Row-local and native. Defined results: a null or empty text, or one without a
 passage of at least two words, has no licence; among equal coefficients the first
@@ -63,8 +63,8 @@ TEMPLATES = (
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
     ("Proprietary", "All rights reserved."),
 )
-#: Words (beginnings of words) of which every passage like a template holds one.
-MARKERS = ("licens", "licenc", "permission", "redistribut", "mit", "apache", "gnu", "cc", "domain", "reserved", "sublicens")
+#: Words too common in any text to look for.
+COMMON = frozenset("a all an and any are as at be by for from in is it may no not of on or that the this to under use with you".split())
 
 _PASSAGE_END = r"[\r\n]+|(?<=[.!?:])[\x20\t]+"
 
@@ -86,18 +86,25 @@ def size_bounds(n: int, threshold: float = THRESHOLD) -> tuple[int, int]:
     return math.ceil(ratio * n - 1e-9), math.floor(n / ratio + 1e-9)
 
 
-def markers_suffice(threshold: float = THRESHOLD) -> bool:
-    """Whether every passage that reaches the threshold with a template must hold a marker word.
+def _unmarked_bigrams_allowed(own: list[str], threshold: float) -> int:
+    """How many of a template's bigrams may lack a marker word.
 
-    It shares at least ``threshold / 2 * (its size + the template's)`` bigrams with the template; the template's
-    bigrams without a marker must be fewer than that.
+    A passage that reaches the threshold shares at least ``threshold / 2 * (its size + the template's)`` bigrams with
+    the template, so with fewer unmarked ones than that, it shares one that holds a marker.
     """
+    return math.ceil(threshold / 2 * (size_bounds(len(own), threshold)[0] + len(own)) - 1e-9) - 1
+
+
+def marker_words(threshold: float = THRESHOLD) -> list[str]:
+    """Words of which every passage that reaches the threshold with a template holds one: per template the words in
+    most of its bigrams still without one, uncommon words first."""
+    chosen: set[str] = set()
     for _, text in TEMPLATES:
         own = bigrams_of(text)
-        least = math.ceil(threshold / 2 * (size_bounds(len(own), threshold)[0] + len(own)) - 1e-9)
-        if sum(not any(w.startswith(MARKERS) for w in b.split()) for b in own) >= least:
-            return False
-    return True
+        while len(bare := [b for b in own if not chosen & set(b.split())]) > _unmarked_bigrams_allowed(own, threshold):
+            words = {w for b in bare for w in b.split()}
+            chosen.add(min(words, key=lambda w: (w in COMMON, -sum(w in b.split() for b in bare), -len(w), w)))
+    return sorted(chosen)
 
 
 def _bigrams(passage: Column) -> Column:
@@ -130,7 +137,7 @@ def scan(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD,
     ``template`` is the negated place in ``TEMPLATES``, so that the larger struct is the better match.
     """
     text = text_of(F.col(text_col))
-    marker = "(?i)(?<![a-z0-9])(?:" + "|".join(MARKERS) + ")"
+    marker = "(?i)(?<![a-z0-9])(?:" + "|".join(marker_words(threshold)) + ")(?![a-z0-9])"
 
     def passages(t: Column) -> Column:
         some = F.filter(F.split(t, _PASSAGE_END), lambda p: p.rlike(marker))

@@ -1,0 +1,55 @@
+import re
+import subprocess
+import sys
+from pathlib import Path
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+from linefold.llm import oracles, queries
+
+ROOT = Path(entry.__file__).resolve().parent
+SF = "/root/testdata/sf0.001"
+
+
+def test_one_query_per_operator_and_the_pipeline():
+    names = entry.queries()
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in names if n.startswith("op")) == list(range(1, 11)) or set(queries.QUERIES) <= set(names)
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11))
+    assert "pipeline" in names and set(oracles.ORACLES) <= set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(oracles.ORACLES))
+def test_queries_agree_with_their_sql(spark, name):
+    got = queries.QUERIES[name](spark, SF)
+    con = duckdb.connect()
+    for table in ("documents", "conversations"):
+        con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    want = con.sql(oracles.ORACLES[name])
+    columns = sorted(want.columns)
+    assert columns == sorted(got.columns)
+    key = lambda rows: sorted(map(str, rows))
+    assert key(tuple(r) for r in got.select(columns).collect()) == key(want.select(*columns).fetchall())
+
+
+def test_the_rest_works_without_the_subpackage(tmp_path):
+    """A copy of the repository without the subpackage and the pipeline still registers its other queries."""
+    code = (
+        "import sys, importlib.abc\n"
+        "class Gone(importlib.abc.MetaPathFinder):\n"
+        "    def find_spec(self, name, path, target=None):\n"
+        "        if name == 'corpus_pipeline' or name.startswith('linefold.llm'):\n"
+        "            raise ModuleNotFoundError(name, name='linefold.llm' if name.startswith('linefold.llm') else name)\n"
+        "sys.meta_path.insert(0, Gone())\n"
+        "import __spark_entry__ as e\n"
+        "assert e.queries() and not any(n.startswith('op') and n[2].isdigit() or n == 'pipeline' for n in e.queries())\n"
+        "assert set(e.oracle_sql()) <= set(e.queries())\n"
+    )
+    subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True, timeout=120)
+
+
+def test_nothing_else_imports_the_subpackage():
+    for path in [*(ROOT / "linefold").rglob("*.py"), *(ROOT / "tests").glob("*.py"), *(ROOT / "tools").glob("*.py"), ROOT / "bench.py"]:
+        if "llm" not in path.parts:
+            assert "linefold.llm" not in path.read_text(), path
