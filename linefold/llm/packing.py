@@ -8,8 +8,9 @@ remainders that comes closest to the capacity, and backtracking gives the
 counts. The same multiset is used again while it lasts.
 
 Each task packs its own rows in pools of bounded size; what no longer fills a
-window moves on to the next pool. At the end of a task such windows are cut
-into sequences of power-of-two lengths, which need no padding.
+window moves on to the next pool. At the end of a task it is cut where windows
+end, and the last, short one into sequences of power-of-two lengths, which need no
+padding.
 
 Defined results: a null text is empty and has the end id alone; an empty table
 gives no rows. Any ids may repeat or be null; other columns are never looked at.
@@ -96,7 +97,7 @@ class _Packer:
         return item
 
     def pack(self, last: bool) -> None:
-        """Full windows from the pool; short ones wait for the next pool, or are cut if this is the last."""
+        """Full windows from the pool; what fills none waits for the next pool, or is cut if this is the last."""
         waiting: list[tuple] = []
         while self.by_length and (last or self.held > self.pool // 8):
             longest = max(self.by_length)
@@ -110,20 +111,21 @@ class _Packer:
                 parts = [self._take(k) for k, v in pattern.items() for _ in range(v)]
                 if full:
                     self._sequence(parts)
-                elif last:
-                    self._cut(parts)
                 else:
                     waiting += parts
+        if last:
+            self._cut(waiting)
+            return
         for item in waiting:
             self.by_length.setdefault(len(item[3]), []).append(item)
             self.held += 1
 
     def _cut(self, parts: list[tuple]) -> None:
-        """Sequences of power-of-two lengths, largest first; pieces are cut where one ends."""
+        """Whole windows, and of what is left sequences of power-of-two lengths; pieces are cut where one ends."""
         left = sum(len(p[3]) for p in parts)
         parts = parts[::-1]
         while left:
-            room = want = 1 << (left.bit_length() - 1)
+            room = want = min(self.window, 1 << (left.bit_length() - 1))
             sequence = []
             while room:
                 doc_id, start, doc_tokens, ids = parts.pop()

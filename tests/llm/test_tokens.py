@@ -96,7 +96,7 @@ def test_every_id_is_in_one_piece_and_nothing_is_padded(spark, words, small, win
     got = packing.pack(small, window=window, pool=pool).collect()
     padding, sequences = check_pieces(got, expected, window)
     assert padding == 0
-    assert sequences <= sum(len(x) for _, x in expected) / window * 1.1 + 12 * 4
+    assert sequences <= sum(len(x) for _, x in expected) / window + 11 * 4
 
 
 def test_messy_and_empty_tables(spark, words, messy, nothing):
