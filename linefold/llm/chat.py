@@ -89,12 +89,9 @@ class Model:
             m = (m[:, :, None] + self.step[None, :, :]).max(axis=1) + e
         return m
 
-    def decode(self, emission: np.ndarray, before: np.ndarray, last: int | None) -> list[int]:
-        """Best path through a block, given the scores of the states before it and the state it must end in.
-
-        ``before`` holds, for a transcript's first block, nothing (empty): its first line takes ``start``.
-        """
-        score = (self.start if not len(before) else (before[:, None] + self.step).max(axis=0)) + emission[0]
+    def decode(self, emission: np.ndarray, before: int | None = None, last: int | None = None) -> list[int]:
+        """Best path through lines that follow the state ``before`` (none: a transcript's first lines) and end in ``last``."""
+        score = (self.start if before is None else self.step[before]) + emission[0]
         back = []
         for e in emission[1:]:
             both = score[:, None] + self.step
@@ -212,8 +209,7 @@ def recover(lines: DataFrame, model: Model, block: int = BLOCK) -> DataFrame:
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in _runs(batches):
-            path = model.decode(_emission(model, run), np.zeros(0), None)
-            yield from _decoded(run, path)
+            yield from _decoded(run, model.decode(_emission(model, run)))
 
     single = lines.join(long, "conv", "left_anti").withColumn("part", F.lit(""))
     found = _in_runs(single).mapInArrow(decode, _OUT)
@@ -257,7 +253,7 @@ def _recover_long(lines: DataFrame, stretches: DataFrame, model: Model, block: i
             )
 
     def borders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Scores before, and the state at the end of, every block of a conversation."""
+        """The states before, and at the end of, every block of a conversation."""
         whole = (b.append_column("part", pa.array([""] * b.num_rows)) for b in batches)
         for run in _runs(whole):
             steps = [np.array(m).reshape(n, n) for m in run["matrix"].to_pylist()]
@@ -267,9 +263,9 @@ def _recover_long(lines: DataFrame, stretches: DataFrame, model: Model, block: i
             last = [int(scores[-1].argmax())]
             for v, m in zip(reversed(scores[:-1]), reversed(steps[1:])):
                 last.append(int((v + m[:, last[-1]]).argmax()))
-            before = [[], *[s.tolist() for s in scores[:-1]]]
+            last.reverse()
             yield pa.RecordBatch.from_arrays(
-                [run["conv"].combine_chunks(), run["p"].combine_chunks(), pa.array(before, pa.list_(pa.float64())), pa.array(last[::-1], pa.int32())],
+                [run["conv"].combine_chunks(), run["p"].combine_chunks(), pa.array([None, *last[:-1]], pa.int32()), pa.array(last, pa.int32())],
                 names=["conv", "part", "before", "last"],
             )
 
@@ -278,13 +274,12 @@ def _recover_long(lines: DataFrame, stretches: DataFrame, model: Model, block: i
         blocks.withColumnRenamed("part", "p")
         .repartition("conv")
         .sortWithinPartitions("conv", "p")
-        .mapInArrow(borders, "conv string, part string, before array<double>, last int")
+        .mapInArrow(borders, "conv string, part string, before int, last int")
     )
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in _runs(batches):
-            before, last = np.array(run["before"][0].as_py()), run["last"][0].as_py()
-            yield from _decoded(run, model.decode(_emission(model, run), before, last))
+            yield from _decoded(run, model.decode(_emission(model, run), run["before"][0].as_py(), run["last"][0].as_py()))
 
     ready = lines.join(at_borders, ["conv", "part"]).repartition("conv", "part")
     ready = ready.sortWithinPartitions("conv", "part", "turn", "tie", "at").select(*_IN, "before", "last")

@@ -29,7 +29,7 @@ def test_viterbi_finds_the_best_path():
     m, rng = model(), np.random.default_rng(2)
     e = m.emission(rng.integers(0, chat.N_MARKERS, 5), rng.integers(0, chat.N_SHAPES, 5))
     best = max(itertools.product(range(len(chat.STATES)), repeat=5), key=lambda p: score(m, e, p))
-    assert m.decode(e, np.zeros(0), None) == list(best)
+    assert m.decode(e) == list(best)
 
 
 def rows_of(n_conv, turns, seed=0):
@@ -44,13 +44,25 @@ def rows_of(n_conv, turns, seed=0):
     return rows
 
 
+def scores(m, lines, block):
+    """Score of the path found for each conversation (equal lines allow several best paths)."""
+    seen = lines.select("conv", "turn", "tie", "at", "line", "marker", "shape").collect()
+    found = {}
+    for r in chat.recover(lines, m, block=block).collect():
+        found.setdefault((r["conv"], r["turn"], r["at"], r["line"]), []).append(chat.STATES.index((r["role"], r["begins"])))
+    out = {}
+    for r in sorted(seen):
+        out.setdefault(r["conv"], []).append((r["marker"], r["shape"], found[r["conv"], r["turn"], r["at"], r["line"]].pop()))
+    assert not any(found.values())
+    return {c: score(m, m.emission(*(np.array(x) for x in list(zip(*p))[:2])), [x[2] for x in p]) for c, p in out.items()}
+
+
 @pytest.mark.parametrize("block", [2, 7])
 def test_blocks_decode_as_the_whole(spark, block, tmp_root):
     spark.createDataFrame(rows_of(4, 60), SCHEMA).coalesce(2).write.parquet(f"{tmp_root}/chat{block}")
     lines = chat.lines_of(spark.read.parquet(f"{tmp_root}/chat{block}"), "conv_id", "turn", "text")
     m = model(3)
-    order = lambda df: [tuple(r) for r in df.orderBy("conv", "turn", "at").collect()]
-    assert order(chat.recover(lines, m, block=block)) == order(chat.recover(lines, m, block=4096))
+    assert scores(m, lines, block) == pytest.approx(scores(m, lines, 4096))
 
 
 def test_a_crowded_turn_is_cut(spark, tmp_root):
@@ -58,8 +70,7 @@ def test_a_crowded_turn_is_cut(spark, tmp_root):
     spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{tmp_root}/crowded")
     lines = chat.lines_of(spark.read.parquet(f"{tmp_root}/crowded"), "conv_id", "turn", "text")
     m = model(4)
-    got = [sorted(r["line"] + str(r["role"]) + str(r["begins"]) for r in chat.recover(lines, m, block=b).collect()) for b in (10, 4096)]
-    assert got[0] == got[1] and len(got[0]) == 300
+    assert scores(m, lines, 10) == pytest.approx(scores(m, lines, 4096))
 
 
 def test_roles_of_unseen_conversations(spark):
