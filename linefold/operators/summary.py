@@ -42,11 +42,15 @@ def rollup_counts(
     """Sum stored counts per key.
 
     Counts may be stored as strings (the table layout the original jobs used);
-    they are read with ``try_cast`` to BIGINT, so a bad cell is NULL and skipped
-    rather than failing the job under ANSI mode, and totals past 2^31 stay
-    exact. ``as_string`` casts the total back for that layout.
+    they are read as BIGINT, so totals past 2^31 stay exact. A cell that is not
+    a number fails with its value: skipping it would make the total wrong, and a
+    fold that writes the total back would lose the cell for good. NULL cells add
+    nothing, as in any sum. ``as_string`` casts the total back for that layout.
     """
-    total = F.sum(F.col(count_col).try_cast("bigint"))
+    stored = F.col(count_col)
+    number = stored.try_cast("bigint")
+    bad = F.raise_error(F.concat(F.lit(f"{count_col} holds a value that is no count: "), stored.cast("string")))
+    total = F.sum(F.when(stored.isNotNull() & number.isNull(), bad).otherwise(number))
     if as_string:
         total = total.cast("string")
     return df.groupBy(*keys).agg(total.alias(count_col))
@@ -57,6 +61,6 @@ def row_count(df: DataFrame, col: str = "n") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(col))
 
 
-def preview(df: DataFrame, n: int = 10) -> DataFrame:
-    """First ``n`` rows, for a look at a table or batch."""
-    return df.limit(n)
+def preview(df: DataFrame, n: int = 10, order: Sequence[str] = ()) -> DataFrame:
+    """First ``n`` rows, for a look at a table or batch (T11); with ``order``, always the same ones."""
+    return (df.orderBy(*order) if order else df).limit(n)

@@ -14,21 +14,26 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 _SUBDIR = "linefold"
 
 
+@cache
+def _private_root() -> str:
+    """The folder of this process's local-mode sessions."""
+    return tempfile.mkdtemp(prefix="linefold-ckpt-")
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
-        root = tempfile.mkdtemp(prefix="linefold-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        return root
+        return _private_root()
     raise RuntimeError("spark.checkpoint.dir is not set; point it at a folder shared by the cluster")
 
 
@@ -85,15 +90,6 @@ class HadoopFS:
             return []
         return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory())
 
-    def newest_marked(self, path: str, prefix: str = "upto=") -> int | None:
-        """Largest ``N`` of the sub-folders ``<prefix>N`` of ``path`` that hold a ``_SUCCESS`` marker."""
-        best = None
-        for name in self.list_dirs_all(path):
-            if name.startswith(prefix) and self.exists(f"{path}/{name}/_SUCCESS"):
-                n = int(name[len(prefix):])
-                best = n if best is None else max(best, n)
-        return best
-
     def list_files(self, path: str) -> list[str]:
         fs, p = self._fs(path)
         if not fs.exists(p):
@@ -107,3 +103,21 @@ class HadoopFS:
     def mkdirs(self, path: str) -> None:
         fs, p = self._fs(path)
         fs.mkdirs(p)
+
+    def write_text(self, path: str, text: str) -> None:
+        """Create or replace a small file."""
+        fs, p = self._fs(path)
+        out = fs.create(p, True)
+        try:
+            out.write(bytearray(text.encode("utf-8")))
+        finally:
+            out.close()
+
+    def read_text(self, path: str) -> str:
+        """The content of a small file."""
+        fs, p = self._fs(path)
+        stream = fs.open(p)
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()

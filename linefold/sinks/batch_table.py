@@ -7,14 +7,23 @@ no rows writes no partition, on the first try and on a replay alike.
 Uncommitted attempts live in a hidden staging folder that readers skip.
 
 ``compact(N)`` keeps the folder short for long-running streams: the rows of
-batches ``<= N`` (with their ``batch_id``) are written to one base,
-``_base/upto=N`` (a hidden folder partition discovery skips), and their
-partitions are deleted. Readers take the newest base with a ``_SUCCESS``
-marker plus the partitions ``> N``.
+the batches since the last compaction (with their ``batch_id``) go to one new
+segment, ``_base/upto=N`` (a hidden folder partition discovery skips). Earlier
+segments are never written again. A segment counts once it holds the marker
+file ``_COMMITTED``, which is written last and by this code, so no committer
+setting matters. The partitions a segment covers are deleted by the compaction
+*after* it: a DataFrame read before a compaction stays readable through it.
+
+A table belongs to one stream: the id of the stream's checkpoint is kept in the
+file ``_owner`` (``bind``). A batch at or below the newest segment can only be a
+replay by that stream, whose rows are already there: it is left alone if the
+caller proves to be the owner, and refused otherwise.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
@@ -22,9 +31,40 @@ from pyspark.sql.types import LongType, StructField, StructType
 from linefold.session import HadoopFS
 
 BATCH_COL = "batch_id"
+OWNER_FILE = "_owner"
+COMMITTED = "_COMMITTED"
+
+
+class OwnerError(RuntimeError):
+    """A table is used by another stream than the one it belongs to."""
+
+
+class Owned:
+    """Which stream (checkpoint id) a folder belongs to."""
+
+    path: str
+    _fs: HadoopFS
 
+    def owner(self) -> str | None:
+        file = f"{self.path}/{OWNER_FILE}"
+        return self._fs.read_text(file) if self._fs.exists(file) else None
 
-class BatchTable:
+    def bind(self, owner: str) -> None:
+        """Give the folder to the stream ``owner``; an error if it belongs to another."""
+        now = self.owner()
+        if now is None:
+            self._fs.write_text(f"{self.path}/{OWNER_FILE}", owner)
+        elif now != owner:
+            raise OwnerError(f"{self.path} belongs to the stream {now}, not to {owner}")
+
+
+def committed_upto(fs: HadoopFS, base_dir: str) -> list[int]:
+    """``N`` of the folders ``upto=N`` of ``base_dir`` that are complete, ascending."""
+    found = [int(d[len("upto="):]) for d in fs.list_dirs_all(base_dir) if d.startswith("upto=")]
+    return sorted(n for n in found if fs.exists(f"{base_dir}/upto={n}/{COMMITTED}"))
+
+
+class BatchTable(Owned):
     def __init__(self, spark: SparkSession, path: str, schema: StructType, batch_col: str = BATCH_COL):
         self.spark = spark
         self.path = path.rstrip("/")
@@ -36,7 +76,13 @@ class BatchTable:
     def read_schema(self) -> StructType:
         return StructType(list(self.schema.fields) + [StructField(self.batch_col, LongType(), True)])
 
-    def write(self, df: DataFrame, batch_id: int) -> None:
+    def write(self, df: DataFrame, batch_id: int, owner: str | None = None) -> None:
+        """Replace batch ``batch_id``. ``owner`` (a checkpoint id) proves that an already compacted one is a replay."""
+        upto = self._base_upto()
+        if upto is not None and batch_id <= upto:
+            if owner is None or owner != self.owner():
+                raise OwnerError(f"batch {batch_id} of {self.path} is compacted (up to {upto}) and this is no proven replay")
+            return
         cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema.fields]
         (
             df.select(*cols, F.lit(int(batch_id)).cast("bigint").alias(self.batch_col))
@@ -50,55 +96,62 @@ class BatchTable:
     def base_dir(self) -> str:
         return f"{self.path}/_base"
 
+    def segments(self) -> list[int]:
+        """The newest batch of each segment, ascending."""
+        return committed_upto(self._fs, self.base_dir)
+
     def _base_upto(self) -> int | None:
-        return self._fs.newest_marked(self.base_dir)
+        return max(self.segments(), default=None)
 
-    def batch_ids(self) -> list[int]:
-        """Batch ids still in their own partition, from the folder listing (no data scan)."""
+    def _partitions(self) -> list[int]:
+        """Batch ids that have a partition folder (no data scan)."""
         prefix = f"{self.batch_col}="
         return sorted(int(d[len(prefix):]) for d in self._fs.list_dirs(self.path) if d.startswith(prefix))
 
+    def batch_ids(self) -> list[int]:
+        """Batch ids that are in no segment yet."""
+        upto = self._base_upto()
+        return [b for b in self._partitions() if upto is None or b > upto]
+
     def is_empty(self) -> bool:
-        return not self.batch_ids() and self._base_upto() is None
+        return not self._partitions() and self._base_upto() is None
+
+    def partitions_of(self, batch_ids: list[int]) -> DataFrame:
+        """Rows of the given batches, from their partitions alone."""
+        folders = [f"{self.path}/{self.batch_col}={b}" for b in batch_ids]
+        if not folders:
+            return self.spark.createDataFrame([], self.read_schema)
+        return self.spark.read.schema(self.read_schema).option("basePath", self.path).parquet(*folders)
 
     def read(self) -> DataFrame:
-        """All rows with their ``batch_id``; filters on it prune folders."""
-        upto = self._base_upto()
-        out = None
-        if self.batch_ids():
-            out = self.spark.read.schema(self.read_schema).option("basePath", self.path).parquet(self.path)
-            if upto is not None:
-                out = out.filter(F.col(self.batch_col) > upto)
-        if upto is not None:
-            base = self.spark.read.schema(self.read_schema).parquet(f"{self.base_dir}/upto={upto}")
-            out = base if out is None else out.unionByName(base)
-        return out if out is not None else self.spark.createDataFrame([], self.read_schema)
+        """All rows with their ``batch_id``."""
+        segments = [self.spark.read.schema(self.read_schema).parquet(f"{self.base_dir}/upto={n}") for n in self.segments()]
+        return reduce(DataFrame.unionByName, segments, self.partitions_of(self.batch_ids()))
 
     def latest(self) -> DataFrame:
         """Rows of the newest batch that has rows (e.g. the current running total)."""
-        upto = self._base_upto()
-        live = [b for b in self.batch_ids() if upto is None or b > upto]
-        df = self.read()
+        live = self.batch_ids()
         if live:
-            return df.filter(F.col(self.batch_col) == live[-1])
-        # everything is in the base: its newest batch (a one-row aggregate)
+            return self.partitions_of(live[-1:])
+        # everything is in segments: the newest batch (a one-row aggregate)
+        df = self.read()
         newest = df.agg(F.max(self.batch_col).alias(self.batch_col))
         return df.join(F.broadcast(newest), on=self.batch_col, how="left_semi")
 
     def compact(self, upto: int) -> None:
-        """Move the rows of batches ``<= upto`` into one base, then drop their partitions."""
-        current = self._base_upto()
-        if current is not None and upto <= current:
+        """Write the rows of the batches since the last segment to a new one; drop what the last one covers."""
+        before = self._base_upto()
+        if before is not None and upto <= before:
             return
+        rows = self.partitions_of([b for b in self.batch_ids() if b <= upto])
         target = f"{self.base_dir}/upto={int(upto)}"
-        self.read().filter(F.col(self.batch_col) <= upto).write.mode("overwrite").parquet(target)
-        for name in self._fs.list_dirs_all(self.base_dir):
-            if name != f"upto={int(upto)}":
-                self._fs.delete(f"{self.base_dir}/{name}")
-        self.drop_batches(upto)
+        rows.write.mode("overwrite").parquet(target)
+        self._fs.write_text(f"{target}/{COMMITTED}", "")
+        if before is not None:
+            self.drop_batches(before)
 
     def drop_batches(self, upto: int) -> None:
         """Delete partitions with ``batch_id <= upto``."""
-        for b in self.batch_ids():
+        for b in self._partitions():
             if b <= upto:
                 self._fs.delete(f"{self.path}/{self.batch_col}={b}")

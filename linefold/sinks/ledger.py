@@ -7,16 +7,21 @@ replayed stream gives the same totals as one batch job over the same lines.
 Nothing expires: an old day that shows up again is simply added to.
 
 Compaction keeps the ledger short: ``compact(N)`` writes the totals of all
-batches ``<= N`` to ``base/upto=N`` and then deletes older bases and the
-ledger partitions it covers. Readers take the newest base that has its
-``_SUCCESS`` marker plus the ledger partitions ``> N``, so a compaction that
-dies half way is invisible. ``N`` must stay below the newest batch that may
+batches ``<= N`` to ``base/upto=N`` and, last, its marker ``_COMMITTED``.
+Readers take the newest base with that marker plus the ledger partitions
+``> N``, so a compaction that dies half way is invisible. What a base covers
+is deleted only by the next compaction, so a summary read before a compaction
+stays readable through it. ``N`` must stay below the newest batch that may
 still be replayed (the one being written).
 
+A ledger belongs to one stream, named by its checkpoint's id in ``_owner``; see
+``BatchTable`` for what that proves.
+
 Layout under ``path``::
 
-    ledger/batch_id=<N>/part-*.parquet      keys..., count
-    base/upto=<N>/part-*.parquet, _SUCCESS  keys..., count
+    _owner                                    id of the stream's checkpoint
+    ledger/batch_id=<N>/part-*.parquet        keys..., count
+    base/upto=<N>/part-*.parquet, _COMMITTED  keys..., count
 """
 
 from __future__ import annotations
@@ -28,10 +33,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from linefold.session import HadoopFS
-from linefold.sinks.batch_table import BatchTable
+from linefold.sinks.batch_table import COMMITTED, BatchTable, Owned, OwnerError, committed_upto
 
 
-class SummaryLedger:
+class SummaryLedger(Owned):
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], count_col: str = "count"):
         self.spark = spark
         self.path = path.rstrip("/")
@@ -45,36 +50,40 @@ class SummaryLedger:
         self._fs = HadoopFS(spark)
 
     # -- writing -------------------------------------------------------------
-    def fold(self, counts: DataFrame, batch_id: int) -> None:
-        """Record one batch's counts (``keys..., count``) as batch ``batch_id``."""
+    def fold(self, counts: DataFrame, batch_id: int, owner: str | None = None) -> None:
+        """Record one batch's counts (``keys..., count``) as batch ``batch_id``.
+
+        A batch that a base covers already is refused unless ``owner`` proves it to be a replay.
+        """
+        upto = self._base_upto()
+        if upto is not None and batch_id <= upto:
+            if owner is None or owner != self.owner():
+                raise OwnerError(f"batch {batch_id} of {self.path} is in the base (up to {upto}) and this is no proven replay")
+            return
         self.ledger.write(counts, batch_id)
 
     def compact(self, upto: int) -> None:
-        """Fold batches ``<= upto`` into a new base, then drop what it covers."""
-        current = self._base_upto()
-        if current is not None and upto <= current:
+        """Fold batches ``<= upto`` into a new base; drop what the base before it covers."""
+        before = self._base_upto()
+        if before is not None and upto <= before:
             return
-        totals = self._totals(upto_batch=upto)
         target = f"{self.base_path}/upto={int(upto)}"
-        totals.write.mode("overwrite").parquet(target)
-        for name in self._fs.list_dirs(self.base_path):
-            if name != f"upto={int(upto)}":
-                self._fs.delete(f"{self.base_path}/{name}")
-        self.ledger.drop_batches(upto)
+        self._totals(upto_batch=upto).write.mode("overwrite").parquet(target)
+        self._fs.write_text(f"{target}/{COMMITTED}", "")
+        if before is not None:
+            for name in self._fs.list_dirs_all(self.base_path):
+                if name not in (f"upto={before}", f"upto={int(upto)}"):
+                    self._fs.delete(f"{self.base_path}/{name}")
+            self.ledger.drop_batches(before)
 
     # -- reading -------------------------------------------------------------
     def _base_upto(self) -> int | None:
-        return self._fs.newest_marked(self.base_path)
+        return max(committed_upto(self._fs, self.base_path), default=None)
 
     def _parts(self, upto_batch: int | None = None) -> DataFrame:
         base_upto = self._base_upto()
         cols = [*self.keys, self.count_col]
-        led = self.ledger.read()
-        if base_upto is not None:
-            led = led.filter(F.col(self.ledger.batch_col) > base_upto)
-        if upto_batch is not None:
-            led = led.filter(F.col(self.ledger.batch_col) <= upto_batch)
-        parts = led.select(*cols)
+        parts = self.ledger.partitions_of([b for b in self.batch_ids() if upto_batch is None or b <= upto_batch]).select(*cols)
         if base_upto is not None:
             base = self.spark.read.schema(self.schema).parquet(f"{self.base_path}/upto={base_upto}")
             parts = parts.unionByName(base.select(*cols))
@@ -102,7 +111,13 @@ class SummaryLedger:
         return df
 
     def batch_ids(self) -> list[int]:
-        return self.ledger.batch_ids()
+        """Batches that no base covers yet."""
+        upto = self._base_upto()
+        return [b for b in self.ledger.batch_ids() if upto is None or b > upto]
+
+    def batch(self, batch_id: int) -> DataFrame:
+        """The counts of one batch that no base covers yet (none: no rows)."""
+        return self.ledger.partitions_of([b for b in self.batch_ids() if b == batch_id]).select(*self.keys, self.count_col)
 
     def is_empty(self) -> bool:
         return self.ledger.is_empty() and self._base_upto() is None

@@ -22,6 +22,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from linefold.operators.summary import rollup_counts
 
@@ -40,6 +41,7 @@ class SummaryTable:
         count_col: str = "count",
         count_type: str = "STRING",
         staging_table: str | None = None,
+        by_day: bool = False,
     ):
         self.spark = spark
         self.table = table
@@ -47,6 +49,7 @@ class SummaryTable:
         self.keys = list(keys)
         self.count_col = count_col
         self.count_type = count_type
+        self.by_day = by_day
 
     @property
     def columns(self) -> list[str]:
@@ -54,7 +57,8 @@ class SummaryTable:
 
     def _ddl(self, name: str) -> str:
         cols = ", ".join([f"`{k}` STRING" for k in self.keys] + [f"`{self.count_col}` {self.count_type}"])
-        return f"CREATE TABLE IF NOT EXISTS {_q(name)} ({cols}) USING parquet"
+        parts = f" PARTITIONED BY (`{self.keys[0]}`)" if self.by_day else ""
+        return f"CREATE TABLE IF NOT EXISTS {_q(name)} ({cols}) USING parquet{parts}"
 
     def _insert(self, name: str, df: DataFrame) -> None:
         view = f"linefold_in_{uuid.uuid4().hex[:10]}"
@@ -83,20 +87,29 @@ class SummaryTable:
     def refill_from_staging(self) -> None:
         self._insert(self.table, self.spark.table(self.staging))
 
-    def replace(self, df: DataFrame) -> None:
-        """Make ``df`` the table's whole content (``INSERT OVERWRITE``).
+    def replace_days(self, summary: DataFrame, touched: DataFrame) -> None:
+        """Overwrite the partitions of the days (values of the first key) in ``touched`` with ``summary``'s rows of them.
 
-        ``df`` must not read this table (Spark refuses to overwrite a table it
-        is reading); a summary derived from the ledger qualifies.
+        For a table made with ``by_day``: other days' files stay as they are, so a batch costs its own days and not
+        the whole history. ``summary`` must not read this table; one derived from the ledger qualifies. Each day is
+        swapped by itself: a reader may see one day already replaced and the next one not yet.
         """
+        if not self.by_day:
+            raise ValueError(f"{self.table} is not partitioned by {self.keys[0]}")
         self.create()
-        view = f"linefold_in_{uuid.uuid4().hex[:10]}"
-        df.createOrReplaceTempView(view)
+        day = self.keys[0]
+        days = touched.select(day).distinct()
+        if days.isEmpty():
+            return
+        rows = summary.join(days, summary[day].eqNullSafe(days[day]), "left_semi")
+        rows = rows.select(*self.keys[1:], F.col(self.count_col).cast(self.count_type).alias(self.count_col), day)
+        conf, mode = summary.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+        before = conf.get(mode)
+        conf.set(mode, "dynamic")
         try:
-            cols = ", ".join(f"`{c}`" for c in self.columns)
-            self.spark.sql(f"INSERT OVERWRITE TABLE {_q(self.table)} SELECT {cols} FROM `{view}`")
+            rows.write.insertInto(self.table, overwrite=True)  # by position: the partition column is last
         finally:
-            self.spark.catalog.dropTempView(view)
+            conf.set(mode, before)
 
     # T5, T6
     def truncate(self) -> None:

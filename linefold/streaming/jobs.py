@@ -12,16 +12,19 @@ id, so a batch re-run after a failure replaces its own output.
   start from scratch);
 * ``"new"``     refuse to start if it has.
 
-Batch ids restart at 0 with a new checkpoint, so a fresh checkpoint next to a
-ledger that already holds batches would overwrite history: that start is
-refused too.
+An output belongs to the checkpoint of the stream that first wrote to it (its
+``_owner`` file). Batch ids restart at 0 with a new checkpoint, so a fresh
+checkpoint next to an output that holds batches would overwrite history, and a
+checkpoint that has gone on with another output would leave a gap in this one.
+Both starts are refused.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import json
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
@@ -30,9 +33,10 @@ from linefold.config import LogSpec, SummarySpec
 from linefold.operators.parse import accepted, parse, rejects
 from linefold.operators.summary import apply_predicate, count_by
 from linefold.session import HadoopFS
-from linefold.sinks.batch_table import BatchTable
+from linefold.sinks.batch_table import BatchTable, Owned
 from linefold.sinks.ledger import SummaryLedger
 from linefold.sinks.tables import SummaryTable
+from linefold.sources.kafka import offset_ranges
 
 DEFAULT_TRIGGER: Mapping = {"processingTime": "2 seconds"}
 # A 2-second stream adds ~43k ledger partitions a day; folding them into the
@@ -49,28 +53,49 @@ class CheckpointError(RuntimeError):
     pass
 
 
-def has_checkpoint(spark, checkpoint: str) -> bool:
-    """True when ``checkpoint`` holds the metadata of a started query."""
-    return HadoopFS(spark).exists(f"{checkpoint.rstrip('/')}/metadata")
+def checkpoint_id(spark, checkpoint: str) -> str | None:
+    """Id of the query whose checkpoint this is; None if no query has started from it."""
+    fs, file = HadoopFS(spark), f"{checkpoint.rstrip('/')}/metadata"
+    return json.loads(fs.read_text(file))["id"] if fs.exists(file) else None
 
 
 def check_resume(spark, checkpoint: str, resume: str, *outputs) -> bool:
-    """Validate ``resume`` against the checkpoint (R3, R4); True when resuming."""
+    """Validate ``resume`` and the outputs against the checkpoint (R3, R4); True when resuming."""
     if resume not in RESUME_MODES:
         raise ValueError(f"resume must be one of {RESUME_MODES}")
-    found = has_checkpoint(spark, checkpoint)
-    if resume == "require" and not found:
+    ident = checkpoint_id(spark, checkpoint)
+    if resume == "require" and ident is None:
         raise CheckpointError(f"no checkpoint at {checkpoint}; the query must resume from one")
-    if resume == "new" and found:
+    if resume == "new" and ident is not None:
         raise CheckpointError(f"checkpoint {checkpoint} already exists")
-    if not found:
-        for out in outputs:
-            if out is not None and not out.is_empty():
-                raise CheckpointError(
-                    f"checkpoint {checkpoint} is new but {out.path} already holds batches; "
-                    "batch ids would restart at 0 and overwrite them"
-                )
-    return found
+    gone_on = any(n.isdigit() for n in HadoopFS(spark).list_files(f"{checkpoint.rstrip('/')}/commits"))
+    for out in (o for o in outputs if o is not None):
+        owner = out.owner() if isinstance(out, Owned) else None
+        if ident is None and (owner is not None or not out.is_empty()):
+            raise CheckpointError(
+                f"checkpoint {checkpoint} is new but {out.path} already holds batches; "
+                "batch ids would restart at 0 and overwrite them"
+            )
+        if ident is not None and owner is not None and owner != ident:
+            raise CheckpointError(f"{out.path} belongs to the stream {owner}, not to that of {checkpoint} ({ident})")
+        if gone_on and owner is None and (isinstance(out, Owned) or out.is_empty()):
+            raise CheckpointError(f"the stream of {checkpoint} has committed batches, but none of them to {out.path}")
+    return ident is not None
+
+
+def _ownership(spark: SparkSession, checkpoint: str, *outputs) -> Callable[[], str]:
+    """A function for the batches: binds the outputs to the checkpoint at the first one, gives its id."""
+    known: list[str] = []
+
+    def owner() -> str:
+        if not known:
+            ident = checkpoint_id(spark, checkpoint)
+            for out in (o for o in outputs if o is not None):
+                out.bind(ident)
+            known.append(ident)
+        return known[0]
+
+    return owner
 
 
 class _FileSinkLog:
@@ -102,7 +127,9 @@ def fold_batch(
     summary_spec: SummarySpec,
     ledger: SummaryLedger,
     *,
+    owner: str | None = None,
     reject_sink: BatchTable | None = None,
+    range_sink: BatchTable | None = None,
     compact_every: int | None = None,
     mode: str = "reject",
     show_rows: int | None = None,
@@ -110,51 +137,42 @@ def fold_batch(
 ) -> None:
     """Parse, filter, count one batch and fold the counts into the ledger.
 
-    ``mirror_table`` (optional) is a catalog table in the original layout that
-    is overwritten with the ledger's summary after each batch, for readers of
-    that table. Being re-derived from the exact ledger, it never counts a
-    replayed batch twice; it costs a rewrite of the summary per batch, as the
-    original fold did. ``show_rows`` prints that many rows of the updated
-    summary (T11); it reads the whole summary, so it is off by default.
+    ``reject_sink`` takes the rejected lines and ``range_sink`` the offset
+    ranges (R6; the batch then has Kafka's columns). Each output is a pruned
+    pass of its own over the batch's source, so nothing of a batch is kept in
+    memory or on local disks, however large it is.
+
+    ``mirror_table`` (optional) is a catalog table in the original layout, kept
+    equal to the ledger's summary: after each batch, the partitions of the days
+    that the batch touched are overwritten from the ledger. Being re-derived
+    from the exact ledger, it never counts a replayed batch twice. ``show_rows``
+    prints that many rows of the updated summary (T11); it reads the whole
+    summary, so it is off by default.
     """
     parsed = parse(batch, log_spec)
+    good = apply_predicate(accepted(parsed, mode=mode), summary_spec.predicate)
+    sinks = [s for s in (reject_sink, range_sink) if s is not None]
+    ledger.fold(count_by(good, summary_spec.keys, summary_spec.count_col), batch_id, owner)
     if reject_sink is not None:
-        # two outputs from one bounded micro-batch: parse it once
-        parsed = parsed.persist()
-    try:
-        good = apply_predicate(accepted(parsed, mode=mode), summary_spec.predicate)
-        ledger.fold(count_by(good, summary_spec.keys, summary_spec.count_col), batch_id)
-        if reject_sink is not None:
-            reject_sink.write(rejects(parsed), batch_id)
-    finally:
-        if reject_sink is not None:
-            parsed.unpersist()
-    if _compact_due(batch_id, compact_every):
-        ledger.compact(batch_id - 1)
-        if reject_sink is not None:
-            reject_sink.compact(batch_id - 1)
+        reject_sink.write(rejects(parsed), batch_id, owner)
+    if range_sink is not None:
+        range_sink.write(offset_ranges(batch), batch_id, owner)
     if mirror_table is not None:
-        mirror_table.replace(ledger.read_compat() if mirror_table.count_type.upper() == "STRING" else ledger.read())
+        mirror_table.replace_days(ledger.read(), ledger.batch(batch_id))
+    if _compact_due(batch_id, compact_every):
+        for out in (ledger, *sinks):
+            out.compact(batch_id - 1)
     if show_rows:
         ledger.read().show(show_rows, truncate=False)
 
 
-_VALIDATED: set = set()
-
-
 def validate_summary(spark, log_spec: LogSpec, summary_spec: SummarySpec) -> None:
     """Analyze parse -> predicate -> count on an empty frame: a bad predicate or
     key fails here, before a stream starts, not in its first micro-batch.
-
-    Remembered per session and specs (both frozen), so restarts skip it.
     """
-    key = (id(spark), log_spec, summary_spec)
-    if key in _VALIDATED:
-        return
     empty = spark.createDataFrame([], "value string")
     good = apply_predicate(accepted(parse(empty, log_spec)), summary_spec.predicate)
     count_by(good, summary_spec.keys, summary_spec.count_col).schema  # noqa: B018 - forces analysis
-    _VALIDATED.add(key)
 
 
 def start_summary_stream(
@@ -167,6 +185,7 @@ def start_summary_stream(
     trigger: Mapping | None = None,
     resume: str = "auto",
     reject_sink: BatchTable | None = None,
+    range_sink: BatchTable | None = None,
     compact_every: int | None = DEFAULT_COMPACT_EVERY,
     mode: str = "reject",
     show_rows: int | None = None,
@@ -176,20 +195,35 @@ def start_summary_stream(
     """Stream lines into the running summary: parse -> filter -> count -> ledger.
 
     The ledger is compacted every ``compact_every`` batches (``None``: never).
+    With ``range_sink`` the stream has Kafka's columns, and the offset ranges
+    of each batch are reported under the batch's id (R6).
     """
-    validate_summary(lines.sparkSession, log_spec, summary_spec)
-    check_resume(lines.sparkSession, checkpoint, resume, ledger, reject_sink)
+    spark = lines.sparkSession
+    validate_summary(spark, log_spec, summary_spec)
+    check_resume(spark, checkpoint, resume, ledger, reject_sink, range_sink)
+    owner = _ownership(spark, checkpoint, ledger, reject_sink, range_sink)
 
     def _each(batch: DataFrame, batch_id: int) -> None:
         fold_batch(
-            batch, batch_id, log_spec, summary_spec, ledger,
-            reject_sink=reject_sink, compact_every=compact_every, mode=mode, show_rows=show_rows,
-            mirror_table=mirror_table,
+            batch, batch_id, log_spec, summary_spec, ledger, owner=owner(),
+            reject_sink=reject_sink, range_sink=range_sink, compact_every=compact_every, mode=mode,
+            show_rows=show_rows, mirror_table=mirror_table,
         )
 
     return _start(lines.writeStream.foreachBatch(_each), checkpoint, trigger, query_name)
 
 
+def _into(sink: BatchTable, owner: Callable[[], str], compact_every: int | None, rows=lambda batch: batch):
+    """Batch function that writes ``rows(batch)`` to ``sink``."""
+
+    def _each(batch: DataFrame, batch_id: int) -> None:
+        sink.write(rows(batch), batch_id, owner())
+        if _compact_due(batch_id, compact_every):
+            sink.compact(batch_id - 1)
+
+    return _each
+
+
 def _compact_due(batch_id: int, every: int | None) -> bool:
     return bool(every) and batch_id > 0 and batch_id % every == 0
 
@@ -206,13 +240,9 @@ def start_batch_counts(
 ) -> StreamingQuery:
     """Rows per micro-batch into ``sink`` as ``n`` per ``batch_id`` (A3)."""
     check_resume(lines.sparkSession, checkpoint, resume, sink)
-
-    def _each(batch: DataFrame, batch_id: int) -> None:
-        sink.write(batch.agg(F.count(F.lit(1)).alias("n")), batch_id)
-        if _compact_due(batch_id, compact_every):
-            sink.compact(batch_id - 1)
-
-    return _start(lines.writeStream.foreachBatch(_each), checkpoint, trigger, query_name)
+    owner = _ownership(lines.sparkSession, checkpoint, sink)
+    each = _into(sink, owner, compact_every, lambda batch: batch.agg(F.count(F.lit(1)).alias("n")))
+    return _start(lines.writeStream.foreachBatch(each), checkpoint, trigger, query_name)
 
 
 def start_running_total(
@@ -233,15 +263,8 @@ def start_running_total(
     """
     check_resume(lines.sparkSession, checkpoint, resume, sink)
     totals = lines.groupBy().agg(F.count(F.lit(1)).alias("total"))
-
-    def _each(batch: DataFrame, batch_id: int) -> None:
-        sink.write(batch, batch_id)
-        if _compact_due(batch_id, compact_every):
-            sink.compact(batch_id - 1)
-
-    return _start(
-        totals.writeStream.outputMode("update").foreachBatch(_each), checkpoint, trigger, query_name
-    )
+    each = _into(sink, _ownership(lines.sparkSession, checkpoint, sink), compact_every)
+    return _start(totals.writeStream.outputMode("update").foreachBatch(each), checkpoint, trigger, query_name)
 
 
 RANGE_SCHEMA = StructType(
@@ -271,16 +294,9 @@ def start_offset_report(
     exclusive) under its ``batch_id``: the batch's ranges, computed from its
     own rows with a partial min/max aggregate.
     """
-    from linefold.sources.kafka import offset_ranges
-
     check_resume(records.sparkSession, checkpoint, resume, sink)
-
-    def _each(batch: DataFrame, batch_id: int) -> None:
-        sink.write(offset_ranges(batch), batch_id)
-        if _compact_due(batch_id, compact_every):
-            sink.compact(batch_id - 1)
-
-    return _start(records.writeStream.foreachBatch(_each), checkpoint, trigger, query_name)
+    each = _into(sink, _ownership(records.sparkSession, checkpoint, sink), compact_every, offset_ranges)
+    return _start(records.writeStream.foreachBatch(each), checkpoint, trigger, query_name)
 
 
 def start_archive(
@@ -288,7 +304,7 @@ def start_archive(
     path: str,
     checkpoint: str,
     *,
-    fmt: str = "text",
+    fmt: str = "parquet",
     trigger: Mapping | None = None,
     resume: str = "auto",
     query_name: str | None = None,
@@ -297,11 +313,16 @@ def start_archive(
 
     The file sink commits each batch's files in its own log
     (``path/_spark_metadata``); readers of ``path`` see committed files only,
-    so a replayed batch does not duplicate lines. ``fmt="text"`` writes one
-    line per row; ``"parquet"`` keeps NULL lines as NULL.
+    so a replayed batch does not duplicate lines. Parquet keeps every value as it
+    is, NULLs and line ends included. ``fmt="text"`` has one line per row, so a
+    value that holds a line end, or a NULL, fails the batch.
     """
     check_resume(lines.sparkSession, checkpoint, resume, _FileSinkLog(lines.sparkSession, path))
-    writer = lines.select(F.col("value").cast("string")).writeStream.format(fmt).option("path", path)
+    value = F.col("value").cast("string")
+    if fmt == "text":
+        whole = value.isNotNull() & ~value.rlike("[\\r\\n]")
+        value = F.when(whole, value).otherwise(F.raise_error(F.lit("a text archive cannot hold NULL or a line end")))
+    writer = lines.select(value.alias("value")).writeStream.format(fmt).option("path", path)
     return _start(writer, checkpoint, trigger, query_name)
 
 
@@ -339,11 +360,11 @@ def progress_offset_ranges(query: StreamingQuery) -> list[dict]:
     For a Kafka source, ``startOffset``/``endOffset`` are maps topic ->
     partition -> offset; the end is exclusive. Returns rows
     ``{topic, partition, from_offset, until_offset}``; sources without such
-    maps (files) contribute none. Reads the progress through its JSON form,
-    which is stable across PySpark versions.
+    maps (files) contribute none. A partition that is new in this batch starts
+    at 0; the start of a first batch is not in its progress, so it is None.
+    Only the last batch is seen: for every batch's ranges give the stream a
+    ``range_sink``.
     """
-    import json
-
     prog = query.lastProgress
     if not prog:
         return []
@@ -365,12 +386,6 @@ def progress_offset_ranges(query: StreamingQuery) -> list[dict]:
                 continue
             begun = start.get(topic, {}) if isinstance(start.get(topic), dict) else {}
             for part, until in parts.items():
-                out.append(
-                    {
-                        "topic": topic,
-                        "partition": int(part),
-                        "from_offset": int(begun.get(part, until)),
-                        "until_offset": int(until),
-                    }
-                )
+                begin = int(begun.get(part, 0)) if start else None
+                out.append({"topic": topic, "partition": int(part), "from_offset": begin, "until_offset": int(until)})
     return out

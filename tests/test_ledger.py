@@ -2,13 +2,15 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from linefold.config import LogSpec, SummarySpec
 from linefold.operators.summary import count_by, rollup_counts, summarize
 from linefold.session import HadoopFS
+from linefold.sinks.batch_table import BatchTable, OwnerError
 from linefold.sinks.ledger import SummaryLedger
-from linefold.sources.events_log import event_lines
+from linefold.plans.events_log import event_lines
 from tests.conftest import SF_SMALL
 
 KEYS = ("d", "a")
@@ -60,16 +62,69 @@ def test_compaction_keeps_totals(spark, scratch):
     led.compact(4)
     before[("d1", "a")] += 100
     assert as_dict(led.read()) == before
-    # a compaction that died before its _SUCCESS marker is ignored
-    fs = HadoopFS(spark)
-    spark.createDataFrame([("d1", "a", 999)], "d string, a string, count bigint").write.parquet(
-        f"{scratch}/base/upto=9/tmp"
-    )
+    # a compaction that died before its marker is ignored, whatever the committer left
+    counts(spark, [("d1", "a", 999)]).write.parquet(f"{scratch}/base/upto=9")
     assert as_dict(led.read()) == before
-    # replay of an already compacted batch is ignored by readers
-    led.fold(counts(spark, [("d1", "a", 7)]), 1)
-    assert as_dict(led.read()) == before
-    assert fs.exists(f"{scratch}/base/upto=4/_SUCCESS")
+
+
+def test_compacted_batches_take_proven_replays_only(spark, scratch):
+    led = SummaryLedger(spark, scratch, KEYS)
+    led.bind("stream-1")
+    for b in range(3):
+        led.fold(counts(spark, [("d1", "a", 1)]), b, "stream-1")
+    led.compact(1)
+    led.fold(counts(spark, [("d1", "a", 1)]), 1, "stream-1")  # a replay: its count is in the base
+    assert as_dict(led.read()) == {("d1", "a"): 3}
+    for owner in (None, "stream-2"):
+        with pytest.raises(OwnerError):
+            led.fold(counts(spark, [("d1", "a", 100)]), 1, owner)
+    with pytest.raises(OwnerError):
+        led.bind("stream-2")
+
+
+def test_compaction_needs_no_committer_marker(spark, scratch):
+    """With the committer's own marker switched off, nothing is lost."""
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        led = SummaryLedger(spark, scratch, KEYS)
+        for b in range(3):
+            led.fold(counts(spark, [("d1", "a", 1)]), b)
+        for upto in (0, 1, 2):
+            led.compact(upto)
+            assert as_dict(led.read()) == {("d1", "a"): 3}
+        assert led.batch_ids() == []
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+
+
+def test_a_held_read_survives_a_compaction(spark, scratch):
+    led = SummaryLedger(spark, scratch, KEYS)
+    for b in range(4):
+        led.fold(counts(spark, [("d1", "a", b)]), b)
+        held = led.read()
+        led.compact(b)
+        assert as_dict(held) == as_dict(led.read()) == {("d1", "a"): sum(range(b + 1))}
+    assert len(HadoopFS(spark).list_dirs_all(f"{scratch}/base")) == 2  # the newest, and the one before for readers
+
+
+def test_segments_are_written_once(spark, scratch):
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    t = BatchTable(spark, scratch, StructType([StructField("n", LongType())]))
+    fs = HadoopFS(spark)
+    first = None
+    for b in range(6):
+        t.write(spark.createDataFrame([(b,)], "n bigint"), b)
+        if b % 2:
+            t.compact(b)
+            files = fs.list_files(f"{scratch}/_base/upto=1")
+            first = first or files
+            assert files == first
+    assert t.segments() == [1, 3, 5]
+    assert sorted(r["n"] for r in t.read().collect()) == list(range(6))
+    rows = spark.read.parquet(f"{scratch}/_base/upto=3")
+    assert sorted(r["n"] for r in rows.collect()) == [2, 3]
 
 
 def test_compat_read_is_string(spark, scratch):
@@ -83,11 +138,14 @@ def test_compat_read_is_string(spark, scratch):
 
 def test_rollup_string_counts(spark):
     df = spark.createDataFrame(
-        [("d", "a", "2147483647"), ("d", "a", "5"), ("d", "a", "oops"), ("e", "b", None)],
+        [("d", "a", "2147483647"), ("d", "a", "5"), ("e", "b", None)],
         "d string, a string, count string",
     )
     got = as_dict(rollup_counts(df, KEYS, as_string=True))
     assert got == {("d", "a"): "2147483652", ("e", "b"): None}
+    bad = spark.createDataFrame([("d", "a", "5"), ("d", "a", "oops")], "d string, a string, count string")
+    with pytest.raises(Exception, match="holds a value that is no count: oops"):
+        rollup_counts(bad, KEYS).collect()
 
 
 def test_random_slicings_fold_to_batch_answer(spark, tmp_root):
@@ -131,8 +189,6 @@ def test_uncommitted_attempt_is_invisible(spark, scratch):
 def test_batch_table_compaction(spark, scratch):
     from pyspark.sql.types import LongType, StructField, StructType
 
-    from linefold.sinks.batch_table import BatchTable
-
     t = BatchTable(spark, scratch, StructType([StructField("n", LongType())]))
     for b in range(5):
         t.write(spark.createDataFrame([(b * 10,)], "n bigint"), b)
@@ -145,8 +201,9 @@ def test_batch_table_compaction(spark, scratch):
     assert t.batch_ids() == [] and not t.is_empty()
     assert rows() == before + [(5, 50)]
     assert [(r["batch_id"], r["n"]) for r in t.latest().collect()] == [(5, 50)]
-    # a replayed, already compacted batch is ignored by readers
-    t.write(spark.createDataFrame([(999,)], "n bigint"), 1)
+    # an already compacted batch is refused unless it is proven to be a replay
+    with pytest.raises(OwnerError):
+        t.write(spark.createDataFrame([(999,)], "n bigint"), 1)
     assert rows() == before + [(5, 50)]
     assert [(r["batch_id"], r["n"]) for r in t.latest().collect()] == [(5, 50)]
     # an empty newest batch: latest is the newest batch with rows

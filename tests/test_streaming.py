@@ -10,7 +10,7 @@ from linefold.operators.summary import summarize
 from linefold.session import HadoopFS
 from linefold.sinks.batch_table import BatchTable
 from linefold.sinks.ledger import SummaryLedger
-from linefold.sources.events_log import event_lines
+from linefold.plans.events_log import event_lines
 from linefold.sources.lines import stream_lines, write_lines
 from linefold.streaming.jobs import (
     COUNT_SCHEMA,
@@ -114,7 +114,7 @@ def test_archive_every_line_once(spark, scratch, lines):
     # replay the last batch
     HadoopFS(spark).delete(f"{ckpt}/commits/1")
     run_bounded(start_archive(stream_lines(spark, inp), out, ckpt, trigger=NOW))
-    got = sorted(r["value"] for r in spark.read.text(out).collect())
+    got = sorted(r["value"] for r in spark.read.parquet(out).collect())
     assert got == sorted(r["value"] for r in lines.collect())
     # a new checkpoint would restart batch ids under the sink's log: refused
     with pytest.raises(CheckpointError):
@@ -154,7 +154,62 @@ def test_progress_offset_ranges_kafka_shape():
         "endOffset": {"t": {"0": 9, "1": 7, "2": 3}},
     }]})
     got = sorted((r["topic"], r["partition"], r["from_offset"], r["until_offset"]) for r in progress_offset_ranges(q))
-    assert got == [("t", 0, 5, 9), ("t", 1, 7, 7), ("t", 2, 3, 3)]
+    assert got == [("t", 0, 5, 9), ("t", 1, 7, 7), ("t", 2, 0, 3)]  # partition 2 is new: read from 0
+    first = _FakeQuery({"sources": [{"startOffset": None, "endOffset": {"t": {"0": 9}}}]})
+    assert progress_offset_ranges(first) == [{"topic": "t", "partition": 0, "from_offset": None, "until_offset": 9}]
+
+
+def test_an_output_belongs_to_one_checkpoint(spark, scratch, lines):
+    """Neither another ledger on a used checkpoint nor another checkpoint on a used ledger can start."""
+    inp = f"{scratch}/in"
+    write_lines(lines.limit(5), inp)
+    keys = ("time_stamp", "app_id")
+    first, second = (SummaryLedger(spark, f"{scratch}/{n}", keys) for n in ("a", "b"))
+
+    def run(ledger, ckpt):
+        run_bounded(start_summary_stream(
+            stream_lines(spark, inp), LogSpec.transaction_log(), SummarySpec(predicate=None), ledger, f"{scratch}/{ckpt}", trigger=NOW))
+
+    run(first, "ckpt1")
+    with pytest.raises(CheckpointError):
+        run(second, "ckpt1")  # empty, and the checkpoint's batches are elsewhere
+    run(second, "ckpt2")
+    for ledger, ckpt in ((first, "ckpt2"), (second, "ckpt1"), (first, "ckpt3")):
+        with pytest.raises(CheckpointError):
+            run(ledger, ckpt)
+    write_lines(lines.limit(3), inp)
+    run(first, "ckpt1")
+    assert sum(r["count"] for r in first.read().collect()) == 8
+
+
+def test_ranges_come_from_the_fold_itself(spark, scratch, lines):
+    from linefold.plans.records import event_records
+    from linefold.streaming.jobs import RANGE_SCHEMA
+
+    records = event_records(spark.read.parquet(f"{SF_SMALL}/events.parquet")).select("topic", "partition", "offset", "value")
+    led = SummaryLedger(spark, f"{scratch}/summary", ("time_stamp", "app_id"))
+    ranges = BatchTable(spark, f"{scratch}/ranges", RANGE_SCHEMA)
+    want = set()
+    for k in range(2):
+        part = records.filter(F.col("offset").between(k * 50, k * 50 + 49 if k == 0 else 10**9))
+        part.write.mode("append").parquet(f"{scratch}/in")
+        want |= {(k, r["topic"], r["partition"], r["lo"], r["hi"] + 1) for r in part.groupBy("topic", "partition").agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).collect()}
+        stream = spark.readStream.schema(part.schema).parquet(f"{scratch}/in")
+        run_bounded(start_summary_stream(stream, LogSpec.transaction_log(), SummarySpec(), led, f"{scratch}/ckpt", trigger=NOW, range_sink=ranges))
+    got = {(r["batch_id"], r["topic"], r["partition"], r["from_offset"], r["until_offset"]) for r in ranges.read().collect()}
+    assert got == want
+    assert as_dict(led.read()) == as_dict(summarize(lines, LogSpec.transaction_log(), SummarySpec()))
+
+
+def test_archive_keeps_line_ends_and_nulls(spark, scratch):
+    values = [("a\nb",), ("c",), (None,), ("",)]
+    spark.createDataFrame(values, "value string").write.parquet(f"{scratch}/in")
+    stream = lambda: spark.readStream.schema("value string").parquet(f"{scratch}/in")
+    run_bounded(start_archive(stream(), f"{scratch}/out", f"{scratch}/ckpt", trigger=NOW))
+    got = [r["value"] for r in spark.read.parquet(f"{scratch}/out").collect()]
+    assert sorted(got, key=str) == sorted((v for v, in values), key=str)
+    with pytest.raises(Exception, match="cannot hold NULL or a line end"):
+        run_bounded(start_archive(stream(), f"{scratch}/text", f"{scratch}/ckpt2", trigger=NOW, fmt="text"))
 
 
 def test_progress_offset_ranges_file_source(spark, scratch, lines):
@@ -226,7 +281,7 @@ def test_mirror_table_is_exact_after_replay(spark, scratch, lines):
 
     db = "lf_test_mirror"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{scratch}/wh'")
-    table = SummaryTable(spark, f"{db}.daily_summary", ["time_stamp", "app_id"])
+    table = SummaryTable(spark, f"{db}.daily_summary", ["time_stamp", "app_id"], by_day=True)
     lspec, sspec = LogSpec.transaction_log(), SummarySpec()
     led = SummaryLedger(spark, f"{scratch}/summary", sspec.keys)
     try:
@@ -244,6 +299,16 @@ def test_mirror_table_is_exact_after_replay(spark, scratch, lines):
         want = {k: str(v) for k, v in as_dict(summarize(lines, lspec, sspec)).items()}
         assert as_dict(table.read()) == want
         assert dict(table.read().dtypes)["count"] == "string"
+        # a batch of one day leaves the files of the other days as they are
+        files = lambda: {f for r in table.read().inputFiles() for f in [r]}
+        before = files()
+        day = min(want)[0]
+        one = lines.filter(F.substring("value", 1, 1) != "").filter(F.col("value").contains(f"|{day} "))
+        write_lines(one.limit(3), f"{scratch}/in")
+        run()
+        changed = {f.split("time_stamp=")[1].split("/")[0] for f in before ^ files()}
+        assert changed <= {day}
+        assert as_dict(table.read()) == {k: str(v) for k, v in as_dict(led.read()).items()}
     finally:
         table.drop()
         spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
