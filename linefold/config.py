@@ -7,6 +7,7 @@ nothing here touches data.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -48,6 +49,16 @@ def _split_names(names: str | Iterable[str], sep: str = ",") -> tuple[str, ...]:
     return tuple(n.strip() for n in names if n.strip())
 
 
+def _flag(value) -> bool:
+    """A boolean of a config, which may write it as a string."""
+    if isinstance(value, str):
+        word = value.strip().lower()
+        if word not in ("true", "yes", "on", "false", "no", "off", ""):
+            raise ValueError(f"not a boolean: {value!r}")
+        return word in ("true", "yes", "on")
+    return bool(value)
+
+
 @dataclass(frozen=True)
 class FieldSpec:
     """One projected field: ``name`` is taken from 1-based ``ordinal``.
@@ -148,7 +159,7 @@ class LogSpec:
             else:
                 ordinal = names.index(name) + 1
             cut = None
-            if sub.get("substring", False) or sub.get("slice"):
+            if _flag(sub.get("substring", False)) or sub.get("slice"):
                 begin, end = sub.get("substringValue", sub.get("slice"))
                 cut = (int(begin), int(end))
             fields.append(FieldSpec(name, ordinal, cut))
@@ -174,13 +185,42 @@ class SummarySpec:
     def from_dict(cls, query: Mapping, output: Mapping | None = None) -> SummarySpec:
         output = output or {}
         keys = query.get("groupingFields", query.get("keys", TRANSACTION_KEYS))
+        keys = _split_names(keys) if isinstance(keys, str) else tuple(k.strip() for k in keys)
         return cls(
             predicate=query.get("whereClause", query.get("predicate", TRANSACTION_PREDICATE)),
-            keys=_split_names(keys) if isinstance(keys, str) else tuple(k.strip() for k in keys),
+            keys=keys,
+            count_col=cls._count_column(output, keys),
             table=output.get("tableName", output.get("table", SUMMARY_TABLE)),
             staging_table=output.get("temporyView", output.get("staging_table", STAGING_TABLE)),
         )
 
+    @staticmethod
+    def _count_column(output: Mapping, keys: Sequence[str]) -> str:
+        """The count's column: the one after the keys in the output's column list and in its DDL.
+
+        A list or DDL that is not the keys in their order and one more column is an error, as the job could
+        not fill such a table.
+        """
+        named = set()
+        if "count_col" in output:
+            named.add(output["count_col"])
+        lists = []
+        if output.get("columnNames"):
+            raw = output["columnNames"]
+            lists.append(_split_names(raw) if isinstance(raw, str) else tuple(c.strip() for c in raw))
+        if output.get("createTableQuery"):
+            ddl = output["createTableQuery"]  # a column list, alone or in a CREATE TABLE statement
+            inner = re.search(r"\((.*)\)", ddl, re.DOTALL)
+            parts = [c.split() for c in (inner[1] if inner else ddl).split(",")]
+            lists.append(tuple(c[0].strip("`") for c in parts if c))
+        for columns in lists:
+            if columns[:-1] != tuple(keys):
+                raise ValueError(f"output columns {columns} are not the keys {tuple(keys)} and a count")
+            named.add(columns[-1])
+        if len(named) > 1:
+            raise ValueError(f"the output names several count columns: {sorted(named)}")
+        return named.pop() if named else "count"
+
 
 @dataclass(frozen=True)
 class KafkaSpec:
@@ -251,4 +291,6 @@ class KafkaSpec:
             topics=conf.get("topicSet", conf.get("topics", ())),
             group_id=conf.get("groupId", conf.get("group_id")),
             topic_separator=conf.get("topicSetSeperator", conf.get("topic_separator", ",")),
+            starting_offsets=conf.get("startingOffsets", conf.get("starting_offsets", "latest")),
+            extra=dict(conf.get("options", conf.get("extra", {}))),
         )

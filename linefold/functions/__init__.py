@@ -1,23 +1 @@
 """Column-expression helpers (native Catalyst expressions only)."""
-
-from linefold.functions.split import (
-    PAD,
-    field_from_parts,
-    java_field,
-    java_split,
-    regex_literal,
-    slice_chars,
-    strip_trailing,
-    too_short,
-)
-
-__all__ = [
-    "PAD",
-    "field_from_parts",
-    "java_field",
-    "java_split",
-    "regex_literal",
-    "slice_chars",
-    "strip_trailing",
-    "too_short",
-]

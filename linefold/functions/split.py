@@ -14,9 +14,6 @@ it stays inside whole-stage codegen and never leaves the JVM.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 PAD = " "
 
 
@@ -30,90 +27,6 @@ def regex_literal(text: str) -> str:
     return "".join(c if c.isalnum() else "\\" + c for c in text)
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def strip_trailing(line: Column | str, delimiter: str) -> Column:
-    """``line`` without trailing delimiters (single-character delimiters only)."""
-    if len(delimiter) != 1:
-        raise ValueError("strip_trailing needs a one-character delimiter")
-    return F.rtrim(_col(line), F.lit(delimiter))
-
-
-def java_split(line: Column | str, delimiter: str, limit: int | None = None) -> Column:
-    """Array of fields, as ``String.split`` would return them.
-
-    ``limit`` (optional, > 0) is a hint for callers that need only fields
-    ``1..limit-1``: with a one-character delimiter the array then stops after
-    ``limit`` elements, the last holding the rest of the line. Multi-character
-    delimiters always give the full array.
-    """
-    if isinstance(line, str):
-        # a column name: the SQL form, whose TRIM(TRAILING ...) is not deprecated
-        return F.expr(java_split_sql(sql_ident(line), delimiter, limit))
-    pattern = regex_literal(delimiter)
-    n = -1 if limit is None else int(limit)
-    if len(delimiter) == 1:
-        trimmed = strip_trailing(line, delimiter)
-        parts = F.split(trimmed, pattern, n)
-        only_delims = (trimmed == F.lit("")) & (line != F.lit(""))
-        return F.when(only_delims, F.array().cast("array<string>")).otherwise(parts)
-    # Multi-character delimiter: a character-set trim would be wrong, so split
-    # fully and cut the trailing empty elements off the array.
-    parts = F.split(line, pattern, -1)
-    nonempty_from_end = F.array_position(F.transform(F.reverse(parts), lambda x: x != F.lit("")), True)
-    keep = F.when(nonempty_from_end == 0, F.lit(0)).otherwise(F.size(parts) - nonempty_from_end + 1)
-    return F.when(line == F.lit(""), parts).otherwise(F.slice(parts, F.lit(1), keep))
-
-
-def java_field(line: Column | str, delimiter: str, ordinal: int) -> Column:
-    """Field ``ordinal`` (1-based) of ``line``, padded with ``" "`` when absent.
-
-    For a one-character delimiter this avoids building the field array: it
-    scans to the wanted delimiter with ``substring_index`` on the UTF-8 bytes,
-    on the line with trailing delimiters stripped. A field exists iff the
-    stripped line has at least ``ordinal - 1`` delimiters (field 1: iff the
-    stripped line is non-empty, or the line itself is empty).
-    """
-    if ordinal < 1:
-        raise ValueError("ordinal is 1-based")
-    if isinstance(line, str):
-        name = sql_ident(line)
-        parts = java_split_sql(name, delimiter)
-        return F.expr(f"CASE WHEN {name} IS NULL THEN NULL ELSE coalesce(get({parts}, {ordinal - 1}), {sql_str(PAD)}) END")
-    if len(delimiter) != 1:
-        return F.coalesce(F.get(java_split(line, delimiter), ordinal - 1), F.lit(PAD))
-    t = strip_trailing(line, delimiter)
-    d = delimiter
-    if ordinal == 1:
-        missing = (t == F.lit("")) & (line != F.lit(""))
-        value = F.substring_index(t, d, 1)
-    else:
-        missing = F.substring_index(t, d, ordinal - 1) == t
-        value = F.substring_index(F.substring_index(t, d, ordinal), d, -1)
-    return F.when(missing, F.lit(PAD)).otherwise(value)
-
-
-def field_from_parts(parts: Column, ordinal: int) -> Column:
-    """Field ``ordinal`` (1-based) from a ``java_split`` array, padded with ``" "``.
-
-    NULL when the array is NULL (a NULL line), so the column stays nullable.
-    """
-    return F.when(parts.isNotNull(), F.coalesce(F.get(parts, ordinal - 1), F.lit(PAD)))
-
-
-def slice_chars(value: Column, begin: int, end: int) -> Column:
-    """Characters ``[begin, end)`` of ``value`` (0-based, end exclusive)."""
-    return F.substring(value, begin + 1, end - begin)
-
-
-def too_short(value: Column, end: int) -> Column:
-    """True when ``value`` cannot be sliced up to ``end``."""
-    return F.length(value) < F.lit(end)
-
-
-# -- the same expressions as SQL text -------------------------------------------
 # Building a projection from F.* calls costs one JVM round trip per call; a
 # streaming fold rebuilds its projection every micro-batch. These builders
 # return SQL text for ``selectExpr``: one round trip per projection.
@@ -127,7 +40,14 @@ def sql_ident(name: str) -> str:
 
 
 def java_split_sql(line: str, delimiter: str, limit: int | None = None) -> str:
-    """SQL text of ``java_split`` over the SQL expression ``line``."""
+    """Array of the fields of the SQL expression ``line``, as ``String.split`` would return them.
+
+    ``limit`` (optional, > 0) is a hint for callers that need only fields
+    ``1..limit-1``: with a one-character delimiter the array then stops after
+    ``limit`` elements, the last holding the rest of the line. A character-set
+    trim would be wrong for longer delimiters, so their trailing empty elements
+    are cut off the full array.
+    """
     pattern = sql_str(regex_literal(delimiter))
     n = -1 if limit is None else int(limit)
     if len(delimiter) == 1:
@@ -143,15 +63,17 @@ def java_split_sql(line: str, delimiter: str, limit: int | None = None) -> str:
 
 
 def field_from_parts_sql(parts: str, ordinal: int) -> str:
-    """SQL text of ``field_from_parts``."""
+    """Field ``ordinal`` (1-based) of a field array, padded with ``" "``; NULL for a NULL line."""
     return f"CASE WHEN {parts} IS NOT NULL THEN coalesce(get({parts}, {ordinal - 1}), {sql_str(PAD)}) END"
 
 
 def slice_chars_sql(value: str, begin: int, end: int) -> str:
+    """Characters ``[begin, end)`` of ``value`` (0-based, end exclusive)."""
     return f"substring({value}, {begin + 1}, {end - begin})"
 
 
 def too_short_sql(value: str, end: int) -> str:
+    """True when ``value`` cannot be sliced up to ``end``."""
     return f"length({value}) < {end}"
 
 

@@ -2,10 +2,11 @@
 
 Each query takes ``(spark, sf_dir)``, reads the given tables (``events``),
 renders them as transaction-log lines and runs the library on them over the
-whole table. Stream queries land the lines as text files in four slices
-(``event_id % 4``) and run one ``availableNow`` micro-batch per slice, so
-batch ``k`` holds slice ``k``; their state lives under the session's shared
-checkpoint folder. Every query returns a DataFrame; the stream and table
+whole table. Fold and stream queries render the lines once, partitioned by
+slice (``event_id % 4``); stream queries land one slice after the other as text
+files and run one ``availableNow`` micro-batch per slice, so batch ``k`` holds
+slice ``k``. Their state lives under the session's shared checkpoint folder;
+the staged lines are deleted when the query has used them. Every query returns a DataFrame; the stream and table
 queries have already done their work when they return, and the DataFrame
 reads what they left behind.
 
@@ -16,22 +17,25 @@ batches and fixture roles; no query drops a row of ``events``.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linefold.config import FieldSpec, LogSpec, SummarySpec
 from linefold.operators.parse import parse, parse_accepted, rejects
-from linefold.operators.partitioning import spread
 from linefold.operators.summary import apply_predicate, count_by, preview, rollup_counts, summarize
+from linefold.plans.events_log import damaged_event_lines, event_lines, ragged_event_lines
+from linefold.plans.partitioning import spread
+from linefold.plans.records import PARTITION_SQL, TOPIC_SQL, event_records
 from linefold.session import HadoopFS, scratch_path
 from linefold.sinks.batch_table import BatchTable
 from linefold.sinks.ledger import SummaryLedger
 from linefold.sinks.tables import SummaryTable
 from linefold.sources import kafka
-from linefold.sources.events_log import damaged_event_lines, event_lines, ragged_event_lines
-from linefold.sources.lines import read_lines, record_values, stream_lines, write_lines
+from linefold.sources.lines import stream_lines, write_lines
 from linefold.streaming.jobs import (
     COUNT_SCHEMA,
     RANGE_SCHEMA,
@@ -40,7 +44,6 @@ from linefold.streaming.jobs import (
     run_bounded,
     start_archive,
     start_batch_counts,
-    start_offset_report,
     start_running_total,
     start_summary_stream,
 )
@@ -71,8 +74,22 @@ def lines_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_lines(events(spark, sf_dir))
 
 
-def slice_of(lines: DataFrame, k: int) -> DataFrame:
-    return lines.filter(F.col("event_id") % SLICES == k)
+@contextmanager
+def staged(sliced: DataFrame, root: str) -> Iterator[Callable[[int], DataFrame]]:
+    """Write ``sliced`` (with a ``slice`` column) once, partitioned by slice; gives a pruned read of one slice.
+
+    The staged copy is deleted at the end, when every slice has been used.
+    """
+    spark, path = sliced.sparkSession, f"{root}/staged"
+    sliced.write.partitionBy("slice").parquet(path)
+    try:
+        yield lambda k: spark.read.parquet(path).filter(F.col("slice") == k).drop("slice")
+    finally:
+        HadoopFS(spark).delete(path)
+
+
+def sliced_lines(lines: DataFrame) -> DataFrame:
+    return lines.select((F.col("event_id") % SLICES).alias("slice"), "value")
 
 
 # -- batch queries -------------------------------------------------------------
@@ -107,33 +124,30 @@ def q_summary_rollup(spark, sf_dir):
     return rollup_counts(stored, spec.keys, as_string=True)
 
 
-def _fold_slices(spark, sf_dir, ledger: SummaryLedger, extra_empty: bool = False) -> None:
-    lines = lines_of(spark, sf_dir)
+def _fold_slices(spark, sf_dir, name: str, no_match: bool = False) -> SummaryLedger:
     lspec, sspec = LogSpec.transaction_log(), summary_spec()
-    for k in range(SLICES):
-        ledger.fold(summarize(slice_of(lines, k), lspec, sspec), k)
-    if extra_empty:
-        # a batch whose lines all fail the predicate leaves no partition behind
-        empty = lines.filter(F.lit(False))
-        ledger.fold(summarize(empty, lspec, sspec), SLICES)
+    root = scratch_path(spark, name)
+    ledger = SummaryLedger(spark, f"{root}/summary", sspec.keys)
+    with staged(sliced_lines(lines_of(spark, sf_dir)), root) as part:
+        for k in range(SLICES):
+            ledger.fold(summarize(part(k), lspec, sspec), k)
+        if no_match:
+            # a batch of real lines, none of which passes, leaves no partition behind
+            nothing = replace(sspec, predicate="channel_type = 'no such channel'")
+            ledger.fold(summarize(part(0), lspec, nothing), SLICES)
+    return ledger
 
 
 def q_summary_fold(spark, sf_dir):
-    ledger = SummaryLedger(spark, scratch_path(spark, "summary_fold"), summary_spec().keys)
-    _fold_slices(spark, sf_dir, ledger)
-    return ledger.read()
+    return _fold_slices(spark, sf_dir, "summary_fold").read()
 
 
 def q_summary_empty_batch(spark, sf_dir):
-    ledger = SummaryLedger(spark, scratch_path(spark, "summary_empty_batch"), summary_spec().keys)
-    _fold_slices(spark, sf_dir, ledger, extra_empty=True)
-    return ledger.read()
+    return _fold_slices(spark, sf_dir, "summary_empty_batch", no_match=True).read()
 
 
 def q_summary_read(spark, sf_dir):
-    ledger = SummaryLedger(spark, scratch_path(spark, "summary_read"), summary_spec().keys)
-    _fold_slices(spark, sf_dir, ledger)
-    return ledger.read_compat()
+    return _fold_slices(spark, sf_dir, "summary_read").read_compat()
 
 
 def q_table_lifecycle(spark, sf_dir):
@@ -144,9 +158,9 @@ def q_table_lifecycle(spark, sf_dir):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{root}/warehouse'")
     table = SummaryTable(spark, f"{db}.{spec.table}", spec.keys, staging_table=f"{db}.{spec.staging_table}")
     try:
-        lines = lines_of(spark, sf_dir)
-        for k in range(SLICES):
-            table.rewrite_fold(summarize(slice_of(lines, k), LogSpec.transaction_log(), spec))
+        with staged(sliced_lines(lines_of(spark, sf_dir)), root) as part:
+            for k in range(SLICES):
+                table.rewrite_fold(summarize(part(k), LogSpec.transaction_log(), spec))
         snapshot = f"{root}/snapshot"
         table.read().write.mode("overwrite").parquet(snapshot)
     finally:
@@ -157,45 +171,34 @@ def q_table_lifecycle(spark, sf_dir):
 
 
 def q_summary_table_stream(spark, sf_dir):
-    """Stream with the original catalog table mirrored from the ledger, one batch replayed.
-
-    The table (count as a string) is rewritten from the exact ledger after
-    each batch, so the replay does not count twice in it either.
-    """
-    landing = _Landing(spark, sf_dir, "summary_table_stream")
-    db = "linefold_" + landing.root.rsplit("-", 1)[-1]
+    """Stream with the original catalog table (count as a string) kept equal to the ledger, day by day."""
     spec = summary_spec()
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{landing.root}/warehouse'")
-    table = SummaryTable(spark, f"{db}.{spec.table}", spec.keys)
-    ledger = SummaryLedger(spark, f"{landing.root}/summary", spec.keys)
-
-    def start(resume):
-        return start_summary_stream(
-            landing.stream(), LogSpec.transaction_log(), spec, ledger, landing.checkpoint,
-            trigger=AVAILABLE_NOW, resume=resume, mirror_table=table,
-        )
-
-    try:
-        _run_slices(landing, start)
-        fs = HadoopFS(spark)
-        fs.delete(f"{landing.checkpoint}/commits/{SLICES - 1}")
-        fs.delete(f"{landing.checkpoint}/commits/.{SLICES - 1}.crc")
-        run_bounded(start("require"))
-        snapshot = f"{landing.root}/snapshot"
-        table.read().write.mode("overwrite").parquet(snapshot)
-    finally:
-        table.drop()
-        spark.sql(f"DROP DATABASE IF EXISTS `{db}` CASCADE")
+    with _landing(spark, sf_dir, "summary_table_stream") as landing:
+        db = "linefold_" + landing.root.rsplit("-", 1)[-1]
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{landing.root}/warehouse'")
+        table = SummaryTable(spark, f"{db}.{spec.table}", spec.keys, by_day=True)
+        ledger = SummaryLedger(spark, f"{landing.root}/summary", spec.keys)
+        try:
+            _run_slices(landing, lambda resume: start_summary_stream(
+                landing.stream(), LogSpec.transaction_log(), spec, ledger, landing.checkpoint,
+                trigger=AVAILABLE_NOW, resume=resume, mirror_table=table))
+            snapshot = f"{landing.root}/snapshot"
+            table.read().select(*spec.keys, spec.count_col).write.mode("overwrite").parquet(snapshot)
+        finally:
+            table.drop()
+            spark.sql(f"DROP DATABASE IF EXISTS `{db}` CASCADE")
     return spark.read.parquet(snapshot)
 
 
 def q_preview(spark, sf_dir):
-    return preview(parse_accepted(lines_of(spark, sf_dir), log_spec()).select(*PARSED_COLS), 10)
+    """The first ten rows of the summary, in the order of its keys."""
+    spec = summary_spec()
+    return preview(summarize(lines_of(spark, sf_dir), LogSpec.transaction_log(), spec), 10, spec.keys)
 
 
 # -- Kafka-shaped records ------------------------------------------------------
 def records_of(spark, sf_dir):
-    return kafka.event_records(events(spark, sf_dir))
+    return event_records(events(spark, sf_dir))
 
 
 def q_topic_subscribe(spark, sf_dir):
@@ -215,18 +218,23 @@ def q_offset_ranges(spark, sf_dir):
 class _Landing:
     """Input folder for a file stream, filled one slice at a time."""
 
-    def __init__(self, spark, sf_dir, name, lines: DataFrame | None = None):
-        self.spark = spark
-        self.root = scratch_path(spark, name)
-        self.input = f"{self.root}/input"
-        self.checkpoint = f"{self.root}/checkpoint"
-        self.lines = lines if lines is not None else lines_of(spark, sf_dir)
+    def __init__(self, spark, root: str, part: Callable[[int], DataFrame]):
+        self.spark, self.root, self.part = spark, root, part
+        self.input = f"{root}/input"
+        self.checkpoint = f"{root}/checkpoint"
 
     def land(self, k: int) -> None:
-        write_lines(slice_of(self.lines, k), self.input)
+        write_lines(self.part(k), self.input)
+
+    def stream(self, **options) -> DataFrame:
+        return stream_lines(self.spark, self.input, **options)
+
 
-    def stream(self) -> DataFrame:
-        return stream_lines(self.spark, self.input)
+@contextmanager
+def _landing(spark, sf_dir, name: str, lines: DataFrame | None = None) -> Iterator[_Landing]:
+    root = scratch_path(spark, name)
+    with staged(sliced_lines(lines if lines is not None else lines_of(spark, sf_dir)), root) as part:
+        yield _Landing(spark, root, part)
 
 
 def _run_slices(landing: _Landing, start, slices=range(SLICES)) -> None:
@@ -236,173 +244,146 @@ def _run_slices(landing: _Landing, start, slices=range(SLICES)) -> None:
 
 
 def q_summary_stream(spark, sf_dir):
-    landing = _Landing(spark, sf_dir, "summary_stream")
-    ledger = SummaryLedger(spark, f"{landing.root}/summary", summary_spec().keys)
-
-    def start(resume):
-        return start_summary_stream(
+    with _landing(spark, sf_dir, "summary_stream") as landing:
+        ledger = SummaryLedger(spark, f"{landing.root}/summary", summary_spec().keys)
+        _run_slices(landing, lambda resume: start_summary_stream(
             landing.stream(), LogSpec.transaction_log(), summary_spec(), ledger,
-            landing.checkpoint, trigger=AVAILABLE_NOW, resume=resume,
-        )
-
-    _run_slices(landing, start)
+            landing.checkpoint, trigger=AVAILABLE_NOW, resume=resume))
     return ledger.read()
 
 
 def q_summary_compact(spark, sf_dir):
     """Stream with ledger compaction every two batches and archived source files."""
-    landing = _Landing(spark, sf_dir, "summary_compact")
-    ledger = SummaryLedger(spark, f"{landing.root}/summary", summary_spec().keys)
-
-    def start(resume):
-        lines = stream_lines(
-            spark, landing.input, clean_source="archive", source_archive_dir=f"{landing.root}/done"
-        )
-        return start_summary_stream(
-            lines, LogSpec.transaction_log(), summary_spec(), ledger,
-            landing.checkpoint, trigger=AVAILABLE_NOW, resume=resume, compact_every=2,
-        )
-
-    _run_slices(landing, start)
+    with _landing(spark, sf_dir, "summary_compact") as landing:
+        ledger = SummaryLedger(spark, f"{landing.root}/summary", summary_spec().keys)
+        _run_slices(landing, lambda resume: start_summary_stream(
+            landing.stream(clean_source="archive", source_archive_dir=f"{landing.root}/done"),
+            LogSpec.transaction_log(), summary_spec(), ledger,
+            landing.checkpoint, trigger=AVAILABLE_NOW, resume=resume, compact_every=2))
     return ledger.read()
 
 
 def q_summary_restart(spark, sf_dir):
-    """Stop, strict resume, and a replayed batch still give the batch answer."""
-    landing = _Landing(spark, sf_dir, "summary_restart")
-    ledger = SummaryLedger(spark, f"{landing.root}/summary", summary_spec().keys)
-
-    def start(resume, trigger=AVAILABLE_NOW):
-        return start_summary_stream(
-            landing.stream(), LogSpec.transaction_log(), summary_spec(), ledger,
-            landing.checkpoint, trigger=trigger, resume=resume,
-        )
-
-    # first run: a long-running trigger, drained, then stopped from outside
-    landing.land(0)
-    q = start("new", {"processingTime": "1 second"})
-    q.processAllAvailable()
-    run_bounded(q, 0.1)
-    # later runs must resume from the checkpoint
-    for k in (1, 2):
-        landing.land(k)
-        run_bounded(start("require"))
-    # lose the commit of the last batch: the restart replays it
-    fs = HadoopFS(spark)
-    last = max(int(n) for n in fs.list_files(f"{landing.checkpoint}/commits") if n.isdigit())
-    fs.delete(f"{landing.checkpoint}/commits/{last}")
-    fs.delete(f"{landing.checkpoint}/commits/.{last}.crc")
-    run_bounded(start("require"))
-    landing.land(3)
-    run_bounded(start("require"))
+    """A stopped stream and strict resumes still give the batch answer."""
+    with _landing(spark, sf_dir, "summary_restart") as landing:
+        ledger = SummaryLedger(spark, f"{landing.root}/summary", summary_spec().keys)
+
+        def start(resume, trigger=AVAILABLE_NOW):
+            return start_summary_stream(
+                landing.stream(), LogSpec.transaction_log(), summary_spec(), ledger,
+                landing.checkpoint, trigger=trigger, resume=resume,
+            )
+
+        # first run: a long-running trigger, drained, then stopped from outside
+        landing.land(0)
+        q = start("new", {"processingTime": "1 second"})
+        q.processAllAvailable()
+        run_bounded(q, 0.1)
+        # later runs must resume from the checkpoint
+        for k in range(1, SLICES):
+            landing.land(k)
+            run_bounded(start("require"))
     return ledger.read()
 
 
-def _staged_slices(sliced: DataFrame, staged: str, landing: str):
-    """Write ``sliced`` (with a ``slice`` column) once, partitioned by slice.
-
-    Returns ``land(k)``, which appends slice ``k`` to ``landing`` (a pruned
-    read of the staged copy) and returns its schema; the records are numbered
-    once instead of once per slice.
-    """
-    sliced.write.partitionBy("slice").parquet(staged)
-    spark = sliced.sparkSession
-
-    def land(k: int):
-        part = spark.read.parquet(staged).filter(F.col("slice") == k).drop("slice")
-        part.write.mode("append").parquet(landing)
-        return part.schema
-
-    return land
-
-
 def q_kafka_summary_stream(spark, sf_dir):
     """Kafka-layout records as a stream: subscribe -> value -> parse -> fold.
 
-    Records rendered from ``events`` land as parquet, one slice per run; the
-    stream reads them with the Kafka source's schema, keeps the subscribed
-    topic and folds the record values into the ledger, as a Kafka source
-    feeding the same job would.
+    Records rendered from ``events`` land as parquet by topic, one slice per
+    run; the stream reads them with the Kafka source's schema, keeps the
+    subscribed topic (other topics' files are not read) and folds the record
+    values into the ledger, as a Kafka source feeding the same job would.
     """
     root = scratch_path(spark, "kafka_summary_stream")
-    records = records_of(spark, sf_dir)
-    land = _staged_slices(records.withColumn("slice", F.col("offset") % SLICES), f"{root}/records", f"{root}/input")
     ledger = SummaryLedger(spark, f"{root}/summary", summary_spec().keys)
-    for k in range(SLICES):
-        schema = land(k)
-        stream = spark.readStream.schema(schema).parquet(f"{root}/input")
-        values = record_values(kafka.subscribe(stream, SUBSCRIBED_TOPICS))
-        run_bounded(start_summary_stream(
-            values, LogSpec.transaction_log(), summary_spec(), ledger,
-            f"{root}/checkpoint", trigger=AVAILABLE_NOW,
-        ))
+    with staged(records_of(spark, sf_dir).withColumn("slice", F.col("offset") % SLICES), root) as part:
+        for k in range(SLICES):
+            part(k).write.mode("append").partitionBy("topic").parquet(f"{root}/input")
+            stream = spark.readStream.schema(part(k).schema).parquet(f"{root}/input")
+            run_bounded(start_summary_stream(
+                kafka.subscribe(stream, SUBSCRIBED_TOPICS), LogSpec.transaction_log(), summary_spec(), ledger,
+                f"{root}/checkpoint", trigger=AVAILABLE_NOW,
+            ))
     return ledger.read()
 
 
+def _quarters(spark, sf_dir) -> DataFrame:
+    """Records with ``slice``: the quarter of its partition's offsets that a record is in."""
+    sizes = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet").selectExpr(TOPIC_SQL, PARTITION_SQL)
+    sizes = sizes.groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("_size"))
+    quarter = F.floor(F.col("offset") * SLICES / F.col("_size")).cast("bigint")
+    return records_of(spark, sf_dir).join(sizes, ["topic", "partition"]).withColumn("slice", quarter).drop("_size")
+
+
 def q_offset_report_stream(spark, sf_dir):
-    """Kafka-layout records streamed in four runs; each batch reports its offset ranges.
+    """The stream that folds Kafka-layout records reports each batch's offset ranges.
 
     Run ``k`` lands the ``k``-th quarter of every partition's offsets, so each
     batch covers one contiguous range per partition, as a Kafka batch does.
     """
     root = scratch_path(spark, "offset_report_stream")
-    records = records_of(spark, sf_dir)
-    sizes = records.groupBy("topic", "partition").agg(F.count(F.lit(1)).alias("_size"))
-    quartered = (
-        # one row per topic-partition; adaptive execution broadcasts it by measured size
-        records.join(sizes, ["topic", "partition"])
-        .withColumn("slice", F.floor(F.col("offset") * SLICES / F.col("_size")).cast("bigint"))
-        .drop("_size")
-    )
-    land = _staged_slices(quartered, f"{root}/records", f"{root}/input")
-    sink = BatchTable(spark, f"{root}/ranges", RANGE_SCHEMA)
-    for k in range(SLICES):
-        schema = land(k)
-        run_bounded(start_offset_report(
-            spark.readStream.schema(schema).parquet(f"{root}/input"), sink, f"{root}/checkpoint",
-            trigger=AVAILABLE_NOW,
-        ))
-    return sink.read().select(F.col("batch_id").alias("slice"), "topic", "partition", "from_offset", "until_offset")
+    ledger = SummaryLedger(spark, f"{root}/summary", summary_spec().keys)
+    ranges = BatchTable(spark, f"{root}/ranges", RANGE_SCHEMA)
+    columns = ["topic", "partition", "offset", "value"]
+    with staged(_quarters(spark, sf_dir).select("slice", *columns), root) as part:
+        for k in range(SLICES):
+            part(k).write.mode("append").parquet(f"{root}/input")
+            run_bounded(start_summary_stream(
+                spark.readStream.schema(part(k).schema).parquet(f"{root}/input"),
+                LogSpec.transaction_log(), summary_spec(), ledger, f"{root}/checkpoint",
+                trigger=AVAILABLE_NOW, range_sink=ranges,
+            ))
+    return ranges.read().select(F.col("batch_id").alias("slice"), "topic", "partition", "from_offset", "until_offset")
 
 
-def q_stream_rejects(spark, sf_dir):
-    """Damaged lines through the stream: rejects land per batch next to the ledger.
+def _damaged_stream(spark, sf_dir, name: str) -> tuple[SummaryLedger, BatchTable]:
+    """Damaged lines through the stream: the ledger, and the rejects per batch next to it.
 
     Text files cannot hold a NULL line (it lands as an empty line), so here
     those are rejected as too short rather than as ``null_value``.
     """
-    landing = _Landing(spark, sf_dir, "stream_rejects", damaged_event_lines(events(spark, sf_dir)))
-    ledger = SummaryLedger(spark, f"{landing.root}/summary", summary_spec().keys)
-    rejected = BatchTable(spark, f"{landing.root}/rejects", REJECT_SCHEMA)
-    _run_slices(landing, lambda resume: start_summary_stream(
-        landing.stream(), LogSpec.transaction_log(), summary_spec(), ledger, landing.checkpoint,
-        trigger=AVAILABLE_NOW, resume=resume, reject_sink=rejected))
+    with _landing(spark, sf_dir, name, damaged_event_lines(events(spark, sf_dir))) as landing:
+        ledger = SummaryLedger(spark, f"{landing.root}/summary", summary_spec().keys)
+        rejected = BatchTable(spark, f"{landing.root}/rejects", REJECT_SCHEMA)
+        _run_slices(landing, lambda resume: start_summary_stream(
+            landing.stream(), LogSpec.transaction_log(), summary_spec(), ledger, landing.checkpoint,
+            trigger=AVAILABLE_NOW, resume=resume, reject_sink=rejected, compact_every=2))
+    return ledger, rejected
+
+
+def q_stream_rejects(spark, sf_dir):
+    rejected = _damaged_stream(spark, sf_dir, "stream_rejects")[1]
     return rejected.read().select(F.col("batch_id").alias("slice"), "value", "reason")
 
 
+def q_stream_accepted(spark, sf_dir):
+    """What the run of ``stream_rejects`` folded of the lines it did accept."""
+    return _damaged_stream(spark, sf_dir, "stream_accepted")[0].read()
+
+
 def q_batch_counts(spark, sf_dir):
-    """Rows per micro-batch; the sink compacts every two batches, so the read joins a base and partitions."""
-    landing = _Landing(spark, sf_dir, "batch_counts")
-    sink = BatchTable(spark, f"{landing.root}/counts", COUNT_SCHEMA)
-    _run_slices(landing, lambda resume: start_batch_counts(
-        landing.stream(), sink, landing.checkpoint, trigger=AVAILABLE_NOW, resume=resume, compact_every=2))
+    """Rows per micro-batch; the sink compacts every two batches, so the read joins segments and partitions."""
+    with _landing(spark, sf_dir, "batch_counts") as landing:
+        sink = BatchTable(spark, f"{landing.root}/counts", COUNT_SCHEMA)
+        _run_slices(landing, lambda resume: start_batch_counts(
+            landing.stream(), sink, landing.checkpoint, trigger=AVAILABLE_NOW, resume=resume, compact_every=2))
     return sink.read().select(F.col("batch_id").alias("slice"), "n")
 
 
 def q_running_total(spark, sf_dir):
-    landing = _Landing(spark, sf_dir, "running_total")
-    sink = BatchTable(spark, f"{landing.root}/totals", TOTAL_SCHEMA)
-    _run_slices(landing, lambda resume: start_running_total(
-        landing.stream(), sink, landing.checkpoint, trigger=AVAILABLE_NOW, resume=resume))
+    with _landing(spark, sf_dir, "running_total") as landing:
+        sink = BatchTable(spark, f"{landing.root}/totals", TOTAL_SCHEMA)
+        _run_slices(landing, lambda resume: start_running_total(
+            landing.stream(), sink, landing.checkpoint, trigger=AVAILABLE_NOW, resume=resume))
     return sink.read().select(F.col("batch_id").alias("slice"), "total")
 
 
 def q_raw_archive(spark, sf_dir):
-    landing = _Landing(spark, sf_dir, "raw_archive")
-    archive = f"{landing.root}/archive"
-    _run_slices(landing, lambda resume: start_archive(
-        landing.stream(), archive, landing.checkpoint, trigger=AVAILABLE_NOW, resume=resume))
-    lines = read_lines(spark, archive)
+    with _landing(spark, sf_dir, "raw_archive") as landing:
+        archive = f"{landing.root}/archive"
+        _run_slices(landing, lambda resume: start_archive(
+            landing.stream(), archive, landing.checkpoint, trigger=AVAILABLE_NOW, resume=resume))
+    lines = spark.read.schema("value string").parquet(archive)
     return lines.select(F.substring_index("value", "|", 1).cast("bigint").alias("event_id"), "value")
 
 
@@ -421,6 +402,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "summary_compact": q_summary_compact,
     "kafka_summary_stream": q_kafka_summary_stream,
     "stream_rejects": q_stream_rejects,
+    "stream_accepted": q_stream_accepted,
     "batch_counts": q_batch_counts,
     "running_total": q_running_total,
     "raw_archive": q_raw_archive,

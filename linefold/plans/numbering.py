@@ -14,9 +14,10 @@ the same 0-based number with a two-level prefix sum instead:
    add the block's first number (an equi-join on (group, block); adaptive
    execution broadcasts the count table when it turns out small).
 
-The ordering key must be integral, and unique within a group for the result
-to be deterministic. NULL groups are groups, and NULL keys come first, as in
-the window; no row is dropped.
+Preconditions, which the fixture's ``events`` meet: groups are not NULL, and the
+ordering key is integral, unique within a group and dense enough that a block
+of ``block_width`` key values holds many rows (with sparse keys, blocks would be
+as many as rows). NULL keys come first, as in the window.
 """
 
 from __future__ import annotations
@@ -27,7 +28,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_COL = "_block"
-GROUP_COL = "_group"
 
 
 def number_within_groups(
@@ -42,23 +42,22 @@ def number_within_groups(
     if block_width < 1:
         raise ValueError("block_width must be positive")
     groups = list(groups)
-    # The groups travel as one struct: never NULL itself, so a NULL group
-    # still matches in the equi-join, and the join keys are exactly the
-    # window's partitioning (no reshuffle of the rows).
+    # Plain columns as window and join keys: a filter on a group passes below the
+    # window, and the join needs no other partitioning than the window has.
     # Integer division keeps blocks exact for any BIGINT key and monotonic in
     # it; NULL keys go to the lowest block, as the window orders them first.
-    keyed = df.withColumn(GROUP_COL, F.struct(*[F.col(g) for g in groups])).withColumn(
+    keyed = df.withColumn(
         BLOCK_COL, F.expr(f"coalesce(CAST(`{key}` AS BIGINT) div {int(block_width)}, {-(1 << 63)})")
     )
-    counts = keyed.groupBy(GROUP_COL, BLOCK_COL).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(GROUP_COL).orderBy(BLOCK_COL).rowsBetween(Window.unboundedPreceding, -1)
+    counts = keyed.groupBy(*groups, BLOCK_COL).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*groups).orderBy(BLOCK_COL).rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(
-        GROUP_COL, BLOCK_COL, F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("bigint").alias("_start")
+        *groups, BLOCK_COL, F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("bigint").alias("_start")
     )
-    inside = Window.partitionBy(GROUP_COL, BLOCK_COL).orderBy(key)
+    inside = Window.partitionBy(*groups, BLOCK_COL).orderBy(key)
     local = keyed.withColumn("_local", F.row_number().over(inside) - 1)
     return (
-        local.join(starts, on=[GROUP_COL, BLOCK_COL], how="inner")
+        local.join(starts, on=[*groups, BLOCK_COL], how="inner")
         .withColumn(out_col, (F.col("_start") + F.col("_local")).cast("bigint"))
-        .drop(GROUP_COL, BLOCK_COL, "_start", "_local")
+        .drop(BLOCK_COL, "_start", "_local")
     )

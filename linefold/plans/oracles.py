@@ -1,8 +1,7 @@
 """DuckDB oracles for the registered queries.
 
 Written from the ``events`` columns directly, never by parsing lines, so they
-are independent of the parser. ``preview`` has none (a limit without order is
-not deterministic).
+are independent of the parser.
 """
 
 from __future__ import annotations
@@ -99,6 +98,12 @@ ORACLES: dict[str, str] = {
         'short_field:time_stamp' AS reason
       FROM ev WHERE event_id % 6 <> 4
     """,
+    "stream_accepted": f"""
+      WITH ev AS ({_EV})
+      SELECT day AS time_stamp, app AS app_id, COUNT(*) AS "count"
+      FROM ev WHERE {_PASS} AND event_id % 6 = 4 GROUP BY day, app
+    """,
+    "preview": f"SELECT * FROM ({_GROUP_COUNT}) ORDER BY time_stamp, app_id LIMIT 10",
     "batch_counts": f"WITH ev AS ({_EV}) SELECT slice, COUNT(*) AS n FROM ev GROUP BY slice",
     "running_total": f"""
       WITH ev AS ({_EV})

@@ -1,4 +1,4 @@
-"""Input parallelism."""
+"""Parallelism of the fixture: its tables are single files."""
 
 from __future__ import annotations
 
@@ -15,9 +15,5 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     (default: the cluster's default parallelism), as any large input does,
     this returns ``df`` unchanged and adds no shuffle.
     """
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD API (e.g. Spark Connect): leave the plan alone
-        return df
-    return df.repartition(want) if have < want else df
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df

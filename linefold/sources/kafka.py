@@ -21,12 +21,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from linefold.config import KafkaSpec
-from linefold.operators.joins import bounded_broadcast
-from linefold.operators.numbering import number_within_groups
-from linefold.sources.events_log import render_line_sql
+from linefold.functions.split import sql_str
 from linefold.sources.lines import record_values
 
-RECORD_COLUMNS = ("topic", "partition", "offset", "timestamp", "key", "value")
 START_SCHEMA = StructType(
     [
         StructField("topic", StringType(), False),
@@ -48,15 +45,23 @@ def kafka_lines(spark: SparkSession, spec: KafkaSpec, from_offsets: Mapping | No
 
 
 def kafka_batch(
-    spark: SparkSession, spec: KafkaSpec, from_offsets: Mapping | None = None, ending: str = "latest"
+    spark: SparkSession,
+    spec: KafkaSpec,
+    from_offsets: Mapping | None = None,
+    *,
+    starting: str = "earliest",
+    ending: str = "latest",
 ) -> DataFrame:
-    """Batch read of a topic range; ``startingOffsets`` defaults to ``earliest`` here."""
+    """Batch read of a topic range, from ``starting`` (or ``from_offsets``) to ``ending``.
+
+    The starting offsets of ``spec`` are for streams; a batch cannot start at ``latest``.
+    """
+    if starting == "latest":
+        raise ValueError("a batch that starts at 'latest' reads nothing")
     if from_offsets:
         opts = spec.assign_options(from_offsets)
     else:
-        opts = spec.subscribe_options()
-        if opts.get("startingOffsets") == "latest":
-            opts["startingOffsets"] = "earliest"
+        opts = spec.subscribe_options() | {"startingOffsets": starting}
     opts["endingOffsets"] = ending
     return spark.read.format("kafka").options(**opts).load()
 
@@ -69,25 +74,28 @@ def subscribe(records: DataFrame, topics: Iterable[str] | str, separator: str =
 
 
 def start_offsets(spark: SparkSession, from_offsets: Mapping[tuple[str, int], int]) -> DataFrame:
-    """``topic, partition, from_offset`` from a ``{(topic, partition): offset}`` map."""
-    rows = [(t, int(p), int(o)) for (t, p), o in sorted(from_offsets.items())]
-    return spark.createDataFrame(rows, START_SCHEMA)
+    """``topic, partition, from_offset`` from a ``{(topic, partition): offset}`` map.
 
+    Literal rows, so that the planner knows their size.
+    """
+    if not from_offsets:
+        return spark.createDataFrame([], START_SCHEMA)
+    rows = ", ".join(f"({sql_str(t)}, {int(p)}, {int(o)}L)" for (t, p), o in sorted(from_offsets.items()))
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS s(topic, partition, from_offset)")
 
-def from_offsets(records: DataFrame, starts: DataFrame, *, max_broadcast_rows: int = 100_000) -> DataFrame:
+
+def from_offsets(records: DataFrame, starts: DataFrame) -> DataFrame:
     """Records of the assigned partitions at or after their start offset.
 
     ``starts`` has one row per assigned ``(topic, partition)``; unassigned
-    partitions are not read. It is broadcast only after its row count is
-    checked, otherwise the join shuffles.
+    partitions are not read. Spark broadcasts it by its own size threshold.
     """
     s = starts.select("topic", "partition", "from_offset")
-    joined = records.join(
-        bounded_broadcast(s, max_broadcast_rows),
+    return records.join(
+        s,
         (records["topic"] == s["topic"]) & (records["partition"] == s["partition"]) & (records["offset"] >= s["from_offset"]),
         "left_semi",
     )
-    return joined
 
 
 def offset_ranges(records: DataFrame) -> DataFrame:
@@ -100,22 +108,3 @@ def offset_ranges(records: DataFrame) -> DataFrame:
     return records.groupBy("topic", "partition").agg(
         F.min("offset").alias("from_offset"), (F.max("offset") + 1).alias("until_offset")
     )
-
-
-def event_records(events: DataFrame, *, block_width: int = 1 << 20) -> DataFrame:
-    """Kafka-shaped records rendered from ``events``.
-
-    topic ``t<event_id % 2>``, partition ``user_id % 3``, offset = 0-based
-    position of ``event_id`` within its (topic, partition), timestamp ``ts``,
-    no key, value = the rendered transaction line.
-    """
-    base = events.selectExpr(
-        "concat('t', CAST(event_id % 2 AS STRING)) AS topic",
-        "CAST(user_id % 3 AS INT) AS `partition`",
-        "event_id",
-        "ts AS timestamp",
-        "CAST(NULL AS STRING) AS key",
-        f"{render_line_sql()} AS value",
-    )
-    numbered = number_within_groups(base, ["topic", "partition"], "event_id", "offset", block_width=block_width)
-    return numbered.select(*RECORD_COLUMNS, "event_id")

@@ -33,3 +33,22 @@ def test_kafka_extra_options_and_batch_defaults():
     assert assign == {"a": [0]}
     with pytest.raises(ValueError):
         KafkaSpec("h:9092", "").subscribe_options()
+
+
+def test_booleans_may_be_strings():
+    conf = {"fields": "a,b", "fieldCount": 2, "selectedFields": ["b"], "b": {"fieldNumber": 2, "substring": "false", "substringValue": [0, 1]}}
+    assert LogSpec.from_dict(conf).fields == (FieldSpec("b", 2),)
+    conf["b"]["substring"] = "true"
+    assert LogSpec.from_dict(conf).fields == (FieldSpec("b", 2, (0, 1)),)
+    conf["b"]["substring"] = "maybe"
+    with pytest.raises(ValueError):
+        LogSpec.from_dict(conf)
+
+
+def test_output_columns_name_the_count():
+    query = {"groupingFields": ["d", "a"]}
+    assert SummarySpec.from_dict(query, {"columnNames": "d, a, hits"}).count_col == "hits"
+    assert SummarySpec.from_dict(query, {"createTableQuery": "CREATE TABLE t (d STRING, a STRING, `hits` STRING)"}).count_col == "hits"
+    for output in ({"columnNames": "a, d, hits"}, {"columnNames": "d, hits"}, {"columnNames": "d,a,x", "createTableQuery": "d String, a String, y String"}):
+        with pytest.raises(ValueError):
+            SummarySpec.from_dict(query, output)

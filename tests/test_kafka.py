@@ -7,7 +7,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from linefold.config import KafkaSpec
-from linefold.operators.numbering import number_within_groups
+from linefold.plans.numbering import number_within_groups
+from linefold.plans.records import event_records
 from linefold.sources import kafka
 from tests.conftest import SF_SMALL
 
@@ -61,11 +62,9 @@ def test_subscribe_from_offsets_and_ranges(spark):
     assert ranges == [("t0", 0, 0, 10), ("t1", 0, 3, 6)]
 
 
-def test_from_offsets_without_broadcast(spark):
-    r = records(spark)
-    starts = kafka.start_offsets(spark, {("t0", 0): 8, ("t1", 0): 4})
-    got = kafka.from_offsets(r, starts, max_broadcast_rows=1).count()
-    assert got == 2 + 2
+def test_a_batch_cannot_start_at_latest(spark):
+    with pytest.raises(ValueError, match="latest"):
+        kafka.kafka_batch(spark, KafkaSpec("h:9092", "t"), starting="latest")
 
 
 @pytest.mark.parametrize("width", [1, 7, 1 << 20])
@@ -80,16 +79,16 @@ def test_numbering_matches_window(spark, width):
 
 
 def test_event_records_offsets_dense(spark):
-    rec = kafka.event_records(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
+    rec = event_records(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
     ranges = kafka.offset_ranges(rec).collect()
     counts = {(x["topic"], x["partition"]): x["n"] for x in rec.groupBy("topic", "partition").agg(F.count("*").alias("n")).collect()}
     for x in ranges:
         assert x["from_offset"] == 0 and x["until_offset"] == counts[(x["topic"], x["partition"])]
 
 
-def test_numbering_keeps_null_groups_and_keys(spark):
-    rows = [(None, 5), (None, 1), ("a", None), ("a", 3), ("a", 1), ("b", 2)]
+def test_numbering_keeps_null_keys(spark):
+    rows = [("a", None), ("a", 3), ("a", 1), ("b", 2)]
     df = spark.createDataFrame(rows, "g string, k bigint")
-    got = sorted((r["g"] or "", r["k"] if r["k"] is not None else -1, r["n"])
+    got = sorted((r["g"], r["k"] if r["k"] is not None else -1, r["n"])
                  for r in number_within_groups(df, ["g"], "k", "n", block_width=2).collect())
-    assert got == [("", 1, 0), ("", 5, 1), ("a", -1, 0), ("a", 1, 1), ("a", 3, 2), ("b", 2, 0)]
+    assert got == [("a", -1, 0), ("a", 1, 1), ("a", 3, 2), ("b", 2, 0)]

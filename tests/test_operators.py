@@ -1,16 +1,11 @@
-"""Small operators: input spreading, bounded broadcast, summary helpers."""
+"""Small operators: input spreading, summary helpers."""
 
 from pyspark.sql import functions as F
 
-from linefold.operators.joins import bounded_broadcast
-from linefold.operators.partitioning import spread
+from linefold.plans.partitioning import spread
 from linefold.operators.summary import apply_predicate, count_by, preview, row_count
 
 
-def plan(df):
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
 def test_spread_only_when_too_few_partitions(spark):
     one = spark.range(0, 100, 1, 1)
     assert spread(one, 4).rdd.getNumPartitions() == 4
@@ -18,16 +13,6 @@ def test_spread_only_when_too_few_partitions(spark):
     assert spread(many, 4) is many
 
 
-def test_bounded_broadcast(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    probe = spark.range(100).withColumnRenamed("id", "k")
-    j1 = probe.join(bounded_broadcast(small, 10), probe.k == small.id)
-    j2 = probe.join(bounded_broadcast(big, 10), probe.k == big.id)
-    assert "BroadcastHashJoin" in plan(j1)
-    assert j1.count() == 10 and j2.count() == 100
-
-
 def test_predicate_string_column_and_none(spark):
     df = spark.range(10)
     assert apply_predicate(df, "id < 3").count() == 3
@@ -42,3 +27,4 @@ def test_counts(spark):
     assert got == {("a", "x"): 2, ("b", "y"): 1}
     assert row_count(df).collect()[0]["n"] == 3
     assert preview(df, 2).count() == 2
+    assert [r["k1"] for r in preview(df, 2, ["k1"]).collect()] == ["a", "a"]

@@ -3,7 +3,7 @@
 import re
 
 from linefold.config import LogSpec, SummarySpec
-from linefold.operators.numbering import number_within_groups
+from linefold.plans.numbering import number_within_groups
 from linefold.operators.summary import summarize
 from linefold.sinks.ledger import SummaryLedger
 from linefold.sources import kafka
@@ -40,7 +40,7 @@ def test_text_scan_reads_only_the_line(spark, scratch):
 
 def test_count_is_partial_then_final(spark):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
-    from linefold.sources.events_log import event_lines
+    from linefold.plans.events_log import event_lines
 
     plan = executed(summarize(event_lines(ev), LogSpec.transaction_log(), SummarySpec()))
     assert "partial_count" in plan
@@ -53,10 +53,21 @@ def test_ledger_read_prunes_batches(spark, scratch):
         led.fold(spark.createDataFrame([("d", "a", 1)], "d string, a string, count bigint"), b)
     led.compact(1)
     plan = physical(led.read())
-    assert "PartitionFilters: [isnotnull(batch_id" in plan and "(batch_id#" in plan
+    assert "ledger/batch_id=2" in plan and "batch_id=0" not in plan and "upto=1" in plan
     assert "partial_sum" in plan
 
 
+def test_topic_filter_is_below_the_numbering(spark):
+    """Other topics are dropped before the window's exchange, and lines rendered after it."""
+    from linefold.plans.catalog import q_topic_subscribe
+
+    lines = physical(q_topic_subscribe(spark, SF_SMALL)).splitlines()
+    window = next(i for i, l in enumerate(lines) if "Window [row_number()" in l)
+    exchange = next(i for i, l in enumerate(lines) if i > window and "Exchange hashpartitioning" in l)
+    assert any("Filter" in l and "event_id" in l and "t1" in l for l in lines[exchange:])
+    assert not any("APP_" in l for l in lines[window:])
+
+
 def test_start_offsets_are_broadcast(spark):
     rows = [("t0", 0, o, None, None, "v") for o in range(20)]
     rec = spark.createDataFrame(rows, "topic string, partition int, offset bigint, timestamp timestamp, key string, value string")

@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from linefold.config import FieldSpec, LogSpec
-from linefold.functions.split import java_field, java_split, regex_literal
+from linefold.functions.split import field_from_parts_sql, java_split_sql, regex_literal
 from linefold.operators.parse import parse
 
 
@@ -31,15 +31,15 @@ def _frame(spark, lines):
 
 def check_lines(spark, lines, delim, upto=6):
     df = _frame(spark, lines)
-    for ref in (F.col("value"), "value"):  # Column and column-name forms
-        cols = [java_split(ref, delim).alias("parts")]
-        cols += [java_field(ref, delim, n).alias(f"f{n}") for n in range(1, upto + 1)]
-        got = {r["i"]: r for r in df.select("i", *cols).collect()}
-        for i, line in enumerate(lines):
-            r = got[i]
-            assert list(r["parts"]) == java_split_model(line, delim), (line, r["parts"])
-            for n in range(1, upto + 1):
-                assert r[f"f{n}"] == field_model(line, delim, n), (line, n, r[f"f{n}"])
+    parts = java_split_sql("value", delim)
+    cols = [F.expr(parts).alias("parts")]
+    cols += [F.expr(field_from_parts_sql(parts, n)).alias(f"f{n}") for n in range(1, upto + 1)]
+    got = {r["i"]: r for r in df.select("i", *cols).collect()}
+    for i, line in enumerate(lines):
+        r = got[i]
+        assert list(r["parts"]) == java_split_model(line, delim), (line, r["parts"])
+        for n in range(1, upto + 1):
+            assert r[f"f{n}"] == field_model(line, delim, n), (line, n, r[f"f{n}"])
 
 
 def test_hand_written_edges(spark):
