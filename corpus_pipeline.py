@@ -23,7 +23,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     found = lang_id.predict(docs, lang_id.learn(docs), lang="_lang_pred", score="_lang_score")
     clear = (F.col("_lang_pred") != lang_id.UND) & (F.col("_lang_score") >= MIN_SCORE)
-    return found.filter(clear).select(*docs.columns)
+    return found.filter(clear).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
