@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from linefold.llm.common import ship
+from linefold.llm.common import materialize, ship
 from linefold.llm.tokens import slices, tokenizer, vocabulary_path
 
 END_ID = 2
@@ -159,6 +159,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.parquet(path)
     before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     at = files.select("block", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).cast("long").alias("at"))
+    at = materialize(at, "starts")  # its size is known then, and the files stay where they are if it is small
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
