@@ -7,10 +7,11 @@ Exact for any threshold (in percent): two sets link when ``100 * |x and y| >= pe
    prefixes. Prefix postings ``(shingle, class, size, position)`` meet in buckets of shingles. An index list is sorted
    by size; its entries link to a hub, the first entry large enough, and are skipped by position where what follows
    in either set cannot reach the overlap.
-3. The hubs' pairs are verified on the whole sets. A class verified with a hub takes its answers from it: with
-   ``m`` similar to ``h``, ``|y and m|`` lies within ``|m - h|`` of ``|y and h|``. So only hubs are compared across
-   lists, in blocks by position, and only members whose bound leaves a link open are looked at themselves.
-4. Components of the links found; a pair inside a component needs no look.
+3. The hubs' pairs are verified on the whole sets; links give components. A pair inside a component needs no look.
+4. What is left are pairs of different components that meet in a list. A set's answers are derived from those of a
+   highly similar one, its hub ``h``: ``|x and h| + |y and h| - |h| <= |x and y| <= min(|x and h|, |y and h|) +
+   min(|x - h|, |y - h|)``. Only pairs that neither this nor a bitmap of the sets decides are verified themselves:
+   first each set's most promising one, then those whose components are still different.
 
 The order of the shingles comes from a count sketch of fixed size over all documents. It only decides how long
 lists get, never what is found. A frequent shingle's list is dealt over many buckets.
@@ -44,11 +45,8 @@ BUCKET, LIST = 2_000_000, 50_000
 HINT_BITS = 23
 #: 64-bit words of the bitmap that bounds a difference of sets from below.
 WORDS = 16
-
-
-def _needed(n1: Column, n2: Column, percent: int) -> Column:
-    """Smallest overlap with which sets of these sizes link."""
-    return F.ceil((n1 + n2) * percent / (100 + percent))
+#: Stands for "no hub"; class keys are hashes and never this.
+NO_HUB = -(2**63)
 
 
 def _prefix(n: int, percent: int) -> int:
@@ -64,6 +62,13 @@ def _batch(names: str, **columns) -> pa.RecordBatch:
     )
 
 
+def _few(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in smaller ones: the sets of a whole batch need not be in memory at once."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def _merged(pieces: DataFrame, dtype: str, combine: Callable) -> np.ndarray:
     """Arrays of one fixed length, cut in ``(piece, blob)`` by each task, combined piece by piece; small by construction."""
 
@@ -100,7 +105,7 @@ def _sets(rows: DataFrame, seed: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.uint32)
         seen: set[tuple[int, int]] = set()
-        for batch in batches:
+        for batch in _few(batches):
             rids, sets = batch.column(0), shingle_sets(batch.column(1).to_pylist())
             ids = [_digest(s, seed) for s in sets]
             fresh = [s for s, d in zip(sets, ids) if not (d in seen or seen.add(d))]
@@ -160,7 +165,7 @@ def _index(rows: DataFrame, classes: DataFrame, sketch: np.ndarray, seed: int, p
             blobs = [part.tobytes() for part in np.split(rec, cuts[1:])]
             yield _batch("bucket int, blob binary", bucket=where[cuts].tolist(), blob=blobs)
 
-        for batch in batches:
+        for batch in _few(batches):
             for s in shingle_sets(batch.column(0).to_pylist()):
                 if not len(s):
                     continue
@@ -191,6 +196,11 @@ def _index(rows: DataFrame, classes: DataFrame, sketch: np.ndarray, seed: int, p
             same = np.concatenate([[False], token[1:] == token[:-1]])
             near = same & (100 * np.concatenate([[0], n[:-1]]) >= percent * n)  # the entry before is large enough
             dealt = order[token >> np.uint64(64 - SKETCH_BITS)] >= crowded
+            # a list of two matters only if its two can link by position, too
+            first, last = ~same, np.concatenate([~same[1:], [True]])
+            two = np.flatnonzero(first[:-1] & ~last[:-1] & last[1:])
+            least = np.minimum(n[two] - pos[two], n[two + 1] - pos[two + 1])
+            near[two + 1] &= least * (100 + percent) >= percent * (n[two] + n[two + 1])
             keep = near | np.concatenate([near[1:], [False]]) | dealt
             rec, token, n, pos = rec[keep], token[keep], n[keep], pos[keep]
             if not len(rec):
@@ -278,105 +288,131 @@ def _linked(percent: int) -> Column:
     return F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * percent
 
 
-def _stars(verified: DataFrame, index: DataFrame, percent: int) -> DataFrame:
-    """``(key, star, n, slack)``: each class of the index at a hub that it links with, or at itself.
-
-    ``slack`` is what the class can add to an overlap of its star, less what it needs: ``(100 + percent) * |key - star| -
-    percent * n``. Classes ``x`` and ``y`` link only if ``(100 + percent) * |star x and star y| + slack x + slack y >= 0``.
-    """
-    chosen = verified.filter(_linked(percent)).groupBy(F.col("a").alias("key")).agg(
-        F.max_by(F.struct("b", (F.col("na") - F.col("both")).alias("extra")), F.struct("both", "b")).alias("s")
-    )
-    hubs = chosen.select(F.col("s.b").alias("hub")).distinct()
-    chosen = chosen.join(hubs, F.col("key") == F.col("hub"), "left_anti")  # a hub is its own star
-    keys = index.filter("token IS NOT NULL").groupBy("key").agg(F.first("n").alias("n"))
-    both = keys.join(chosen, "key", "left")
-    star, extra = F.coalesce("s.b", "key"), F.coalesce("s.extra", F.lit(0))
-    return materialize(both.select("key", star.alias("star"), "n", (extra * (100 + percent) - F.col("n") * percent).alias("slack")), "stars")
-
-
 def _labels(keys: DataFrame, links: DataFrame) -> DataFrame:
     """``(key, label)`` for all ``keys``: component by the links so far."""
     found = components(links).withColumnRenamed("label", "found")
     return materialize(keys.join(found, "key", "left").select("key", F.coalesce("found", "key").alias("label")), "labels")
 
 
-def _star_pairs(index: DataFrame, stars: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """``(a, b)``: stars of different components, entries of which meet in a list within size and position bounds."""
-    state = stars.join(labels, "key").select("key", "star", "label")
-    entries = index.filter("token IS NOT NULL").select("token", "key", "n", "pos").join(state, "key")
-    # a star's entries in a list as one: its sizes, and the most that can follow
-    entries = entries.groupBy("token", "star").agg(
-        F.first("label").alias("label"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.col("n") - F.col("pos")).alias("rest")
-    )
-    mixed = entries.groupBy("token").agg(F.min("label").alias("l1"), F.max("label").alias("l2")).filter("l1 != l2").select("token")
-    lists = entries.join(mixed, "token").repartition("token").sortWithinPartitions("token", F.desc("rest"))
+_MEET = "anchor long, token long, key long, n long, rest long, label long, hub long, shared long, nhub long, bitmap binary"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _by_token(batches):
-            star, label, lo, hi, rest = (block[k] for k in ("star", "label", "lo", "hi", "rest"))
-            found = []
-            for i in range(0, len(star), 256):
-                a = slice(i, i + 256)
-                # lists are in blocks by what follows: beyond this entry nothing reaches the overlap with the block
-                most = rest * (100 + percent) >= percent * (lo + int(lo[a].min()))
-                last = int(np.flatnonzero(most)[-1]) + 1 if most.any() else 0
-                b = slice(i, max(i, last))
-                ok = label[a, None] != label[None, b]
-                ok &= (100 * hi[a, None] >= percent * lo[None, b]) & (100 * hi[None, b] >= percent * lo[a, None])
-                ok &= np.minimum(rest[a, None], rest[None, b]) * (100 + percent) >= percent * (lo[a, None] + lo[None, b])
-                x, y = np.nonzero(ok)
-                x, y = star[a][x], star[b][y]
-                found.append(np.stack([np.minimum(x, y), np.maximum(x, y)], 1))
-                if sum(map(len, found)) > 200_000:
-                    pairs = np.unique(np.concatenate(found), axis=0)
-                    found = []
-                    yield _batch("a long, b long", a=pairs[:, 0], b=pairs[:, 1])
-            if found:
-                pairs = np.unique(np.concatenate(found), axis=0)
-                yield _batch("a long, b long", a=pairs[:, 0], b=pairs[:, 1])
 
-    return lists.select("token", "star", "label", "lo", "hi", "rest").mapInArrow(run, "a long, b long").distinct()
+def _meetings(index: DataFrame, labels: DataFrame, hubs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Entries of the lists that hold several components, and each class's bitmap, side by side under the list's anchor.
+
+    The anchor of a list is its smallest component: lists of the same texts come together, so a class's bitmap travels
+    to few places and a pair that meets in many lists is taken once.
+    """
+    best = hubs.groupBy(F.col("a").alias("key")).agg(F.max(F.struct("both", "b", "nb")).alias("h"))
+    state = labels.join(best, "key", "left").select("key", "label", F.col("h.b").alias("hub"), F.col("h.both").alias("shared"), F.col("h.nb").alias("nhub"))
+    entries = index.filter("token IS NOT NULL").select("token", "key", "n", (F.col("n") - F.col("pos")).alias("rest"))
+    entries = entries.join(state, "key")
+    mixed = entries.groupBy("token").agg(F.min("label").alias("anchor"), F.max("label").alias("l")).filter("anchor != l").drop("l")
+    rows = materialize(entries.join(mixed, "token"), "meetings")
+    maps = rows.select("anchor", "key").distinct().join(classes.select("key", "bitmap"), "key")
+    empty = {f.split()[0]: F.lit(None).cast(f.split()[1]).alias(f.split()[0]) for f in _MEET.split(", ")}
+    names = list(empty)
+    maps = maps.select(*[F.col(c) if c in ("anchor", "key", "bitmap") else empty[c] for c in names])
+    rows = rows.withColumn("bitmap", empty["bitmap"]).select(*names)
+    # bitmaps (no token) first, then list after list
+    return rows.unionByName(maps).repartition("anchor").sortWithinPartitions("anchor", F.asc_nulls_first("token"), F.desc("rest"))
+
+
+def _undecided(meetings: DataFrame, percent: int) -> DataFrame:
+    """``(a, b, link, gap)``: pairs of classes of different components that can link by size, position, hubs and bitmaps.
+
+    ``link`` tells that the hub's answers already prove the link; the others are to be verified. ``gap`` is the part of
+    both sets (in millionths) that their bitmaps tell apart.
+    """
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        anchor, maps, place, found = None, None, {}, []
 
-def _by_token(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
-    """The columns of each list, list after list."""
+        def emit() -> Iterator[pa.RecordBatch]:
+            if found:
+                rows = np.unique(np.concatenate(found), axis=0)
+                found.clear()
+                yield _batch("a long, b long, link int, gap long", a=rows[:, 0], b=rows[:, 1], link=rows[:, 2], gap=rows[:, 3])
+
+        for part in _by_list(batches):
+            if part["anchor"][0] != anchor:
+                yield from emit()
+                anchor, maps, place = part["anchor"][0], None, {}
+            if part["bitmap"] is not None:
+                maps = np.frombuffer(b"".join(part["bitmap"]), np.uint64).reshape(-1, WORDS)
+                place = {k: i for i, k in enumerate(part["key"].tolist())}
+                continue
+            at = np.array([place[k] for k in part["key"].tolist()])
+            found += _list_pairs(part, maps[at], percent)
+            if sum(map(len, found)) > 500_000:
+                found[:] = [np.unique(np.concatenate(found), axis=0)]
+        yield from emit()
+
+    return meetings.mapInArrow(run, "a long, b long, link int, gap long").distinct()
+
+
+def _promising(pairs: DataFrame) -> DataFrame:
+    """For each class of ``pairs`` the partner that its bitmap is nearest to."""
+    ends = pairs.select("a", "b", "gap").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "gap"))
+    best = ends.groupBy("a").agg(F.min(F.struct("gap", "b")).alias("n")).select("a", F.col("n.b").alias("b"))
+    return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _list_pairs(part: dict, maps: np.ndarray, percent: int) -> list[np.ndarray]:
+    """The undecided pairs of a list, whose entries come by descending ``rest`` (what follows the shingle in the set)."""
+    key, label, n, rest = part["key"], part["label"], part["n"], part["rest"]
+    hub, shared, nhub = part["hub"], part["shared"], part["nhub"]
+    out = []
+    for i in range(0, len(key), 128):
+        a = slice(i, min(i + 128, len(key)))
+        # blocks by position: entries after the last one that can reach the overlap with this block are skipped
+        can = np.flatnonzero(rest * (100 + percent) >= percent * (n + int(n[a].min())))
+        b = slice(i, max(i, int(can[-1]) + 1 if len(can) else i))
+        total = n[a, None] + n[None, b]
+        ok = (label[a, None] != label[None, b]) & (key[a, None] != key[None, b])
+        ok &= (100 * n[a, None] >= percent * n[None, b]) & (100 * n[None, b] >= percent * n[a, None])
+        ok &= np.minimum(rest[a, None], rest[None, b]) * (100 + percent) >= percent * total
+        x, y = np.nonzero(ok)
+        x, y = x + i, y + i
+        need = percent * (n[x] + n[y])  # to be reached by the overlap times (100 + percent)
+        # the hub's answers, where both have the same hub (or one is the other's)
+        same = (hub[x] == hub[y]) & (hub[x] != NO_HUB)
+        upper = np.minimum(shared[x], shared[y]) + np.minimum(n[x] - shared[x], n[y] - shared[y])
+        lower = shared[x] + shared[y] - nhub[x]
+        proven = same & (lower * (100 + percent) >= need)
+        open_ = ~same | (upper * (100 + percent) >= need)
+        x, y, proven = x[open_], y[open_], proven[open_]
+        apart = np.bitwise_count(maps[x] ^ maps[y]).sum(axis=1, dtype=np.int64)
+        near = proven | ((n[x] + n[y] - apart) * (100 + percent) >= 2 * percent * (n[x] + n[y]))
+        x, y, proven, apart = x[near], y[near], proven[near], apart[near]
+        if len(x):
+            lo, hi = np.minimum(key[x], key[y]), np.maximum(key[x], key[y])
+            gap = apart * 1_000_000 // (n[x] + n[y])
+            out.append(np.unique(np.stack([lo, hi, proven.astype(np.int64), gap], 1), axis=0))
+    return out
+
+
+def _by_list(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """The columns of each list (or, without a token, of an anchor's bitmaps), one after another."""
     held: pa.Table | None = None
+
+    def columns(table: pa.Table) -> dict:
+        out = {c: table[c].fill_null(NO_HUB if c == "hub" else 0).to_numpy() for c in table.column_names if c != "bitmap"}
+        out["bitmap"] = table["bitmap"].to_pylist() if table["bitmap"].null_count == 0 else None
+        return out
+
     for batch in batches:
         table = pa.Table.from_batches([batch])
         table = table if held is None else pa.concat_tables([held, table])
-        token = table["token"].to_numpy()
-        cuts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]])) if len(token) else np.zeros(0, int)
+        token, anchor = table["token"], table["anchor"].to_numpy()
+        none, token = token.is_null().to_numpy(), token.fill_null(0).to_numpy()
+        new = (token[1:] != token[:-1]) | (anchor[1:] != anchor[:-1]) | (none[1:] != none[:-1])
+        cuts = np.flatnonzero(np.concatenate([[True], new])) if len(token) else np.zeros(0, int)
         for a, b in zip(cuts.tolist(), cuts[1:].tolist()):
-            yield {c: table[c].slice(a, b - a).to_numpy() for c in table.column_names}
+            yield columns(table.slice(a, b - a))
         held = table.slice(int(cuts[-1])) if len(cuts) else table
     if held is not None and held.num_rows:
-        yield {c: held[c].to_numpy() for c in held.column_names}
-
-
-def _possible(pairs: DataFrame, classes: DataFrame, stars: DataFrame, percent: int) -> DataFrame:
-    """Pairs of stars that their bitmaps leave open: sets differ in at least as many shingles as their bitmaps in bits."""
-    bits = lambda side: F.array(*[F.conv(F.hex(F.substring(side, 8 * k + 1, 8)), 16, -10).cast("long") for k in range(WORDS)])
-    most = stars.groupBy("star").agg(F.max("slack").alias("most"))
-    info = classes.join(most, F.col("key") == F.col("star")).select("key", "n", bits(F.col("bitmap")).alias("bits"), "most")
-    a = info.select(F.col("key").alias("a"), F.col("n").alias("na"), F.col("bits").alias("xa"), F.col("most").alias("ma"))
-    b = info.select(F.col("key").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("xb"), F.col("most").alias("mb"))
-    both = pairs.join(a, "a").join(b, "b")
-    apart = sum(F.bit_count(F.get("xa", F.lit(k)).bitwiseXOR(F.get("xb", F.lit(k)))) for k in range(WORDS))
-    overlap = (F.col("na") + F.col("nb") - apart) / 2  # at most
-    return both.filter(overlap * (100 + percent) + F.col("ma") + F.col("mb") >= 0).select("a", "b", "ma", "mb")
-
-
-def _members(found: DataFrame, stars: DataFrame, labels: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Open pairs of stars, and of a member of one with the other star, that their bounds and components leave."""
-    la = labels.select(F.col("key").alias("a"), F.col("label").alias("la"))
-    lb = labels.select(F.col("key").alias("b"), F.col("label").alias("lb"))
-    open_ = found.join(la, "a").join(lb, "b").filter("la != lb")
-    open_ = open_.filter(F.col("both") * (100 + percent) + F.col("ma") + F.col("mb") >= 0).select("a", "b", "both", "ma", "mb")
-    turned = open_.select(F.col("b").alias("a"), F.col("a").alias("b"), "both", F.col("mb").alias("ma"), F.col("ma").alias("mb"))
-    member = stars.filter("key != star").select("key", F.col("star").alias("a"), "slack")
-    either = open_.unionByName(turned).join(member, "a").filter(F.col("both") * (100 + percent) + F.col("slack") + F.col("mb") >= 0)
-    return open_, either.select(F.col("key").alias("a"), "b").distinct()
+        yield columns(held)
 
 
 def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -398,36 +434,24 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", perce
         return verified.filter(_linked(percent)).select("a", "b")
 
     hubs = _verified(pairs, texts, "hubs")
-    stars = _stars(hubs, index, percent)
-    keys = stars.select("key")
-    found = only(hubs)
-    labels = _labels(keys, found)
-    between = materialize(_possible(_star_pairs(index, stars, labels, percent), classes, stars, percent), "between")
-    centres = _verified(between, texts, "centres").join(between, ["a", "b"])
-    found = found.unionByName(only(centres))
-    labels = _labels(keys, found)
-    open_, first = _members(centres, stars, labels, percent)
-    open_, first = materialize(open_, "open"), materialize(first, "members")
-    if not open_.isEmpty():
-        sides = _verified(first, texts, "sides")
-        found = found.unionByName(only(sides))
-        labels = _labels(keys, found)
-        found = found.unionByName(only(_verified(_last(open_, sides, stars, labels, percent), texts, "last")))
+    found = hubs.filter(_linked(percent)).select("a", "b")
+    labels = _labels(entries, found)
+    pairs = materialize(_undecided(_meetings(index, labels, hubs, classes), percent), "undecided")
+    proven = pairs.filter("link = 1").select("a", "b")
+    open_ = pairs.filter("link = 0").join(proven, ["a", "b"], "left_anti")
+    # one pair of each class first: in a large group of near copies they join its components
+    first = materialize(_promising(open_), "promising")
+    verified = _verified(first, texts, "first")
+    found = found.unionByName(proven).unionByName(verified.filter(_linked(percent)).select("a", "b"))
+    labels = _labels(entries, found)
+    rest = open_.join(first, ["a", "b"], "left_anti").select("a", "b")
+    rest = rest.join(labels.select(F.col("key").alias("a"), F.col("label").alias("la")), "a")
+    rest = rest.join(labels.select(F.col("key").alias("b"), F.col("label").alias("lb")), "b").filter("la != lb")
+    verified = _verified(rest, texts, "rest")
+    found = found.unionByName(verified.filter(_linked(percent)).select("a", "b"))
     return per_row, materialize(found, "found")
 
 
-def _last(open_: DataFrame, sides: DataFrame, stars: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of two open stars, still of different components, that both members' verified overlaps leave."""
-    member = stars.join(labels, "key").filter("key != star")
-    # what a member can still reach with the other star's members: its own verified overlap with that star
-    reach = sides.select(F.col("a").alias("key"), F.col("b").alias("other"), (F.col("both") * (100 + percent) - F.col("na") * percent).alias("reach"))
-    x = reach.join(member, "key").select(F.col("star").alias("a"), F.col("other").alias("b"), F.col("key").alias("x"), F.col("slack").alias("sx"), F.col("reach").alias("rx"), F.col("label").alias("lx"))
-    y = reach.join(member, "key").select(F.col("other").alias("a"), F.col("star").alias("b"), F.col("key").alias("y"), F.col("slack").alias("sy"), F.col("reach").alias("ry"), F.col("label").alias("ly"))
-    both = open_.select("a", "b").join(x, ["a", "b"]).join(y, ["a", "b"])
-    both = both.filter((F.col("lx") != F.col("ly")) & (F.col("rx") + F.col("sy") >= 0) & (F.col("ry") + F.col("sx") >= 0))
-    return both.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
-
-
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """``(_rid, _id, n_shingles, component_id, kept)``: one row per row of ``docs``.
 
