@@ -1,15 +1,22 @@
-"""Licence scan: passages of a text against licence templates by Dice coefficient over word bigrams.
-
-A passage is a line, or a sentence within one. Its text is normalised (A-Z
-folded, everything but letters a-z and digits separates words) and its set of
-word bigrams compared with those of every template that the size bound leaves:
-a Dice coefficient of ``t`` needs between t/(2-t) and (2-t)/t times as many
-bigrams as the template has. A text is cut into passages only if it holds a
-marker word; every passage that can reach ``t`` holds one (``marker_words``).
-
-Row-local and native. Defined results: a null or empty text, or one without a
-passage of at least two words, has no licence; among equal coefficients the first
-template wins; repeated passages count each.
+"""Licence scan: windows of a text against licence templates by Dice coefficient over word bigrams.
+
+A text is normalised (A-Z folded, everything but letters a-z and digits, line
+ends too, separates words). A window is a run of words anywhere in it; its set of
+word bigrams is compared with a template's if its size is within the template's
+bounds: a Dice coefficient of ``t`` needs between t/(2-t) and (2-t)/t times as
+many bigrams as the template has. A window's size counts repeated bigrams, of
+which it may have as many beyond the upper bound as the template repeats. A text is
+looked at only if it holds a marker word; every window that can reach ``t`` holds
+one (``marker_words``). Only windows that begin and end with a bigram of the
+template are compared: cutting any other off an end never lowers the coefficient.
+
+Of the windows that reach ``t`` the one with the largest coefficient is a notice,
+then the next one that shares no word with a notice, and so on (``notices``); among
+equal coefficients the first template wins, then the shorter window, then the first.
+``scan`` is the older comparison of whole lines and sentences only.
+
+Row-local and native. Defined results: a null or empty text, or one of fewer than
+two words, has no licence; repeated notices count each.
 """
 
 from __future__ import annotations
@@ -66,6 +73,7 @@ TEMPLATES = (
 #: Words too common in any text to look for.
 COMMON = frozenset("a all an and any are as at be by for from in is it may no not of on or that the this to under use with you".split())
 
+_WINDOW = "struct<cost:double,number:int,n:int,at:int>"
 _PASSAGE_END = r"[\r\n]+|(?<=[.!?:])[\x20\t]+"
 
 
@@ -107,12 +115,21 @@ def marker_words(threshold: float = THRESHOLD) -> list[str]:
     return sorted(chosen)
 
 
-def _bigrams(passage: Column) -> Column:
-    words = F.filter(F.split(ascii_lower(passage), "[^a-z0-9]+"), lambda w: w != "")
+def _marker(threshold: float) -> str:
+    return "(?i)(?<![a-z0-9])(?:" + "|".join(marker_words(threshold)) + ")(?![a-z0-9])"
+
+
+def _pairs(text: Column) -> Column:
+    """All word bigrams in order, repeats included."""
+    words = F.filter(F.split(ascii_lower(text), "[^a-z0-9]+"), lambda w: w != "")
     pairs = lambda w: F.when(
         F.size(w) > 1, F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda a, b: F.concat_ws(" ", a, b))
     ).otherwise(F.array().cast("array<string>"))
-    return F.array_distinct(let(words, pairs))
+    return let(words, pairs)
+
+
+def _bigrams(passage: Column) -> Column:
+    return F.array_distinct(_pairs(passage))
 
 
 def _matches(passage: Column, threshold: float) -> Column:
@@ -137,7 +154,7 @@ def scan(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD,
     ``template`` is the negated place in ``TEMPLATES``, so that the larger struct is the better match.
     """
     text = text_of(F.col(text_col))
-    marker = "(?i)(?<![a-z0-9])(?:" + "|".join(marker_words(threshold)) + ")(?![a-z0-9])"
+    marker = _marker(threshold)
 
     def passages(t: Column) -> Column:
         some = F.filter(F.split(t, _PASSAGE_END), lambda p: p.rlike(marker))
@@ -148,6 +165,59 @@ def scan(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD,
     return docs.withColumn(into, let(text, lambda t: F.when(t.rlike(marker), passages(t)).otherwise(none)))
 
 
+def _windows(grams: Column, hits: Column, number: int, threshold: float) -> Column:
+    """Windows that reach a template, the best first, as ``array<struct<cost, number, n, at>>``: ``n`` bigrams from ``at``."""
+    text = TEMPLATES[number][1]
+    own = bigrams_of(text)
+    low, high = size_bounds(len(own), threshold)
+    longest = high + len(words_of(text)) - 1 - len(own)
+    template = F.array(*[F.lit(x) for x in own])
+
+    def reaching(h: Column) -> Column:
+        def from_(p: Column, k: Column) -> Column:
+            # a window that reaches the threshold holds at least `low` bigrams of the template
+            ends = F.filter(F.slice(h, k + low, longest), lambda q: q["at"] < p["at"] + longest)
+
+            def window(q: Column) -> Column:
+                n = q["at"] - p["at"] + 1
+                dice = lambda b: F.lit(2.0) * F.size(F.array_intersect(b, template)) / (F.size(b) + len(own))
+                cost = -let(F.array_distinct(F.slice(grams, p["at"] + 1, n)), dice)
+                return F.struct(cost.alias("cost"), F.lit(number).alias("number"), n.alias("n"), p["at"].alias("at"))
+
+            return F.filter(F.transform(ends, window), lambda w: w["cost"] <= -threshold)
+
+        return F.flatten(F.transform(h, from_))
+
+    mine = F.filter(hits, lambda p: p["gram"].isin(own))
+    return let(mine, lambda h: F.when(F.size(h) >= low, reaching(h)).otherwise(F.array().cast(f"array<{_WINDOW}>")))
+
+
+def _apart(windows: Column) -> Column:
+    """Of the windows, best first, those that share no word with one taken before."""
+    meets = lambda w, v: (w["at"] <= v["at"] + v["n"]) & (v["at"] <= w["at"] + w["n"])
+    step = lambda taken, w: F.when(F.exists(taken, lambda v: meets(w, v)), taken).otherwise(F.concat(taken, F.array(w)))
+    return F.aggregate(F.array_sort(windows), F.array().cast(f"array<{_WINDOW}>"), step)
+
+
+def notices(docs: DataFrame, text_col: str = "text", threshold: float = THRESHOLD, into: str = "licences") -> DataFrame:
+    """``docs`` with ``into``: the notices of the text in order, each as ``struct<dice, template>``.
+
+    ``template`` is the negated place in ``TEMPLATES``, so that the larger struct is the better match.
+    """
+    text = text_of(F.col(text_col))
+    every = sorted({b for _, t in TEMPLATES for b in bigrams_of(t)})
+
+    def found(grams: Column) -> Column:
+        placed = F.transform(grams, lambda g, i: F.struct(i.alias("at"), g.alias("gram")))
+        both = F.struct(grams.alias("grams"), F.filter(placed, lambda p: p["gram"].isin(every)).alias("hits"))
+        windows = let(both, lambda d: F.concat(*[_windows(d["grams"], d["hits"], i, threshold) for i in range(len(TEMPLATES))]))
+        in_order = F.array_sort(F.transform(_apart(windows), lambda w: F.struct(w["at"].alias("at"), w["cost"].alias("cost"), w["number"].alias("number"))))
+        return F.transform(in_order, lambda w: F.struct((-w["cost"]).alias("dice"), (-w["number"]).alias("template")))
+
+    none = F.array().cast("array<struct<dice:double,template:int>>")
+    return docs.withColumn(into, let(text, lambda t: F.when(t.rlike(_marker(threshold)), let(_pairs(t), found)).otherwise(none)))
+
+
 def licence_name(template: Column) -> Column:
     """Licence of a (negated) template number."""
     return F.element_at(F.array(*[F.lit(name) for name, _ in TEMPLATES]), 1 - template)

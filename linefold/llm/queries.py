@@ -43,8 +43,8 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Licence passages of every document: the best, its coefficient, how many, and their names in order."""
-    found = licenses.scan(_documents(spark, sf_dir).select("doc_id", "text"))
+    """Licence notices of every document: the best, its coefficient, how many, and their names in order."""
+    found = licenses.notices(_documents(spark, sf_dir).select("doc_id", "text"))
     best = F.array_max("licences")
     return found.select(
         "doc_id",
