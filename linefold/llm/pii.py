@@ -197,7 +197,8 @@ def _spans(text: Column, number: int, kind: Kind) -> Column:
         lambda h: F.when(F.size(h) > 0, let(F.struct(h.alias("hits"), F.split(text, kind.pattern, -1).alias("gaps")), found)).otherwise(none),
     )
     # a cheap test first: most texts hold nothing that a kind could start with
-    possible = F.contains(text, F.lit(kind.needs)) if kind.needs else text.rlike("[0-9]{2}")
+    digits = r"[0-9][\x20-]?[0-9]" if kind.name in ("card", "short_card") else "[0-9]{2}"
+    possible = F.contains(text, F.lit(kind.needs)) if kind.needs else text.rlike(digits)
     return F.when(possible, pair).otherwise(none)
 
 

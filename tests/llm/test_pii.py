@@ -95,3 +95,11 @@ def test_context_raises_the_score(spark):
 def test_redaction(spark):
     docs = spark.createDataFrame([("mail a.b@c.de or 8.8.8.8!",), (None,)], "text string").coalesce(1)
     assert [r[0] for r in pii.find(docs).select(pii.redact(F.coalesce("text", F.lit("")), F.col("pii"))).collect()] == ["mail [email] or [ip]!", ""]
+
+
+def test_fully_separated_cards(spark):
+    texts = [sep.join("4111111111111111") for sep in " -"] + ["card " + sep.join("4222222222222") for sep in " -"]
+    texts += [sep.join("4111111111111112") for sep in " -"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    assert base_spans(docs) == [brute(t) for t in texts]
+    assert every_span(spark, texts) == [["card:0:31"]] * 2 + [["short_card:5:30"]] * 2 + [[]] * 2
