@@ -2,7 +2,7 @@
 
 Kinds, in their order: ``email``, ``ip`` (parts up to 255), ``card`` (14 to 19
 digits that pass Luhn), ``phone`` (10 to 15 digits after a plus) are the base
-kinds and always kept. The method adds ``iban`` (mod-97), ``short_card`` (12 or
+kinds and always kept. The method adds ``iban`` (mod-97 at its country's length), ``short_card`` (12 or
 13 digits that pass Luhn, next to a card word), ``id_number`` (ddd-dd-dddd next to
 an identity word) and ``local_phone`` (ten grouped digits next to a phone word).
 
@@ -73,7 +73,7 @@ KINDS = (
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+", 0.7, r"phone|call|tel\b|mobile|fax|telefon|teléfono|téléphone"),
     Kind(
         "iban",
-        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[\x20]?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+        r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?:\x20?[A-Z0-9]){11})",
         "",
         0.85,
         r"iban|bank|account|konto|compte|cuenta",
@@ -100,6 +100,22 @@ KINDS = (
         r"phone|call|tel\b|mobile|fax|telefon|teléfono|téléphone",
     ),
 )
+#: Length of an account number by its country.
+IBAN_LENGTHS = {
+    country: int(n)
+    for n, countries in (
+        part.split(":")
+        for part in (
+            "15:NO 16:BE 18:DK,FI,FK,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV "
+            "22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA 23:AE,GI,IL,IQ,OM,SO,TL 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:LY,PT,ST "
+            "26:IS,TR 27:BI,DJ,FR,GR,IT,MC,MR,SM 28:AL,AZ,BY,CY,DO,GT,HN,HU,LB,NI,PL,SV 29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE "
+            "31:MT,SC 32:LC 33:RU"
+        ).split()
+    )
+    for country in countries.split(",")
+}
+#: Most characters of an account number: 34 with a blank between any two.
+_IBAN_SPAN = 67
 BASE = ("email", "ip", "card", "phone")
 SPAN = "struct<start:int,kind:int,end:int,score:double>"
 
@@ -132,6 +148,23 @@ def mod97(span: Column) -> Column:
     return rest == 1
 
 
+def _account(ahead: Column) -> Column:
+    """The account number at the start of a text: the groups up to its country's length that pass mod-97.
+
+    For a country without a known length, the most groups of 15 to 34 characters that pass; null if none do.
+    """
+    groups = F.split(F.regexp_extract(ahead, r"^[A-Z0-9]++(?![a-z])(?:\x20[A-Z0-9]++(?![a-z]))*+", 0), r"\x20")
+    known = F.create_map(*[F.lit(x) for pair in IBAN_LENGTHS.items() for x in pair])
+
+    def passing(g: Column) -> Column:
+        prefixes = F.transform(g, lambda _, i: F.array_join(F.slice(g, 1, i + 1), " "))
+        n = lambda p: F.length(F.replace(p, F.lit(" "), F.lit("")))
+        fits = lambda p: n(p).between(15, 34) & (n(p) == F.coalesce(F.try_element_at(known, F.left(p, F.lit(2))), n(p)))
+        return F.filter(prefixes, lambda p: fits(p) & mod97(p))
+
+    return let(let(groups, passing), lambda found: F.get(found, F.size(found) - 1))
+
+
 def _confirmed(kind: Kind, span: Column) -> Column:
     n = F.length(_digits(span))
     if kind.name == "ip":
@@ -140,8 +173,6 @@ def _confirmed(kind: Kind, span: Column) -> Column:
         return luhn(_digits(span))
     if kind.name == "phone":
         return n.between(10, 15)
-    if kind.name == "iban":
-        return mod97(span)
     return F.lit(True)
 
 
@@ -188,6 +219,29 @@ def _spans(text: Column, number: int, kind: Kind) -> Column:
                 score.alias("score"),
             )
 
+        def account(start: Column, i: Column) -> Column:
+            # the hit is only where a number may start: a run may go on into the next words, and the next number
+            begin = start + F.char_length(F.get(gaps, i))
+
+            def taken(hit: Column) -> Column:
+                end = begin + F.char_length(hit)
+                before = F.substring(text, F.greatest(begin - CONTEXT, F.lit(0)) + 1, F.least(begin, F.lit(CONTEXT)))
+                context = F.lower(F.concat_ws(" ", before, F.substring(text, end + 1, F.lit(CONTEXT))))
+                score = F.lit(kind.prior) + F.when(context.rlike(kind.context), F.lit(BOOST)).otherwise(F.lit(0.0))
+                return F.struct(
+                    begin.cast("int").alias("start"),
+                    F.lit(number).alias("kind"),
+                    end.cast("int").alias("end"),
+                    F.when(hit.isNotNull(), F.least(score, F.lit(1.0))).otherwise(F.lit(0.0)).alias("score"),
+                )
+
+            return let(_account(F.substring(text, begin + 1, F.lit(_IBAN_SPAN + 1))), taken)
+
+        if kind.name == "iban":
+            good = F.filter(F.transform(starts, account), lambda s: s["score"] >= THRESHOLD)
+            end = lambda a: F.coalesce(F.get(a, F.size(a) - 1)["end"], F.lit(0))
+            step = lambda a, s: F.when(s["start"] < end(a), a).otherwise(F.concat(a, F.array(s)))
+            return F.aggregate(good, F.array().cast(f"array<{SPAN}>"), step)
         return F.filter(F.transform(starts, span), lambda s: s["score"] >= THRESHOLD)
 
     none = F.array().cast(f"array<{SPAN}>")

@@ -103,3 +103,20 @@ def test_fully_separated_cards(spark):
     docs = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
     assert base_spans(docs) == [brute(t) for t in texts]
     assert every_span(spark, texts) == [["card:0:31"]] * 2 + [["short_card:5:30"]] * 2 + [[]] * 2
+
+
+def test_account_numbers_before_other_words(spark):
+    tails = ["", " BIC COBADEFFXXX", " BIC: COBADEFFXXX", " Amount 5", " The rest", " 2024 ok", " I will", ", x", " 1234 5678 9012 3456 7890"]
+    texts = [f"IBAN {iban}{tail}" for iban in ("DE89370400440532013000", "DE89 3704 0044 0532 0130 00") for tail in tails]
+    got = every_span(spark, texts)
+    assert [[s for s in spans if s.startswith("iban")] for spans in got] == [["iban:5:27"]] * len(tails) + [["iban:5:32"]] * len(tails)
+    texts = [
+        "AB12 DE89370400440532013000 GB82WEST12345698765432 NO9386011117947",
+        "DE88370400440532013000 BIC",
+        "DE89370400440532013000x",
+        "DE893704004405320130001",
+        "\u00e9\U0001f600 GB82 WEST 1234 5698 7654 32 AND",
+        "Ref XX" + f"{98 - int('370400440532013000' + '333300') % 97:02d}" + "370400440532013000 NEXT",
+    ]
+    got = [[s for s in spans if s.startswith("iban")] for spans in every_span(spark, texts)]
+    assert got == [["iban:5:27", "iban:28:50", "iban:51:66"], [], [], [], ["iban:3:30"], ["iban:4:26"]]
