@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from linefold.llm.common import ship
-from linefold.llm.tokens import _Numbered, slices, vocabulary_path
+from linefold.llm.tokens import Numbered, slices, vocabulary_path
 
 DEFAULT_VOCABULARY = "piece_bpe_32k.model"
 PER_LANGUAGE = 200
@@ -160,11 +160,11 @@ class Scorer:
         self._forget()
 
     def _forget(self) -> None:
-        self._pieces = _Numbered()
+        self._pieces = Numbered()
         self._logs = np.zeros((0, len(self.model.languages) + 1))
 
     def _learn(self, pieces: list[str]) -> None:
-        words = _Numbered()
+        words = Numbered()
         which, counts = array("q"), []
         for p in pieces:
             found = _LETTERS.findall(p.lower())
@@ -236,7 +236,7 @@ def learn(
     chosen = labelled.join(F.broadcast(ranked), ["l", "hi", "ht"]).groupBy("l", "hi", "ht").agg(F.min("t").alias("t"))
     chosen = chosen.select("l", "t").collect()
     languages = sorted({r["l"] for r in chosen})
-    words = _Numbered()
+    words = Numbered()
     seen: dict[tuple[int, int], int] = {}
     for r in sorted(chosen):
         k = languages.index(r["l"])

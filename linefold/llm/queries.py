@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linefold.llm import chat, exact_dedup, fingerprints, jaccard, lang_id, licenses, mixing, packing, pii, token_files
+from linefold.llm import (
+    byte_bpe,
+    chat,
+    exact_dedup,
+    fingerprints,
+    jaccard,
+    lang_id,
+    licenses,
+    mixing,
+    packing,
+    pii,
+    token_files,
+    token_links,
+    turn_trie,
+)
 from linefold.session import scratch_path
 
 
@@ -139,6 +153,22 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Byte-level BPE ids of every document, and the bytes they decode to, as digests."""
+    found = byte_bpe.decode(byte_bpe.encode(_documents(spark, sf_dir)))
+    return found.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_token_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment of two tokenizers over every document, with corpus-wide counts of linked ids."""
+    return token_links.align(_documents(spark, sf_dir))
+
+
+def op13_turn_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of rebuilt conversations."""
+    return turn_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -152,5 +182,8 @@ QUERIES = {
         op8_pack_windows,
         op9_token_files,
         op10_exact_dedup,
+        op11_byte_bpe,
+        op12_token_links,
+        op13_turn_trie,
     )
 }

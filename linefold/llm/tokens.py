@@ -36,7 +36,7 @@ def vocabulary_path(name: str = DEFAULT_VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-class _Numbered(dict):
+class Numbered(dict):
     """Numbers its keys as they are first asked for."""
 
     def __init__(self):
@@ -71,7 +71,7 @@ class WordTokenizer:
         self._forget()
 
     def _forget(self) -> None:
-        self._pieces = _Numbered()
+        self._pieces = Numbered()
         self._ids = array("I")
         self._starts = array("q")
         self._lengths = array("q")

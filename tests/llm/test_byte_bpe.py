@@ -1,0 +1,81 @@
+import base64
+import hashlib
+
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from linefold.llm import byte_bpe, queries
+from linefold.llm.tokens import vocabulary_path
+
+from .conftest import messy_rows
+
+
+@pytest.fixture(scope="module")
+def library():
+    import public_tokenizers
+
+    path = vocabulary_path(byte_bpe.DEFAULT_RANKS)
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+@pytest.fixture(scope="module")
+def words():
+    return byte_bpe.Coder(vocabulary_path(byte_bpe.DEFAULT_RANKS), cache=20)
+
+
+def digests(text, library):
+    ids = library.encode_ordinary(text or "")
+    joined = hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+    return len(ids), joined, hashlib.sha256((text or "").encode()).hexdigest()
+
+
+# letters, digits and marks of several blocks, some that Unicode versions class differently
+ALPHABET = list("ab'sreLl1²½ \t\n\x1c\x85\xa0　é́你՘࢏Ⅷ٣\U00011de0\U0001f600#.-_")
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from(ALPHABET), max_size=40), max_size=4))
+def test_ids_are_those_of_the_library(words, library, texts):
+    ids, at = words.encode_pieces([words.pieces(t) for t in texts])
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [library.encode_ordinary(t) for t in texts]
+    assert ["".join(words.pieces(t)) for t in texts] == texts
+    assert words.decode(ids) == "".join(texts).encode()
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.sampled_from(list("aab's  \n\n1re!é你")), min_size=1, max_size=120), st.integers(4, 20), st.integers(1, 12))
+def test_a_stitch_is_a_boundary_of_the_whole_text(words, text, chunk, overlap):
+    whole = {0, *words.ends(text)}
+    n = -(-len(text) // chunk)
+    found = [
+        byte_bpe.edges(text[p * chunk : (p + 1) * chunk + overlap], p, p == n - 1, words, chunk, overlap) for p in range(n)
+    ]
+    for (_, tail), (head, _) in zip(found, found[1:]):
+        assert set(tail) & set(head) <= whole
+
+
+@pytest.mark.parametrize(("chunk", "overlap"), [(64, 16), (1000, 100), (byte_bpe.CHUNK, byte_bpe.OVERLAP)])
+def test_chunks_of_messy_documents(spark, messy, library, chunk, overlap):
+    found = byte_bpe.decode(byte_bpe.encode(messy, chunk=chunk, overlap=overlap)).collect()
+    got = sorted((str(r["doc_id"]), r["n_tokens"], r["ids_sha256"], hashlib.sha256(bytes(r["decoded"])).hexdigest()) for r in found)
+    assert got == sorted((str(row[0]), *digests(row[1], library)) for row in messy_rows())
+
+
+def test_runs_longer_than_the_overlap(spark, library):
+    texts = ["a" * 5000, " " * 3000 + "b" * 2000 + " end", "x" * 999 + "\n" * 1500 + "'s" * 700, "!" * 1000 + "ll" + "7" * 3000, "ab " * 2000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = byte_bpe.decode(byte_bpe.encode(docs, chunk=500, overlap=40)).collect()
+    assert {r["doc_id"]: (r["n_tokens"], r["ids_sha256"]) for r in found} == {i: digests(t, library)[:2] for i, t in enumerate(texts)}
+
+
+def test_no_documents(nothing):
+    assert byte_bpe.decode(byte_bpe.encode(nothing)).collect() == []
+
+
+def test_query(spark, small, library):
+    got = {r["doc_id"]: tuple(r)[1:] for r in queries.op11_byte_bpe(spark, "/root/testdata/sf0.001").collect()}
+    assert got == {r["doc_id"]: digests(r["text"], library) for r in small.collect()}
