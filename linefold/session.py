@@ -16,6 +16,7 @@ import tempfile
 import uuid
 from functools import cache
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 _SUBDIR = "linefold"
@@ -56,14 +57,18 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 
 
 class HadoopFS:
-    """Tiny driver-side wrapper over Hadoop ``FileSystem`` for one session."""
+    """Tiny driver-side wrapper over Hadoop ``FileSystem`` for one session; counts its calls."""
 
     def __init__(self, spark: SparkSession):
         sc = spark.sparkContext
+        self._gateway = sc._gateway
         self._jvm = sc._jvm
         self._conf = sc._jsc.hadoopConfiguration()
+        #: operations asked for so far
+        self.calls = 0
 
     def _fs(self, path: str):
+        self.calls += 1
         p = self._jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self._conf), p
 
@@ -121,3 +126,39 @@ class HadoopFS:
             return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
+
+    def read_text_or_none(self, path: str) -> str | None:
+        """The content of a small file, None if there is none; one call either way."""
+        try:
+            return self.read_text(path)
+        except Py4JJavaError as e:
+            if isinstance_of(e.java_exception, "java.io.FileNotFoundException", self._jvm):
+                return None
+            raise
+
+    def replace_text(self, path: str, text: str) -> None:
+        """Create or replace a small file in one step: readers see the old content or the new one.
+
+        A new file is renamed over the old one. A store whose file system has no such rename (most object stores)
+        shows a file only when it is complete, so there it is written in place.
+        """
+        hadoop = self._jvm.org.apache.hadoop.fs
+        fresh = f"{path}.{uuid.uuid4().hex[:8]}.tmp"
+        fresh = f"{fresh.rpartition('/')[0]}/.{fresh.rpartition('/')[2]}"  # hidden
+        fs, p = self._fs(path)
+        try:
+            context = hadoop.FileContext.getFileContext(fs.makeQualified(p).toUri(), self._conf)
+        except Py4JJavaError as e:
+            if isinstance_of(e.java_exception, "org.apache.hadoop.fs.UnsupportedFileSystemException", self._jvm):
+                self.write_text(path, text)
+                return
+            raise
+        self.write_text(fresh, text)
+        how = self._gateway.new_array(hadoop.Options.Rename, 1)
+        how[0] = hadoop.Options.Rename.OVERWRITE
+        context.rename(hadoop.Path(fresh), p, how)
+
+
+def isinstance_of(exception, name: str, jvm) -> bool:
+    """Whether a JVM exception is of the class ``name``."""
+    return jvm.java.lang.Class.forName(name).isInstance(exception)

@@ -7,32 +7,30 @@ no rows writes no partition, on the first try and on a replay alike.
 Uncommitted attempts live in a hidden staging folder that readers skip.
 
 ``compact(N)`` keeps the folder short for long-running streams: the rows of
-the batches since the last compaction (with their ``batch_id``) go to one new
-segment, ``_base/upto=N`` (a hidden folder partition discovery skips). Earlier
-segments are never written again. A segment counts once it holds the marker
-file ``_COMMITTED``, which is written last and by this code, so no committer
-setting matters. The partitions a segment covers are deleted by the compaction
-*after* it: a DataFrame read before a compaction stays readable through it.
+the batches since the last compaction (with their ``batch_id``) become a segment (see
+``segments``), hidden from partition discovery. Segments merge by size tiers, so a
+read touches a number of them that grows with the logarithm of the batches, and the state
+of the table is one small file, whatever its history: a write opens it once. The partitions a
+segment covers are deleted by the compaction *after* it: a DataFrame read before a compaction
+stays readable through it.
 
 A table belongs to one stream: the id of the stream's checkpoint is kept in the
-file ``_owner`` (``bind``). A batch at or below the newest segment can only be a
+file ``_owner`` (``bind``). A batch that is in a segment already can only be a
 replay by that stream, whose rows are already there: it is left alone if the
 caller proves to be the owner, and refused otherwise.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from linefold.session import HadoopFS
+from linefold.sinks.segments import FANOUT, Segments
 
 BATCH_COL = "batch_id"
 OWNER_FILE = "_owner"
-COMMITTED = "_COMMITTED"
 
 
 class OwnerError(RuntimeError):
@@ -46,8 +44,7 @@ class Owned:
     _fs: HadoopFS
 
     def owner(self) -> str | None:
-        file = f"{self.path}/{OWNER_FILE}"
-        return self._fs.read_text(file) if self._fs.exists(file) else None
+        return self._fs.read_text_or_none(f"{self.path}/{OWNER_FILE}")
 
     def bind(self, owner: str) -> None:
         """Give the folder to the stream ``owner``; an error if it belongs to another."""
@@ -58,19 +55,14 @@ class Owned:
             raise OwnerError(f"{self.path} belongs to the stream {now}, not to {owner}")
 
 
-def committed_upto(fs: HadoopFS, base_dir: str) -> list[int]:
-    """``N`` of the folders ``upto=N`` of ``base_dir`` that are complete, ascending."""
-    found = [int(d[len("upto="):]) for d in fs.list_dirs_all(base_dir) if d.startswith("upto=")]
-    return sorted(n for n in found if fs.exists(f"{base_dir}/upto={n}/{COMMITTED}"))
-
-
 class BatchTable(Owned):
-    def __init__(self, spark: SparkSession, path: str, schema: StructType, batch_col: str = BATCH_COL):
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, batch_col: str = BATCH_COL, *, fanout: int = FANOUT):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
         self.batch_col = batch_col
         self._fs = HadoopFS(spark)
+        self.segments = Segments(spark, self.path, self.read_schema, self._fs, fanout=fanout)
 
     @property
     def read_schema(self) -> StructType:
@@ -78,7 +70,7 @@ class BatchTable(Owned):
 
     def write(self, df: DataFrame, batch_id: int, owner: str | None = None) -> None:
         """Replace batch ``batch_id``. ``owner`` (a checkpoint id) proves that an already compacted one is a replay."""
-        upto = self._base_upto()
+        upto = self.segments.upto()
         if upto is not None and batch_id <= upto:
             if owner is None or owner != self.owner():
                 raise OwnerError(f"batch {batch_id} of {self.path} is compacted (up to {upto}) and this is no proven replay")
@@ -92,17 +84,6 @@ class BatchTable(Owned):
             .parquet(self.path)
         )
 
-    @property
-    def base_dir(self) -> str:
-        return f"{self.path}/_base"
-
-    def segments(self) -> list[int]:
-        """The newest batch of each segment, ascending."""
-        return committed_upto(self._fs, self.base_dir)
-
-    def _base_upto(self) -> int | None:
-        return max(self.segments(), default=None)
-
     def _partitions(self) -> list[int]:
         """Batch ids that have a partition folder (no data scan)."""
         prefix = f"{self.batch_col}="
@@ -110,11 +91,11 @@ class BatchTable(Owned):
 
     def batch_ids(self) -> list[int]:
         """Batch ids that are in no segment yet."""
-        upto = self._base_upto()
+        upto = self.segments.upto()
         return [b for b in self._partitions() if upto is None or b > upto]
 
     def is_empty(self) -> bool:
-        return not self._partitions() and self._base_upto() is None
+        return self.segments.upto() is None and not self._partitions()
 
     def partitions_of(self, batch_ids: list[int]) -> DataFrame:
         """Rows of the given batches, from their partitions alone."""
@@ -123,30 +104,38 @@ class BatchTable(Owned):
             return self.spark.createDataFrame([], self.read_schema)
         return self.spark.read.schema(self.read_schema).option("basePath", self.path).parquet(*folders)
 
-    def read(self) -> DataFrame:
-        """All rows with their ``batch_id``."""
-        segments = [self.spark.read.schema(self.read_schema).parquet(f"{self.base_dir}/upto={n}") for n in self.segments()]
-        return reduce(DataFrame.unionByName, segments, self.partitions_of(self.batch_ids()))
+    def read(self, first: int | None = None, last: int | None = None) -> DataFrame:
+        """All rows with their ``batch_id``, or those of the batches ``first..last``: other segments and partitions stay unread."""
+        low, high = first if first is not None else 0, last if last is not None else (1 << 63) - 1
+        state = self.segments.manifest()
+        segments = tuple(s for s in state.segments if s.first <= high and s.upto >= low)
+        live = [b for b in self._partitions() if (state.upto is None or b > state.upto) and low <= b <= high]
+        rows = self.partitions_of(live)
+        if segments:
+            rows = rows.unionByName(self.segments.read(segments))
+        if first is None and last is None:
+            return rows
+        return rows.filter(F.col(self.batch_col).between(low, high))
 
     def latest(self) -> DataFrame:
         """Rows of the newest batch that has rows (e.g. the current running total)."""
         live = self.batch_ids()
         if live:
             return self.partitions_of(live[-1:])
-        # everything is in segments: the newest batch (a one-row aggregate)
-        df = self.read()
-        newest = df.agg(F.max(self.batch_col).alias(self.batch_col))
-        return df.join(F.broadcast(newest), on=self.batch_col, how="left_semi")
+        # the newest segment that has rows
+        for segment in reversed(self.segments.manifest().segments):
+            rows = self.segments.read((segment,))
+            newest = rows.agg(F.max(self.batch_col)).first()[0]
+            if newest is not None:
+                return rows.filter(F.col(self.batch_col) == newest)
+        return self.spark.createDataFrame([], self.read_schema)
 
     def compact(self, upto: int) -> None:
-        """Write the rows of the batches since the last segment to a new one; drop what the last one covers."""
-        before = self._base_upto()
+        """Move the rows of the batches since the last compaction into segments; drop what the last one superseded."""
+        before = self.segments.upto()
         if before is not None and upto <= before:
             return
-        rows = self.partitions_of([b for b in self.batch_ids() if b <= upto])
-        target = f"{self.base_dir}/upto={int(upto)}"
-        rows.write.mode("overwrite").parquet(target)
-        self._fs.write_text(f"{target}/{COMMITTED}", "")
+        self.segments.add(self.partitions_of([b for b in self.batch_ids() if b <= upto]), int(upto))
         if before is not None:
             self.drop_batches(before)
 

@@ -6,38 +6,56 @@ A replayed batch overwrites its own partition, so a stopped, restarted or
 replayed stream gives the same totals as one batch job over the same lines.
 Nothing expires: an old day that shows up again is simply added to.
 
-Compaction keeps the ledger short: ``compact(N)`` writes the totals of all
-batches ``<= N`` to ``base/upto=N`` and, last, its marker ``_COMMITTED``.
-Readers take the newest base with that marker plus the ledger partitions
-``> N``, so a compaction that dies half way is invisible. What a base covers
-is deleted only by the next compaction, so a summary read before a compaction
-stays readable through it. ``N`` must stay below the newest batch that may
+Compaction keeps the ledger short: ``compact(N)`` moves the partial sums of the batches
+up to ``N`` into segments (see ``segments``), which merge by size tiers, a key's counts
+added up. Sums are additive, so a compaction reads only the batches since the last one and the
+segments it merges, never the whole history, and one that dies half way is invisible. What a
+compaction supersedes is deleted only by the next one, so a summary read before a
+compaction stays readable through it. ``N`` must stay below the newest batch that may
 still be replayed (the one being written).
 
+Segments are partitioned by the first key (a day, as a rule; a key with very many values
+makes very many folders). ``read(days=...)`` opens the folders of those days alone, so
+what it costs to bring a few days up to date does not grow with the history.
+
 A ledger belongs to one stream, named by its checkpoint's id in ``_owner``; see
 ``BatchTable`` for what that proves.
 
 Layout under ``path``::
 
-    _owner                                    id of the stream's checkpoint
-    ledger/batch_id=<N>/part-*.parquet        keys..., count
-    base/upto=<N>/part-*.parquet, _COMMITTED  keys..., count
+    _owner                                             id of the stream's checkpoint
+    _manifest                                          which segments count
+    ledger/batch_id=<N>/part-*.parquet                 keys..., count
+    _segments/<name>/_first=<first key>/part-*.parquet keys..., count
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from linefold.session import HadoopFS
-from linefold.sinks.batch_table import COMMITTED, BatchTable, Owned, OwnerError, committed_upto
+from linefold.sinks.batch_table import BatchTable, Owned, OwnerError
+from linefold.sinks.segments import FANOUT, Segments
+
+#: The segments' partition column: ``v`` and the first key, ``n`` for a null one.
+FIRST = "_first"
+#: Days (values of the first key) that are pruned by name; more are found by a join.
+DAYS = 1000
+
+
+def among(column: str, values: Sequence[str | None]) -> Column:
+    """Whether a column has one of the values (null is one)."""
+    some = [v for v in values if v is not None]
+    found = F.col(column).isin(some) if some else F.lit(False)
+    return found | F.col(column).isNull() if None in values else found
 
 
 class SummaryLedger(Owned):
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], count_col: str = "count"):
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str], count_col: str = "count", *, fanout: int = FANOUT):
         self.spark = spark
         self.path = path.rstrip("/")
         self.keys = list(keys)
@@ -46,55 +64,66 @@ class SummaryLedger(Owned):
             [StructField(k, StringType(), True) for k in self.keys] + [StructField(count_col, LongType(), True)]
         )
         self.ledger = BatchTable(spark, f"{self.path}/ledger", self.schema)
-        self.base_path = f"{self.path}/base"
         self._fs = HadoopFS(spark)
+        stored = StructType([*self.schema.fields, StructField(FIRST, StringType(), True)])
+        self.segments = Segments(spark, self.path, stored, self._fs, partition=FIRST, fanout=fanout)
 
     # -- writing -------------------------------------------------------------
     def fold(self, counts: DataFrame, batch_id: int, owner: str | None = None) -> None:
         """Record one batch's counts (``keys..., count``) as batch ``batch_id``.
 
-        A batch that a base covers already is refused unless ``owner`` proves it to be a replay.
+        A batch that is in a segment already is refused unless ``owner`` proves it to be a replay.
         """
-        upto = self._base_upto()
+        upto = self.segments.upto()
         if upto is not None and batch_id <= upto:
             if owner is None or owner != self.owner():
-                raise OwnerError(f"batch {batch_id} of {self.path} is in the base (up to {upto}) and this is no proven replay")
+                raise OwnerError(f"batch {batch_id} of {self.path} is in segments (up to {upto}) and this is no proven replay")
             return
         self.ledger.write(counts, batch_id)
 
     def compact(self, upto: int) -> None:
-        """Fold batches ``<= upto`` into a new base; drop what the base before it covers."""
-        before = self._base_upto()
+        """Move batches ``<= upto`` into segments; drop what the last compaction superseded."""
+        before = self.segments.upto()
         if before is not None and upto <= before:
             return
-        target = f"{self.base_path}/upto={int(upto)}"
-        self._totals(upto_batch=upto).write.mode("overwrite").parquet(target)
-        self._fs.write_text(f"{target}/{COMMITTED}", "")
+        rows = self.ledger.partitions_of([b for b in self.batch_ids() if b <= upto])
+        stored = [*self.keys, self.count_col, FIRST]
+        self.segments.add(
+            rows.withColumn(FIRST, F.lit(None).cast("string")).select(*stored),
+            int(upto),
+            # a folder's name cannot be empty or null, so it is marked, and the keys stay in the rows
+            lambda df: self._summed(df).withColumn(FIRST, F.coalesce(F.concat(F.lit("v"), self.keys[0]), F.lit("n"))).select(*stored),
+        )
         if before is not None:
-            for name in self._fs.list_dirs_all(self.base_path):
-                if name not in (f"upto={before}", f"upto={int(upto)}"):
-                    self._fs.delete(f"{self.base_path}/{name}")
             self.ledger.drop_batches(before)
 
     # -- reading -------------------------------------------------------------
-    def _base_upto(self) -> int | None:
-        return max(committed_upto(self._fs, self.base_path), default=None)
-
-    def _parts(self, upto_batch: int | None = None) -> DataFrame:
-        base_upto = self._base_upto()
-        cols = [*self.keys, self.count_col]
-        parts = self.ledger.partitions_of([b for b in self.batch_ids() if upto_batch is None or b <= upto_batch]).select(*cols)
-        if base_upto is not None:
-            base = self.spark.read.schema(self.schema).parquet(f"{self.base_path}/upto={base_upto}")
-            parts = parts.unionByName(base.select(*cols))
-        return parts
+    def _summed(self, parts: DataFrame) -> DataFrame:
+        return parts.groupBy(*self.keys).agg(F.sum(self.count_col).alias(self.count_col))
 
-    def _totals(self, upto_batch: int | None = None) -> DataFrame:
-        return self._parts(upto_batch).groupBy(*self.keys).agg(F.sum(self.count_col).alias(self.count_col))
+    def read(self, days: Sequence[str | None] | DataFrame | None = None) -> DataFrame:
+        """The summary: one row per key, ``keys..., count BIGINT``.
 
-    def read(self) -> DataFrame:
-        """The summary: one row per key, ``keys..., count BIGINT``."""
-        return self._totals()
+        ``days`` keeps the keys whose first one is among these values, or in the first column of a DataFrame.
+        """
+        live = self.ledger.partitions_of(self.batch_ids())
+        base = self.segments.read()
+        if isinstance(days, DataFrame):
+            values = self.day_values(days)
+            if values is None:
+                wanted = days.select(F.col(days.columns[0]).alias("_wanted")).distinct()
+                live, base = (df.join(wanted, F.col(self.keys[0]).eqNullSafe(F.col("_wanted")), "left_semi") for df in (live, base))
+                return self._summed(live.select(*self.keys, self.count_col).unionByName(base.select(*self.keys, self.count_col)))
+            days = values
+        if days is not None:
+            folders = ["n" if d is None else f"v{d}" for d in days]
+            live, base = live.filter(among(self.keys[0], days)), base.filter(among(FIRST, folders))
+        return self._summed(live.select(*self.keys, self.count_col).unionByName(base.select(*self.keys, self.count_col)))
+
+    def day_values(self, rows: DataFrame) -> list[str | None] | None:
+        """The distinct values of the first column of ``rows``; None if there are more than ``DAYS``."""
+        found = [r[0] for r in rows.select(rows.columns[0]).distinct().limit(DAYS + 1).collect()]
+        return found if len(found) <= DAYS else None
 
     def read_compat(self) -> DataFrame:
         """The summary with ``count`` as a string, the original table layout."""
@@ -111,13 +140,13 @@ class SummaryLedger(Owned):
         return df
 
     def batch_ids(self) -> list[int]:
-        """Batches that no base covers yet."""
-        upto = self._base_upto()
+        """Batches that are in no segment yet."""
+        upto = self.segments.upto()
         return [b for b in self.ledger.batch_ids() if upto is None or b > upto]
 
     def batch(self, batch_id: int) -> DataFrame:
-        """The counts of one batch that no base covers yet (none: no rows)."""
+        """The counts of one batch that is in no segment yet (none: no rows)."""
         return self.ledger.partitions_of([b for b in self.batch_ids() if b == batch_id]).select(*self.keys, self.count_col)
 
     def is_empty(self) -> bool:
-        return self.ledger.is_empty() and self._base_upto() is None
+        return self.segments.upto() is None and self.ledger.is_empty()

@@ -24,7 +24,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from linefold.functions.split import sql_str
 from linefold.operators.summary import rollup_counts
+from linefold.sinks.ledger import among
 
 
 def _q(name: str) -> str:
@@ -87,29 +89,41 @@ class SummaryTable:
     def refill_from_staging(self) -> None:
         self._insert(self.table, self.spark.table(self.staging))
 
-    def replace_days(self, summary: DataFrame, touched: DataFrame) -> None:
+    def replace_days(self, summary: DataFrame, touched: DataFrame | Sequence[str | None]) -> None:
         """Overwrite the partitions of the days (values of the first key) in ``touched`` with ``summary``'s rows of them.
 
         For a table made with ``by_day``: other days' files stay as they are, so a batch costs its own days and not
-        the whole history. ``summary`` must not read this table; one derived from the ledger qualifies. Each day is
-        swapped by itself: a reader may see one day already replaced and the next one not yet.
+        the whole history. ``summary`` must not read this table; one derived from the ledger qualifies, best already
+        pruned to the days (``ledger.read(days)``). Each day is swapped by itself: a reader may see one day already
+        replaced and the next one not yet. How partitions are overwritten is an option of this write alone.
         """
         if not self.by_day:
             raise ValueError(f"{self.table} is not partitioned by {self.keys[0]}")
         self.create()
         day = self.keys[0]
-        days = touched.select(day).distinct()
-        if days.isEmpty():
+        if isinstance(touched, DataFrame):
+            days = touched.select(day).distinct()
+            if days.isEmpty():
+                return
+            rows = summary.join(days, summary[day].eqNullSafe(days[day]), "left_semi")
+        elif touched:
+            rows = summary.filter(among(day, touched))
+        else:
             return
-        rows = summary.join(days, summary[day].eqNullSafe(days[day]), "left_semi")
         rows = rows.select(*self.keys[1:], F.col(self.count_col).cast(self.count_type).alias(self.count_col), day)
-        conf, mode = summary.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
-        before = conf.get(mode)
-        conf.set(mode, "dynamic")
-        try:
-            rows.write.insertInto(self.table, overwrite=True)  # by position: the partition column is last
-        finally:
-            conf.set(mode, before)
+        # an insert into the table would take the mode from the session; a write to its files takes it as an option
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(day).parquet(self.location())
+        if isinstance(touched, DataFrame) or not all(touched):
+            self.spark.sql(f"ALTER TABLE {_q(self.table)} RECOVER PARTITIONS")
+        else:
+            parts = " ".join(f"PARTITION (`{day}`={sql_str(d)})" for d in touched)
+            self.spark.sql(f"ALTER TABLE {_q(self.table)} ADD IF NOT EXISTS {parts}")
+        self.spark.catalog.refreshTable(self.table)
+
+    def location(self) -> str:
+        """The folder of the table's files."""
+        found = self.spark.sql(f"DESCRIBE TABLE EXTENDED {_q(self.table)}").filter("col_name = 'Location'").first()
+        return found["data_type"]
 
     # T5, T6
     def truncate(self) -> None:

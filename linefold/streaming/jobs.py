@@ -144,7 +144,7 @@ def fold_batch(
 
     ``mirror_table`` (optional) is a catalog table in the original layout, kept
     equal to the ledger's summary: after each batch, the partitions of the days
-    that the batch touched are overwritten from the ledger. Being re-derived
+    that the batch touched are overwritten from those days of the ledger. Being re-derived
     from the exact ledger, it never counts a replayed batch twice. ``show_rows``
     prints that many rows of the updated summary (T11); it reads the whole
     summary, so it is off by default.
@@ -158,7 +158,12 @@ def fold_batch(
     if range_sink is not None:
         range_sink.write(offset_ranges(batch), batch_id, owner)
     if mirror_table is not None:
-        mirror_table.replace_days(ledger.read(), ledger.batch(batch_id))
+        touched = ledger.batch(batch_id)
+        days = ledger.day_values(touched)
+        if days is None:
+            mirror_table.replace_days(ledger.read(touched), touched)
+        elif days:
+            mirror_table.replace_days(ledger.read(days), days)
     if _compact_due(batch_id, compact_every):
         for out in (ledger, *sinks):
             out.compact(batch_id - 1)

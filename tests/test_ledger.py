@@ -62,9 +62,11 @@ def test_compaction_keeps_totals(spark, scratch):
     led.compact(4)
     before[("d1", "a")] += 100
     assert as_dict(led.read()) == before
-    # a compaction that died before its marker is ignored, whatever the committer left
-    counts(spark, [("d1", "a", 999)]).write.parquet(f"{scratch}/base/upto=9")
+    # a compaction that died before its commit is ignored, whatever the committer left, and cleared by the next one
+    counts(spark, [("d1", "a", 999)]).write.parquet(f"{scratch}/_segments/000000000009-dead/_first=vd1")
     assert as_dict(led.read()) == before
+    led.compact(5)
+    assert as_dict(led.read()) == before and led.segments.leftovers() == []
 
 
 def test_compacted_batches_take_proven_replays_only(spark, scratch):
@@ -105,26 +107,8 @@ def test_a_held_read_survives_a_compaction(spark, scratch):
         held = led.read()
         led.compact(b)
         assert as_dict(held) == as_dict(led.read()) == {("d1", "a"): sum(range(b + 1))}
-    assert len(HadoopFS(spark).list_dirs_all(f"{scratch}/base")) == 2  # the newest, and the one before for readers
-
-
-def test_segments_are_written_once(spark, scratch):
-    from pyspark.sql.types import LongType, StructField, StructType
-
-    t = BatchTable(spark, scratch, StructType([StructField("n", LongType())]))
-    fs = HadoopFS(spark)
-    first = None
-    for b in range(6):
-        t.write(spark.createDataFrame([(b,)], "n bigint"), b)
-        if b % 2:
-            t.compact(b)
-            files = fs.list_files(f"{scratch}/_base/upto=1")
-            first = first or files
-            assert files == first
-    assert t.segments() == [1, 3, 5]
-    assert sorted(r["n"] for r in t.read().collect()) == list(range(6))
-    rows = spark.read.parquet(f"{scratch}/_base/upto=3")
-    assert sorted(r["n"] for r in rows.collect()) == [2, 3]
+    assert led.segments.leftovers() == []
+    assert len(HadoopFS(spark).list_dirs(f"{scratch}/ledger")) == 1  # of the newest compaction, for readers
 
 
 def test_compat_read_is_string(spark, scratch):

@@ -53,10 +53,47 @@ def test_ledger_read_prunes_batches(spark, scratch):
         led.fold(spark.createDataFrame([("d", "a", 1)], "d string, a string, count bigint"), b)
     led.compact(1)
     plan = physical(led.read())
-    assert "ledger/batch_id=2" in plan and "batch_id=0" not in plan and "upto=1" in plan
+    assert "ledger/batch_id=2" in plan and "batch_id=0" not in plan and "_segments/0" in plan
     assert "partial_sum" in plan
 
 
+def files_read(df):
+    """Files that the scans of an executed plan opened."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    if "AdaptiveSparkPlan" in plan.nodeName():
+        plan = plan.executedPlan()
+    total, waiting = 0, [plan]
+    while waiting:
+        node = waiting.pop()
+        if node.metrics().contains("numFiles"):
+            total += node.metrics().apply("numFiles").value()
+        children = node.children()
+        waiting += [children.apply(i) for i in range(children.size())]
+        if "QueryStage" in node.nodeName():
+            waiting.append(node.plan())
+    return total
+
+
+def test_a_few_days_are_read_from_their_own_files(spark, scratch):
+    """Neither a read of days nor a compaction opens the files of the other days' history."""
+    led = SummaryLedger(spark, scratch, ["d", "a"])
+    for b in range(6):
+        rows = [(f"d{i}", "a", 1) for i in range(b * 10, b * 10 + 10)] + [("d3", "b", 1)]
+        led.fold(spark.createDataFrame(rows, "d string, a string, count bigint"), b)
+        led.compact(b)
+    whole, some = led.read(), led.read(["d3", "d25"])
+    assert len(led.segments.manifest().segments) == 6
+    assert files_read(whole) >= 60 and files_read(some) <= 7
+    assert "PartitionFilters: [_first" in physical(some)
+    assert {tuple(r) for r in some.collect()} == {("d3", "a", 1), ("d3", "b", 6), ("d25", "a", 1)}
+    # what a compaction reads: the batches since the last one, and the segments it merges (none here)
+    led.fold(spark.createDataFrame([("d59", "a", 1)], "d string, a string, count bigint"), 6)
+    kept = {s.name for s in led.segments.manifest().segments}
+    led.compact(6)
+    assert kept < {s.name for s in led.segments.manifest().segments}
+
+
 def test_topic_filter_is_below_the_numbering(spark):
     """Other topics are dropped before the window's exchange, and lines rendered after it."""
     from linefold.plans.catalog import q_topic_subscribe
