@@ -46,8 +46,8 @@ DEFAULT_RANKS = "byte_bpe_multi_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Characters of a chunk, and how many of the next chunk's it holds besides.
 CHUNK, OVERLAP = 32_768, 512
-#: Distinct pre-tokens that a worker remembers.
-CACHE = 300_000
+#: Distinct pre-tokens that a worker remembers, and characters it encodes at a time.
+CACHE, SLICE = 150_000, 1_000_000
 
 #: Texts below this code point are scanned with the classes of these characters alone, which is faster.
 LATIN = 0x250
@@ -102,35 +102,32 @@ class PieceMemo:
         return ids, np.concatenate([[0], np.cumsum(lengths)])[counts]
 
 
+def read_ranks(path: str) -> dict[bytes, int]:
+    """Pieces and ranks of a rank file."""
+    with open(path, "rb") as f:
+        return {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, f)}
+
+
 class Coder:
-    """Pre-tokens, ids and bytes by one rank file."""
+    """Pre-tokens and ids by one rank file."""
 
     def __init__(self, path: str, cache: int = CACHE):
         import tiktoken
 
-        with open(path, "rb") as f:
-            ranks = {base64.b64decode(piece): int(rank) for piece, rank in map(bytes.split, f)}
-
-        def library(pattern: str):
+        def library(pattern: str, ranks: dict[bytes, int]):
             return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
-        encode = library(PATTERN).encode_ordinary
+        encode = library(PATTERN, read_ranks(path)).encode_ordinary
         self._memo = PieceMemo(lambda pieces: list(map(encode, pieces)), cache)
         self.encode_pieces = self._memo.encode
-        every = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000))))
+        every = np.concatenate([np.arange(0xD800), np.arange(0xE000, 0x110000)]).astype("<u4").tobytes().decode("utf-32-le")
         classes = []
         for pattern in (r"\p{L}", r"\p{N}", r"\s"):
-            of_class = library(pattern)
+            of_class = library(pattern, {bytes([i]): i for i in range(256)})
             classes.append(list(map(ord, of_class.decode(of_class.encode_ordinary(every)))))
         self._find = scanner(*classes)
         self._find_latin = scanner(*([c for c in points if c < LATIN] for points in classes))
         self._is_latin = re.compile(f"[\\0-{chr(LATIN - 1)}]*").fullmatch
-        pieces = [b""] * (max(ranks.values()) + 1)
-        for piece, rank in ranks.items():
-            pieces[rank] = piece
-        self._lengths = np.array([len(p) for p in pieces], dtype=np.int64)
-        self._starts = np.cumsum(self._lengths) - self._lengths
-        self._bytes = np.frombuffer(b"".join(pieces), dtype=np.uint8)
 
     def pieces(self, text: str) -> list[str]:
         """The pre-tokens of a text; together they are the text."""
@@ -140,20 +137,33 @@ class Coder:
         """Where the pre-tokens of a text end."""
         return np.cumsum([len(p) for p in self.pieces(text)], dtype=np.int64).tolist()
 
+
+class Decoder:
+    """Bytes of the ids of one rank file."""
+
+    def __init__(self, path: str):
+        ranks = read_ranks(path)
+        pieces = [b""] * (max(ranks.values()) + 1)
+        for piece, rank in ranks.items():
+            pieces[rank] = piece
+        self._lengths = np.array([len(p) for p in pieces], dtype=np.int64)
+        self._starts = np.cumsum(self._lengths) - self._lengths
+        self._bytes = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes of the ids, one after another."""
         return self._bytes[ragged(self._starts[ids], self._lengths[ids])].tobytes()
 
 
-_LOADED: dict[str, Coder] = {}
+_LOADED: dict[tuple[type, str], Coder | Decoder] = {}
 
 
-def coder(path: str) -> Coder:
-    """The worker's coder for a rank file."""
-    if path not in _LOADED:
+def loaded(kind: type, path: str) -> Coder | Decoder:
+    """The worker's coder or decoder for a rank file."""
+    if (kind, path) not in _LOADED:
         _LOADED.clear()
-        _LOADED[path] = Coder(path)
-    return _LOADED[path]
+        _LOADED[kind, path] = kind(path)
+    return _LOADED[kind, path]
 
 
 def _encoded(keys: list, lists: list[list[str]], words: Coder) -> pa.RecordBatch:
@@ -195,7 +205,7 @@ def _long(docs: DataFrame, path: str, chunk: int, overlap: int) -> DataFrame:
                 row += 1
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = coder(path)
+        words = loaded(Coder, path)
         for batch in batches:
             rows, parts, sizes = (batch.column(c).to_pylist() for c in ("row", "part", "n_chars"))
             found = [
@@ -207,7 +217,7 @@ def _long(docs: DataFrame, path: str, chunk: int, overlap: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["row", "part", "head", "tail"])
 
     def encode_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = coder(path)
+        words = loaded(Coder, path)
         for batch in batches:
             for r in batch.to_pylist():
                 texts = [c["text"] for c in r["chunks"]]
@@ -278,10 +288,10 @@ def encode(
     path = ranks or vocabulary_path(DEFAULT_RANKS)
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = coder(path)
-        for batch in batches:
+        words = loaded(Coder, path)
+        for batch in (some.slice(i, 500) for some in batches for i in range(0, some.num_rows, 500)):
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in slices(texts):
+            for a, b in slices(texts, SLICE):
                 yield _encoded(ids[a:b], [words.pieces(t) for t in texts[a:b]], words)
 
     ship(docs.sparkSession)
@@ -298,14 +308,14 @@ def decode(tokens: DataFrame, ranks: str | None = None) -> DataFrame:
     path = ranks or vocabulary_path(DEFAULT_RANKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = coder(path)
+        words = loaded(Decoder, path)
         for batch in batches:
             keys, packed = batch.column(0).to_pylist(), batch.column(1)
-            for i in range(0, len(keys), 512):
-                ids = [np.frombuffer(x.as_py() or b"", "<u4") for x in packed[i : i + 512]]
+            for i in range(0, len(keys), 256):
+                ids = [np.frombuffer(x.as_py() or b"", "<u4") for x in packed[i : i + 256]]
                 digests = [hashlib.sha256(",".join(map(str, x.tolist())).encode()).hexdigest() for x in ids]
                 columns = [
-                    pa.array(keys[i : i + 512], pa.int64()),
+                    pa.array(keys[i : i + 256], pa.int64()),
                     pa.array([len(x) for x in ids], pa.int64()),
                     pa.array(digests, pa.string()),
                     pa.array([words.decode(x) for x in ids], pa.binary()),
