@@ -13,17 +13,20 @@ of JSON; convert with any HOCON tool), with the sections ``input``,
     python -m linefold.cli total   --config job.json --out /shared/totals --checkpoint /shared/ckpt3 SOURCE ...
     python -m linefold.cli archive --config job.json --out /shared/archive --checkpoint /shared/ckpt4 SOURCE ...
 
-SOURCE is ``--lines DIR`` (``--max-files``, ``--clean-source``) or ``--kafka``
+    python -m linefold.cli ranges  --checkpoint /shared/ckpt --out /shared/ranges
+
+SOURCE is ``--lines DIR`` (``--max-files``, ``--clean-source``), ``--kafka``
 (``--from-offsets '{"topic": {"0": 17}}'``, ``--max-offsets``; other options of
-the source in the config's ``kafka.options``).
+the source in the config's ``kafka.options``), or ``--landed DIR``, the config's topics as ``sources.landed`` keeps them.
 
 ``batch`` counts the lines once and writes the whole summary to ``--out``.
 ``stream`` folds every micro-batch into the ledger at ``--summary`` until
 stopped (``--once``: until the input available now is consumed; ``--timeout``:
-for that many seconds). ``show`` writes the summary the ledger holds to
+for that many seconds). ``--takeover`` goes on with a ledger whose checkpoint was lost, from the
+offsets it holds; ``--checkpoint`` is a new one then. ``show`` writes the summary the ledger holds to
 ``--out``; without it, and wherever ``--show`` is given, rows are only printed
 for a look. ``counts`` and ``total`` keep rows per batch and the running total,
-``archive`` the raw lines. The session comes from ``spark-submit`` / the
+``archive`` the raw lines; ``ranges`` writes the offset ranges of the batches in a checkpoint's log. The session comes from ``spark-submit`` / the
 environment; nothing global is set.
 """
 
@@ -42,7 +45,8 @@ from linefold.sinks.batch_table import BatchTable
 from linefold.sinks.ledger import SummaryLedger
 from linefold.sinks.tables import SummaryTable
 from linefold.sources.kafka import kafka_lines, kafka_stream
-from linefold.sources.lines import read_lines, stream_lines
+from linefold.sources.landed import landed_stream
+from linefold.sources.lines import read_lines, record_values, stream_lines
 from linefold.streaming.jobs import (
     COUNT_SCHEMA,
     RANGE_SCHEMA,
@@ -54,6 +58,7 @@ from linefold.streaming.jobs import (
     start_running_total,
     start_summary_stream,
 )
+from linefold.streaming.offset_log import log_ranges
 
 
 def load_config(path: str) -> dict:
@@ -87,7 +92,8 @@ def _add_stream_options(p: argparse.ArgumentParser) -> None:
     src = p.add_mutually_exclusive_group(required=True)
     src.add_argument("--lines", help="folder of text files")
     src.add_argument("--kafka", action="store_true", help="the topics of the config")
-    p.add_argument("--from-offsets", help="with --kafka: JSON of topic, partition and first offset; only those are read")
+    src.add_argument("--landed", help="folder of landed records of the config's topics")
+    p.add_argument("--from-offsets", help="with --kafka or --landed: JSON of topic, partition and first offset; only those are read")
     p.add_argument("--max-offsets", type=int, help="with --kafka: records of a micro-batch at most")
     p.add_argument("--max-files", type=int, help="with --lines: files of a micro-batch at most")
     p.add_argument("--clean-source", choices=("archive", "delete", "off"), help="with --lines: what becomes of read files")
@@ -99,16 +105,22 @@ def _add_stream_options(p: argparse.ArgumentParser) -> None:
     end.add_argument("--timeout", type=float, help="stop after this many seconds")
 
 
-def source_of(spark: SparkSession, conf: dict, args: argparse.Namespace, records: bool = False) -> DataFrame:
-    """The stream that the options name; with ``records``, with Kafka's columns."""
+def source_of(
+    spark: SparkSession, conf: dict, args: argparse.Namespace, records: bool = False, starts: dict | None = None
+) -> DataFrame:
+    """The stream that the options name; with ``records``, with Kafka's columns. ``starts`` is where one without given offsets begins."""
+    starts = offsets_of(args.from_offsets) or starts
+    if args.landed:
+        stream = landed_stream(spark, args.landed, KafkaSpec.from_dict(conf["kafka"]), starts)
+        return stream if records else record_values(stream)
     if args.kafka:
         spec = KafkaSpec.from_dict(conf["kafka"])
         if args.max_offsets:
             spec = replace(spec, extra={**spec.extra, "maxOffsetsPerTrigger": args.max_offsets})
         stream = kafka_stream if records else kafka_lines
-        return stream(spark, spec, offsets_of(args.from_offsets))
+        return stream(spark, spec, starts)
     if records:
-        raise SystemExit("--ranges needs --kafka")
+        raise SystemExit("--ranges and --takeover need --kafka or --landed")
     return stream_lines(
         spark, args.lines, max_files_per_trigger=args.max_files,
         clean_source=args.clean_source, source_archive_dir=args.source_archive,
@@ -127,7 +139,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     _add_stream_options(s)
     s.add_argument("--summary", required=True)
     s.add_argument("--rejects", help="folder for the lines that cannot be parsed")
-    s.add_argument("--ranges", help="folder for each batch's offset ranges (with --kafka)")
+    s.add_argument("--ranges", help="folder for each batch's offset ranges (with --kafka or --landed)")
+    s.add_argument("--takeover", action="store_true", help="go on after a lost checkpoint (with --kafka or --landed)")
     s.add_argument("--show", type=int, help="print this many summary rows after each batch")
     s.add_argument("--mirror-table", action="store_true",
                    help="keep the configured catalog table equal to the summary, by day")
@@ -143,8 +156,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         p.add_argument("--out", required=True, help="folder for the result")
         if name == "archive":
             p.add_argument("--format", choices=("parquet", "text"), default="parquet")
+    o = sub.add_parser("ranges", help="write the offset ranges of the batches in a checkpoint's log")
+    o.add_argument("--checkpoint", required=True)
+    o.add_argument("--out", required=True)
     args = ap.parse_args(argv)
 
+    if args.cmd == "ranges":
+        spark = spark or SparkSession.builder.appName("linefold").getOrCreate()
+        log_ranges(spark, args.checkpoint).write.parquet(args.out)
+        return 0
     conf = load_config(args.config)
     log, summary = specs(conf)
     spark = spark or SparkSession.builder.appName(conf.get("application", {}).get("appName", "linefold")).getOrCreate()
@@ -181,9 +201,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         query = start_archive(source_of(spark, conf, args), args.out, args.checkpoint, fmt=args.format, **how)
     else:
         mirror = SummaryTable(spark, summary.table, summary.keys, count_col=summary.count_col, by_day=True)
+        ledger = SummaryLedger(spark, args.summary, summary.keys, summary.count_col)
+        # offsets are kept with the counts wherever the source has them
+        records = bool(args.kafka or args.landed or args.ranges or args.takeover)
         query = start_summary_stream(
-            source_of(spark, conf, args, records=bool(args.ranges)), log, summary,
-            SummaryLedger(spark, args.summary, summary.keys, summary.count_col), args.checkpoint,
+            source_of(spark, conf, args, records, ledger.next_offsets() if args.takeover else None), log, summary,
+            ledger, args.checkpoint, takeover=args.takeover,
             reject_sink=BatchTable(spark, args.rejects, REJECT_SCHEMA) if args.rejects else None,
             range_sink=BatchTable(spark, args.ranges, RANGE_SCHEMA) if args.ranges else None,
             compact_every=every, show_rows=args.show, mirror_table=mirror if args.mirror_table else None, **how,

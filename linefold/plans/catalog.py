@@ -24,7 +24,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linefold.config import FieldSpec, LogSpec, SummarySpec
+from linefold.config import FieldSpec, KafkaSpec, LogSpec, SummarySpec
 from linefold.operators.parse import parse, parse_accepted, rejects
 from linefold.operators.summary import apply_predicate, count_by, preview, rollup_counts, summarize
 from linefold.plans.events_log import damaged_event_lines, event_lines, ragged_event_lines
@@ -35,6 +35,7 @@ from linefold.sinks.batch_table import BatchTable
 from linefold.sinks.ledger import SummaryLedger
 from linefold.sinks.tables import SummaryTable
 from linefold.sources import kafka
+from linefold.sources.landed import land_records, landed_stream
 from linefold.sources.lines import stream_lines, write_lines
 from linefold.streaming.jobs import (
     COUNT_SCHEMA,
@@ -47,6 +48,7 @@ from linefold.streaming.jobs import (
     start_running_total,
     start_summary_stream,
 )
+from linefold.streaming.offset_log import log_ranges
 
 SLICES = 4
 AVAILABLE_NOW = {"availableNow": True}
@@ -336,6 +338,82 @@ def q_offset_report_stream(spark, sf_dir):
     return ranges.read().select(F.col("batch_id").alias("slice"), "topic", "partition", "from_offset", "until_offset")
 
 
+@contextmanager
+def _landed_quarters(spark, sf_dir, name: str) -> Iterator[tuple[str, Callable[[int], None]]]:
+    """A folder for a query, and a function that lands the ``k``-th quarter of every partition's offsets in its ``topic``."""
+    root = scratch_path(spark, name)
+    with staged(_quarters(spark, sf_dir).select("slice", "topic", "partition", "offset", "value"), root) as part:
+        yield root, lambda k: land_records(part(k), f"{root}/topic", f"quarter-{k}")
+
+
+def _landed_spec(starting: str = "earliest", topics: str = "t0,t1") -> KafkaSpec:
+    return KafkaSpec("landed", topics, starting_offsets=starting)
+
+
+def q_topic_stream(spark, sf_dir):
+    """A landed topic, subscribed to from its first offset and folded with Kafka's offsets in the checkpoint."""
+    with _landed_quarters(spark, sf_dir, "topic_stream") as (root, land):
+        ledger = SummaryLedger(spark, f"{root}/summary", summary_spec().keys)
+        for k in range(SLICES):
+            land(k)
+            run_bounded(start_summary_stream(
+                landed_stream(spark, f"{root}/topic", _landed_spec(topics=SUBSCRIBED_TOPICS)), LogSpec.transaction_log(),
+                summary_spec(), ledger, f"{root}/checkpoint", trigger=AVAILABLE_NOW))
+    return ledger.read()
+
+
+def q_topic_from_latest(spark, sf_dir):
+    """A subscription that starts at ``latest`` folds what lands after its start: the second half of every partition (S3)."""
+    with _landed_quarters(spark, sf_dir, "topic_from_latest") as (root, land):
+        ledger = SummaryLedger(spark, f"{root}/summary", summary_spec().keys)
+        for k in range(SLICES // 2):
+            land(k)
+        query = start_summary_stream(
+            landed_stream(spark, f"{root}/topic", _landed_spec("latest")), LogSpec.transaction_log(), summary_spec(), ledger,
+            f"{root}/checkpoint", trigger={"processingTime": "1 second"})
+        query.processAllAvailable()
+        for k in range(SLICES // 2, SLICES):
+            land(k)
+        query.processAllAvailable()
+        run_bounded(query, 0.1)
+    return ledger.read()
+
+
+def q_offset_log_ranges(spark, sf_dir):
+    """Offset ranges of every batch and partition out of the checkpoint's offset log; no record is read for them."""
+    starts = {(f"t{t}", p): 0 for t in range(2) for p in range(3)}
+    with _landed_quarters(spark, sf_dir, "offset_log_ranges") as (root, land):
+        ledger = SummaryLedger(spark, f"{root}/summary", summary_spec().keys)
+        for k in range(SLICES):
+            land(k)
+            run_bounded(start_summary_stream(
+                landed_stream(spark, f"{root}/topic", _landed_spec(), starts), LogSpec.transaction_log(), summary_spec(), ledger,
+                f"{root}/checkpoint", trigger=AVAILABLE_NOW))
+    ranges = log_ranges(spark, f"{root}/checkpoint", starts)
+    return ranges.select(F.col("batch_id").alias("slice"), "topic", "partition", "from_offset", "until_offset")
+
+
+def q_summary_takeover(spark, sf_dir):
+    """The checkpoint is lost half way; a new stream goes on from the offsets the ledger holds, and reads some twice."""
+    with _landed_quarters(spark, sf_dir, "summary_takeover") as (root, land):
+        ledger = SummaryLedger(spark, f"{root}/summary", summary_spec().keys)
+
+        def run(checkpoint: str, starts=None, **how) -> None:
+            run_bounded(start_summary_stream(
+                landed_stream(spark, f"{root}/topic", _landed_spec(), starts), LogSpec.transaction_log(), summary_spec(), ledger,
+                f"{root}/{checkpoint}", trigger=AVAILABLE_NOW, compact_every=2, **how))
+
+        for k in range(SLICES - 1):
+            land(k)
+            run("lost")
+        # a tenth of what was folded is read again
+        starts = {at: offset - offset // 10 for at, offset in ledger.next_offsets().items()}
+        run("new", starts, takeover=True)
+        land(SLICES - 1)
+        run("new", starts, resume="require")
+    return ledger.read()
+
+
 def _damaged_stream(spark, sf_dir, name: str) -> tuple[SummaryLedger, BatchTable]:
     """Damaged lines through the stream: the ledger, and the rejects per batch next to it.
 
@@ -410,6 +488,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "read_from_offsets": q_read_from_offsets,
     "offset_ranges": q_offset_ranges,
     "offset_report_stream": q_offset_report_stream,
+    "topic_stream": q_topic_stream,
+    "topic_from_latest": q_topic_from_latest,
+    "offset_log_ranges": q_offset_log_ranges,
+    "summary_takeover": q_summary_takeover,
     "table_lifecycle": q_table_lifecycle,
     "summary_table_stream": q_summary_table_stream,
     "preview": q_preview,

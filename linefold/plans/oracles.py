@@ -47,6 +47,23 @@ _RECORDS = f"""
   FROM ev
 """
 
+_RANGES = f"""
+  WITH r AS ({_RECORDS}),
+  q AS (
+    SELECT topic, "partition", "offset",
+      CAST(floor("offset" * 4 / COUNT(*) OVER (PARTITION BY topic, "partition")) AS BIGINT) AS slice
+    FROM r
+  )
+  SELECT slice, topic, "partition", MIN("offset") AS from_offset, MAX("offset") + 1 AS until_offset
+  FROM q GROUP BY slice, topic, "partition"
+"""
+
+_OF_TOPIC_1 = f"""
+  WITH ev AS ({_EV})
+  SELECT day AS time_stamp, app AS app_id, COUNT(*) AS "count"
+  FROM ev WHERE {_PASS} AND 't' || CAST(event_id % 2 AS VARCHAR) IN ('t1') GROUP BY day, app
+"""
+
 ORACLES: dict[str, str] = {
     "parse_lines": f"WITH ev AS ({_EV}) SELECT {_PARSED} FROM ev",
     "parse_ragged": f"""
@@ -84,11 +101,8 @@ ORACLES: dict[str, str] = {
     "summary_stream": _GROUP_COUNT,
     "summary_restart": _GROUP_COUNT,
     "summary_compact": _GROUP_COUNT,
-    "kafka_summary_stream": f"""
-      WITH ev AS ({_EV})
-      SELECT day AS time_stamp, app AS app_id, COUNT(*) AS "count"
-      FROM ev WHERE {_PASS} AND 't' || CAST(event_id % 2 AS VARCHAR) IN ('t1') GROUP BY day, app
-    """,
+    "kafka_summary_stream": _OF_TOPIC_1,
+    "topic_stream": _OF_TOPIC_1,
     "stream_rejects": f"""
       WITH ev AS ({_EV})
       SELECT slice,
@@ -125,15 +139,19 @@ ORACLES: dict[str, str] = {
     "summary_table_stream": f"""
       SELECT time_stamp, app_id, CAST("count" AS VARCHAR) AS "count" FROM ({_GROUP_COUNT})
     """,
-    "offset_report_stream": f"""
-      WITH r AS ({_RECORDS}),
-      q AS (
-        SELECT topic, "partition", "offset",
-          CAST(floor("offset" * 4 / COUNT(*) OVER (PARTITION BY topic, "partition")) AS BIGINT) AS slice
-        FROM r
+    "offset_report_stream": _RANGES,
+    "offset_log_ranges": _RANGES,
+    "summary_takeover": _GROUP_COUNT,
+    "topic_from_latest": f"""
+      WITH ev AS ({_EV}),
+      numbered AS (
+        SELECT *,
+          floor((ROW_NUMBER() OVER (PARTITION BY event_id % 2, user_id % 3 ORDER BY event_id) - 1) * 4
+            / COUNT(*) OVER (PARTITION BY event_id % 2, user_id % 3)) AS quarter
+        FROM ev
       )
-      SELECT slice, topic, "partition", MIN("offset") AS from_offset, MAX("offset") + 1 AS until_offset
-      FROM q GROUP BY slice, topic, "partition"
+      SELECT day AS time_stamp, app AS app_id, COUNT(*) AS "count"
+      FROM numbered WHERE {_PASS} AND quarter >= 2 GROUP BY day, app
     """,
     "table_lifecycle": f"""
       SELECT time_stamp, app_id, CAST("count" AS VARCHAR) AS "count" FROM ({_GROUP_COUNT})

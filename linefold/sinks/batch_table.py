@@ -43,16 +43,35 @@ class Owned:
     path: str
     _fs: HadoopFS
 
+    def _owner_lines(self) -> list[str]:
+        return (self._fs.read_text_or_none(f"{self.path}/{OWNER_FILE}") or "").splitlines()
+
     def owner(self) -> str | None:
-        return self._fs.read_text_or_none(f"{self.path}/{OWNER_FILE}")
+        lines = self._owner_lines()
+        return lines[0] if lines else None
+
+    def first_batch(self) -> int:
+        """Under which id the owner's batch 0 is kept: 0, or behind all batches of the streams it took over from."""
+        lines = self._owner_lines()
+        return int(lines[1]) if len(lines) > 1 else 0
+
+    def newest_batch(self) -> int | None:
+        """The newest batch that the folder holds."""
+        raise NotImplementedError
+
+    def bind(self, owner: str, first_batch: int | None = None) -> None:
+        """Give the folder to the stream ``owner``; an error if it belongs to another.
 
-    def bind(self, owner: str) -> None:
-        """Give the folder to the stream ``owner``; an error if it belongs to another."""
+        With ``first_batch`` the stream takes over: its batches are kept from that id on.
+        """
         now = self.owner()
-        if now is None:
-            self._fs.write_text(f"{self.path}/{OWNER_FILE}", owner)
-        elif now != owner:
+        if now == owner:
+            return
+        if now is not None and first_batch is None:
             raise OwnerError(f"{self.path} belongs to the stream {now}, not to {owner}")
+        text = owner if first_batch is None else f"{owner}\n{first_batch}"
+        self._fs.mkdirs(self.path)
+        self._fs.replace_text(f"{self.path}/{OWNER_FILE}", text)
 
 
 class BatchTable(Owned):
@@ -97,6 +116,10 @@ class BatchTable(Owned):
     def is_empty(self) -> bool:
         return self.segments.upto() is None and not self._partitions()
 
+    def newest_batch(self) -> int | None:
+        upto = self.segments.upto()
+        return max([*self._partitions()[-1:], *([] if upto is None else [upto])], default=None)
+
     def partitions_of(self, batch_ids: list[int]) -> DataFrame:
         """Rows of the given batches, from their partitions alone."""
         folders = [f"{self.path}/{self.batch_col}={b}" for b in batch_ids]

@@ -14,6 +14,10 @@ compaction supersedes is deleted only by the next one, so a summary read before
 compaction stays readable through it. ``N`` must stay below the newest batch that may
 still be replayed (the one being written).
 
+With each batch the ledger can keep the offset ranges it came from (``fold(..., ranges=...)``): one more row of the
+batch's own partition, so that counts and ranges are there together or not at all. ``folded()`` is what the ledger
+holds of every topic partition, as intervals, and ``next_offsets()`` where a stream with a new checkpoint goes on.
+
 Segments are partitioned by the first key (a day, as a rule; a key with very many values
 makes very many folders). ``read(days=...)`` opens the folders of those days alone, so
 what it costs to bring a few days up to date does not grow with the history.
@@ -31,6 +35,7 @@ Layout under ``path``::
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,9 +45,12 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from linefold.session import HadoopFS
 from linefold.sinks.batch_table import BatchTable, Owned, OwnerError
 from linefold.sinks.segments import FANOUT, Segments
+from linefold.streaming.offset_log import Intervals, OffsetRange, dump_intervals, load_intervals, next_offsets, with_ranges
 
 #: The segments' partition column: ``v`` and the first key, ``n`` for a null one.
 FIRST = "_first"
+#: The column of the row that holds a batch's offset ranges, null in all others.
+RANGES = "_ranges"
 #: Days (values of the first key) that are pruned by name; more are found by a join.
 DAYS = 1000
 
@@ -63,14 +71,17 @@ class SummaryLedger(Owned):
         self.schema = StructType(
             [StructField(k, StringType(), True) for k in self.keys] + [StructField(count_col, LongType(), True)]
         )
-        self.ledger = BatchTable(spark, f"{self.path}/ledger", self.schema)
+        with_ranges = StructType([*self.schema.fields, StructField(RANGES, StringType(), True)])
+        self.ledger = BatchTable(spark, f"{self.path}/ledger", with_ranges)
         self._fs = HadoopFS(spark)
         stored = StructType([*self.schema.fields, StructField(FIRST, StringType(), True)])
         self.segments = Segments(spark, self.path, stored, self._fs, partition=FIRST, fanout=fanout)
 
     # -- writing -------------------------------------------------------------
-    def fold(self, counts: DataFrame, batch_id: int, owner: str | None = None) -> None:
-        """Record one batch's counts (``keys..., count``) as batch ``batch_id``.
+    def fold(
+        self, counts: DataFrame, batch_id: int, owner: str | None = None, ranges: Sequence[OffsetRange] | None = None
+    ) -> None:
+        """Record one batch's counts (``keys..., count``) as batch ``batch_id``, and the offsets they came from.
 
         A batch that is in a segment already is refused unless ``owner`` proves it to be a replay.
         """
@@ -79,25 +90,57 @@ class SummaryLedger(Owned):
             if owner is None or owner != self.owner():
                 raise OwnerError(f"batch {batch_id} of {self.path} is in segments (up to {upto}) and this is no proven replay")
             return
-        self.ledger.write(counts, batch_id)
+        rows = counts.select(*self.keys, self.count_col).withColumn(RANGES, F.lit(None).cast("string"))
+        if ranges:
+            kept = [None] * len(self.schema.fields) + [json.dumps(ranges)]
+            rows = rows.unionByName(self.spark.createDataFrame([tuple(kept)], self.ledger.schema))
+        self.ledger.write(rows, batch_id)
 
     def compact(self, upto: int) -> None:
         """Move batches ``<= upto`` into segments; drop what the last compaction superseded."""
         before = self.segments.upto()
         if before is not None and upto <= before:
             return
-        rows = self.ledger.partitions_of([b for b in self.batch_ids() if b <= upto])
+        batches = [b for b in self.batch_ids() if b <= upto]
+        rows = self._live(batches)
         stored = [*self.keys, self.count_col, FIRST]
         self.segments.add(
             rows.withColumn(FIRST, F.lit(None).cast("string")).select(*stored),
             int(upto),
             # a folder's name cannot be empty or null, so it is marked, and the keys stay in the rows
             lambda df: self._summed(df).withColumn(FIRST, F.coalesce(F.concat(F.lit("v"), self.keys[0]), F.lit("n"))).select(*stored),
+            notes={"folded": dump_intervals(self._folded(batches))},
         )
         if before is not None:
             self.ledger.drop_batches(before)
 
+    # -- offsets -------------------------------------------------------------
+    def _folded(self, batches: Sequence[int]) -> Intervals:
+        """What is folded in the segments and in these batches; a short row for each batch."""
+        kept = load_intervals(self.segments.manifest().notes.get("folded", []))
+        rows = self.ledger.partitions_of(batches).filter(F.col(RANGES).isNotNull()).select(RANGES).collect() if batches else []
+        return with_ranges(kept, [OffsetRange(*r) for row in rows for r in json.loads(row[0])])
+
+    def folded(self) -> Intervals:
+        """Per (topic, partition), the offsets whose records the summary holds."""
+        return self._folded(self.batch_ids())
+
+    def folded_before(self, batch_id: int) -> Intervals:
+        """What was folded by batches before ``batch_id``; those of later batches in segments are counted in."""
+        return self._folded([b for b in self.batch_ids() if b < batch_id])
+
+    def next_offsets(self) -> dict[tuple[str, int], int]:
+        """Where a stream goes on that has lost its checkpoint: nothing is left out, and what is read twice is told by ``folded``."""
+        found = next_offsets(self.folded())
+        if not found and not self.is_empty():
+            raise ValueError(f"{self.path} was folded without offset ranges")
+        return found
+
     # -- reading -------------------------------------------------------------
+    def _live(self, batches: Sequence[int]) -> DataFrame:
+        """The counts of batches that are in no segment."""
+        return self.ledger.partitions_of(list(batches)).filter(F.col(RANGES).isNull()).select(*self.keys, self.count_col)
+
     def _summed(self, parts: DataFrame) -> DataFrame:
         return parts.groupBy(*self.keys).agg(F.sum(self.count_col).alias(self.count_col))
 
@@ -106,8 +149,7 @@ class SummaryLedger(Owned):
 
         ``days`` keeps the keys whose first one is among these values, or in the first column of a DataFrame.
         """
-        live = self.ledger.partitions_of(self.batch_ids())
-        base = self.segments.read()
+        live, base = self._live(self.batch_ids()), self.segments.read()
         if isinstance(days, DataFrame):
             values = self.day_values(days)
             if values is None:
@@ -146,7 +188,11 @@ class SummaryLedger(Owned):
 
     def batch(self, batch_id: int) -> DataFrame:
         """The counts of one batch that is in no segment yet (none: no rows)."""
-        return self.ledger.partitions_of([b for b in self.batch_ids() if b == batch_id]).select(*self.keys, self.count_col)
+        return self._live([b for b in self.batch_ids() if b == batch_id])
+
+    def newest_batch(self) -> int | None:
+        upto, live = self.segments.upto(), self.ledger.newest_batch()
+        return max([b for b in (upto, live) if b is not None], default=None)
 
     def is_empty(self) -> bool:
         return self.segments.upto() is None and self.ledger.is_empty()

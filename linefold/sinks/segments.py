@@ -25,7 +25,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -54,6 +54,8 @@ class Manifest:
     segments: tuple[Segment, ...] = ()
     #: folders that the last compaction superseded; the next one deletes them
     stale: tuple[str, ...] = ()
+    #: what the table keeps with its state
+    notes: dict = field(default_factory=dict)
 
     def merged(self, fanout: int = FANOUT) -> tuple[int, int]:
         """How many segments at the end the next one takes in, and its tier."""
@@ -68,12 +70,12 @@ class Manifest:
                 return taken, tier
             taken, tier = taken + same, tier + 1
 
-    def with_segment(self, name: str, upto: int, fanout: int = FANOUT) -> Manifest:
+    def with_segment(self, name: str, upto: int, fanout: int = FANOUT, notes: dict | None = None) -> Manifest:
         """The state after a compaction up to ``upto`` wrote the folder ``name``."""
         taken, tier = self.merged(fanout)
         kept, gone = self.segments[: len(self.segments) - taken], self.segments[len(self.segments) - taken :]
         first = gone[0].first if gone else 0 if self.upto is None else self.upto + 1
-        return Manifest(upto, (*kept, Segment(name, first, upto, tier)), tuple(s.name for s in gone))
+        return Manifest(upto, (*kept, Segment(name, first, upto, tier)), tuple(s.name for s in gone), self.notes if notes is None else notes)
 
     def dump(self) -> str:
         return json.dumps(asdict(self))
@@ -83,7 +85,7 @@ class Manifest:
         if text is None:
             return cls()
         raw = json.loads(text)
-        return cls(raw["upto"], tuple(Segment(**s) for s in raw["segments"]), tuple(raw["stale"]))
+        return cls(raw["upto"], tuple(Segment(**s) for s in raw["segments"]), tuple(raw["stale"]), raw.get("notes", {}))
 
 
 class Segments:
@@ -116,10 +118,13 @@ class Segments:
             found = found.unionByName(frame)
         return found
 
-    def add(self, rows: DataFrame, upto: int, merge: Callable[[DataFrame], DataFrame] = lambda df: df) -> Manifest:
+    def add(
+        self, rows: DataFrame, upto: int, merge: Callable[[DataFrame], DataFrame] = lambda df: df, notes: dict | None = None
+    ) -> Manifest:
         """Commit the rows of the batches since the last segment as part of a segment; gives the state before.
 
-        ``merge`` is applied to the rows of the segment (the new ones, with those of the segments it takes in).
+        ``merge`` is applied to the rows of the segment (the new ones, with those of the segments it takes in);
+        ``notes`` replace those of the state in the same step.
         """
         before = self.manifest()
         taken, _ = before.merged(self.fanout)
@@ -131,7 +136,7 @@ class Segments:
             rows.hint("rebalance", self.partition).write.partitionBy(self.partition).parquet(f"{self.folder}/{name}")
         else:
             rows.write.parquet(f"{self.folder}/{name}")
-        self._fs.replace_text(f"{self.path}/{MANIFEST}", before.with_segment(name, upto, self.fanout).dump())
+        self._fs.replace_text(f"{self.path}/{MANIFEST}", before.with_segment(name, upto, self.fanout, notes).dump())
         for gone in self.leftovers():
             self._fs.delete(f"{self.folder}/{gone}")
         return before

@@ -37,6 +37,7 @@ from linefold.sinks.batch_table import BatchTable, Owned
 from linefold.sinks.ledger import SummaryLedger
 from linefold.sinks.tables import SummaryTable
 from linefold.sources.kafka import offset_ranges
+from linefold.streaming.offset_log import Intervals, OffsetRange, batch_ranges, overlap, without
 
 DEFAULT_TRIGGER: Mapping = {"processingTime": "2 seconds"}
 # A 2-second stream adds ~43k ledger partitions a day; folding them into the
@@ -59,8 +60,11 @@ def checkpoint_id(spark, checkpoint: str) -> str | None:
     return json.loads(fs.read_text(file))["id"] if fs.exists(file) else None
 
 
-def check_resume(spark, checkpoint: str, resume: str, *outputs) -> bool:
-    """Validate ``resume`` and the outputs against the checkpoint (R3, R4); True when resuming."""
+def check_resume(spark, checkpoint: str, resume: str, *outputs, takeover: bool = False) -> bool:
+    """Validate ``resume`` and the outputs against the checkpoint (R3, R4); True when resuming.
+
+    With ``takeover`` a new checkpoint may go on with outputs that hold another stream's batches.
+    """
     if resume not in RESUME_MODES:
         raise ValueError(f"resume must be one of {RESUME_MODES}")
     ident = checkpoint_id(spark, checkpoint)
@@ -71,6 +75,8 @@ def check_resume(spark, checkpoint: str, resume: str, *outputs) -> bool:
     gone_on = any(n.isdigit() for n in HadoopFS(spark).list_files(f"{checkpoint.rstrip('/')}/commits"))
     for out in (o for o in outputs if o is not None):
         owner = out.owner() if isinstance(out, Owned) else None
+        if takeover and isinstance(out, Owned) and not gone_on:
+            continue
         if ident is None and (owner is not None or not out.is_empty()):
             raise CheckpointError(
                 f"checkpoint {checkpoint} is new but {out.path} already holds batches; "
@@ -83,16 +89,25 @@ def check_resume(spark, checkpoint: str, resume: str, *outputs) -> bool:
     return ident is not None
 
 
-def _ownership(spark: SparkSession, checkpoint: str, *outputs) -> Callable[[], str]:
-    """A function for the batches: binds the outputs to the checkpoint at the first one, gives its id."""
-    known: list[str] = []
+def _ownership(spark: SparkSession, checkpoint: str, *outputs, takeover: bool = False) -> Callable[[], tuple[str, int]]:
+    """A function for the batches: binds the outputs to the checkpoint at the first one, gives its id and its first batch's id.
+
+    A stream that takes over keeps its batches behind all those that any of the outputs holds.
+    """
+    known: list[tuple[str, int]] = []
 
-    def owner() -> str:
+    def owner() -> tuple[str, int]:
         if not known:
-            ident = checkpoint_id(spark, checkpoint)
-            for out in (o for o in outputs if o is not None):
-                out.bind(ident)
-            known.append(ident)
+            ident, first = checkpoint_id(spark, checkpoint), None
+            owned = [o for o in outputs if o is not None]
+            if takeover and any(o.owner() not in (None, ident) for o in owned):
+                # a start that died after binding some of the outputs has settled the id with them
+                settled = [o.first_batch() for o in owned if o.owner() == ident]
+                newest = [o.newest_batch() for o in owned]
+                first = settled[0] if settled else 1 + max((b for b in newest if b is not None), default=-1)
+            for out in owned:
+                out.bind(ident, first)
+            known.append((ident, owned[0].first_batch() if owned else 0))
         return known[0]
 
     return owner
@@ -128,6 +143,7 @@ def fold_batch(
     ledger: SummaryLedger,
     *,
     owner: str | None = None,
+    ranges: list[OffsetRange] | None = None,
     reject_sink: BatchTable | None = None,
     range_sink: BatchTable | None = None,
     compact_every: int | None = None,
@@ -138,9 +154,11 @@ def fold_batch(
     """Parse, filter, count one batch and fold the counts into the ledger.
 
     ``reject_sink`` takes the rejected lines and ``range_sink`` the offset
-    ranges (R6; the batch then has Kafka's columns). Each output is a pruned
+    ranges (R6; the batch then has Kafka's columns). Each output that holds rows is a pruned
     pass of its own over the batch's source, so nothing of a batch is kept in
-    memory or on local disks, however large it is.
+    memory or on local disks, however large it is. ``ranges``, where known from the
+    checkpoint's offset log, are kept with the counts and are what ``range_sink`` gets; without
+    them it gets an aggregate of the records.
 
     ``mirror_table`` (optional) is a catalog table in the original layout, kept
     equal to the ledger's summary: after each batch, the partitions of the days
@@ -152,11 +170,11 @@ def fold_batch(
     parsed = parse(batch, log_spec)
     good = apply_predicate(accepted(parsed, mode=mode), summary_spec.predicate)
     sinks = [s for s in (reject_sink, range_sink) if s is not None]
-    ledger.fold(count_by(good, summary_spec.keys, summary_spec.count_col), batch_id, owner)
+    ledger.fold(count_by(good, summary_spec.keys, summary_spec.count_col), batch_id, owner, ranges)
     if reject_sink is not None:
         reject_sink.write(rejects(parsed), batch_id, owner)
     if range_sink is not None:
-        range_sink.write(offset_ranges(batch), batch_id, owner)
+        range_sink.write(range_rows(batch, ranges), batch_id, owner)
     if mirror_table is not None:
         touched = ledger.batch(batch_id)
         days = ledger.day_values(touched)
@@ -171,6 +189,23 @@ def fold_batch(
         ledger.read().show(show_rows, truncate=False)
 
 
+def ranges_of(records: DataFrame, checkpoint: str, batch_id: int) -> list[OffsetRange] | None:
+    """Offset ranges of a running batch of Kafka-shaped records, from the offset log; None if its source has no such offsets.
+
+    Where the log does not tell where the first batch begins, its records do.
+    """
+    found = batch_ranges(HadoopFS(records.sparkSession), checkpoint, batch_id)
+    if found and any(r.first is None for r in found):
+        begun = {(r["topic"], r["partition"]): r["from_offset"] for r in offset_ranges(records).collect()}
+        found = [r._replace(first=begun.get((r.topic, r.partition), r.until)) for r in found]
+    return found
+
+
+def range_rows(records: DataFrame, ranges: list[OffsetRange] | None) -> DataFrame:
+    """The ranges as rows; those of the records where none are known."""
+    return offset_ranges(records) if ranges is None else records.sparkSession.createDataFrame(ranges, RANGE_SCHEMA)
+
+
 def validate_summary(spark, log_spec: LogSpec, summary_spec: SummarySpec) -> None:
     """Analyze parse -> predicate -> count on an empty frame: a bad predicate or
     key fails here, before a stream starts, not in its first micro-batch.
@@ -195,22 +230,41 @@ def start_summary_stream(
     mode: str = "reject",
     show_rows: int | None = None,
     mirror_table: SummaryTable | None = None,
+    takeover: bool = False,
     query_name: str | None = None,
 ) -> StreamingQuery:
     """Stream lines into the running summary: parse -> filter -> count -> ledger.
 
     The ledger is compacted every ``compact_every`` batches (``None``: never).
     With ``range_sink`` the stream has Kafka's columns, and the offset ranges
-    of each batch are reported under the batch's id (R6).
+    of each batch are reported under the batch's id (R6). With those columns and a source that has
+    Kafka's offsets, the ledger keeps the ranges, too.
+
+    ``takeover`` goes on after the checkpoint was lost: the stream has a new one and starts from
+    ``ledger.next_offsets()``, or earlier. Its batches are kept behind those of the stream before, and records that
+    the ledger has folded already are dropped. The stream before must not run any more.
     """
     spark = lines.sparkSession
     validate_summary(spark, log_spec, summary_spec)
-    check_resume(spark, checkpoint, resume, ledger, reject_sink, range_sink)
-    owner = _ownership(spark, checkpoint, ledger, reject_sink, range_sink)
+    outputs = (ledger, reject_sink, range_sink)
+    check_resume(spark, checkpoint, resume, *outputs, takeover=takeover)
+    owner = _ownership(spark, checkpoint, *outputs, takeover=takeover)
+    records = {"topic", "partition", "offset"} <= set(lines.columns)
+    if takeover and not records:
+        raise CheckpointError("a stream can take over only with records that have topic, partition and offset")
+    earlier: list[Intervals] = []  # what the streams before folded
 
     def _each(batch: DataFrame, batch_id: int) -> None:
+        ident, first = owner()
+        ranges = ranges_of(batch, checkpoint, batch_id) if records else None
+        if first:
+            if ranges is None:
+                raise CheckpointError("the source has no Kafka offsets, so what was folded before cannot be told")
+            if not earlier:
+                earlier.append(ledger.folded_before(first))
+            batch = without(batch, overlap(earlier[0], ranges))
         fold_batch(
-            batch, batch_id, log_spec, summary_spec, ledger, owner=owner(),
+            batch, first + batch_id, log_spec, summary_spec, ledger, owner=ident, ranges=ranges,
             reject_sink=reject_sink, range_sink=range_sink, compact_every=compact_every, mode=mode,
             show_rows=show_rows, mirror_table=mirror_table,
         )
@@ -218,11 +272,11 @@ def start_summary_stream(
     return _start(lines.writeStream.foreachBatch(_each), checkpoint, trigger, query_name)
 
 
-def _into(sink: BatchTable, owner: Callable[[], str], compact_every: int | None, rows=lambda batch: batch):
-    """Batch function that writes ``rows(batch)`` to ``sink``."""
+def _into(sink: BatchTable, owner: Callable[[], tuple[str, int]], compact_every: int | None, rows=lambda batch, batch_id: batch):
+    """Batch function that writes ``rows(batch, batch_id)`` to ``sink``."""
 
     def _each(batch: DataFrame, batch_id: int) -> None:
-        sink.write(rows(batch), batch_id, owner())
+        sink.write(rows(batch, batch_id), batch_id, owner()[0])
         if _compact_due(batch_id, compact_every):
             sink.compact(batch_id - 1)
 
@@ -246,7 +300,7 @@ def start_batch_counts(
     """Rows per micro-batch into ``sink`` as ``n`` per ``batch_id`` (A3)."""
     check_resume(lines.sparkSession, checkpoint, resume, sink)
     owner = _ownership(lines.sparkSession, checkpoint, sink)
-    each = _into(sink, owner, compact_every, lambda batch: batch.agg(F.count(F.lit(1)).alias("n")))
+    each = _into(sink, owner, compact_every, lambda batch, _: batch.agg(F.count(F.lit(1)).alias("n")))
     return _start(lines.writeStream.foreachBatch(each), checkpoint, trigger, query_name)
 
 
@@ -296,11 +350,15 @@ def start_offset_report(
 
     ``records`` is a stream of Kafka records (or any Kafka-shaped stream);
     each batch writes ``topic, partition, from_offset, until_offset`` (until
-    exclusive) under its ``batch_id``: the batch's ranges, computed from its
-    own rows with a partial min/max aggregate.
+    exclusive) under its ``batch_id``: from the checkpoint's offset log if the source has Kafka's offsets, without
+    reading a record; else from the batch's own rows with a partial min/max aggregate.
     """
     check_resume(records.sparkSession, checkpoint, resume, sink)
-    each = _into(sink, _ownership(records.sparkSession, checkpoint, sink), compact_every, offset_ranges)
+
+    def rows(batch: DataFrame, batch_id: int) -> DataFrame:
+        return range_rows(batch, ranges_of(batch, checkpoint, batch_id))
+
+    each = _into(sink, _ownership(records.sparkSession, checkpoint, sink), compact_every, rows)
     return _start(records.writeStream.foreachBatch(each), checkpoint, trigger, query_name)
 
 
@@ -368,7 +426,7 @@ def progress_offset_ranges(query: StreamingQuery) -> list[dict]:
     maps (files) contribute none. A partition that is new in this batch starts
     at 0; the start of a first batch is not in its progress, so it is None.
     Only the last batch is seen: for every batch's ranges give the stream a
-    ``range_sink``.
+    ``range_sink``, or read the checkpoint's log (``offset_log.log_ranges``).
     """
     prog = query.lastProgress
     if not prog:

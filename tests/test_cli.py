@@ -99,7 +99,7 @@ def test_kafka_options_from_the_command_line():
     old = cli.kafka_lines
     cli.kafka_lines = fake
     try:
-        args = argparse.Namespace(kafka=True, max_offsets=500, from_offsets='{"calls": {"0": 17, "2": 3}}')
+        args = argparse.Namespace(kafka=True, landed=None, max_offsets=500, from_offsets='{"calls": {"0": 17, "2": 3}}')
         assert cli.source_of(None, CONF, args) == "stream"
     finally:
         cli.kafka_lines = old
@@ -109,6 +109,29 @@ def test_kafka_options_from_the_command_line():
     assert opts["startingOffsets"] == "earliest" and opts["subscribe"] == "calls,texts"
 
 
+def test_landed_topics_and_a_lost_checkpoint(spark, scratch, tmp_path):
+    from linefold.config import LogSpec, SummarySpec
+    from linefold.operators.summary import summarize
+    from linefold.sources.landed import land_records
+
+    conf = tmp_path / "job.json"
+    conf.write_text(json.dumps(CONF))
+    lines = event_lines(spark.read.parquet(f"{SF_SMALL}/events.parquet"))
+    records = lines.selectExpr("IF(event_id % 2 = 0, 'calls', 'texts') AS topic", "0 AS partition", "event_id DIV 2 AS offset", "value")
+    common = ["stream", "--config", str(conf), "--summary", f"{scratch}/summary", "--landed", f"{scratch}/topics", "--once"]
+    land_records(records.filter("offset < 200"), f"{scratch}/topics", "a")
+    assert cli.main([*common, "--checkpoint", f"{scratch}/lost", "--ranges", f"{scratch}/ranges"], spark) == 0
+    ledger = SummaryLedger(spark, f"{scratch}/summary", ["time_stamp", "app_id"])
+    assert ledger.next_offsets() == {("calls", 0): 200, ("texts", 0): 200}
+    land_records(records.filter("offset >= 200"), f"{scratch}/topics", "b")
+    assert cli.main([*common, "--checkpoint", f"{scratch}/new", "--takeover", "--ranges", f"{scratch}/ranges"], spark) == 0
+    want = {tuple(r) for r in summarize(lines, LogSpec.transaction_log(), SummarySpec()).collect()}
+    assert {tuple(r) for r in ledger.read().collect()} == want
+    assert cli.main(["ranges", "--checkpoint", f"{scratch}/lost", "--out", f"{scratch}/log"], spark) == 0
+    got = {(r["topic"], r["from_offset"], r["until_offset"]) for r in spark.read.parquet(f"{scratch}/log").collect()}
+    assert got == {("calls", None, 200), ("texts", None, 200)}
+
+
 def test_another_count_column_end_to_end(spark, scratch, tmp_path):
     from linefold.sinks.tables import SummaryTable
 

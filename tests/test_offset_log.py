@@ -1,0 +1,215 @@
+"""Offsets: the landed-topic stream, ranges out of the checkpoint's log, and going on after a lost checkpoint."""
+
+import json
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from linefold.config import FieldSpec, KafkaSpec, LogSpec, SummarySpec
+from linefold.session import HadoopFS
+from linefold.sinks.batch_table import BatchTable
+from linefold.sinks.ledger import SummaryLedger
+from linefold.sources.landed import land_records, landed_stream
+from linefold.streaming import offset_log
+from linefold.streaming.jobs import RANGE_SCHEMA, REJECT_SCHEMA, CheckpointError, run_bounded, start_offset_report, start_summary_stream
+from linefold.streaming.offset_log import OffsetRange
+
+LOG = LogSpec((FieldSpec("d", 1, (0, 2)), FieldSpec("a", 2)), "|", 2)
+SUM = SummarySpec(predicate=None, keys=("d", "a"))
+ONCE = {"availableNow": True}
+
+
+def records(spark, first, until):
+    """Offsets first..until-1 of four topic partitions."""
+    return spark.range(first * 4, until * 4).selectExpr(
+        "concat('t', id % 2) AS topic", "CAST(id % 4 DIV 2 AS INT) AS partition", "id DIV 4 AS offset",
+        "concat('d', id % 3, '|a', id DIV 4 % 2) AS value",
+    )
+
+
+def spec(starting="earliest", topics="t0,t1", **options):
+    return KafkaSpec("unused:9092", topics, starting_offsets=starting, extra=options)
+
+
+def counted(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def expected(spark, first, until):
+    return counted(records(spark, first, until).selectExpr("left(value, 2) AS d", "right(value, 2) AS a").groupBy("d", "a").count())
+
+
+def ranges(df):
+    return sorted(tuple(r[c] for c in ("batch_id", "topic", "partition", "from_offset", "until_offset")) for r in df.collect())
+
+
+PARTITIONS = [("t0", 0), ("t0", 1), ("t1", 0), ("t1", 1)]
+
+
+def test_ranges_of_every_batch_from_the_log(spark, scratch):
+    """Ranges stored by the jobs, and those read from the log, of three batches; one partition gets nothing in the second."""
+    report = BatchTable(spark, f"{scratch}/report", RANGE_SCHEMA)
+    for k in range(3):
+        rows = records(spark, k * 5, k * 5 + 5)
+        land_records(rows.filter("NOT (topic = 't1' AND partition = 1)") if k == 1 else rows, f"{scratch}/topic", f"l{k}")
+        run_bounded(start_offset_report(landed_stream(spark, f"{scratch}/topic", spec()), report, f"{scratch}/ckpt", trigger=ONCE))
+    want = []
+    for b in range(3):
+        for t, p in PARTITIONS:
+            stands = (t, p) == ("t1", 1) and b == 1  # an empty range, which no record tells
+            begin = 5 if (t, p) == ("t1", 1) and b == 2 else b * 5
+            want.append((b, t, p, begin, 5 if stands else b * 5 + 5))
+    assert ranges(report.read()) == sorted(want)
+    found = ranges(offset_log.log_ranges(spark, f"{scratch}/ckpt", dict.fromkeys(PARTITIONS, 0)))
+    assert found == sorted(want)
+    unknown = ranges_or_none(offset_log.log_ranges(spark, f"{scratch}/ckpt"))
+    assert all(r[3] is None for r in unknown if r[0] == 0) and [r for r in unknown if r[0]] == [r for r in found if r[0]]
+    # a log that lost its oldest batches
+    HadoopFS(spark).delete(f"{scratch}/ckpt/offsets/0")
+    left = ranges_or_none(offset_log.log_ranges(spark, f"{scratch}/ckpt"))
+    assert {r[0] for r in left} == {1, 2} and all(r[3] is None for r in left if r[0] == 1)
+    assert [r for r in left if r[0] == 2] == [r for r in found if r[0] == 2]
+    assert offset_log.batch_ranges(HadoopFS(spark), f"{scratch}/ckpt", 1) is None
+
+
+def ranges_or_none(df):
+    return sorted((tuple(r[c] for c in ("batch_id", "topic", "partition", "from_offset", "until_offset")) for r in df.collect()), key=str)
+
+
+def test_log_written_by_kafka(spark, scratch):
+    """The files as Spark's Kafka source writes them: its start, a new partition, a gap, a source without offsets."""
+    fs = HadoopFS(spark)
+    fs.mkdirs(f"{scratch}/sources/0")
+    fs.write_text(f"{scratch}/sources/0/0", 'v1\n{"t":{"0":40}}')
+    for n, maps in enumerate(({"t": {"0": 50}}, {"t": {"0": 50, "1": 7}}, {"t": {"0": 90, "1": 8}})):
+        fs.write_text(f"{scratch}/offsets/{n}", "v1\n{\"batchWatermarkMs\":0}\n" + json.dumps(maps) + "\n-")
+    want = [(0, "t", 0, 40, 50), (1, "t", 0, 50, 50), (1, "t", 1, 0, 7), (2, "t", 0, 50, 90), (2, "t", 1, 7, 8)]
+    assert ranges(offset_log.log_ranges(spark, scratch)) == want
+    assert [(n, *r) for n in range(3) for r in offset_log.batch_ranges(fs, scratch, n)] == want
+    assert offset_log.batch_ranges(fs, scratch, 3) is None
+
+
+def test_a_file_stream_has_no_kafka_offsets(spark, scratch):
+    fs = HadoopFS(spark)
+    for n in range(2):
+        fs.write_text(f"{scratch}/offsets/{n}", 'v1\n{"batchWatermarkMs":0}\n{"logOffset":%d}' % n)
+    assert offset_log.batch_ranges(fs, scratch, 1) is None
+    assert offset_log.log_ranges(spark, scratch).collect() == []
+
+
+def test_options_of_the_landed_stream(spark, scratch):
+    """Topics, explicit offsets, some ahead of what has landed, and a landing that is not complete."""
+    land_records(records(spark, 0, 20), f"{scratch}/topic", "l0")
+    records(spark, 20, 30).write.partitionBy("topic", "partition").parquet(f"{scratch}/topic/l1")
+    HadoopFS(spark).delete(f"{scratch}/topic/l1/_SUCCESS")
+    seen = []
+
+    def run(name, stream):
+        seen.clear()
+
+        def each(batch, _):
+            seen.append(sorted((r["topic"], r["partition"], r["offset"]) for r in batch.collect()))
+
+        q = stream.writeStream.foreachBatch(each).option("checkpointLocation", f"{scratch}/{name}").start()
+        q.processAllAvailable()
+        q.stop()
+        return [x for batch in seen for x in batch]
+
+    everything = [(t, p, o) for t, p in PARTITIONS for o in range(20)]
+    assert sorted(run("all", landed_stream(spark, f"{scratch}/topic", spec()))) == everything
+    assert sorted(run("one", landed_stream(spark, f"{scratch}/topic", spec(topics="t1,t1")))) == [x for x in everything if x[0] == "t1"]
+    starts = {("t0", 1): 17, ("t1", 0): 0}
+    assert sorted(run("from", landed_stream(spark, f"{scratch}/topic", spec(), starts))) == [
+        (t, p, o) for t, p, o in everything if o >= starts.get((t, p), 99)
+    ]
+    ahead = {("t0", 0): 19, ("t0", 1): 25, ("t1", 1): 40}
+    assert run("ahead", landed_stream(spark, f"{scratch}/topic", spec(), ahead)) == [("t0", 0, 19)]
+    with pytest.raises(Exception, match="cannot bound a batch"):
+        run("few", landed_stream(spark, f"{scratch}/topic", spec(maxOffsetsPerTrigger=16)))
+    assert run("late", landed_stream(spark, f"{scratch}/topic", spec(starting="latest"))) == []
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 20), st.integers(0, 8)), max_size=8))
+def test_intervals_are_the_set_of_folded_offsets(spans):
+    folded = offset_log.with_ranges({}, [OffsetRange("t", 0, a, a + n) for a, n in spans])
+    whole = {o for a, n in spans for o in range(a, a + n)}
+    found = folded.get(("t", 0), [])
+    assert {o for a, b in found for o in range(a, b)} == whole
+    assert all(b < a for (_, b), (a, _) in zip(found, found[1:]))
+    assert offset_log.load_intervals(json.loads(json.dumps(offset_log.dump_intervals(folded)))) == folded
+    if whole:
+        start = offset_log.next_offsets(folded)["t", 0]
+        assert min(whole) < start and set(range(min(whole), start)) <= whole and start not in whole
+
+
+def start(spark, scratch, ledger, checkpoint, offsets=None, **options):
+    stream = landed_stream(spark, f"{scratch}/topic", spec(), offsets)
+    return start_summary_stream(stream, LOG, SUM, ledger, f"{scratch}/{checkpoint}", trigger=ONCE, **options)
+
+
+@pytest.mark.parametrize("compact_every", [None, 1])
+def test_going_on_after_a_lost_checkpoint(spark, scratch, compact_every):
+    """The checkpoint is gone; a new one starts before the end of what was folded, dies in a batch, and goes on."""
+    ledger = SummaryLedger(spark, f"{scratch}/summary", SUM.keys, fanout=2)
+    rejected = BatchTable(spark, f"{scratch}/rejects", REJECT_SCHEMA)
+    how = {"compact_every": compact_every, "reject_sink": rejected}
+    for k in range(3):
+        land_records(records(spark, k * 4, k * 4 + 4), f"{scratch}/topic", f"l{k}")
+        run_bounded(start(spark, scratch, ledger, "one", **how))
+    assert counted(ledger.read()) == expected(spark, 0, 12)
+    assert ledger.next_offsets() == dict.fromkeys(PARTITIONS, 12)
+    # the checkpoint "one" is lost
+    land_records(records(spark, 12, 15), f"{scratch}/topic", "l3")
+    with pytest.raises(CheckpointError):
+        start(spark, scratch, ledger, "two", ledger.next_offsets(), **how)
+    early = {k: o - 5 for k, o in ledger.next_offsets().items()}
+    fold, failed = ledger.fold, []
+
+    def dies(*args, **kwargs):
+        fold(*args, **kwargs)
+        failed.append(args[1])
+        raise OSError("lost between the counts and the rest")
+
+    ledger.fold = dies
+    with pytest.raises(Exception, match="lost between"):
+        run_bounded(start(spark, scratch, ledger, "two", early, takeover=True, **how))
+    ledger.fold = fold
+    run_bounded(start(spark, scratch, ledger, "two", early, takeover=True, **how))
+    assert failed == [3] and ledger.first_batch() == rejected.first_batch() == 3
+    assert counted(ledger.read()) == expected(spark, 0, 15)
+    land_records(records(spark, 15, 18), f"{scratch}/topic", "l4")
+    run_bounded(start(spark, scratch, ledger, "two", **how))  # an ordinary resume
+    assert counted(ledger.read()) == expected(spark, 0, 18)
+    assert ledger.folded() == {k: [(0, 18)] for k in PARTITIONS}
+    # and once more, from a third checkpoint, after the second is lost as well
+    land_records(records(spark, 18, 19), f"{scratch}/topic", "l5")
+    run_bounded(start(spark, scratch, ledger, "three", ledger.next_offsets(), takeover=True, **how))
+    assert counted(ledger.read()) == expected(spark, 0, 19)
+    with pytest.raises(Exception, match="belongs to the stream"):
+        start(spark, scratch, ledger, "two", **how)
+
+
+def test_gaps_are_read_again(spark, scratch):
+    ledger = SummaryLedger(spark, scratch, ("d", "a"))
+    one = spark.createDataFrame([("d", "a", 1)], "d string, a string, count bigint")
+    ledger.fold(one, 0, ranges=[OffsetRange("t", 0, 0, 10), OffsetRange("t", 1, 3, 3)])
+    ledger.fold(one, 1, ranges=[OffsetRange("t", 0, 15, 20)])
+    assert ledger.next_offsets() == {("t", 0): 10, ("t", 1): 3}
+    ledger.compact(0)
+    assert ledger.folded() == {("t", 0): [(0, 10), (15, 20)], ("t", 1): [(3, 3)]}
+    rows = spark.createDataFrame([("t", 0, o) for o in range(22)] + [("t", 1, 4)], "topic string, partition int, offset bigint")
+    again = offset_log.overlap(ledger.folded(), [OffsetRange("t", 0, 10, 22), OffsetRange("t", 1, 3, 5)])
+    assert sorted((r["partition"], r["offset"]) for r in offset_log.without(rows, again).collect()) == [
+        *[(0, o) for o in (*range(15), 20, 21)], (1, 4)
+    ]
+    assert counted(ledger.read()) == [("d", "a", 2)]
+
+
+def test_nothing_tells_where_a_ledger_without_ranges_stands(spark, scratch):
+    ledger = SummaryLedger(spark, scratch, ("d", "a"))
+    assert ledger.next_offsets() == {}
+    ledger.fold(spark.createDataFrame([("d", "a", 1)], "d string, a string, count bigint"), 0)
+    with pytest.raises(ValueError, match="without offset ranges"):
+        ledger.next_offsets()
