@@ -15,7 +15,8 @@ of JSON; convert with any HOCON tool), with the sections ``input``,
 
     python -m linefold.cli ranges  --checkpoint /shared/ckpt --out /shared/ranges
 
-SOURCE is ``--lines DIR`` (``--max-files``, ``--clean-source``), ``--kafka``
+SOURCE is ``--lines DIR`` (``--max-files``, ``--clean-source``), ``--growing DIR`` (files that lines are still
+appended to), ``--kafka``
 (``--from-offsets '{"topic": {"0": 17}}'``, ``--max-offsets``; other options of
 the source in the config's ``kafka.options``), or ``--landed DIR``, the config's topics as ``sources.landed`` keeps them.
 
@@ -44,6 +45,7 @@ from linefold.operators.summary import preview, summarize
 from linefold.sinks.batch_table import BatchTable
 from linefold.sinks.ledger import SummaryLedger
 from linefold.sinks.tables import SummaryTable
+from linefold.sources.growing import stream_growing
 from linefold.sources.kafka import kafka_lines, kafka_stream
 from linefold.sources.landed import landed_stream
 from linefold.sources.lines import read_lines, record_values, stream_lines
@@ -91,6 +93,7 @@ def _add_stream_options(p: argparse.ArgumentParser) -> None:
     p.add_argument("--checkpoint", required=True)
     src = p.add_mutually_exclusive_group(required=True)
     src.add_argument("--lines", help="folder of text files")
+    src.add_argument("--growing", help="folder of text files that still grow")
     src.add_argument("--kafka", action="store_true", help="the topics of the config")
     src.add_argument("--landed", help="folder of landed records of the config's topics")
     p.add_argument("--from-offsets", help="with --kafka or --landed: JSON of topic, partition and first offset; only those are read")
@@ -119,6 +122,8 @@ def source_of(
             spec = replace(spec, extra={**spec.extra, "maxOffsetsPerTrigger": args.max_offsets})
         stream = kafka_stream if records else kafka_lines
         return stream(spark, spec, starts)
+    if args.growing:
+        return stream_growing(spark, args.growing)
     if records:
         raise SystemExit("--ranges and --takeover need --kafka or --landed")
     return stream_lines(
@@ -140,6 +145,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     s.add_argument("--summary", required=True)
     s.add_argument("--rejects", help="folder for the lines that cannot be parsed")
     s.add_argument("--ranges", help="folder for each batch's offset ranges (with --kafka or --landed)")
+    s.add_argument("--counts", help="folder for the rows of each batch")
     s.add_argument("--takeover", action="store_true", help="go on after a lost checkpoint (with --kafka or --landed)")
     s.add_argument("--show", type=int, help="print this many summary rows after each batch")
     s.add_argument("--mirror-table", action="store_true",
@@ -209,6 +215,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             ledger, args.checkpoint, takeover=args.takeover,
             reject_sink=BatchTable(spark, args.rejects, REJECT_SCHEMA) if args.rejects else None,
             range_sink=BatchTable(spark, args.ranges, RANGE_SCHEMA) if args.ranges else None,
+            count_sink=BatchTable(spark, args.counts, COUNT_SCHEMA) if args.counts else None,
             compact_every=every, show_rows=args.show, mirror_table=mirror if args.mirror_table else None, **how,
         )
     run_bounded(query, args.timeout)

@@ -1 +1 @@
-"""DataFrame operators: parse, predicate and counts, distributed numbering."""
+"""DataFrame operators: parse, predicate and counts."""

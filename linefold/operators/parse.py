@@ -4,8 +4,8 @@
 codegen stage): no shuffle, no Python. It keeps the raw line, adds one
 nullable string column per selected field and a ``_reject`` reason that is
 NULL for good lines. ``accepted`` and ``rejects`` split that
-frame; a job that writes both should persist the parsed batch first (the
-streaming fold does), a job that needs only the counts reads the input once.
+frame. A job that needs both reads its input once with ``summary.count_with_rejects``
+(the streaming fold does).
 
 Reject reasons:
 

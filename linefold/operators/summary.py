@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linefold.config import LogSpec, SummarySpec
-from linefold.operators.parse import parse_accepted
+from linefold.operators.parse import REJECT_COL, VALUE_COL, parse_accepted
 
 
 def apply_predicate(df: DataFrame, predicate: str | Column | None) -> DataFrame:
@@ -30,6 +30,33 @@ def count_by(df: DataFrame, keys: Sequence[str], count_col: str = "count") -> Da
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col))
 
 
+#: Of a batch read once: the rejected line (null in rows that are counts), and the task that read it.
+REJECTED, TASK = "_rejected_line", "_rejected_task"
+
+
+def count_with_rejects(parsed: DataFrame, spec: SummarySpec) -> DataFrame:
+    """Counts per key and the rejected lines of ``parse``'s result, in one pass over it (A1, P5).
+
+    One aggregation has two kinds of rows: ``keys..., count`` with a null ``_reject``, and
+    ``_reject, _rejected_line, count`` with null keys. A line that is rejected very often costs a row for
+    each task that read it. ``rejected_lines`` writes the second kind out again.
+    """
+    bad = F.col(REJECT_COL).isNotNull()
+    wanted = spec.predicate
+    if wanted is not None and (not isinstance(wanted, str) or wanted.strip()):
+        parsed = parsed.filter(F.when(bad, F.lit(True)).otherwise(F.expr(wanted) if isinstance(wanted, str) else wanted))
+    keys = [F.when(~bad, F.col(k)).alias(k) for k in spec.keys]
+    rejected = [F.col(REJECT_COL), F.when(bad, F.col(VALUE_COL)).alias(REJECTED), F.when(bad, F.spark_partition_id()).alias(TASK)]
+    return parsed.groupBy(*keys, *rejected).agg(F.count(F.lit(1)).alias(spec.count_col))
+
+
+def rejected_lines(counted: DataFrame, count_col: str = "count") -> DataFrame:
+    """``value, reason`` of every rejected line in ``count_with_rejects``' rows, as often as it came."""
+    times = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(count_col)))
+    rows = counted.filter(F.col(REJECT_COL).isNotNull()).select(F.col(REJECTED).alias(VALUE_COL), F.col(REJECT_COL).alias("reason"), times)
+    return rows.select(VALUE_COL, "reason")
+
+
 def summarize(lines: DataFrame, log_spec: LogSpec, spec: SummarySpec, *, mode: str = "reject", **kw) -> DataFrame:
     """Lines -> parse -> predicate -> count per key: the per-batch summary."""
     parsed = parse_accepted(lines, log_spec, mode=mode, **kw)

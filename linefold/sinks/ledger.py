@@ -80,8 +80,8 @@ class SummaryLedger(Owned):
     # -- writing -------------------------------------------------------------
     def fold(
         self, counts: DataFrame, batch_id: int, owner: str | None = None, ranges: Sequence[OffsetRange] | None = None
-    ) -> None:
-        """Record one batch's counts (``keys..., count``) as batch ``batch_id``, and the offsets they came from.
+    ) -> bool:
+        """Record one batch's counts (``keys..., count``) as batch ``batch_id``, and the offsets they came from; False if it has them already.
 
         A batch that is in a segment already is refused unless ``owner`` proves it to be a replay.
         """
@@ -89,12 +89,13 @@ class SummaryLedger(Owned):
         if upto is not None and batch_id <= upto:
             if owner is None or owner != self.owner():
                 raise OwnerError(f"batch {batch_id} of {self.path} is in segments (up to {upto}) and this is no proven replay")
-            return
+            return False
         rows = counts.select(*self.keys, self.count_col).withColumn(RANGES, F.lit(None).cast("string"))
         if ranges:
             kept = [None] * len(self.schema.fields) + [json.dumps(ranges)]
             rows = rows.unionByName(self.spark.createDataFrame([tuple(kept)], self.ledger.schema))
         self.ledger.write(rows, batch_id)
+        return True
 
     def compact(self, upto: int) -> None:
         """Move batches ``<= upto`` into segments; drop what the last compaction superseded."""

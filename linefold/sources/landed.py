@@ -56,7 +56,7 @@ def landed_stream(
     return spark.readStream.format("landed_topics").options(**{k: v for k, v in opts.items() if not k.startswith("kafka.")}).load(path)
 
 
-def _filesystem(path: str) -> tuple[pafs.FileSystem, str]:
+def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
     if re.match(r"file:/|/", path):
         return pafs.LocalFileSystem(), re.sub(r"^file:/+", "/", path)
     return pafs.FileSystem.from_uri(path)
@@ -113,7 +113,7 @@ class LandedReader(DataSourceStreamReader):
     # -- what has landed
     def _list(self) -> list[LandedFile]:
         """The files of complete landings; only new ones are opened."""
-        store, root = _filesystem(self.root)
+        store, root = filesystem(self.root)
         for landing in store.get_file_info(pafs.FileSelector(root, allow_not_found=True)):
             if landing.type != pafs.FileType.Directory or landing.base_name.startswith((".", "_")):
                 continue
@@ -175,7 +175,7 @@ class LandedReader(DataSourceStreamReader):
         return ranges
 
     def read(self, partition: LandedRange) -> Iterator[pa.RecordBatch]:
-        store, _ = _filesystem(partition.root)
+        store, _ = filesystem(partition.root)
         kinds = {"timestamp": pa.timestamp("us"), "key": pa.string(), "value": pa.string()}
         with store.open_input_file(partition.file) as f:
             for batch in pq.ParquetFile(f).iter_batches(ROWS, columns=["offset", *kinds]):

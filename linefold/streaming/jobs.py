@@ -24,15 +24,15 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from linefold.config import LogSpec, SummarySpec
-from linefold.operators.parse import accepted, parse, rejects
-from linefold.operators.summary import apply_predicate, count_by
-from linefold.session import HadoopFS
+from linefold.operators.parse import REJECT_COL, accepted, parse
+from linefold.operators.summary import apply_predicate, count_by, count_with_rejects, rejected_lines
+from linefold.session import HadoopFS, scratch_path
 from linefold.sinks.batch_table import BatchTable, Owned
 from linefold.sinks.ledger import SummaryLedger
 from linefold.sinks.tables import SummaryTable
@@ -146,6 +146,7 @@ def fold_batch(
     ranges: list[OffsetRange] | None = None,
     reject_sink: BatchTable | None = None,
     range_sink: BatchTable | None = None,
+    count_sink: BatchTable | None = None,
     compact_every: int | None = None,
     mode: str = "reject",
     show_rows: int | None = None,
@@ -154,9 +155,10 @@ def fold_batch(
     """Parse, filter, count one batch and fold the counts into the ledger.
 
     ``reject_sink`` takes the rejected lines and ``range_sink`` the offset
-    ranges (R6; the batch then has Kafka's columns). Each output that holds rows is a pruned
-    pass of its own over the batch's source, so nothing of a batch is kept in
-    memory or on local disks, however large it is. ``ranges``, where known from the
+    ranges (R6; the batch then has Kafka's columns), ``count_sink`` the rows of the batch (A3). The batch's source is
+    read once for all of them: counts and rejected lines come out of one aggregation, whose result, small beside the
+    batch, is written to the shared folder and read from there, and its rows are counted as they pass. Nothing of a
+    batch is kept in memory or on local disks, however large it is. ``ranges``, where known from the
     checkpoint's offset log, are kept with the counts and are what ``range_sink`` gets; without
     them it gets an aggregate of the records.
 
@@ -167,12 +169,26 @@ def fold_batch(
     prints that many rows of the updated summary (T11); it reads the whole
     summary, so it is off by default.
     """
+    spark, count_col, staged = batch.sparkSession, summary_spec.count_col, None
+    seen = Observation()
+    if count_sink is not None:
+        batch = batch.observe(seen, F.count(F.lit(1)).alias("n"))
     parsed = parse(batch, log_spec)
-    good = apply_predicate(accepted(parsed, mode=mode), summary_spec.predicate)
-    sinks = [s for s in (reject_sink, range_sink) if s is not None]
-    ledger.fold(count_by(good, summary_spec.keys, summary_spec.count_col), batch_id, owner, ranges)
-    if reject_sink is not None:
-        reject_sink.write(rejects(parsed), batch_id, owner)
+    sinks = [s for s in (reject_sink, range_sink, count_sink) if s is not None]
+    if reject_sink is not None and mode == "reject":
+        staged = scratch_path(spark, "fold")
+        both = count_with_rejects(parsed, summary_spec)
+        both.write.parquet(staged)
+        both = spark.read.schema(both.schema).parquet(staged)
+        ledger.fold(both.filter(F.col(REJECT_COL).isNull()).select(*summary_spec.keys, count_col), batch_id, owner, ranges)
+        reject_sink.write(rejected_lines(both, count_col), batch_id, owner)
+        HadoopFS(spark).delete(staged)
+        read = True
+    else:
+        good = apply_predicate(accepted(parsed, mode=mode), summary_spec.predicate)
+        read = ledger.fold(count_by(good, summary_spec.keys, count_col), batch_id, owner, ranges)
+    if count_sink is not None and read:  # a replay of what is in segments has been counted
+        count_sink.write(spark.createDataFrame([(seen.get["n"],)], COUNT_SCHEMA), batch_id, owner)
     if range_sink is not None:
         range_sink.write(range_rows(batch, ranges), batch_id, owner)
     if mirror_table is not None:
@@ -226,6 +242,7 @@ def start_summary_stream(
     resume: str = "auto",
     reject_sink: BatchTable | None = None,
     range_sink: BatchTable | None = None,
+    count_sink: BatchTable | None = None,
     compact_every: int | None = DEFAULT_COMPACT_EVERY,
     mode: str = "reject",
     show_rows: int | None = None,
@@ -246,7 +263,7 @@ def start_summary_stream(
     """
     spark = lines.sparkSession
     validate_summary(spark, log_spec, summary_spec)
-    outputs = (ledger, reject_sink, range_sink)
+    outputs = (ledger, reject_sink, range_sink, count_sink)
     check_resume(spark, checkpoint, resume, *outputs, takeover=takeover)
     owner = _ownership(spark, checkpoint, *outputs, takeover=takeover)
     records = {"topic", "partition", "offset"} <= set(lines.columns)
@@ -265,7 +282,7 @@ def start_summary_stream(
             batch = without(batch, overlap(earlier[0], ranges))
         fold_batch(
             batch, first + batch_id, log_spec, summary_spec, ledger, owner=ident, ranges=ranges,
-            reject_sink=reject_sink, range_sink=range_sink, compact_every=compact_every, mode=mode,
+            reject_sink=reject_sink, range_sink=range_sink, count_sink=count_sink, compact_every=compact_every, mode=mode,
             show_rows=show_rows, mirror_table=mirror_table,
         )
 

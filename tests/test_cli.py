@@ -99,7 +99,7 @@ def test_kafka_options_from_the_command_line():
     old = cli.kafka_lines
     cli.kafka_lines = fake
     try:
-        args = argparse.Namespace(kafka=True, landed=None, max_offsets=500, from_offsets='{"calls": {"0": 17, "2": 3}}')
+        args = argparse.Namespace(kafka=True, landed=None, growing=None, max_offsets=500, from_offsets='{"calls": {"0": 17, "2": 3}}')
         assert cli.source_of(None, CONF, args) == "stream"
     finally:
         cli.kafka_lines = old
