@@ -42,9 +42,9 @@ from linefold.llm.tokens import Numbered, ragged, vocabulary_path
 
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Characters of a batch (a longer text is alone), and of a call of the tokenizers.
-BATCH, SLICE = 12_000_000, 1_000_000
-#: Distinct pre-tokens of A that a worker remembers.
-CACHE = 200_000
+BATCH, SLICE = 4_000_000, 1_000_000
+#: Distinct pre-tokens of each side that a worker remembers.
+CACHE = 100_000
 
 SCHEMA = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 _BATCHES = (
@@ -132,11 +132,24 @@ class SideA(_Side):
 class SideB(_Side):
     """BPE with byte fallback of the sentencepiece library, which adds the space itself."""
 
+    _memo: PieceMemo | None = None
+    _find = staticmethod(re.compile(" +[^ ]*").findall)
+
     def __init__(self, path: str):
         import sentencepiece
 
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
-        self._table({i: self._bytes(i) for i in range(self.library.get_piece_size())})
+        size = self.library.get_piece_size()
+        self._table({i: self._bytes(i) for i in range(size)})
+        # where no piece goes on from another character into a space, no merge does, and a text is the sum of its
+        # runs of spaces with what follows each
+        if not any(re.search("[^▁]▁", self.library.id_to_piece(i)) for i in range(size)):
+            self._memo = PieceMemo(self._learn, CACHE)
+
+    def _learn(self, pieces: list[str]) -> list[list[int]]:
+        """Ids of runs; the library adds a space, but not to an empty text."""
+        lone = [self.library.piece_to_id("▁")]
+        return [ids or lone for ids in self.library.encode([p[1:] for p in pieces], num_threads=1)]
 
     def _bytes(self, i: int) -> bytes:
         if self.library.is_byte(i):
@@ -146,7 +159,9 @@ class SideB(_Side):
         return self.library.id_to_piece(i).replace("▁", " ").encode()
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        return _flat(self.library.encode(texts, num_threads=1))
+        if self._memo is None or any("▁" in t for t in texts):  # the mark of a space is no space
+            return _flat(self.library.encode(texts, num_threads=1))
+        return self._memo.encode([self._find(f" {t}") if t else [] for t in texts])
 
 
 class Aligner:

@@ -79,6 +79,9 @@ def test_ids_of_latin_and_other_texts(sides, text):
     ids, at = a.encode([text, "plain words", text])
     want = [a.library.encode(f" {t}", add_special_tokens=False).ids for t in (text, "plain words", text)]
     assert [ids[i:j].tolist() for i, j in zip(at, at[1:])] == want
+    b = sides[1]
+    ids, at = b.encode([text, "plain words", text])
+    assert [ids[i:j].tolist() for i, j in zip(at, at[1:])] == b.library.encode([text, "plain words", text])
 
 
 def test_a_very_long_text(spark, sides):
