@@ -12,18 +12,20 @@ from pyspark.sql import functions as F
 from linefold.llm import exact_dedup, jaccard, lang_id, mixing, packing
 from linefold.session import scratch_path
 
-#: Least posterior of the predicted language.
-MIN_SCORE = 0.5
+#: Least posterior of the predicted language, and least mean log probability a letter in it: texts whose letters are
+#: mostly outside the learnt languages' alphabets lie near ``log(lang_id.UNKNOWN)``, -13.8.
+MIN_SCORE, MIN_FIT = 0.5, -9.0
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that can be told; texts without letters, and undecided ones, go.
+    """Documents in a language that can be told; texts without letters, undecided ones, and those in unlearnt scripts go.
 
     The models are learnt from the labelled rows of ``docs`` itself. A label never decides about its own row.
     """
-    found = lang_id.predict(docs, lang_id.learn(docs), lang="_lang_pred", score="_lang_score")
-    clear = (F.col("_lang_pred") != lang_id.UND) & (F.col("_lang_score") >= MIN_SCORE)
-    return found.filter(clear).select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text"))
+    found = lang_id.predict(rows, lang_id.learn(docs), lang="lang", score="score", fit="fit")
+    clear = (F.col("lang") != lang_id.UND) & (F.col("score") >= MIN_SCORE) & (F.col("fit") >= MIN_FIT)
+    return found.filter(clear).select("row.*")
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

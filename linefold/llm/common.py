@@ -6,6 +6,7 @@ import shutil
 import tempfile
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +17,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 #: A word: a maximal run of anything but the six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Length of all paths up to which the files' numbers are broadcast.
+FILES_BYTES = 64 << 20
 
 
 def text_of(col: Column) -> Column:
@@ -50,14 +53,26 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bits of a row number that count the rows of a file; the others number the files.
+ROW_BITS = 40
+
+
 def with_row_id(df: DataFrame, name: str = "_rid") -> DataFrame:
-    """Number the rows (unique, not dense).
+    """Number the rows (unique, not dense): the number of the row's file in the order of their paths, and its place there.
 
-    The numbers repeat on re-reading only if ``df`` reads files or a checkpoint
-    in a fixed order, which is what the operators ask of their input.
+    So a row has its number however a scan is split, whichever executors are there. What does not read files
+    directly is written out first. The files' numbers are a row a file.
     """
-    return df.withColumn(name, F.monotonically_increasing_id())
-
+    try:
+        located = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_place"))
+    except AnalysisException:
+        return with_row_id(materialize(df, "rows"), name)
+    paths = sorted(r[0] for r in located.select("_file").distinct().collect())
+    numbers = df.sparkSession.createDataFrame([(p, i << ROW_BITS) for i, p in enumerate(paths)], "_file string, _first long")
+    if sum(map(len, paths)) <= FILES_BYTES:
+        numbers = F.broadcast(numbers)
+    number = (F.col("_first") + F.col("_place")).alias(name)
+    return located.join(numbers, "_file").select(*[F.col(f"`{c}`") for c in df.columns], number)
 
 
 def without_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ BIN_BITS = 7
 BINS = 1 << BIN_BITS
 BITS = 8
 SHINGLE = 5
-#: Hashed attempts at a filled bin before the nearest one by hash is taken.
+#: Hashed attempts at a filled bin; after them the filled bin with the smallest hash is taken, as more attempts would end at some filled bin.
 ATTEMPTS = 8
 #: Quantiles of the ids, and documents in a bucket of consecutive ones.
 KNOTS = 128
@@ -109,14 +109,16 @@ def _bucket(docs: DataFrame) -> tuple[Column, Column, Column]:
     The buckets follow the quantiles of the ids, evenly cut in between; an id that fills more than one quantile is
     cut by the hash.
     """
-    n, knots = docs.agg(F.count(F.lit(1)), F.percentile_approx("_key", [i / KNOTS for i in range(1, KNOTS)], 10000)).first()
-    knots = knots or [0]
+    quantiles = F.percentile_approx("_key", [i / KNOTS for i in range(1, KNOTS)], 10000)
+    n, knots, least, most = docs.agg(F.count(F.lit(1)), quantiles, F.min("_id"), F.max("_id")).first()
+    # the smallest and the largest id bound the outer quantiles (rows without an id lie below)
+    knots = sorted([*(knots or [0]), *(k for k in (least, most) if k is not None)])
     cuts = max(1, -(-n // (KNOTS * PER_BUCKET)))
     every = F.array(*[F.lit(k).cast("long") for k in knots])
     below = F.size(F.filter(every, lambda k: k < F.col("_key")))
     upto = F.size(F.filter(every, lambda k: k <= F.col("_key")))
     lo, hi = F.get(every, F.col("_below") - 1).cast("double"), F.get(every, F.col("_below")).cast("double")
-    even = F.coalesce((F.col("_key").cast("double") - lo) / (hi - lo), F.lit(0.0))
+    even = F.coalesce((F.col("_key").cast("double") - lo) / F.nullif(hi - lo, F.lit(0.0)), F.lit(0.0))
     by_hash = F.col("_hash").cast("double") / 2.0**64 + 0.5
     hot = F.col("_upto") - F.col("_below")
     inside = F.when(hot >= 2, F.least(by_hash * hot * cuts, hot * cuts - 1)).otherwise(F.least(even * cuts, F.lit(cuts - 1)))

@@ -8,33 +8,41 @@ posterior under equal priors; ``score`` is that posterior.
 
 The probabilities are fitted by expectation maximisation on a bounded sample
 of labelled rows: ``per_language`` texts of each label, those with the smallest
-hash of their id. A word is scored once per worker dictionary, whole words and
+hash of their id, whose counts of words come to the driver; more than ``LABELS`` labels are an error. A word is scored once per worker dictionary, whole words and
 whole texts always.
 
 Defined results: ``und`` with score 0 for a null text, a text without letters,
 or if there was nothing to learn from. Ties go to the first language in
 alphabetical order. A null id counts as the empty text where rows are split.
-Characters outside the vocabulary have one small fixed probability.
+Characters outside the vocabulary have one small fixed probability, the same in every language, so a text in an
+unlearnt script has a very low mean log probability a letter (``fit``), whatever its score.
 """
 
 from __future__ import annotations
 
 from array import array
+from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from linefold.llm.common import ship
+from linefold.llm.common import materialize, ship
 from linefold.llm.tokens import Numbered, slices, vocabulary_path
 
 DEFAULT_VOCABULARY = "piece_bpe_32k.model"
 PER_LANGUAGE = 200
 ROUNDS = 3
 SMOOTHING = 0.1
+#: Probability of a character outside the vocabulary, the same in every language.
+UNKNOWN = 1e-6
+#: Letters of a part of a word that the fit takes at a time, and labels that it can tell apart.
+PART, LABELS = 60, 500
 #: Entries a worker's dictionary of pieces of text may hold before it is emptied.
 CACHE = 300_000
 UND = "und"
@@ -82,7 +90,7 @@ class Unigrams:
             raise ValueError("two pieces share a hash")
         # row -1: not a piece; row -2: a character that is no piece
         self.p = np.full((len(pieces) + 2, len(languages)), 1.0 / (len(pieces) + 1))
-        self.p[-1] = 0.0
+        self.p[-2], self.p[-1] = UNKNOWN, 0.0
 
     def _rows(self, hashes: list[np.ndarray], i: int, j: int) -> np.ndarray:
         """Row of the piece from ``i`` to ``j`` in every word."""
@@ -115,12 +123,12 @@ class Unigrams:
         return out
 
     def fit(self, words: list[str], counts: np.ndarray, rounds: int = ROUNDS, smoothing: float = SMOOTHING) -> None:
-        """Expectation maximisation over words and their counts per language (words beyond 60 characters are left out)."""
-        marked = [_START + w for w in words]
+        """Expectation maximisation over words and their counts per language (a very long word is learnt in parts)."""
+        parts = [(w[i : i + PART], k) for k, w in enumerate(words) for i in range(0, len(w), PART)]
+        marked, counts = [_START + w for w, _ in parts], counts[[k for _, k in parts]]
         groups: dict[int, list[int]] = {}
         for k, w in enumerate(marked):
-            if len(w) <= 60:
-                groups.setdefault(len(w), []).append(k)
+            groups.setdefault(len(w), []).append(k)
         prepared = []
         for n, at in sorted(groups.items()):
             with np.errstate(over="ignore"):
@@ -146,10 +154,8 @@ class Unigrams:
                 weight = counts[at] / np.maximum(alpha[n], 1e-300)
                 for i, j, hit, rows in spans:
                     np.add.at(expected, rows, alpha[i, hit] * self.p[rows] * beta[j, hit] * weight[hit])
-            smoothed = expected + smoothing
-            smoothed[-2] = smoothing  # no character outside the vocabulary speaks for a language
-            smoothed[-1] = 0.0
-            self.p = smoothed / smoothed.sum(axis=0)
+            smoothed = expected[:-2] + smoothing
+            self.p[:-2] = smoothed / smoothed.sum(axis=0)  # a character outside the vocabulary speaks for no language
 
 
 class Scorer:
@@ -161,15 +167,17 @@ class Scorer:
 
     def _forget(self) -> None:
         self._pieces = Numbered()
-        self._logs = np.zeros((0, len(self.model.languages) + 1))
+        # of a piece: a sum for each language, its words and its letters
+        self._logs = np.zeros((0, len(self.model.languages) + 2))
 
     def _learn(self, pieces: list[str]) -> None:
         words = Numbered()
-        which, counts = array("q"), []
+        which, counts, letters = array("q"), [], []
         for p in pieces:
             found = _LETTERS.findall(p.lower())
             which.extend(map(words.__getitem__, found))
             counts.append(len(found))
+            letters.append(sum(map(len, found)))
         logs = np.zeros((len(pieces), self._logs.shape[1]))
         if words:
             per_word = self.model.log_words(words.new)
@@ -177,13 +185,14 @@ class Scorer:
             at = np.frombuffer(which, dtype=np.int64)
             for k in range(per_word.shape[1]):
                 logs[:, k] = np.bincount(rows, per_word[at, k], minlength=len(pieces))
-            logs[:, -1] = counts
+            logs[:, -2], logs[:, -1] = counts, letters
         self._logs = np.concatenate([self._logs, logs])
 
-    def __call__(self, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+    def __call__(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language, posterior, and mean log probability a letter of each text."""
         texts = [t or "" for t in texts]
         languages = self.model.languages
-        names, scores = [], np.zeros(len(texts))
+        names, scores, fits = [], np.zeros(len(texts)), np.zeros(len(texts))
         for a, b in slices(texts):
             if len(self._pieces) > self.cache:
                 self._forget()
@@ -198,15 +207,16 @@ class Scorer:
             rows = np.repeat(np.arange(b - a), counts)
             at = np.frombuffer(numbers, dtype=np.int64) if numbers else np.zeros(0, np.int64)
             sums = np.stack([np.bincount(rows, self._logs[at, k], minlength=b - a) for k in range(self._logs.shape[1])], 1)
-            best = sums[:, :-1].argmax(axis=1) if languages else np.zeros(b - a, int)
+            best = sums[:, :-2].argmax(axis=1) if languages else np.zeros(b - a, int)
             for i in range(a, b):
                 if not languages or sums[i - a, -1] == 0:
                     names.append(UND)
                 else:
                     names.append(languages[best[i - a]])
-                    logs = sums[i - a, :-1]
+                    logs = sums[i - a, :-2]
                     scores[i] = 1.0 / np.exp(logs - logs.max()).sum()
-        return names, scores
+                    fits[i] = logs.max() / sums[i - a, -1]
+        return names, scores, fits
 
 
 def is_held_out(doc_id: Column) -> Column:
@@ -225,26 +235,32 @@ def learn(
     """Fit on at most ``per_language`` rows of each label, none of them held out.
 
     Hashes of id and text are ranked without the texts, and Spark keeps the first ``per_language`` of a label in each
-    task before the shuffle. Only the chosen rows' texts come to the driver.
+    task before the shuffle. The chosen rows' words are counted in tasks, and the counts come to the driver.
     """
     rows = docs.select(F.col(id_col).alias("i"), F.col(lang_col).cast("string").alias("l"), F.col(text_col).alias("t"))
     labelled = rows.filter(F.col("l").isNotNull() & ~is_held_out(F.col("i")) & (F.length(F.col("t")) > 0))
     labelled = labelled.withColumns({"hi": F.xxhash64("i"), "ht": F.xxhash64("t")})
     first = F.row_number().over(Window.partitionBy("l").orderBy("hi", "ht"))
     ranked = labelled.select("l", "hi", "ht").withColumn("n", first).filter(F.col("n") <= per_language)
-    ranked = ranked.select("l", "hi", "ht").distinct()  # per_language rows a label
+    ranked = materialize(ranked.select("l", "hi", "ht").distinct(), "sample")  # per_language rows a label
+    languages = sorted(r["l"] for r in ranked.select("l").distinct().limit(LABELS + 1).collect())
+    if len(languages) > LABELS:
+        raise ValueError(f"more than {LABELS} labels in {lang_col}")
     chosen = labelled.join(F.broadcast(ranked), ["l", "hi", "ht"]).groupBy("l", "hi", "ht").agg(F.min("t").alias("t"))
-    chosen = chosen.select("l", "t").collect()
-    languages = sorted({r["l"] for r in chosen})
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for label, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                found = Counter(_LETTERS.findall(text.as_py().lower()))
+                columns = [pa.array([label] * len(found), pa.string()), pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["l", "w", "c"])
+
+    ship(docs.sparkSession)
+    found = chosen.select("l", "t").mapInArrow(count, "l string, w string, c long").groupBy("l", "w").agg(F.sum("c").alias("c"))
     words = Numbered()
-    seen: dict[tuple[int, int], int] = {}
-    for r in sorted(chosen):
-        k = languages.index(r["l"])
-        for w in _LETTERS.findall(r["t"].lower()):
-            n = words[w]
-            seen[n, k] = seen.get((n, k), 0) + 1
+    seen = [(words[r["w"]], languages.index(r["l"]), r["c"]) for r in sorted(found.collect())]
     counts = np.zeros((len(words), len(languages)))
-    for (n, k), c in seen.items():
+    for n, k, c in seen:
         counts[n, k] = c
     model = Unigrams(vocabulary_pieces(vocabulary or vocabulary_path(DEFAULT_VOCABULARY)), languages)
     if words:
@@ -252,25 +268,28 @@ def learn(
     return model
 
 
-_SCORERS: dict[int, Scorer] = {}
+def predict(
+    docs: DataFrame, model: Unigrams, text_col: str = "text", lang: str = "lang_pred", score: str = "score", fit: str | None = None
+) -> DataFrame:
+    """``docs`` with the predicted language and its posterior (in place of columns that are called so already).
 
-
-def predict(docs: DataFrame, model: Unigrams, text_col: str = "text", lang: str = "lang_pred", score: str = "score") -> DataFrame:
-    """``docs`` with the predicted language and its posterior (in place of columns that are called so already)."""
+    With ``fit`` also the mean log probability a letter in that language, an absolute measure of how well the text is
+    explained (0 for ``und``).
+    """
     spark = docs.sparkSession
     ship(spark)
     shared = spark.sparkContext.broadcast(model)  # vocabulary size times languages, whatever the input
 
-    @pandas_udf("lang string, score double")
-    def scored(text: pd.Series) -> pd.DataFrame:
-        key = id(shared.value)
-        if key not in _SCORERS:
-            _SCORERS.clear()
-            _SCORERS[key] = Scorer(shared.value)
-        names, scores = _SCORERS[key](text.tolist())
-        return pd.DataFrame({"lang": names, "score": scores})
+    @pandas_udf("lang string, score double, fit double")
+    def scored(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        # a task's own dictionary: a worker that serves other stages later does not keep it
+        scorer = Scorer(shared.value)
+        for text in texts:
+            names, scores, fits = scorer(text.tolist())
+            yield pd.DataFrame({"lang": names, "score": scores, "fit": fits})
 
     found = scored.asNondeterministic()(F.col(text_col))  # so that a filter above does not run it twice
-    kept = [c for c in docs.columns if c.lower() not in (lang.lower(), score.lower())]
+    added = [lang, score, *([fit] if fit else [])]
+    kept = [c for c in docs.columns if c.lower() not in {a.lower() for a in added}]
     out = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"), found.alias("_found"))
-    return out.select("_row.*", F.col("_found.lang").alias(lang), F.col("_found.score").alias(score))
+    return out.select("_row.*", *[F.col(f"_found.{c}").alias(a) for c, a in zip(("lang", "score", "fit"), added)])

@@ -127,11 +127,15 @@ def _transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_chat_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Recovered role and canonical rendering of every transcript line; learnt from two thirds of the conversations."""
-    rows = _transcripts(spark, sf_dir)
+    return roles_of(_transcripts(spark, sf_dir))
+
+
+def roles_of(rows: DataFrame) -> DataFrame:
+    """Role and rendering of every line of the transcripts; a row without an id is a conversation of its own, its id stays null."""
     lines = chat.lines_of(rows, "conv_id", "turn", "text", keep=["role"])
     model = chat.fit(lines.filter(F.crc32(F.col("conv").cast("binary")) % 3 != 1))
     found = chat.recover(lines.drop("role"), model)
-    return found.select(F.col("conv").cast("long").alias("conv_id"), "turn", F.col("at").cast("long").alias("line"), "role", "begins", "rendered")
+    return found.select(F.col("conv").try_cast("long").alias("conv_id"), "turn", F.col("at").cast("long").alias("line"), "role", "begins", "rendered")
 
 
 def op8_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -92,3 +92,11 @@ def test_nulls_repeats_and_empty_tables(spark, tmp_root):
     assert len(got) == 9 and len({r["conv"] for r in got}) == 3
     none = lines.filter("false")
     assert chat.recover(none.drop("role"), chat.fit(none)).count() == 0
+
+
+def test_query_with_null_ids(spark, scratch):
+    """A row without conv_id is a conversation of its own; its lines come back with a null id."""
+    rows = [(None, 0, "user", "User: hello"), (None, None, None, None), (1, 0, "user", "User: hi"), (1, 1, "assistant", "Assistant: hey\nyou")]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(scratch)
+    got = queries.roles_of(spark.read.parquet(scratch)).collect()
+    assert sorted((str(r["conv_id"]), r["line"]) for r in got) == [("1", 0), ("1", 0), ("1", 1), ("None", 0), ("None", 0)]

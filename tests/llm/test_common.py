@@ -1,0 +1,48 @@
+from linefold.llm import exact_dedup, jaccard
+from linefold.llm.common import with_row_id
+
+from .conftest import messy_rows
+
+
+def test_row_numbers_do_not_follow_the_splits(spark, small, scratch):
+    """The same rows have the same numbers however a scan is cut, and after a selection; without a file, once written."""
+    small.repartition(4).write.parquet(scratch)
+    docs = spark.read.parquet(scratch)
+    numbers = lambda df: {r["doc_id"]: r["_rid"] for r in with_row_id(df).collect()}
+    before = numbers(docs)
+    assert len(set(before.values())) == docs.count()
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        assert numbers(spark.read.parquet(scratch)) == before
+        assert numbers(docs.select("text", "doc_id")) == before
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    made = with_row_id(spark.range(10).withColumnRenamed("id", "doc_id"))
+    assert len({r["_rid"] for r in made.collect()}) == 10 and made.collect() == made.collect()
+
+
+def test_operators_do_not_follow_the_splits(spark, messy):
+    """With other splits between the jobs of an operator, the rows that stay are the same."""
+    def run(f):
+        sizes, out = iter(["1m", "3000", "40000"] * 100), []
+        original = exact_dedup.materialize
+
+        def changing(df, name):
+            done = original(df, name)
+            spark.conf.set("spark.sql.files.maxPartitionBytes", next(sizes))
+            return done
+
+        exact_dedup.materialize = jaccard.materialize = changing
+        try:
+            out = sorted(map(str, f(messy).collect()))
+        finally:
+            exact_dedup.materialize = jaccard.materialize = original
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        return out
+
+    for f in (exact_dedup.drop_exact_copies, jaccard.drop_near_copies):
+        assert run(f) == sorted(map(str, f(messy).collect()))
+        assert 0 < len(run(f)) < len(messy_rows())

@@ -17,6 +17,23 @@ def write(spark, df, path):
     return spark.read.parquet(path)
 
 
+def test_columns_called_like_the_prediction_stay(spark, small, scratch):
+    from pyspark.sql import functions as F
+
+    docs = small.withColumns({c: F.lit("mine") for c in ("_lang_pred", "_lang_score", "score", "fit", "row", "lang_pred")})
+    docs = write(spark, docs, f"{scratch}/clash")
+    got = corpus_pipeline.language(spark, docs, SF)
+    assert got.columns == docs.columns and got.count() == docs.count()
+    assert {tuple(r) for r in got.select("_lang_pred", "_lang_score", "score", "fit", "row", "lang_pred").collect()} == {("mine",) * 6}
+
+
+def test_unlearnt_scripts_go(spark, small, scratch):
+    rows = small.limit(0).unionByName(spark.createDataFrame([(10**6, "我能吞下玻璃而不伤身体我能吞下玻璃")], "doc_id long, text string"), allowMissingColumns=True)
+    docs = write(spark, small.unionByName(rows), f"{scratch}/foreign")
+    got = {r["doc_id"] for r in corpus_pipeline.language(spark, docs, SF).select("doc_id").collect()}
+    assert got == {r["doc_id"] for r in small.select("doc_id").collect()}
+
+
 def test_stages_against_brute_force(spark, small, scratch):
     docs, columns = small, small.columns
     names = [n for n, _ in corpus_pipeline.STAGES]
@@ -70,5 +87,7 @@ def test_import_errors_are_not_swallowed():
     root = Path(corpus_pipeline.__file__).resolve().parent
     for path in [root / "corpus_pipeline.py", *(root / "linefold/llm").glob("*.py")]:
         for node in ast.walk(ast.parse(path.read_text())):
-            assert not isinstance(node, ast.Try), path
+            if isinstance(node, ast.Try):  # what is caught is named, and is no import error
+                caught = [h.type.id for h in node.handlers if isinstance(h.type, ast.Name)]
+                assert len(caught) == len(node.handlers) and set(caught) <= {"AnalysisException"}, path
     assert lang_id.UND == "und"

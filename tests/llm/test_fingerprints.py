@@ -99,3 +99,16 @@ def test_messy_and_empty_tables(messy, nothing):
     assert sorted(r["_text"] for r in rows) == sorted(r[1] or "" for r in messy_rows())
     assert sorted(r["_next"]["text"] for r in rows) == sorted(r[1] or "" for r in messy_rows())
     assert fingerprints.with_next(nothing, "doc_id", "text").count() == 0
+
+
+def test_next_texts_and_even_buckets(spark, scratch, monkeypatch):
+    """Every bucket, the outer ones too, holds about as many documents; the next text is that of the next id."""
+    monkeypatch.setattr(fingerprints, "PER_BUCKET", 4)
+    rows = [(i * 7 + 3, f"text number {i} of some words") for i in range(6000)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(scratch)
+    found = fingerprints.with_next(spark.read.parquet(scratch), "doc_id", "text")
+    sizes = [r["count"] for r in found.groupBy("_bucket").count().collect()]
+    assert len(sizes) > 1000 and max(sizes) <= 24
+    after = {r["_id"]: r["t"] for r in found.selectExpr("_id", "_next.text AS t").collect()}
+    texts = [t for _, t in rows]
+    assert [after[i] for i, _ in rows] == [*texts[1:], texts[0]]

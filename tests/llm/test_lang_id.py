@@ -100,3 +100,30 @@ def test_messy_and_empty_tables(messy, nothing, small):
     unlearnt = lang_id.learn(nothing)
     assert {r["lang_pred"] for r in lang_id.predict(messy, unlearnt).collect()} == {"und"}
     assert lang_id.predict(messy, lang_id.learn(messy)).count() == len(messy_rows())
+
+
+def test_unlearnt_scripts_speak_for_no_language(spark, small):
+    """An unknown character has one probability, so foreign texts have a very low fit, and learnt ones never have."""
+    model = lang_id.learn(small, per_language=50)
+    assert (model.p[-2] == lang_id.UNKNOWN).all() and np.allclose(model.p[:-2].sum(axis=0), 1.0)
+    foreign = ["Съешь же ещё этих мягких французских булок", "我能吞下玻璃而不伤身体我能吞下玻璃", "აბგდევზთიკლმნოპჟრსტუფქღყშჩცძწჭხჯჰ"]
+    docs = spark.createDataFrame(list(enumerate(foreign)), "doc_id long, text string")
+    ownfit = [r["fit"] for r in lang_id.predict(small, model, fit="fit").collect() if r["lang_pred"] != "und"]
+    fits = {r["doc_id"]: r["fit"] for r in lang_id.predict(docs, model, fit="fit").collect()}
+    assert min(ownfit) > -5
+    assert fits[1] < -9 and fits[2] < -9  # Cyrillic is in the vocabulary, letter by letter
+    assert fits[0] < min(ownfit)
+
+
+def test_very_long_words_are_learnt():
+    model = lang_id.Unigrams(["▁", "a", "b", "▁a", "▁b"], ["x", "y"])
+    model.fit(["a" * 500, "b" * 500], np.array([[9.0, 0.0], [0.0, 9.0]]), rounds=2)
+    logs = model.log_words(["aaa", "bbb"])
+    assert np.isfinite(logs).all() and logs[0, 0] > logs[0, 1] and logs[1, 1] > logs[1, 0]
+
+
+def test_too_many_labels_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(lang_id, "LABELS", 2)
+    docs = spark.createDataFrame([(i, "some words", f"l{i % 3}") for i in range(30)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="labels"):
+        lang_id.learn(docs)
