@@ -29,7 +29,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from array import array
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -39,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linefold.llm.common import materialize, ship, text_of
-from linefold.llm.tokens import Numbered, ragged, slices, vocabulary_path
+from linefold.llm.tokens import PieceMemo, ragged, slices, vocabulary_path
 
 DEFAULT_RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Fixed value: the pattern that cuts a text before the merges (that of the public vocabularies).
@@ -72,36 +71,6 @@ def scanner(letters: Iterable[int], numbers: Iterable[int], spaces: Iterable[int
     return re.compile(pattern).findall
 
 
-class PieceMemo:
-    """Ids of pre-tokens, each distinct one encoded once while it is remembered."""
-
-    def __init__(self, learn: Callable[[list[str]], list[list[int]]], cache: int = CACHE):
-        self.learn, self.cache = learn, cache
-        self._forget()
-
-    def _forget(self) -> None:
-        self._pieces = Numbered()
-        self._ids, self._starts, self._lengths = array("I"), array("q"), array("q")
-
-    def encode(self, lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all pre-tokens in one array, and where each list's begin (one entry more than lists)."""
-        if len(self._pieces) > self.cache:
-            self._forget()
-        number, numbers, counts = self._pieces.__getitem__, array("q"), [0]
-        for pieces in lists:
-            numbers.extend(map(number, pieces))
-            counts.append(len(numbers))
-        for ids in self.learn(self._pieces.new):
-            self._starts.append(len(self._ids))
-            self._lengths.append(len(ids))
-            self._ids.extend(ids)
-        self._pieces.new = []
-        which = np.array(numbers, dtype=np.int64)
-        starts, lengths = np.array(self._starts, dtype=np.int64)[which], np.array(self._lengths, dtype=np.int64)[which]
-        ids = np.array(self._ids, dtype=np.uint32)[ragged(starts, lengths)]
-        return ids, np.concatenate([[0], np.cumsum(lengths)])[counts]
-
-
 def read_ranks(path: str) -> dict[bytes, int]:
     """Pieces and ranks of a rank file."""
     with open(path, "rb") as f:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linefold.llm.common import ship
-from linefold.llm.tokens import slices, tokenizer, vocabulary_path
+from linefold.llm.tokens import slices, tokenizer, vocabulary_path, with_end
 
 WINDOW = 2048
 END_ID = 1
@@ -73,7 +73,7 @@ class _Packer:
     def _sequence(self, parts: list[tuple]) -> None:
         offset = 0
         for doc_id, start, doc_tokens, ids in parts:
-            self.rows.append((doc_id, start, len(ids), zlib.crc32(ids.tobytes()), doc_tokens, self.next, offset))
+            self.rows.append((doc_id, start, len(ids), zlib.crc32(ids), doc_tokens, self.next, offset))
             offset += len(ids)
         self.next += 1
 
@@ -161,13 +161,13 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = tokenizer(vocabulary or vocabulary_path())
         packer = _Packer(window, pool, TaskContext.get().partitionId() << 33)
-        end = np.array([end_id], dtype=np.uint32)
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in slices(texts):
-                ids, offsets = words.encode(texts[a:b])
-                for i in range(a, b):
-                    packer.add(doc_ids[i], np.concatenate([ids[offsets[i - a] : offsets[i - a + 1]], end]))
+                ids, offsets = with_end(*words.encode(texts[a:b]), end_id)
+                at = offsets.tolist()
+                for i, start, stop in zip(range(a, b), at, at[1:]):
+                    packer.add(doc_ids[i], ids[start:stop])
                 if len(packer.rows) > 10_000:
                     yield packer.drain()
         packer.pack(last=True)

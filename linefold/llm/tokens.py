@@ -14,6 +14,8 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 
@@ -55,6 +57,41 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
 
 
+def numbered(lists: list[list[str]], numbers: Numbered) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all pieces in one array, and where each list's begin (one entry more than lists)."""
+    counts = np.concatenate([[0], np.cumsum(np.fromiter(map(len, lists), dtype=np.int64, count=len(lists)))]).astype(np.int64)
+    every = map(numbers.__getitem__, chain.from_iterable(lists))
+    return np.fromiter(every, dtype=np.int64, count=int(counts[-1])), counts
+
+
+class PieceMemo:
+    """Ids of pre-tokens, each distinct one encoded once while it is remembered."""
+
+    def __init__(self, learn: Callable[[list[str]], list[list[int]]], cache: int = CACHE):
+        self.learn, self.cache = learn, cache
+        self._forget()
+
+    def _forget(self) -> None:
+        self._pieces = Numbered()
+        self._ids, self._starts, self._lengths = array("I"), array("q"), array("q")
+
+    def encode(self, lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pre-tokens in one array, and where each list's begin (one entry more than lists)."""
+        if len(self._pieces) > self.cache:
+            self._forget()
+        which, counts = numbered(lists, self._pieces)
+        if self._pieces.new:
+            learnt = self.learn(self._pieces.new)
+            sizes = np.fromiter(map(len, learnt), dtype=np.int64, count=len(learnt))
+            self._starts.frombytes((len(self._ids) + np.cumsum(sizes) - sizes).tobytes())
+            self._lengths.frombytes(sizes.tobytes())
+            self._ids.extend(chain.from_iterable(learnt))
+            self._pieces.new = []
+        starts, lengths = np.array(self._starts, dtype=np.int64)[which], np.array(self._lengths, dtype=np.int64)[which]
+        ids = np.array(self._ids, dtype=np.uint32)[ragged(starts, lengths)]
+        return ids, np.concatenate([[0], np.cumsum(lengths)])[counts]
+
+
 class WordTokenizer:
     """Encodes texts with a word-level vocabulary (every pre-token ends in a word-end piece)."""
 
@@ -67,7 +104,7 @@ class WordTokenizer:
         vocabulary = self.library.get_vocab(with_added_tokens=False)
         self._ends = np.zeros(max(vocabulary.values()) + 64, dtype=bool)
         self._ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
-        self._pretokens: dict[str, tuple[int, ...]] = {}
+        self._pretokens = PieceMemo(self._learn_pretokens, cache)
         self._forget()
 
     def _forget(self) -> None:
@@ -79,53 +116,39 @@ class WordTokenizer:
     def _library_ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn_pretokens(self, words: list[str]) -> None:
-        if len(self._pretokens) > self.cache:
-            self._pretokens.clear()
+    def _learn_pretokens(self, words: list[str]) -> list[list[int]]:
+        """Ids of pre-tokens: many go to the library as one text, and are told apart by their word ends."""
+        out: list[list[int]] = []
         for i in range(0, len(words), 5000):
             some = words[i : i + 5000]
             ids = self._library_ids([" ".join(some)])[0]
             cuts = np.flatnonzero(self._ends[np.asarray(ids, dtype=np.int64)]) + 1 if ids else np.zeros(0, int)
             if len(cuts) == len(some):
-                at = 0
-                for w, end in zip(some, cuts.tolist()):
-                    self._pretokens[w] = tuple(ids[at:end])
-                    at = end
+                out += [ids[a:b] for a, b in zip([0, *cuts.tolist()], cuts.tolist())]
             else:
-                self._pretokens.update((w, tuple(x)) for w, x in zip(some, self._library_ids(some)))
+                out += self._library_ids(some)
+        return out
 
     def _learn(self, pieces: list[str]) -> None:
         split = [_PRETOKEN.findall(p.lower()) if _PLAIN.fullmatch(p) and "<|" not in p else None for p in pieces]
-        if len(self._pretokens) > self.cache:
-            self._pretokens.clear()
-        unknown = {w for ws in split if ws for w in ws if w not in self._pretokens}
-        self._learn_pretokens(sorted(unknown))
-        odd = iter(self._library_ids([p for p, ws in zip(pieces, split) if ws is None]))
-        known = self._pretokens
-        for ws in split:
-            before = len(self._ids)
-            if ws is None:
-                self._ids.extend(next(odd))
-            else:
-                for w in ws:
-                    self._ids.extend(known[w])
-            self._starts.append(before)
-            self._lengths.append(len(self._ids) - before)
+        ids, at = self._pretokens.encode([ws or [] for ws in split])
+        starts, lengths = len(self._ids) + at[:-1], np.diff(at)
+        self._ids.frombytes(ids.tobytes())
+        odd = [k for k, ws in enumerate(split) if ws is None]
+        for k, found in zip(odd, self._library_ids([pieces[k] for k in odd])):
+            starts[k], lengths[k] = len(self._ids), len(found)
+            self._ids.extend(found)
+        self._starts.frombytes(starts.tobytes())
+        self._lengths.frombytes(lengths.tobytes())
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and where each text's begin (one entry more than texts)."""
         if len(self._pieces) > self.cache:
             self._forget()
-        number = self._pieces.__getitem__
-        numbers = array("q")
-        counts = [0]
-        for t in texts:
-            pieces = [t] if _ODD_BLANK.search(t) else t.split()
-            numbers.extend(map(number, pieces))
-            counts.append(len(numbers))
-        self._learn(self._pieces.new)
-        self._pieces.new = []
-        which = np.frombuffer(numbers, dtype=np.int64) if numbers else np.zeros(0, np.int64)
+        which, counts = numbered([[t] if _ODD_BLANK.search(t) else t.split() for t in texts], self._pieces)
+        if self._pieces.new:
+            self._learn(self._pieces.new)
+            self._pieces.new = []
         # copies: an array that numpy looks into cannot grow
         starts, lengths = np.array(self._starts, dtype=np.int64)[which], np.array(self._lengths, dtype=np.int64)[which]
         ids = np.array(self._ids, dtype=np.uint32)[ragged(starts, lengths)]
@@ -153,3 +176,8 @@ def slices(texts: list[str], most: int = SLICE):
         size += len(t)
     if start < len(texts):
         yield start, len(texts)
+
+
+def with_end(ids: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids with ``end_id`` behind each text's, and where each text's begin then."""
+    return np.insert(ids, offsets[1:], np.uint32(end_id)), offsets + np.arange(len(offsets))
