@@ -14,6 +14,7 @@ of JSON; convert with any HOCON tool), with the sections ``input``,
     python -m linefold.cli archive --config job.json --out /shared/archive --checkpoint /shared/ckpt4 SOURCE ...
 
     python -m linefold.cli ranges  --checkpoint /shared/ckpt --out /shared/ranges
+    python -m linefold.cli state-total --checkpoint /shared/ckpt3 --out /shared/total
 
 SOURCE is ``--lines DIR`` (``--max-files``, ``--clean-source``), ``--growing DIR`` (files that lines are still
 appended to), ``--kafka``
@@ -27,7 +28,8 @@ for that many seconds). ``--takeover`` goes on with a ledger whose checkpoint wa
 offsets it holds; ``--checkpoint`` is a new one then. ``show`` writes the summary the ledger holds to
 ``--out``; without it, and wherever ``--show`` is given, rows are only printed
 for a look. ``counts`` and ``total`` keep rows per batch and the running total,
-``archive`` the raw lines; ``ranges`` writes the offset ranges of the batches in a checkpoint's log. The session comes from ``spark-submit`` / the
+``archive`` the raw lines; ``ranges`` writes the offset ranges of the batches in a checkpoint's log, ``state-total`` the running
+total in a checkpoint's state store. The session comes from ``spark-submit`` / the
 environment; nothing global is set.
 """
 
@@ -59,6 +61,7 @@ from linefold.streaming.jobs import (
     start_batch_counts,
     start_running_total,
     start_summary_stream,
+    total_of_checkpoint,
 )
 from linefold.streaming.offset_log import log_ranges
 
@@ -162,14 +165,16 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         p.add_argument("--out", required=True, help="folder for the result")
         if name == "archive":
             p.add_argument("--format", choices=("parquet", "text"), default="parquet")
-    o = sub.add_parser("ranges", help="write the offset ranges of the batches in a checkpoint's log")
-    o.add_argument("--checkpoint", required=True)
-    o.add_argument("--out", required=True)
+    for name, what in (("ranges", "offset ranges of the batches in a checkpoint's log"), ("state-total", "running total in a checkpoint's state")):
+        o = sub.add_parser(name, help=f"write the {what}")
+        o.add_argument("--checkpoint", required=True, help="of the stream that has them")
+        o.add_argument("--out", required=True)
     args = ap.parse_args(argv)
 
-    if args.cmd == "ranges":
+    if args.cmd in ("ranges", "state-total"):
         spark = spark or SparkSession.builder.appName("linefold").getOrCreate()
-        log_ranges(spark, args.checkpoint).write.parquet(args.out)
+        found = log_ranges(spark, args.checkpoint) if args.cmd == "ranges" else total_of_checkpoint(spark, args.checkpoint)
+        found.write.parquet(args.out)
         return 0
     conf = load_config(args.config)
     log, summary = specs(conf)

@@ -18,6 +18,7 @@ allowed on external tables), so they live under ``spark.sql.warehouse.dir``.
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -26,6 +27,7 @@ from pyspark.sql import functions as F
 
 from linefold.functions.split import sql_str
 from linefold.operators.summary import rollup_counts
+from linefold.session import HadoopFS
 from linefold.sinks.ledger import among
 
 
@@ -162,6 +164,43 @@ class SummaryTable:
         self.drop_staging()
         return True
 
+    def swap_fold(self, counts: DataFrame) -> bool:
+        """Fold one batch's counts in without ever showing an empty or half-written table; False if the batch is empty.
+
+        The roll-up of the table and the batch is written to a new folder beside the table's, and the catalog's one
+        entry for the table's place is changed to it: a reader sees the summary before or after. The folder before
+        the last one is deleted, so a query that began before a swap can end. Like ``rewrite_fold`` it counts a
+        replayed batch twice, and it is for one writer at a time.
+        """
+        if self.by_day:
+            raise ValueError(f"{self.table} is partitioned; replace_days swaps its days")
+        self.create()
+        self.finish_interrupted_fold()
+        counts = counts.persist()  # the emptiness test and the roll-up both need the small aggregate
+        try:
+            if counts.isEmpty():
+                return False
+            both = self.read().select(*self.columns).unionByName(
+                counts.select(*self.keys, F.col(self.count_col).cast(self.count_type).alias(self.count_col))
+            )
+            now = self.location()
+            home = now.rpartition("/")[0] if re.search(r"/_v-\d+-[0-9a-f]+$", now) else f"{now}_versions"
+            number = int(found[1]) + 1 if (found := re.search(r"/_v-(\d+)-[0-9a-f]+$", now)) else 0
+            fresh = f"{home}/_v-{number}-{uuid.uuid4().hex[:8]}"
+            rollup = rollup_counts(both, self.keys, self.count_col, as_string=self.count_type.upper() == "STRING")
+            rollup.select(*self.columns).write.parquet(fresh)
+        finally:
+            counts.unpersist()
+        self.spark.sql(f"ALTER TABLE {_q(self.table)} SET LOCATION {sql_str(fresh)}")
+        self.spark.catalog.refreshTable(self.table)
+        fs = HadoopFS(self.spark)
+        for old in fs.list_dirs_all(home):
+            version = re.fullmatch(r"_v-(\d+)-[0-9a-f]+", old)
+            # also what a fold that died before its swap has left
+            if version and f"{home}/{old}" not in (fresh, now) and int(version[1]) <= number:
+                fs.delete(f"{home}/{old}")
+        return True
+
     def rewrite_fold(self, counts: DataFrame) -> bool:
         """Fold one batch's counts in by rewriting the table; False if the batch is empty.
 

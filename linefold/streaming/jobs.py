@@ -343,6 +343,22 @@ def start_running_total(
     return _start(totals.writeStream.outputMode("update").foreachBatch(each), checkpoint, trigger, query_name)
 
 
+def total_of_checkpoint(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """``batch_id, total``: the running total that the state store of ``start_running_total``'s checkpoint holds (A4).
+
+    Read by Spark's state data source, as of the last committed batch (or an earlier one that the store still keeps), without the
+    sink: what a stream that died between its state and its sink will go on from.
+    """
+    commits = [int(n) for n in HadoopFS(spark).list_files(f"{checkpoint.rstrip('/')}/commits") if n.isdigit()]
+    if not commits:
+        raise CheckpointError(f"no batch of {checkpoint} is committed")
+    batch = max(commits) if batch_id is None else batch_id
+    state = spark.read.format("statestore").option("batchId", batch).load(checkpoint)
+    # a global count: one row, in one of the store's partitions
+    total = F.coalesce(F.max(F.col("value.count")), F.lit(0)).cast("bigint").alias("total")
+    return state.agg(total).select(F.lit(batch).cast("bigint").alias("batch_id"), "total")
+
+
 RANGE_SCHEMA = StructType(
     [
         StructField("topic", StringType(), True),

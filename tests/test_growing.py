@@ -145,3 +145,37 @@ def test_a_batch_is_read_once_for_all_outputs(spark, scratch):
         out.compact(0)
     fold_batch(batch, 0, LOG, SUM, ledger, owner="stream", reject_sink=rejected, count_sink=counted)
     assert [(r["batch_id"], r["n"]) for r in counted.read().collect()] == [(0, len(rows))]
+
+
+def test_total_in_the_state_store(spark, scratch):
+    """The state's total is the sink's, also after a stop between the two."""
+    from linefold import cli
+    from linefold.sources.lines import stream_lines, write_lines
+    from linefold.streaming.jobs import TOTAL_SCHEMA, CheckpointError, start_running_total, total_of_checkpoint
+
+    sink = BatchTable(spark, f"{scratch}/total", TOTAL_SCHEMA)
+    write = sink.write
+    start = lambda: start_running_total(stream_lines(spark, f"{scratch}/in"), sink, f"{scratch}/ckpt", trigger={"availableNow": True})
+    with pytest.raises(CheckpointError):
+        total_of_checkpoint(spark, f"{scratch}/ckpt")
+    for k in range(2):
+        write_lines(spark.createDataFrame([(f"l{i}",) for i in range(10 + k)], "value string"), f"{scratch}/in")
+        run_bounded(start())
+    state = lambda: [tuple(r) for r in total_of_checkpoint(spark, f"{scratch}/ckpt").collect()]
+    latest = lambda: [(r["batch_id"], r["total"]) for r in sink.latest().collect()]
+    assert state() == latest() == [(1, 21)]
+
+    def dies(df, *args):
+        df.collect()  # the batch's state is computed, its sink is not written
+        raise OSError("lost")
+
+    write_lines(spark.createDataFrame([("more",)], "value string"), f"{scratch}/in")
+    sink.write = dies
+    with pytest.raises(Exception, match="lost"):
+        run_bounded(start())
+    sink.write = write
+    assert state() == latest() == [(1, 21)]
+    run_bounded(start())
+    assert state() == latest() == [(2, 22)]
+    assert cli.main(["state-total", "--checkpoint", f"{scratch}/ckpt", "--out", f"{scratch}/out"], spark) == 0
+    assert [tuple(r) for r in spark.read.parquet(f"{scratch}/out").collect()] == [(2, 22)]
