@@ -22,7 +22,7 @@ table gives an empty file set.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linefold.llm.common import materialize, ship
-from linefold.llm.tokens import slices, tokenizer, vocabulary_path
+from linefold.llm.tokens import slices, tokenizer, vocabulary_path, with_end
 
 END_ID = 2
 BLOCK_DOCS = 4096
@@ -67,17 +67,22 @@ class EliasFano:
         samples = np.concatenate([[0], np.cumsum(per_block)[:-1]]).astype("<u4")
         return cls(n, universe, np.packbits(low.ravel(), bitorder="little").tobytes(), packed.tobytes(), samples.tobytes())
 
-    def select(self, i: int) -> int:
-        """The ``i``-th value: find the 512 bits that hold its one by the directory, then look into them."""
-        if not 0 <= i < self.n:
-            raise IndexError(i)
-        block = int(np.searchsorted(self.samples, i, side="right")) - 1
-        bits = np.unpackbits(self.high[block * 64 : block * 64 + 64], bitorder="little")
-        one = block * 512 + int(np.flatnonzero(bits)[i - int(self.samples[block])])
-        first = i * self.bits
-        part = np.unpackbits(self.low[first // 8 : (first + self.bits + 7) // 8], bitorder="little")
-        low = part[first % 8 : first % 8 + self.bits]
-        return (one - i) << self.bits | int(low @ (1 << np.arange(self.bits, dtype=np.int64)))
+    def select(self, at: np.ndarray) -> np.ndarray:
+        """The values at the places ``at``: the directory finds the 512 bits that hold each one's mark, and only those are looked into."""
+        at = np.asarray(at, dtype=np.int64)
+        if len(at) and not (0 <= at.min() and at.max() < self.n):
+            raise IndexError(f"places must be from 0 to {self.n - 1}")
+        out, each = np.zeros(len(at), np.int64), np.arange(self.bits, dtype=np.int64)
+        for i in range(0, len(at), 1024):
+            some = at[i : i + 1024]
+            block = np.searchsorted(self.samples, some, side="right") - 1
+            bits = np.unpackbits(self.high.reshape(-1, 64)[block], axis=1, bitorder="little")
+            rank = (some - self.samples[block].astype(np.int64))[:, None] + 1
+            ones = block * 512 + (np.cumsum(bits, axis=1, dtype=np.int16) < rank).sum(axis=1)
+            place = some[:, None] * self.bits + each
+            low = (self.low[place >> 3] >> (place & 7).astype(np.uint8)) & 1
+            out[i : i + 1024] = (ones - some << self.bits) + low.astype(np.int64) @ (1 << each)
+        return out
 
     def values(self) -> np.ndarray:
         """All values, for a scan."""
@@ -120,7 +125,7 @@ def write(
             ends = np.cumsum([len(x) for _, x in held])
             code = EliasFano.encode(ends, int(ends[-1]))
             known = np.array([d for d, _ in held if d is not None], dtype="<i8")
-            ids = np.concatenate([x for _, x in held]).astype("<u4" if wide else "<u2")
+            ids = np.concatenate([x for _, x in held])
             row = (
                 number, known.tobytes(), len(held) - len(known), len(held), int(ends[-1]), 4 if wide else 2,
                 ids.tobytes(), code.low.tobytes(), code.high.tobytes(), code.samples.tobytes(),
@@ -128,13 +133,13 @@ def write(
             held, n_ids, number = [], 0, number + 1
             return _rows([row])
 
-        end = np.array([end_id], dtype=np.uint32)
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for a, b in slices(texts):
-                ids, offsets = words.encode(texts[a:b])
-                for i in range(a, b):
-                    x = np.concatenate([ids[offsets[i - a] : offsets[i - a + 1]], end])
+                ids, offsets = with_end(*words.encode(texts[a:b]), end_id)
+                ids, at = ids.astype("<u4" if wide else "<u2"), offsets.tolist()
+                for i, start, stop in zip(range(a, b), at, at[1:]):
+                    x = ids[start:stop]
                     if held and (len(held) >= block_docs or n_ids + len(x) > block_ids):
                         yield block()
                     held.append((doc_ids[i], x))
@@ -151,35 +156,42 @@ def write(
     ordered.mapInArrow(run, SCHEMA).write.parquet(path)
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
+def read(spark: SparkSession, path: str, doc_ids: Sequence[int | None] | None = None) -> DataFrame:
     """The documents of a file set: ``doc_id, start, n_tokens, ids`` (``ids`` little-endian unsigned 32-bit).
 
-    The offset of a block is the number of ids in all blocks before it, a running sum over one short row per block.
+    With ``doc_ids`` only those of these ids: of a block, the boundaries of the wanted documents are selected and nothing
+    else is decoded. The offset of a block is the number of ids in all blocks before it, a running sum over one short row
+    per block.
     """
     files = spark.read.parquet(path)
     before = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     at = files.select("block", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).cast("long").alias("at"))
     at = materialize(at, "starts")  # its size is known then, and the files stay where they are if it is small
+    wanted = None if doc_ids is None else np.array(sorted({d for d in doc_ids if d is not None}), dtype=np.int64)
+    nulls = doc_ids is None or None in doc_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
-                ids = np.frombuffer(r["ids"], f"<u{r['id_bytes']}").astype("<u4")
-                ends = EliasFano(r["n_docs"], r["n_ids"], r["low"], r["high"], r["samples"]).values()
-                starts = np.concatenate([[0], ends[:-1]])
-                doc_ids = [None] * r["null_ids"] + np.frombuffer(r["doc_ids"], "<i8").tolist()
-                for i in range(0, r["n_docs"], 1024):
-                    some = range(i, min(i + 1024, r["n_docs"]))
+                known, null_ids = np.frombuffer(r["doc_ids"], "<i8"), r["null_ids"]
+                places = np.arange(null_ids if nulls else 0)
+                some = np.arange(len(known)) if wanted is None else np.flatnonzero(np.isin(known, wanted))
+                places = np.concatenate([places, some + null_ids])
+                code = EliasFano(r["n_docs"], r["n_ids"], r["low"], r["high"], r["samples"])
+                for i in range(0, len(places), 1024):
+                    here = places[i : i + 1024]
+                    ends = code.select(here)
+                    starts = np.where(here > 0, code.select(np.maximum(here - 1, 0)), 0)
+                    parts = [r["ids"][a * r["id_bytes"] : b * r["id_bytes"]] for a, b in zip(starts.tolist(), ends.tolist())]
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array([doc_ids[j] for j in some], pa.int64()),
-                            pa.array(starts[some.start : some.stop] + r["at"], pa.int64()),
-                            pa.array((ends - starts)[some.start : some.stop], pa.int64()),
-                            pa.array([ids[starts[j] : ends[j]].tobytes() for j in some], pa.binary()),
+                            pa.array([None if p < null_ids else int(known[p - null_ids]) for p in here.tolist()], pa.int64()),
+                            pa.array(starts + r["at"], pa.int64()),
+                            pa.array(ends - starts, pa.int64()),
+                            pa.array([np.frombuffer(x, f"<u{r['id_bytes']}").astype("<u4").tobytes() for x in parts], pa.binary()),
                         ],
                         names=["doc_id", "start", "n_tokens", "ids"],
                     )
 
     ship(spark)
     return files.join(at, "block").mapInArrow(run, "doc_id long, start long, n_tokens long, ids binary")
-

@@ -113,7 +113,12 @@ def test_elias_fano_gives_back_every_offset(lengths):
     code = token_files.EliasFano.encode(ends, int(ends[-1]))
     again = token_files.EliasFano(len(ends), int(ends[-1]), code.low.tobytes(), code.high.tobytes(), code.samples.tobytes())
     assert again.values().tolist() == ends.tolist()
-    assert [again.select(i) for i in range(0, len(ends), 17)] == ends[::17].tolist()
+    assert again.select(np.arange(len(ends))).tolist() == ends.tolist()
+    assert again.select(np.arange(len(ends))[::-17]).tolist() == ends[::-17].tolist()
+    assert again.select(np.zeros(0, int)).tolist() == []
+    for outside in (-1, len(ends)):
+        with pytest.raises(IndexError):
+            again.select(np.array([outside]))
     n, u = len(ends), int(ends[-1])
     assert 8 * (len(code.low) + len(code.high)) <= n * (3 + max(0, np.log2(max(1, u / n)))) + 1200
 
@@ -140,6 +145,15 @@ def test_files_round_trip(spark, words, small, scratch, blocks):
     assert read_back(spark, scratch) == expected_files(words, rows)
 
 
+def test_single_documents_are_fetched(spark, messy, scratch):
+    """Documents by id: their own starts and ids, repeats and null ids included, the others left alone."""
+    token_files.write(messy, scratch, block_docs=4)
+    every = [tuple(r) for r in token_files.read(spark, scratch).collect()]
+    for ids in ([8], [6, 2**62, 10**9], [None], [None, 9, 9], []):
+        got = [tuple(r) for r in token_files.read(spark, scratch, doc_ids=ids).collect()]
+        assert sorted(got, key=str) == sorted((r for r in every if r[0] in ids), key=str)
+
+
 def test_files_of_messy_and_empty_tables(spark, words, messy, nothing, scratch):
     token_files.write(messy, f"{scratch}/a", block_docs=4)
     got = sorted(token_files.read(spark, f"{scratch}/a").collect(), key=lambda r: r["start"])
