@@ -13,6 +13,8 @@ of JSON; convert with any HOCON tool), with the sections ``input``,
     python -m linefold.cli total   --config job.json --out /shared/totals --checkpoint /shared/ckpt3 SOURCE ...
     python -m linefold.cli archive --config job.json --out /shared/archive --checkpoint /shared/ckpt4 SOURCE ...
 
+    python -m linefold.cli redrive --config corrected.json --summary /shared/summary --rejects /shared/rejects [--still DIR]
+    python -m linefold.cli pack    --out /shared/archive
     python -m linefold.cli ranges  --checkpoint /shared/ckpt --out /shared/ranges
     python -m linefold.cli state-total --checkpoint /shared/ckpt3 --out /shared/total
 
@@ -28,7 +30,7 @@ for that many seconds). ``--takeover`` goes on with a ledger whose checkpoint wa
 offsets it holds; ``--checkpoint`` is a new one then. ``show`` writes the summary the ledger holds to
 ``--out``; without it, and wherever ``--show`` is given, rows are only printed
 for a look. ``counts`` and ``total`` keep rows per batch and the running total,
-``archive`` the raw lines; ``ranges`` writes the offset ranges of the batches in a checkpoint's log, ``state-total`` the running
+``archive`` the raw lines, whose small files ``pack`` packs; ``ranges`` writes the offset ranges of the batches in a checkpoint's log, ``state-total`` the running
 total in a checkpoint's state store. The session comes from ``spark-submit`` / the
 environment; nothing global is set.
 """
@@ -44,6 +46,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from linefold.config import KafkaSpec, LogSpec, SummarySpec
 from linefold.operators.summary import preview, summarize
+from linefold.sinks.archive import Archive
 from linefold.sinks.batch_table import BatchTable
 from linefold.sinks.ledger import SummaryLedger
 from linefold.sinks.tables import SummaryTable
@@ -56,6 +59,7 @@ from linefold.streaming.jobs import (
     RANGE_SCHEMA,
     REJECT_SCHEMA,
     TOTAL_SCHEMA,
+    redrive_rejects,
     run_bounded,
     start_archive,
     start_batch_counts,
@@ -169,8 +173,20 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         o = sub.add_parser(name, help=f"write the {what}")
         o.add_argument("--checkpoint", required=True, help="of the stream that has them")
         o.add_argument("--out", required=True)
+    d = sub.add_parser("redrive", help="parse rejected lines again under a corrected config")
+    d.add_argument("--config", required=True)
+    d.add_argument("--summary", required=True)
+    d.add_argument("--rejects", required=True, help="folder that 'stream --rejects' wrote")
+    d.add_argument("--still", help="folder for the lines that are rejected again")
+    d.add_argument("--batches", type=int, nargs="+", help="only these batches")
+    k = sub.add_parser("pack", help="pack the small files of an archive that 'archive' wrote")
+    k.add_argument("--out", required=True, help="folder of the archive")
+    k.add_argument("--format", choices=("parquet", "text"), default="parquet")
     args = ap.parse_args(argv)
 
+    if args.cmd == "pack":
+        Archive(spark or SparkSession.builder.appName("linefold").getOrCreate(), args.out, fmt=args.format).compact()
+        return 0
     if args.cmd in ("ranges", "state-total"):
         spark = spark or SparkSession.builder.appName("linefold").getOrCreate()
         found = log_ranges(spark, args.checkpoint) if args.cmd == "ranges" else total_of_checkpoint(spark, args.checkpoint)
@@ -180,6 +196,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     log, summary = specs(conf)
     spark = spark or SparkSession.builder.appName(conf.get("application", {}).get("appName", "linefold")).getOrCreate()
 
+    if args.cmd == "redrive":
+        redrive_rejects(
+            SummaryLedger(spark, args.summary, summary.keys, summary.count_col), BatchTable(spark, args.rejects, REJECT_SCHEMA),
+            log, summary, batches=args.batches, still_rejected=BatchTable(spark, args.still, REJECT_SCHEMA) if args.still else None,
+        )
+        return 0
     if args.cmd in ("batch", "show"):
         if args.cmd == "batch":
             result = summarize(read_lines(spark, args.lines), log, summary)

@@ -101,6 +101,11 @@ class HadoopFS:
             return []
         return sorted(st.getPath().getName() for st in fs.listStatus(p) if st.isFile())
 
+    def size(self, path: str) -> int:
+        """Bytes of the files under ``path``."""
+        fs, p = self._fs(path)
+        return int(fs.getContentSummary(p).getLength())
+
     def delete(self, path: str, recursive: bool = True) -> bool:
         fs, p = self._fs(path)
         return bool(fs.delete(p, recursive))

@@ -18,6 +18,9 @@ With each batch the ledger can keep the offset ranges it came from (``fold(...,
 batch's own partition, so that counts and ranges are there together or not at all. ``folded()`` is what the ledger
 holds of every topic partition, as intervals, and ``next_offsets()`` where a stream with a new checkpoint goes on.
 
+A batch can be revised (``revise``): counts that were missing from it, such as those of lines that were rejected and
+can be parsed now, are kept beside it under its id. Revising it again replaces what was added before.
+
 Segments are partitioned by the first key (a day, as a rule; a key with very many values
 makes very many folders). ``read(days=...)`` opens the folders of those days alone, so
 what it costs to bring a few days up to date does not grow with the history.
@@ -30,6 +33,7 @@ Layout under ``path``::
     _owner                                             id of the stream's checkpoint
     _manifest                                          which segments count
     ledger/batch_id=<N>/part-*.parquet                 keys..., count
+    revisions/batch_id=<N>/part-*.parquet              keys..., count
     _segments/<name>/_first=<first key>/part-*.parquet keys..., count
 """
 
@@ -73,6 +77,7 @@ class SummaryLedger(Owned):
         )
         with_ranges = StructType([*self.schema.fields, StructField(RANGES, StringType(), True)])
         self.ledger = BatchTable(spark, f"{self.path}/ledger", with_ranges)
+        self.revisions = BatchTable(spark, f"{self.path}/revisions", self.schema)
         self._fs = HadoopFS(spark)
         stored = StructType([*self.schema.fields, StructField(FIRST, StringType(), True)])
         self.segments = Segments(spark, self.path, stored, self._fs, partition=FIRST, fanout=fanout)
@@ -115,6 +120,14 @@ class SummaryLedger(Owned):
         if before is not None:
             self.ledger.drop_batches(before)
 
+    def revise(self, counts: DataFrame, batch_id: int) -> None:
+        """Add counts to a batch that was folded already (an empty one, too), in place of what an earlier revision added to it."""
+        counts = counts.select(*self.keys, self.count_col)
+        if counts.isEmpty():  # an overwrite without rows would leave the earlier revision
+            self._fs.delete(f"{self.revisions.path}/{self.revisions.batch_col}={batch_id}")
+        else:
+            self.revisions.write(counts, batch_id)
+
     # -- offsets -------------------------------------------------------------
     def _folded(self, batches: Sequence[int]) -> Intervals:
         """What is folded in the segments and in these batches; a short row for each batch."""
@@ -151,6 +164,8 @@ class SummaryLedger(Owned):
         ``days`` keeps the keys whose first one is among these values, or in the first column of a DataFrame.
         """
         live, base = self._live(self.batch_ids()), self.segments.read()
+        if revised := self.revisions.batch_ids():
+            live = live.unionByName(self.revisions.partitions_of(revised).select(*live.columns))
         if isinstance(days, DataFrame):
             values = self.day_values(days)
             if values is None:

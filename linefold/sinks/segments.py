@@ -119,12 +119,12 @@ class Segments:
         return found
 
     def add(
-        self, rows: DataFrame, upto: int, merge: Callable[[DataFrame], DataFrame] = lambda df: df, notes: dict | None = None
+        self, rows: DataFrame, upto: int, merge: Callable[[DataFrame], DataFrame] = lambda df: df, notes: dict | None = None, dealt: bool = False
     ) -> Manifest:
         """Commit the rows of the batches since the last segment as part of a segment; gives the state before.
 
         ``merge`` is applied to the rows of the segment (the new ones, with those of the segments it takes in);
-        ``notes`` replace those of the state in the same step.
+        ``notes`` replace those of the state in the same step. ``dealt`` tells that ``merge`` has dealt the rows out to files.
         """
         before = self.manifest()
         taken, _ = before.merged(self.fanout)
@@ -133,7 +133,8 @@ class Segments:
         name = f"{upto:012d}-{uuid.uuid4().hex[:8]}"
         if self.partition:
             # one file a value, unless it is large: adaptive execution splits and joins what this deals out
-            rows.hint("rebalance", self.partition).write.partitionBy(self.partition).parquet(f"{self.folder}/{name}")
+            rows = rows if dealt else rows.hint("rebalance", self.partition)
+            rows.write.partitionBy(self.partition).parquet(f"{self.folder}/{name}")
         else:
             rows.write.parquet(f"{self.folder}/{name}")
         self._fs.replace_text(f"{self.path}/{MANIFEST}", before.with_segment(name, upto, self.fanout, notes).dump())

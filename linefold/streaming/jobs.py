@@ -30,7 +30,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from linefold.config import LogSpec, SummarySpec
-from linefold.operators.parse import REJECT_COL, accepted, parse
+from linefold.operators.parse import REJECT_COL, accepted, parse, rejects
 from linefold.operators.summary import apply_predicate, count_by, count_with_rejects, rejected_lines
 from linefold.session import HadoopFS, scratch_path
 from linefold.sinks.batch_table import BatchTable, Owned
@@ -205,6 +205,45 @@ def fold_batch(
         ledger.read().show(show_rows, truncate=False)
 
 
+def redrive_rejects(
+    ledger: SummaryLedger,
+    reject_sink: BatchTable,
+    log_spec: LogSpec,
+    summary_spec: SummarySpec,
+    *,
+    batches: list[int] | None = None,
+    still_rejected: BatchTable | None = None,
+    mirror_table: SummaryTable | None = None,
+) -> list[int]:
+    """Parse the rejected lines of batches again, under a corrected spec, and revise the ledger with their counts.
+
+    The totals are then those of a first run in which these lines had been parsed so; lines that were accepted
+    keep what they were counted as. It always starts from all lines that a batch rejected and replaces what an earlier run
+    added to it, so it can be repeated, with another correction too, and a run that died is done again. What is
+    rejected under this spec as well goes to ``still_rejected``. Gives the batches.
+    """
+    if batches is None:
+        rows = reject_sink.read().select(reject_sink.batch_col).distinct().collect()
+        batches = sorted(r[0] for r in rows)
+    for batch_id in batches:
+        parsed = parse(reject_sink.read(batch_id, batch_id).select("value"), log_spec)
+        good = apply_predicate(accepted(parsed), summary_spec.predicate)
+        before = ledger.revisions.partitions_of([b for b in ledger.revisions.batch_ids() if b == batch_id])
+        days = ledger.day_values(before) if mirror_table is not None else []
+        ledger.revise(count_by(good, summary_spec.keys, summary_spec.count_col), batch_id)
+        if still_rejected is not None:
+            HadoopFS(ledger.spark).delete(f"{still_rejected.path}/{still_rejected.batch_col}={batch_id}")
+            still_rejected.write(rejects(parsed), batch_id)
+        if mirror_table is not None:
+            now = ledger.revisions.partitions_of([b for b in ledger.revisions.batch_ids() if b == batch_id])
+            touched = ledger.day_values(now)
+            if days is None or touched is None:
+                mirror_table.replace_days(ledger.read(), ledger.read().select(ledger.keys[0]))
+            else:
+                mirror_table.replace_days(ledger.read([*days, *touched]), [*days, *touched])
+    return batches
+
+
 def ranges_of(records: DataFrame, checkpoint: str, batch_id: int) -> list[OffsetRange] | None:
     """Offset ranges of a running batch of Kafka-shaped records, from the offset log; None if its source has no such offsets.
 

@@ -81,6 +81,12 @@ def test_counts_total_and_archive_commands(spark, scratch, tmp_path):
     totals = BatchTable(spark, f"{scratch}/total", TOTAL_SCHEMA).read().collect()
     assert max(r["total"] for r in totals) == n
     assert sorted(r[0] for r in spark.read.parquet(f"{scratch}/archive").collect()) == sorted(r["value"] for r in lines.collect())
+    from linefold.sinks.archive import Archive
+
+    assert cli.main(["pack", "--out", f"{scratch}/archive"], spark) == 0
+    packed = Archive(spark, f"{scratch}/archive")
+    assert packed.segments.upto() == 2
+    assert sorted(r[0] for r in packed.read().collect()) == sorted(r["value"] for r in lines.collect())
     # a bounded run with a long trigger ends by itself
     args = ["counts", "--config", str(conf), "--out", f"{scratch}/more", "--checkpoint", f"{scratch}/ckpt-more",
             "--lines", f"{scratch}/in", "--timeout", "3"]
