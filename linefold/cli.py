@@ -1,7 +1,6 @@
 """Command line: run the summary jobs from a config file.
 
-The config is the original job configuration as JSON (HOCON is a superset
-of JSON; convert with any HOCON tool), with the sections ``input``,
+The config is the original job configuration, as it is written (HOCON) or as JSON, with the sections ``input``,
 ``query``, ``output``, ``kafka`` and optionally ``application``
 (``duration`` = micro-batch interval in ms). Only keys the jobs read are used.
 
@@ -44,6 +43,7 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 
+from linefold import hocon
 from linefold.config import KafkaSpec, LogSpec, SummarySpec
 from linefold.operators.summary import preview, summarize
 from linefold.sinks.archive import Archive
@@ -71,8 +71,9 @@ from linefold.streaming.offset_log import log_ranges
 
 
 def load_config(path: str) -> dict:
+    """The job config: JSON, or as the original jobs write it (see ``hocon``)."""
     with open(path) as f:
-        return json.load(f)
+        return hocon.loads(f.read())
 
 
 def specs(conf: dict) -> tuple[LogSpec, SummarySpec]:

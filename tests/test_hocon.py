@@ -1,0 +1,100 @@
+"""Configs as they are written."""
+
+import json
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from linefold import cli
+from linefold.config import LogSpec, SummarySpec
+from linefold.hocon import HoconError, loads
+
+JOB = '''
+# the job as it is written
+application {
+    appName = "summary";
+    duration = 2000   // milliseconds
+}
+input {
+    fieldCount = 60
+    delimeter = "|"
+    fieldSeperator = ","
+    selectedFields = ["time_stamp","app_id",
+        "channel_type"   "travel_direction" ]
+    time_stamp { fieldNumber = 2
+        substring = true
+        substringValue = [0,10]
+    }
+    app_id { fieldNumber = 5, substring = false }
+    channel_type.fieldNumber = 10
+    travel_direction : { fieldNumber : 16 }
+}
+query {
+    whereClause = "channel_type = 'sms' AND travel_direction = 'mo'"
+    groupingFields = ["time_stamp", "app_id"]
+}
+output { tableName = "daily_summary", temporyView = "temp_view", columnNames = "time_stamp, app_id, count" }
+kafka { topicSet = "new_topic", bootstrapServers = "localhost:9092,anotherhost:9092" }
+'''.replace('"channel_type"   "travel', '"channel_type"\n "travel').replace('"summary";', '"summary"')
+
+
+def test_a_job_config_gives_the_specs(tmp_path):
+    conf = loads(JOB)
+    assert conf["application"] == {"appName": "summary", "duration": 2000}
+    assert LogSpec.from_dict(conf["input"]).fields == LogSpec.transaction_log().fields
+    assert SummarySpec.from_dict(conf["query"], conf["output"]) == SummarySpec()
+    for name in ("job.conf", "job.json"):
+        path = tmp_path / name
+        path.write_text(JOB if name.endswith("conf") else json.dumps(conf))
+        assert cli.load_config(str(path)) == conf
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [
+        ("", {}),
+        ("{}", {}),
+        ("a=1", {"a": 1}),
+        ("a : 1.5e1\nb=-2,c=true\nd=null", {"a": 15.0, "b": -2, "c": True, "d": None}),
+        ("a.b.c = 1\na.b.d = 2\na { e = 3 }", {"a": {"b": {"c": 1, "d": 2}, "e": 3}}),
+        ('"a.b" = 1\n"c"."d e" = 2', {"a.b": 1, "c": {"d e": 2}}),
+        ("a = hello world // c\nb = 10 seconds # c", {"a": "hello world", "b": "10 seconds"}),
+        ('a = """x "quoted"\n  # y"""', {"a": 'x "quoted"\n  # y'}),
+        ('a = "tab\\t\\u00fc"', {"a": "tab\tü"}),
+        ("a = [1, 2\n3,]\nb = []", {"a": [1, 2, 3], "b": []}),
+        ("a = [[1], {b = 2}]", {"a": [[1], {"b": 2}]}),
+        ("a = 1\na = 2", {"a": 2}),
+        ("a {x = 1}\na = 2\na {y = 3}", {"a": {"y": 3}}),
+        ("a = ${b}\nb = [1]", {"a": [1], "b": [1]}),
+        ("dir = /logs\npath = ${dir}/in", {"dir": "/logs", "path": "/logs/in"}),
+        ('h = "x"\nu = "hdfs://"${h}":80"', {"h": "x", "u": "hdfs://x:80"}),
+        ("a = ${?none}\nb = [1, ${?none}]\nc = x${?none}", {"b": [1], "c": "x"}),
+        ("base {x = 1, y = 2}\na = ${base} {y = 3}", {"base": {"x": 1, "y": 2}, "a": {"x": 1, "y": 3}}),
+        ("a = [1]\na += 2\nb += 3", {"a": [1, 2], "b": [3]}),
+        ("x = [1] [2]", {"x": [1, 2]}),
+    ],
+)
+def test_values(text, want):
+    assert loads(text) == want
+
+
+@pytest.mark.parametrize(
+    "text", ["a {", "a = [1", "a", "= 1", "a = ", 'a = "x', "a = ${b}", "a = ${a}", "a = ${b}\nb = ${a}", "{a=1} b", 'include "x"', "a = [1] x"]
+)
+def test_errors(text):
+    with pytest.raises(HoconError):
+        loads(text)
+
+
+VALUES = st.recursive(
+    st.none() | st.booleans() | st.integers(-(10**6), 10**6) | st.text(max_size=8),
+    lambda inner: st.lists(inner, max_size=3) | st.dictionaries(st.text(min_size=1, max_size=5), inner, max_size=3),
+    max_leaves=12,
+)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.dictionaries(st.text(min_size=1, max_size=5), VALUES, max_size=4), st.sampled_from([None, 1]))
+def test_json_is_read_as_json(value, indent):
+    assert loads(json.dumps(value, indent=indent)) == value
