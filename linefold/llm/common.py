@@ -64,7 +64,9 @@ def with_row_id(df: DataFrame, name: str = "_rid") -> DataFrame:
     directly is written out first. The files' numbers are a row a file.
     """
     try:
-        located = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_place"))
+        # the file's own columns, whatever columns of the table are called
+        place = df.metadataColumn("_metadata")
+        located = df.select("*", place.getField("file_path").alias("_file"), place.getField("row_index").alias("_place"))
     except AnalysisException:
         return with_row_id(materialize(df, "rows"), name)
     paths = sorted(r[0] for r in located.select("_file").distinct().collect())

@@ -24,6 +24,12 @@ def test_row_numbers_do_not_follow_the_splits(spark, small, scratch):
     assert len({r["_rid"] for r in made.collect()}) == 10 and made.collect() == made.collect()
 
 
+def test_a_column_called_like_the_metadata(spark, scratch):
+    spark.range(6).selectExpr("id AS doc_id", "'same text of a few words' AS text", "'x' AS _metadata").write.parquet(scratch)
+    kept = exact_dedup.drop_exact_copies(spark.read.parquet(scratch)).collect()
+    assert [tuple(r) for r in kept] == [(5, "same text of a few words", "x")]
+
+
 def test_operators_do_not_follow_the_splits(spark, messy):
     """With other splits between the jobs of an operator, the rows that stay are the same."""
     def run(f):
