@@ -36,9 +36,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linefold.llm.byte_bpe import LATIN, PieceMemo, scanner
+from linefold.llm.byte_bpe import LATIN, scanner
 from linefold.llm.common import materialize, ship, text_of
-from linefold.llm.tokens import Numbered, ragged, vocabulary_path
+from linefold.llm.tokens import Numbered, PieceMemo, ragged, vocabulary_path
 
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Characters of a batch (a longer text is alone), and of a call of the tokenizers.
