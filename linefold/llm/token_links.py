@@ -44,7 +44,7 @@ VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Characters of a batch (a longer text is alone), and of a call of the tokenizers.
 BATCH, SLICE = 4_000_000, 1_000_000
 #: Distinct pre-tokens of each side that a worker remembers.
-CACHE = 100_000
+CACHE = 200_000
 
 SCHEMA = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 _BATCHES = (
