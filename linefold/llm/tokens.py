@@ -1,12 +1,11 @@
 """Token ids of whole texts by the tokenizers library, each distinct word encoded once.
 
 The word-level vocabulary drops white space and encodes each pre-token alone,
-so the ids of a text are those of its blank-separated pieces, one after
-another. Pieces and pre-tokens are kept in bounded dictionaries; only new ones
-go through the library. A piece outside the plain range (anything but printable
+so the ids of a text are those of its pieces between ASCII blanks, one after
+another. Each distinct piece of a slice of texts is looked at once; pre-tokens
+are kept in a bounded dictionary, and only new ones go through the library. A piece outside the plain range (anything but printable
 ASCII and Latin-1 letters, or what looks like a special token) goes to the
-library as it is, and a text with separators that Python and the library see
-differently goes there whole.
+library as it is, any other separators in it included.
 """
 
 from __future__ import annotations
@@ -18,6 +17,8 @@ from collections.abc import Callable
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 DEFAULT_VOCABULARY = "word_bpe_49k.json"
 #: Entries a dictionary may hold before it is emptied.
@@ -25,10 +26,10 @@ CACHE = 300_000
 #: Characters encoded at a time.
 SLICE = 4_000_000
 
-_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
-#: Fixed value: the pre-token pattern of the vocabulary, restricted to the plain range.
-_PRETOKEN = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
-_ODD_BLANK = re.compile("[\x1c-\x1f]")
+#: What keeps a piece from being plain.
+_ODD = "[^!-~À-ÖØ-öø-ÿ]|<[|]|^$"
+#: Fixed value: the pre-token pattern of the vocabulary, restricted to the plain range; plain pieces end in line breaks.
+_PRETOKEN = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9\n]+|\n")
 
 
 def vocabulary_path(name: str = DEFAULT_VOCABULARY) -> str:
@@ -79,7 +80,18 @@ class PieceMemo:
         """Ids of all pre-tokens in one array, and where each list's begin (one entry more than lists)."""
         if len(self._pieces) > self.cache:
             self._forget()
-        which, counts = numbered(lists, self._pieces)
+        return self._encode(*numbered(lists, self._pieces))
+
+    def encode_parted(self, pieces: list[str], end: str) -> tuple[np.ndarray, np.ndarray]:
+        """As ``encode`` of lists that are given in one, each followed by ``end``."""
+        if len(self._pieces) > self.cache:
+            self._forget()
+        every = np.fromiter(map(self._pieces.__getitem__, pieces), dtype=np.int64, count=len(pieces))
+        ends = np.flatnonzero(every == self._pieces[end])
+        counts = np.concatenate([[0], ends - np.arange(len(ends))])
+        return self._encode(np.delete(every, ends), counts)
+
+    def _encode(self, which: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if self._pieces.new:
             learnt = self.learn(self._pieces.new)
             sizes = np.fromiter(map(len, learnt), dtype=np.int64, count=len(learnt))
@@ -100,18 +112,10 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.cache = cache
         vocabulary = self.library.get_vocab(with_added_tokens=False)
         self._ends = np.zeros(max(vocabulary.values()) + 64, dtype=bool)
         self._ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
         self._pretokens = PieceMemo(self._learn_pretokens, cache)
-        self._forget()
-
-    def _forget(self) -> None:
-        self._pieces = Numbered()
-        self._ids = array("I")
-        self._starts = array("q")
-        self._lengths = array("q")
 
     def _library_ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -129,31 +133,31 @@ class WordTokenizer:
                 out += self._library_ids(some)
         return out
 
-    def _learn(self, pieces: list[str]) -> None:
-        split = [_PRETOKEN.findall(p.lower()) if _PLAIN.fullmatch(p) and "<|" not in p else None for p in pieces]
-        ids, at = self._pretokens.encode([ws or [] for ws in split])
-        starts, lengths = len(self._ids) + at[:-1], np.diff(at)
-        self._ids.frombytes(ids.tobytes())
-        odd = [k for k, ws in enumerate(split) if ws is None]
-        for k, found in zip(odd, self._library_ids([pieces[k] for k in odd])):
-            starts[k], lengths[k] = len(self._ids), len(found)
-            self._ids.extend(found)
-        self._starts.frombytes(starts.tobytes())
-        self._lengths.frombytes(lengths.tobytes())
+    def _distinct(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all ``pieces`` in one array, and where each one's begin (one entry more than pieces)."""
+        odd = pc.match_substring_regex(pieces, _ODD).to_numpy(zero_copy_only=False)
+        plain = "\n".join(pc.utf8_lower(pieces.filter(pa.array(~odd))).to_pylist())
+        ids, at = self._pretokens.encode_parted(_PRETOKEN.findall(plain + "\n") if plain else [], "\n")
+        if not odd.any():
+            return ids, at
+        found = self._library_ids(pieces.filter(pa.array(odd)).to_pylist())
+        # the odd ones' ids lie behind all others
+        starts, lengths = np.zeros(len(pieces), dtype=np.int64), np.zeros(len(pieces), dtype=np.int64)
+        starts[~odd], lengths[~odd] = at[:-1], np.diff(at)
+        lengths[odd] = list(map(len, found))
+        starts[odd] = len(ids) + np.cumsum(lengths[odd]) - lengths[odd]
+        ids = np.concatenate([ids, np.fromiter(chain.from_iterable(found), dtype=np.uint32)])
+        return ids[ragged(starts, lengths)], np.concatenate([[0], np.cumsum(lengths)])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and where each text's begin (one entry more than texts)."""
-        if len(self._pieces) > self.cache:
-            self._forget()
-        which, counts = numbered([[t] if _ODD_BLANK.search(t) else t.split() for t in texts], self._pieces)
-        if self._pieces.new:
-            self._learn(self._pieces.new)
-            self._pieces.new = []
-        # copies: an array that numpy looks into cannot grow
-        starts, lengths = np.array(self._starts, dtype=np.int64)[which], np.array(self._lengths, dtype=np.int64)[which]
-        ids = np.array(self._ids, dtype=np.uint32)[ragged(starts, lengths)]
-        offsets = np.concatenate([[0], np.cumsum(lengths)])[counts]
-        return ids, offsets
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        words = split.flatten().dictionary_encode()
+        known, at = self._distinct(words.dictionary)
+        which = words.indices.to_numpy()
+        lengths = np.diff(at)[which]
+        ids = known[ragged(at[:-1][which], lengths)]
+        return ids, np.concatenate([[0], np.cumsum(lengths)])[split.offsets.to_numpy()]
 
 
 _LOADED: dict[str, WordTokenizer] = {}

@@ -44,6 +44,25 @@ def test_ids_of_whole_documents(words, small):
         assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == expected
 
 
+def test_the_pretokens_of_a_distinct_piece_are_looked_up_once():
+    """A word that is everywhere costs a lookup of its pre-tokens, not one an occurrence; odd pieces stand between plain ones."""
+
+    class Counted(tokens.Numbered):
+        asked = 0
+
+        def __getitem__(self, key):
+            Counted.asked += 1
+            return super().__getitem__(key)
+
+    words = tokens.WordTokenizer(tokens.vocabulary_path())
+    words._pretokens._pieces = Counted()
+    texts = [" the  cat's\t" * 500, "", "x\x85y the\x1cz <|endoftext|> İ 12", "\n a\xa0b\n"]
+    ids, offsets = words.encode(texts)
+    expected = [e.ids for e in words.library.encode_batch(texts, add_special_tokens=False)]
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == expected
+    assert Counted.asked <= 20
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.dictionaries(st.integers(1, 30), st.integers(1, 3), max_size=6), st.integers(1, 60))
 def test_fill_comes_closest_to_the_capacity(counts, capacity):
