@@ -10,8 +10,10 @@ Exact for any threshold (in percent): two sets link when ``100 * |x and y| >= pe
 3. The hubs' pairs are verified on the whole sets; links give components. A pair inside a component needs no look.
 4. What is left are pairs of different components that meet in a list. A set's answers are derived from those of a
    highly similar one, its hub ``h``: ``|x and h| + |y and h| - |h| <= |x and y| <= min(|x and h|, |y and h|) +
-   min(|x - h|, |y - h|)``. Only pairs that neither this nor a bitmap of the sets decides are verified themselves:
-   first each set's most promising one, then those whose components are still different.
+   min(|x - h|, |y - h|)``. Pairs that neither this nor a bitmap of the sets decides stay open. They are not written
+   out: a task keeps of each set its nearest partner, which is verified, and whether it has others.
+5. Sets with several open partners meet with their texts. A task verifies there what is still in different components,
+   and returns the links that join some: fewer than sets, however many pairs link.
 
 The order of the shingles comes from a count sketch of fixed size over all documents. It only decides how long
 lists get, never what is found. A frequent shingle's list is dealt over many buckets.
@@ -41,10 +43,16 @@ PERCENT = 80
 SKETCH_BITS, SKETCH_PIECES = 22, 16
 #: Postings in a bucket, and entries of a shingle that share a bucket.
 BUCKET, LIST = 2_000_000, 50_000
+#: Postings that a task holds before it deals them out.
+HELD = 250_000
 #: Bits that hint at the rows whose texts are wanted (1 MB).
 HINT_BITS = 23
 #: 64-bit words of the bitmap that bounds a difference of sets from below.
 WORDS = 16
+#: Shingles and sets that a task compares with as many others; larger groups are dealt over blocks of two parts.
+GROUP_SHINGLES, GROUP_SETS = 2_000_000, 8192
+#: Pairs that are looked at together.
+PAIRS = 1 << 17
 #: Stands for "no hub"; class keys are hashes and never this.
 NO_HUB = -(2**63)
 
@@ -110,7 +118,7 @@ def _sets(rows: DataFrame, seed: int) -> DataFrame:
             ids = [_digest(s, seed) for s in sets]
             fresh = [s for s, d in zip(sets, ids) if not (d in seen or seen.add(d))]
             if fresh:
-                counts += np.bincount(np.concatenate(fresh) >> np.uint64(64 - SKETCH_BITS), minlength=len(counts)).astype(np.uint32)
+                np.add.at(counts, np.concatenate(fresh) >> np.uint64(64 - SKETCH_BITS), np.uint32(1))
             maps = []
             for s in sets:
                 odd = np.bincount(s & np.uint64(WORDS * 64 - 1), minlength=WORDS * 64) & 1
@@ -180,7 +188,7 @@ def _index(rows: DataFrame, classes: DataFrame, sketch: np.ndarray, seed: int, p
                 rec["token"], rec["key"], rec["n"], rec["pos"] = s[first], key, len(s), np.arange(p)
                 held.append(rec)
                 size += p
-                if size > 1_000_000:
+                if size > HELD:
                     yield from flush()
                     held, size = [], 0
         if held:
@@ -301,7 +309,7 @@ def _meetings(index: DataFrame, labels: DataFrame, hubs: DataFrame, classes: Dat
     """Entries of the lists that hold several components, and each class's bitmap, side by side under the list's anchor.
 
     The anchor of a list is its smallest component: lists of the same texts come together, so a class's bitmap travels
-    to few places and a pair that meets in many lists is taken once.
+    to few places and a pair that meets in many lists is decided once.
     """
     best = hubs.groupBy(F.col("a").alias("key")).agg(F.max(F.struct("both", "b", "nb")).alias("h"))
     state = labels.join(best, "key", "left").select("key", "label", F.col("h.b").alias("hub"), F.col("h.both").alias("shared"), F.col("h.nb").alias("nhub"))
@@ -318,101 +326,238 @@ def _meetings(index: DataFrame, labels: DataFrame, hubs: DataFrame, classes: Dat
     return rows.unionByName(maps).repartition("anchor").sortWithinPartitions("anchor", F.asc_nulls_first("token"), F.desc("rest"))
 
 
+_OPEN = "a long, b long, n long, anchor long, more int"
+
+
 def _undecided(meetings: DataFrame, percent: int) -> DataFrame:
-    """``(a, b, link, gap)``: pairs of classes of different components that can link by size, position, hubs and bitmaps.
+    """``(a, b, n, anchor, more)``: classes with pairs of different components that size, position, hubs and bitmaps do not decide.
 
-    ``link`` tells that the hub's answers already prove the link; the others are to be verified. ``gap`` is the part of
-    both sets (in millionths) that their bitmaps tell apart.
+    ``b`` is the partner in the anchor's lists whose bitmap is nearest to the one of ``a`` (of size ``n``), and ``more``
+    tells that ``a`` has others there. Without an anchor: a link that the hub's answers prove and that joins components.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        anchor, maps, place, found = None, None, {}, []
-
-        def emit() -> Iterator[pa.RecordBatch]:
-            if found:
-                rows = np.unique(np.concatenate(found), axis=0)
-                found.clear()
-                yield _batch("a long, b long, link int, gap long", a=rows[:, 0], b=rows[:, 1], link=rows[:, 2], gap=rows[:, 3])
-
-        for part in _by_list(batches):
-            if part["anchor"][0] != anchor:
-                yield from emit()
-                anchor, maps, place = part["anchor"][0], None, {}
-            if part["bitmap"] is not None:
-                maps = np.frombuffer(b"".join(part["bitmap"]), np.uint64).reshape(-1, WORDS)
-                place = {k: i for i, k in enumerate(part["key"].tolist())}
-                continue
-            at = np.array([place[k] for k in part["key"].tolist()])
-            found += _list_pairs(part, maps[at], percent)
-            if sum(map(len, found)) > 500_000:
-                found[:] = [np.unique(np.concatenate(found), axis=0)]
-        yield from emit()
-
-    return meetings.mapInArrow(run, "a long, b long, link int, gap long").distinct()
-
-
-def _promising(pairs: DataFrame) -> DataFrame:
-    """For each class of ``pairs`` the partner that its bitmap is nearest to."""
-    ends = pairs.select("a", "b", "gap").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "gap"))
-    best = ends.groupBy("a").agg(F.min(F.struct("gap", "b")).alias("n")).select("a", F.col("n.b").alias("b"))
-    return best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
-def _list_pairs(part: dict, maps: np.ndarray, percent: int) -> list[np.ndarray]:
-    """The undecided pairs of a list, whose entries come by descending ``rest`` (what follows the shingle in the set)."""
-    key, label, n, rest = part["key"], part["label"], part["n"], part["rest"]
-    hub, shared, nhub = part["hub"], part["shared"], part["nhub"]
-    out = []
-    for i in range(0, len(key), 128):
-        a = slice(i, min(i + 128, len(key)))
-        # blocks by position: entries after the last one that can reach the overlap with this block are skipped
-        can = np.flatnonzero(rest * (100 + percent) >= percent * (n + int(n[a].min())))
-        b = slice(i, max(i, int(can[-1]) + 1 if len(can) else i))
-        total = n[a, None] + n[None, b]
-        ok = (label[a, None] != label[None, b]) & (key[a, None] != key[None, b])
-        ok &= (100 * n[a, None] >= percent * n[None, b]) & (100 * n[None, b] >= percent * n[a, None])
-        ok &= np.minimum(rest[a, None], rest[None, b]) * (100 + percent) >= percent * total
-        x, y = np.nonzero(ok)
-        x, y = x + i, y + i
+        held, size = [], 0
+        for entries, keys, maps in _by_anchor(batches):
+            held.append(_AnchorPairs(entries, keys, maps, percent).rows())
+            size += held[-1].shape[1]
+            if size > 10_000:
+                yield _open_rows(held)
+                held, size = [], 0
+        if held:
+            yield _open_rows(held)
+
+    return meetings.mapInArrow(run, _OPEN)
+
+
+def _open_rows(held: list[np.ndarray]) -> pa.RecordBatch:
+    a, b, n, anchor, more = np.concatenate(held, axis=1)
+    none = more < 0
+    columns = [pa.array(a), pa.array(b), pa.array(n), pa.array(anchor, mask=none), pa.array(more, pa.int32(), mask=none)]
+    return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _OPEN.split(", ")])
+
+
+class _AnchorPairs:
+    """The pairs of classes that meet in the lists of an anchor. ``entries``: rows as in ``_MEET``, list after list."""
+
+    def __init__(self, entries: np.ndarray, keys: np.ndarray, maps: np.ndarray, percent: int):
+        by = np.argsort(keys)
+        self.keys, self.maps, self.percent = keys[by], maps[by], percent
+        self.anchor, self.token, key, n, self.rest, label, hub, shared, nhub = entries
+        self.at = np.searchsorted(self.keys, key)
+        state = np.zeros((5, len(keys)), np.int64)
+        state[:, self.at] = n, label, hub, shared, nhub  # the same in all entries of a class
+        self.n, label, self.hub, self.shared, self.nhub = state
+        self.own = np.unique(label, return_inverse=True)[1]
+        self.parent = np.arange(len(keys))
+        self.comp = self.own
+        self.nearest = np.full(len(keys), np.iinfo(np.int64).max)
+        self.least, self.most = np.full(len(keys), len(keys)), np.full(len(keys), -1)
+        self.links: list[tuple[int, int]] = []
+
+    def rows(self) -> np.ndarray:
+        """Columns as in ``_OPEN``; ``more`` is -1 where there is no anchor."""
+        m = len(self.keys)
+        new = np.concatenate([[True], self.token[1:] != self.token[:-1]])
+        if new.sum() * m * m <= PAIRS:
+            rest = np.zeros((new.sum(), m), np.int64)
+            rest[np.cumsum(new) - 1, self.at] = self.rest
+            both = np.minimum(rest[:, :, None], rest[:, None, :]).max(axis=0)
+            meet = both * (100 + self.percent) >= self.percent * (self.n[:, None] + self.n[None, :])
+            self._decide(*np.nonzero(np.triu(meet & (both > 0), 1)))
+        else:
+            seen = np.zeros((m, m), bool) if m <= 4096 else None
+            cuts = [*np.flatnonzero(new).tolist(), len(new)]
+            for a, b in zip(cuts, cuts[1:]):
+                self._list(self.at[a:b], self.rest[a:b], seen)
+        found = np.flatnonzero(self.most >= 0)
+        proven = np.array(self.links, np.int64).reshape(-1, 2).T
+        out = np.zeros((5, len(found) + proven.shape[1]), np.int64)
+        out[:3, : len(found)] = self.keys[found], self.keys[self.nearest[found] & 0xFFFFFFFF], self.n[found]
+        out[3, : len(found)], out[4, : len(found)] = self.anchor[0], self.least[found] != self.most[found]
+        out[:2, len(found) :], out[4, len(found) :] = self.keys[proven], -1
+        return out
+
+    def _list(self, at: np.ndarray, rest: np.ndarray, seen: np.ndarray | None) -> None:
+        """The pairs of a list, whose entries come by descending ``rest`` (what follows the shingle in the set)."""
+        n, percent = self.n[at], self.percent
+        step = max(1, min(128, PAIRS // len(at)))
+        for i in range(0, len(at), step):
+            a = slice(i, min(i + step, len(at)))
+            # blocks by position: entries after the last one that can reach the overlap with this block are skipped
+            can = np.flatnonzero(rest * (100 + percent) >= percent * (n + int(n[a].min())))
+            b = slice(i, max(i, int(can[-1]) + 1 if len(can) else i))
+            ok = self.comp[at[a], None] != self.comp[None, at[b]]
+            ok &= np.minimum(rest[a, None], rest[None, b]) * (100 + percent) >= percent * (n[a, None] + n[None, b])
+            x, y = np.nonzero(ok)
+            x, y = at[x + i], at[y + i]
+            x, y = np.minimum(x, y), np.maximum(x, y)
+            if seen is not None:
+                fresh = ~seen[x, y]
+                x, y = x[fresh], y[fresh]
+                seen[x, y] = True
+            self._decide(x, y)
+
+    def _decide(self, x: np.ndarray, y: np.ndarray) -> None:
+        n, percent, hub, shared = self.n, self.percent, self.hub, self.shared
+        ok = (self.comp[x] != self.comp[y]) & (100 * n[x] >= percent * n[y]) & (100 * n[y] >= percent * n[x])
+        x, y = x[ok], y[ok]
         need = percent * (n[x] + n[y])  # to be reached by the overlap times (100 + percent)
         # the hub's answers, where both have the same hub (or one is the other's)
         same = (hub[x] == hub[y]) & (hub[x] != NO_HUB)
         upper = np.minimum(shared[x], shared[y]) + np.minimum(n[x] - shared[x], n[y] - shared[y])
-        lower = shared[x] + shared[y] - nhub[x]
+        lower = shared[x] + shared[y] - self.nhub[x]
         proven = same & (lower * (100 + percent) >= need)
-        open_ = ~same | (upper * (100 + percent) >= need)
-        x, y, proven = x[open_], y[open_], proven[open_]
-        apart = np.bitwise_count(maps[x] ^ maps[y]).sum(axis=1, dtype=np.int64)
-        near = proven | ((n[x] + n[y] - apart) * (100 + percent) >= 2 * percent * (n[x] + n[y]))
-        x, y, proven, apart = x[near], y[near], proven[near], apart[near]
-        if len(x):
-            lo, hi = np.minimum(key[x], key[y]), np.maximum(key[x], key[y])
-            gap = apart * 1_000_000 // (n[x] + n[y])
-            out.append(np.unique(np.stack([lo, hi, proven.astype(np.int64), gap], 1), axis=0))
-    return out
-
-
-def _by_list(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    """The columns of each list (or, without a token, of an anchor's bitmaps), one after another."""
-    held: pa.Table | None = None
-
-    def columns(table: pa.Table) -> dict:
-        out = {c: table[c].fill_null(NO_HUB if c == "hub" else 0).to_numpy() for c in table.column_names if c != "bitmap"}
-        out["bitmap"] = table["bitmap"].to_pylist() if table["bitmap"].null_count == 0 else None
-        return out
+        self._join(x[proven], y[proven])
+        open_ = (~same | (upper * (100 + percent) >= need)) & (self.comp[x] != self.comp[y])
+        x, y = x[open_], y[open_]
+        apart = np.bitwise_count(self.maps[x] ^ self.maps[y]).sum(axis=1, dtype=np.int64)
+        near = (n[x] + n[y] - apart) * (100 + percent) >= 2 * percent * (n[x] + n[y])
+        x, y, apart = x[near], y[near], apart[near]
+        gap = apart * 1_000_000 // (n[x] + n[y])
+        for one, other in ((x, y), (y, x)):
+            np.minimum.at(self.nearest, one, gap << 32 | other)
+            np.minimum.at(self.least, one, other)
+            np.maximum.at(self.most, one, other)
+
+    def _join(self, x: np.ndarray, y: np.ndarray) -> None:
+        parent = self.parent
+
+        def root(c: int) -> int:
+            while parent[c] != c:
+                c = parent[c]
+            return int(c)
+
+        before = len(self.links)
+        for a, b in zip(x.tolist(), y.tolist()):
+            ra, rb = root(self.own[a]), root(self.own[b])
+            if ra != rb:
+                parent[max(ra, rb)] = min(ra, rb)
+                self.links.append((a, b))
+        if len(self.links) > before:
+            while (parent[parent] != parent).any():
+                parent[:] = parent[parent]
+            self.comp = parent[self.own]
+
+
+def _by_anchor(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """The entries of an anchor (a row for each column of ``_MEET``), its keys and their bitmaps, anchor after anchor."""
+    now, held = None, []
+
+    def whole() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        entries, keys, maps = zip(*held)
+        return np.concatenate(entries, axis=1), np.concatenate(keys), np.concatenate(maps)
 
     for batch in batches:
-        table = pa.Table.from_batches([batch])
-        table = table if held is None else pa.concat_tables([held, table])
-        token, anchor = table["token"], table["anchor"].to_numpy()
-        none, token = token.is_null().to_numpy(), token.fill_null(0).to_numpy()
-        new = (token[1:] != token[:-1]) | (anchor[1:] != anchor[:-1]) | (none[1:] != none[:-1])
-        cuts = np.flatnonzero(np.concatenate([[True], new])) if len(token) else np.zeros(0, int)
-        for a, b in zip(cuts.tolist(), cuts[1:].tolist()):
-            yield columns(table.slice(a, b - a))
-        held = table.slice(int(cuts[-1])) if len(cuts) else table
-    if held is not None and held.num_rows:
-        yield columns(held)
+        if not batch.num_rows:
+            continue
+        names = [c for c in batch.schema.names if c != "bitmap"]
+        none = {c: NO_HUB if c == "hub" else 0 for c in names}
+        columns = np.stack([batch.column(c).fill_null(none[c]).to_numpy() for c in names])
+        blobs = batch.column("bitmap")
+        maps = np.frombuffer(b"".join(blobs.drop_null().to_pylist()), np.uint64).reshape(-1, WORDS)
+        upto = np.concatenate([[0], np.cumsum(blobs.is_valid().to_numpy(zero_copy_only=False))])
+        cuts = [0, *(np.flatnonzero(np.diff(columns[0])) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            if held and columns[0, a] != now:
+                yield whole()
+                held = []
+            now = columns[0, a]
+            i, j = int(upto[a]), int(upto[b])  # an anchor's bitmaps come before its lists
+            held.append((columns[:, a + j - i : b], columns[2, a : a + j - i], maps[i:j]))
+    if held:
+        yield whole()
+
+
+def _joining(groups: DataFrame, labels: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links ``(a, b)`` between the classes ``(anchor, key, n)`` of an anchor that join components of ``labels``.
+
+    A group too large for a task is dealt into parts, and every two parts meet in a block.
+    """
+    rows = groups.join(labels, "key")
+    parts = F.greatest(F.ceil(F.sum("n") / GROUP_SHINGLES), F.ceil(F.count("key") / GROUP_SETS)).cast("int")
+    mixed = rows.groupBy("anchor").agg(F.min("label").alias("l"), F.max("label").alias("m"), parts.alias("parts")).filter("l != m")
+    rows = rows.join(mixed.select("anchor", "parts"), "anchor")
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    rows = rows.select("anchor", F.least("part", "other").alias("x"), F.greatest("part", "other").alias("y"), "part", "key", "label")
+    rows = materialize(rows, "groups").join(texts, "key").select("anchor", "x", "y", "part", "key", "label", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, held, found = None, [], []
+        for batch in _few(batches):
+            *place, parts, keys, labels = (batch.column(i).to_pylist() for i in range(6))
+            for at, *row in zip(zip(*place), parts, keys, labels, shingle_sets(batch.column(6).to_pylist())):
+                if at != now and held:
+                    found += _group_links(held, now[1] == now[2], percent)
+                    held = []
+                now = at
+                held.append(row)
+            if len(found) > 10_000:
+                yield _batch("a long, b long", a=[a for a, _ in found], b=[b for _, b in found])
+                found = []
+        if held:
+            found += _group_links(held, now[1] == now[2], percent)
+        yield _batch("a long, b long", a=[a for a, _ in found], b=[b for _, b in found])
+
+    rows = rows.repartition("anchor", "x", "y").sortWithinPartitions("anchor", "x", "y")
+    return materialize(rows.mapInArrow(run, "a long, b long"), "joining")
+
+
+def _group_links(rows: list[list], one: bool, percent: int) -> list[tuple[int, int]]:
+    """Links that join components among ``rows`` (part, key, label, set); but for ``one`` part, between two parts only."""
+    parts, keys, labels, sets = zip(*rows)
+    part, n = np.array(parts), np.array([len(s) for s in sets])
+    comp = np.unique(np.array(labels), return_inverse=True)[1]
+    # bitmaps as above, with more bits where the sets are large
+    bits = max(WORDS * 64, min(1 << int(2 * n.max()).bit_length(), 1 << 16, 1 << 28 - len(rows).bit_length()))
+    maps = np.zeros((len(rows), bits // 8), np.uint8)
+    for i, s in enumerate(sets):
+        maps[i] = np.packbits((np.bincount(s & np.uint64(bits - 1), minlength=bits) & 1).astype(np.uint8))
+    maps = maps.view(np.uint64)
+    step = max(1, (1 << 18) // maps.shape[1])
+    found: list[tuple[int, int]] = []
+    for x in range(len(rows)):
+        if (comp == comp[0]).all():
+            break
+        for i in range(x + 1, len(rows), step):
+            b = slice(i, i + step)
+            ok = (comp[b] != comp[x]) & (100 * n[b] >= percent * n[x]) & (percent * n[b] <= 100 * n[x])
+            y = np.flatnonzero(ok if one else ok & (part[b] != part[x])) + i
+            apart = np.bitwise_count(maps[y] ^ maps[x]).sum(axis=1, dtype=np.int64)
+            y = y[(n[y] + n[x] - apart) * (100 + percent) >= 2 * percent * (n[y] + n[x])]
+            while len(y):
+                some = y[: max(1, int(np.searchsorted(np.cumsum(n[y]), 1_000_000)))]
+                every = np.concatenate([sets[k] for k in some.tolist()])
+                place = np.minimum(np.searchsorted(sets[x], every), n[x] - 1)
+                both = np.add.reduceat((sets[x][place] == every).astype(np.int64), np.cumsum(n[some]) - n[some])
+                linked = some[100 * both >= percent * (n[x] + n[some] - both)]
+                others, first = np.unique(comp[linked], return_index=True)
+                found += [(keys[x], keys[k]) for k in linked[first].tolist()]
+                comp[np.isin(comp, others)] = comp[x]
+                y = y[len(some) :]
+                y = y[comp[y] != comp[x]]
+    return found
 
 
 def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
@@ -434,21 +579,15 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", perce
         return verified.filter(_linked(percent)).select("a", "b")
 
     hubs = _verified(pairs, texts, "hubs")
-    found = hubs.filter(_linked(percent)).select("a", "b")
-    labels = _labels(entries, found)
-    pairs = materialize(_undecided(_meetings(index, labels, hubs, classes), percent), "undecided")
-    proven = pairs.filter("link = 1").select("a", "b")
-    open_ = pairs.filter("link = 0").join(proven, ["a", "b"], "left_anti")
-    # one pair of each class first: in a large group of near copies they join its components
-    first = materialize(_promising(open_), "promising")
-    verified = _verified(first, texts, "first")
-    found = found.unionByName(proven).unionByName(verified.filter(_linked(percent)).select("a", "b"))
+    found = only(hubs)
     labels = _labels(entries, found)
-    rest = open_.join(first, ["a", "b"], "left_anti").select("a", "b")
-    rest = rest.join(labels.select(F.col("key").alias("a"), F.col("label").alias("la")), "a")
-    rest = rest.join(labels.select(F.col("key").alias("b"), F.col("label").alias("lb")), "b").filter("la != lb")
-    verified = _verified(rest, texts, "rest")
-    found = found.unionByName(verified.filter(_linked(percent)).select("a", "b"))
+    open_ = materialize(_undecided(_meetings(index, labels, hubs, classes), percent), "undecided")
+    found = found.unionByName(open_.filter("anchor IS NULL").select("a", "b"))
+    # a pair of each class first: in a large group of near copies they join its components
+    first = open_.filter("anchor IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    found = found.unionByName(only(_verified(first, texts, "first")))
+    groups = open_.filter("more = 1").select("anchor", F.col("a").alias("key"), "n")
+    found = found.unionByName(_joining(groups, _labels(entries, found), texts, percent))
     return per_row, materialize(found, "found")
 
 

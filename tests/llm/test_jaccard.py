@@ -105,6 +105,32 @@ def test_crowded_lists_are_dealt_and_still_found(spark, tmp_root, monkeypatch):
     assert result(docs) == brute(rows)
 
 
+@pytest.mark.parametrize("part", [None, 300])
+def test_a_large_group_of_near_copies_gives_no_rows_by_pair(spark, tmp_root, monkeypatch, part):
+    """Copies with one word in 45 changed mostly link with each other, not with the first of a list; also in blocks of parts."""
+    if part:
+        monkeypatch.setattr(jaccard, "GROUP_SHINGLES", part)
+    rng = random.Random(6)
+    base = prose(8, 90).split()
+    rows = []
+    for i in range(240):
+        copy = list(base)
+        for at in rng.sample(range(90), rng.choice([1, 2, 2, 3])):
+            copy[at] = f"w{rng.randint(0, 4)}"
+        rows.append((i, " ".join(copy)))
+    made = {}
+
+    def counted(df, name, write=jaccard.materialize):
+        out = write(df, name)
+        made[name] = out.count()
+        return out
+
+    monkeypatch.setattr(jaccard, "materialize", counted)
+    assert result(table(spark, f"{tmp_root}/group{part}", rows)) == brute(rows)
+    assert max(v for k, v in made.items() if k in ("undecided", "first", "joining", "rest", "found")) <= 2 * len(rows)
+    assert part is None or made["groups"] > 0
+
+
 def test_links_only_between_members_of_stars_are_found(spark, tmp_root):
     """Texts that shrink word by word: ends of the chain are unlike, neighbours link."""
     words = [f"w{i}" for i in range(160)]
