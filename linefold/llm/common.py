@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import shutil
 import tempfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,6 +86,25 @@ def without_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     return rows.join(dropped, "_rid", "left_anti").select("_row.*")
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker that waits for its next task keeps it beside the JVM otherwise."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library than glibc
+        pass
+
+
+def tidied(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` as a task's function that gives back its memory at the end."""
+
+    def tidy(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        give_back()
+
+    return tidy
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors' Python workers this package, once per context (``addPyFile`` of a small archive).
 

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from linefold.llm.common import materialize, ship, text_of, with_row_id, without_rows
+from linefold.llm.common import materialize, ship, text_of, tidied, with_row_id, without_rows
 from linefold.llm.graph import components
 from linefold.llm.shingles import mix, shingle_sets
 
@@ -127,7 +127,7 @@ def _sets(rows: DataFrame, seed: int) -> DataFrame:
         if seen:
             yield _batch(schema, **_cut(counts))
 
-    return materialize(rows.select("_rid", "_text").mapInArrow(run, schema), "sets")
+    return materialize(rows.select("_rid", "_text").mapInArrow(tidied(run), schema), "sets")
 
 
 def _classes(rows: DataFrame) -> tuple[DataFrame, DataFrame, int]:
@@ -222,10 +222,10 @@ def _index(rows: DataFrame, classes: DataFrame, sketch: np.ndarray, seed: int, p
             yield _batch(_INDEX, a=pairs[:, 0], b=pairs[:, 1])
             yield _batch(_INDEX, token=token.astype(np.int64), key=rec["key"], n=n, pos=pos)
 
-    dealt = rows.select("_text").mapInArrow(deal, "bucket int, blob binary")
+    dealt = rows.select("_text").mapInArrow(tidied(deal), "bucket int, blob binary")
     # as many partitions as the session has, buckets of a partition one after another
     dealt = dealt.repartition("bucket").sortWithinPartitions("bucket")
-    return materialize(dealt.mapInArrow(lists, _INDEX), "index")
+    return materialize(dealt.mapInArrow(tidied(lists), _INDEX), "index")
 
 
 def _by_bucket(batches: Iterator[pa.RecordBatch], kinds: np.dtype) -> Iterator[np.ndarray]:
@@ -264,7 +264,7 @@ def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
             if len(bits):
                 yield batch.filter(pa.array(bits[hashed(batch.column(0).to_numpy())].all(axis=0)))
 
-    likely = rows.select(F.col("_rid").alias("rid"), "_text").mapInArrow(some, "rid long, _text string")
+    likely = rows.select(F.col("_rid").alias("rid"), "_text").mapInArrow(tidied(some), "rid long, _text string")
     return materialize(likely.join(wanted, "rid").select("key", F.col("_text").alias("text")), "texts")
 
 
@@ -289,7 +289,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, name: str) -> DataFrame:
     first = texts.select(F.col("key").alias("a"), F.col("text").alias("ta"))
     second = texts.select(F.col("key").alias("b"), F.col("text").alias("tb"))
     joined = pairs.select("a", "b").join(first, "a").join(second, "b").select("a", "b", "ta", "tb")
-    return materialize(joined.mapInArrow(run, schema), name)
+    return materialize(joined.mapInArrow(tidied(run), schema), name)
 
 
 def _linked(percent: int) -> Column:
@@ -347,7 +347,7 @@ def _undecided(meetings: DataFrame, percent: int) -> DataFrame:
         if held:
             yield _open_rows(held)
 
-    return meetings.mapInArrow(run, _OPEN)
+    return meetings.mapInArrow(tidied(run), _OPEN)
 
 
 def _open_rows(held: list[np.ndarray]) -> pa.RecordBatch:
@@ -521,7 +521,7 @@ def _joining(groups: DataFrame, labels: DataFrame, texts: DataFrame, percent: in
         yield _batch("a long, b long", a=[a for a, _ in found], b=[b for _, b in found])
 
     rows = rows.repartition("anchor", "x", "y").sortWithinPartitions("anchor", "x", "y")
-    return materialize(rows.mapInArrow(run, "a long, b long"), "joining")
+    return materialize(rows.mapInArrow(tidied(run), "a long, b long"), "joining")
 
 
 def _group_links(rows: list[list], one: bool, percent: int) -> list[tuple[int, int]]:

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from linefold.llm.common import materialize, ship
+from linefold.llm.common import give_back, materialize, ship
 from linefold.llm.tokens import Numbered, slices, vocabulary_path
 
 DEFAULT_VOCABULARY = "piece_bpe_32k.model"
@@ -287,6 +287,8 @@ def predict(
         for text in texts:
             names, scores, fits = scorer(text.tolist())
             yield pd.DataFrame({"lang": names, "score": scores, "fit": fits})
+        scorer = text = names = scores = fits = None
+        give_back()
 
     found = scored.asNondeterministic()(F.col(text_col))  # so that a filter above does not run it twice
     added = [lang, score, *([fit] if fit else [])]

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linefold.llm.common import ship
+from linefold.llm.common import ship, tidied
 from linefold.llm.tokens import slices, tokenizer, vocabulary_path, with_end
 
 WINDOW = 2048
@@ -175,4 +175,4 @@ def pack(
 
     ship(docs.sparkSession)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).mapInArrow(run, SCHEMA)
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text")).mapInArrow(tidied(run), SCHEMA)

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -131,6 +132,22 @@ def test_a_large_group_of_near_copies_gives_no_rows_by_pair(spark, tmp_root, mon
     assert part is None or made["groups"] > 0
 
 
+def test_a_long_list_is_looked_at_in_bounded_memory():
+    m = 3000
+    rng = np.random.default_rng(1)
+    keys = np.arange(m)
+    maps = rng.integers(0, 2**63, (m, jaccard.WORDS)).astype(np.uint64)
+    ones = np.ones(m, np.int64)
+    entries = np.stack([0 * ones, 7 * ones, keys, 400 * ones, 400 * ones, keys, jaccard.NO_HUB * ones, 0 * ones, 0 * ones])
+    tracemalloc.start()
+    try:
+        found = jaccard._AnchorPairs(entries, keys, maps, 1).rows()
+        assert found.shape[1] == m and (found[4] == 1).all()
+        assert tracemalloc.get_traced_memory()[1] < 150e6
+    finally:
+        tracemalloc.stop()
+
+
 def test_links_only_between_members_of_stars_are_found(spark, tmp_root):
     """Texts that shrink word by word: ends of the chain are unlike, neighbours link."""
     words = [f"w{i}" for i in range(160)]
