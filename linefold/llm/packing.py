@@ -19,6 +19,7 @@ gives no rows. Any ids may repeat or be null; other columns are never looked at.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,12 +39,16 @@ POOL = 8192
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def fill(counts: dict[int, int], capacity: int) -> dict[int, int]:
-    """Multiset ``{length: count}`` out of ``counts`` with the largest sum up to ``capacity``."""
+def fill(counts: dict[int, int], capacity: int, lengths: list[int] | None = None) -> dict[int, int]:
+    """Multiset ``{length: count}`` out of ``counts`` with the largest sum up to ``capacity``.
+
+    ``lengths``: the keys of ``counts`` in ascending order, where they are known.
+    """
+    lengths = sorted(counts) if lengths is None else lengths
     reach = 1  # bit s: a sum of s can be reached
     within = (1 << (capacity + 1)) - 1
     steps: list[tuple[int, int, int]] = []
-    for length in sorted((x for x in counts if x <= capacity), reverse=True):
+    for length in reversed(lengths[: bisect_right(lengths, capacity)]):
         left, some = min(counts[length], capacity // length), 1
         while left > 0 and not reach >> capacity & 1:
             take = min(some, left)
@@ -67,6 +72,8 @@ class _Packer:
         self.window, self.pool = window, pool
         self.next = first
         self.by_length: dict[int, list[tuple]] = {}
+        self.counts: dict[int, int] = {}  # of the items in by_length
+        self.lengths: list[int] = []  # its keys, ascending
         self.held = 0
         self.rows: list[tuple] = []
 
@@ -83,16 +90,25 @@ class _Packer:
         for start in range(0, whole, w):
             self._sequence([(doc_id, start, n, ids[start : start + w])])
         if whole < n:
-            self.by_length.setdefault(n - whole, []).append((doc_id, whole, n, ids[whole:].copy()))
-            self.held += 1
+            self._hold((doc_id, whole, n, ids[whole:].copy()))
             if self.held >= self.pool:
                 self.pack(last=False)
 
+    def _hold(self, item: tuple) -> None:
+        length = len(item[3])
+        if length not in self.by_length:
+            self.by_length[length], self.counts[length] = [], 0
+            insort(self.lengths, length)
+        self.by_length[length].append(item)
+        self.counts[length] += 1
+        self.held += 1
+
     def _take(self, length: int) -> tuple:
         items = self.by_length[length]
         item = items.pop()
+        self.counts[length] -= 1
         if not items:
-            del self.by_length[length]
+            del self.by_length[length], self.counts[length], self.lengths[bisect_left(self.lengths, length)]
         self.held -= 1
         return item
 
@@ -100,10 +116,10 @@ class _Packer:
         """Full windows from the pool; what fills none waits for the next pool, or is cut if this is the last."""
         waiting: list[tuple] = []
         while self.by_length and (last or self.held > self.pool // 8):
-            longest = max(self.by_length)
-            counts = {k: len(v) for k, v in self.by_length.items()}
-            counts[longest] -= 1
-            pattern = fill({k: v for k, v in counts.items() if v}, self.window - longest)
+            longest = self.lengths[-1]
+            self.counts[longest] -= 1
+            pattern = fill(self.counts, self.window - longest, self.lengths)
+            self.counts[longest] += 1
             pattern[longest] = pattern.get(longest, 0) + 1
             full = sum(k * v for k, v in pattern.items()) == self.window
             times = min(len(self.by_length[k]) // v for k, v in pattern.items()) if full else 1
@@ -117,8 +133,7 @@ class _Packer:
             self._cut(waiting)
             return
         for item in waiting:
-            self.by_length.setdefault(len(item[3]), []).append(item)
-            self.held += 1
+            self._hold(item)
 
     def _cut(self, parts: list[tuple]) -> None:
         """Whole windows, and of what is left sequences of power-of-two lengths; pieces are cut where one ends."""

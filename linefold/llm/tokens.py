@@ -23,8 +23,10 @@ import pyarrow.compute as pc
 DEFAULT_VOCABULARY = "word_bpe_49k.json"
 #: Entries a dictionary may hold before it is emptied.
 CACHE = 300_000
-#: Characters encoded at a time.
+#: Characters encoded at a time (bytes of an Arrow column).
 SLICE = 4_000_000
+#: New pre-tokens that go to the library as one text; longer texts cost it more a pre-token.
+TOGETHER = 500
 
 #: What keeps a piece from being plain.
 _ODD = "[^!-~À-ÖØ-öø-ÿ]|<[|]|^$"
@@ -55,7 +57,9 @@ class Numbered(dict):
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indices ``start, start+1, ..`` of all runs, one run after another."""
     ends = np.cumsum(lengths)
-    return np.repeat(starts - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+    out = np.repeat(starts - (ends - lengths), lengths)
+    out += np.arange(len(out))
+    return out
 
 
 def numbered(lists: list[list[str]], numbers: Numbered) -> tuple[np.ndarray, np.ndarray]:
@@ -65,6 +69,12 @@ def numbered(lists: list[list[str]], numbers: Numbered) -> tuple[np.ndarray, np.
     return np.fromiter(every, dtype=np.int64, count=int(counts[-1])), counts
 
 
+def _joined(values: pa.Array, between: str) -> pa.StringScalar:
+    """All values in one."""
+    one = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+    return pc.binary_join(one, pa.scalar(between, values.type))[0]
+
+
 class PieceMemo:
     """Ids of pre-tokens, each distinct one encoded once while it is remembered."""
 
@@ -109,9 +119,13 @@ class WordTokenizer:
 
     def __init__(self, path: str, cache: int = CACHE):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
+        # the same model without the steps that do nothing to lower-cased plain pre-tokens: they are cut at blanks only
+        self._plain = Tokenizer(self.library.model)
+        in_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self._plain.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), in_bytes])
         vocabulary = self.library.get_vocab(with_added_tokens=False)
         self._ends = np.zeros(max(vocabulary.values()) + 64, dtype=bool)
         self._ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
@@ -123,9 +137,9 @@ class WordTokenizer:
     def _learn_pretokens(self, words: list[str]) -> list[list[int]]:
         """Ids of pre-tokens: many go to the library as one text, and are told apart by their word ends."""
         out: list[list[int]] = []
-        for i in range(0, len(words), 5000):
-            some = words[i : i + 5000]
-            ids = self._library_ids([" ".join(some)])[0]
+        for i in range(0, len(words), TOGETHER):
+            some = words[i : i + TOGETHER]
+            ids = self._plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids
             cuts = np.flatnonzero(self._ends[np.asarray(ids, dtype=np.int64)]) + 1 if ids else np.zeros(0, int)
             if len(cuts) == len(some):
                 out += [ids[a:b] for a, b in zip([0, *cuts.tolist()], cuts.tolist())]
@@ -136,7 +150,8 @@ class WordTokenizer:
     def _distinct(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all ``pieces`` in one array, and where each one's begin (one entry more than pieces)."""
         odd = pc.match_substring_regex(pieces, _ODD).to_numpy(zero_copy_only=False)
-        plain = "\n".join(pc.utf8_lower(pieces.filter(pa.array(~odd))).to_pylist())
+        some = pieces.filter(pa.array(~odd)) if odd.any() else pieces
+        plain = pc.utf8_lower(_joined(some, "\n")).as_py()
         ids, at = self._pretokens.encode_parted(_PRETOKEN.findall(plain + "\n") if plain else [], "\n")
         if not odd.any():
             return ids, at
@@ -149,9 +164,9 @@ class WordTokenizer:
         ids = np.concatenate([ids, np.fromiter(chain.from_iterable(found), dtype=np.uint32)])
         return ids[ragged(starts, lengths)], np.concatenate([[0], np.cumsum(lengths)])
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[str] | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in one array, and where each text's begin (one entry more than texts)."""
-        split = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        split = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts)
         words = split.flatten().dictionary_encode()
         known, at = self._distinct(words.dictionary)
         which = words.indices.to_numpy()
@@ -170,14 +185,14 @@ def tokenizer(path: str) -> WordTokenizer:
     return _LOADED[path]
 
 
-def slices(texts: list[str], most: int = SLICE):
-    """Ranges ``(from, to)`` of about ``most`` characters each (a longer text is alone)."""
+def slices(texts: list[str] | pa.Array, most: int = SLICE):
+    """Ranges ``(from, to)`` of about ``most`` characters each (bytes of an Arrow column; a longer text is alone)."""
     start = size = 0
-    for i, t in enumerate(texts):
-        if i > start and size + len(t) > most:
+    for i, n in enumerate(map(len, texts) if isinstance(texts, list) else pc.binary_length(texts).to_pylist()):
+        if i > start and size + n > most:
             yield start, i
             start, size = i, 0
-        size += len(t)
+        size += n
     if start < len(texts):
         yield start, len(texts)
 

@@ -63,6 +63,28 @@ def test_the_pretokens_of_a_distinct_piece_are_looked_up_once():
     assert Counted.asked <= 20
 
 
+def test_new_plain_pretokens_go_to_the_bare_model_in_short_texts():
+    """The library's normalizer and pattern see only odd pieces, and no text of plain pre-tokens is long."""
+
+    class Seen:
+        def __init__(self, library):
+            self.library, self.texts = library, []
+
+        def encode_batch_fast(self, texts, **how):
+            self.texts += texts
+            return self.library.encode_batch_fast(texts, **how)
+
+    words = tokens.WordTokenizer(tokens.vocabulary_path())
+    plain, whole = Seen(words._plain), Seen(words.library)
+    words._plain, words.library = plain, whole
+    texts = [" ".join(f"{a}Öé{b}'s" for a in "abcdefghij" for b in map("".join, combinations("klmnopqrstuvw", 3))), "x\x85y"]
+    expected = [e.ids for e in whole.library.encode_batch(texts, add_special_tokens=False)]
+    ids, offsets = words.encode(texts)
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == expected
+    assert len(plain.texts) > 4 and max(len(t.split()) for t in plain.texts) <= 500
+    assert sum(map(len, whole.texts)) < 10_000 < len(texts[0])  # odd pieces, and what came with the line break
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.dictionaries(st.integers(1, 30), st.integers(1, 3), max_size=6), st.integers(1, 60))
 def test_fill_comes_closest_to_the_capacity(counts, capacity):
