@@ -29,12 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linefold.llm.common import ship, tidied
-from linefold.llm.tokens import slices, tokenizer, vocabulary_path, with_end
+from linefold.llm.tokens import WordTokenizer, slices, vocabulary_path, with_end
 
 WINDOW = 2048
 END_ID = 1
 #: Remainders held for choice in a task.
 POOL = 8192
+#: Bytes of text encoded at a time: a worker's memory is its executor's.
+SLICE = 2_000_000
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -174,12 +176,13 @@ def pack(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = tokenizer(vocabulary or vocabulary_path())
+        # a task's own: a worker that serves other stages later does not keep it
+        words = WordTokenizer(vocabulary or vocabulary_path())
         packer = _Packer(window, pool, TaskContext.get().partitionId() << 33)
         for batch in batches:
-            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, b in slices(texts):
-                ids, offsets = with_end(*words.encode(texts[a:b]), end_id)
+            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1)
+            for a, b in slices(texts, SLICE):
+                ids, offsets = with_end(*words.encode(texts.slice(a, b - a)), end_id)
                 at = offsets.tolist()
                 for i, start, stop in zip(range(a, b), at, at[1:]):
                     packer.add(doc_ids[i], ids[start:stop])

@@ -1,8 +1,10 @@
+import shutil
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -85,6 +87,35 @@ def test_new_plain_pretokens_go_to_the_bare_model_in_short_texts():
     assert sum(map(len, whole.texts)) < 10_000 < len(texts[0])  # odd pieces, and what came with the line break
 
 
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_columns_are_encoded_as_lists_are(words, kind):
+    texts = ["a  bé", "x", "", "it's <|endoftext|>\x85 y", "你好 12", " \n", "end"]
+    column = pa.array(["before", *texts, "after"], kind).slice(1, len(texts))
+    for some in (column, column.slice(2, 1), column.slice(0, 0)):
+        ids, offsets = words.encode(some)
+        expected, at = words.encode(some.to_pylist())
+        assert ids.tolist() == expected.tolist() and offsets.tolist() == at.tolist()
+    assert list(tokens.slices(column, 6)) == [(0, 1), (1, 3), (3, 4), (4, 5), (5, 7)]
+
+
+def test_a_worker_keeps_no_tokenizer_after_packing(spark, small, tmp_path):
+    """Python workers wait beside the executor's heap while other stages run."""
+    path = str(shutil.copy(tokens.vocabulary_path(), tmp_path / "own.json"))
+
+    def alive(batches):
+        import gc
+
+        from linefold.llm.tokens import _LOADED
+
+        for batch in batches:
+            found = sum(type(x).__name__ == "WordTokenizer" for x in gc.get_objects())
+            found -= sum(k != path for k in _LOADED)  # those of other tests
+            yield pa.RecordBatch.from_arrays([pa.array([found] * batch.num_rows, pa.int64())], names=["n"])
+
+    packing.pack(small.repartition(4), vocabulary=path).write.format("noop").mode("overwrite").save()
+    assert {r["n"] for r in spark.range(8).repartition(4).mapInArrow(alive, "n long").collect()} == {0}
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.dictionaries(st.integers(1, 30), st.integers(1, 3), max_size=6), st.integers(1, 60))
 def test_fill_comes_closest_to_the_capacity(counts, capacity):
