@@ -28,7 +28,9 @@ import os
 import re
 import unicodedata
 from array import array
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import count, islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,14 +39,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linefold.llm.byte_bpe import LATIN, scanner
-from linefold.llm.common import materialize, ship, text_of
-from linefold.llm.tokens import Numbered, PieceMemo, ragged, vocabulary_path
+from linefold.llm.common import give_back, materialize, ship, text_of, tidied
+from linefold.llm.tokens import PieceMemo, ragged, vocabulary_path
 
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Characters of a batch (a longer text is alone), and of a call of the tokenizers.
-BATCH, SLICE = 4_000_000, 1_000_000
+BATCH, SLICE = 4_000_000, 500_000
 #: Distinct pre-tokens of each side that a worker remembers.
 CACHE = 200_000
+#: Added to an id of B where it stands beside ids of A.
+OF_B = np.uint32(1 << 31)
 
 SCHEMA = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 _BATCHES = (
@@ -64,6 +68,8 @@ def byte_alphabet() -> dict[str, int]:
 class _Side:
     """Bytes of a tokenizer's ids; an id without bytes of its own has a byte no text can hold."""
 
+    _memo: PieceMemo | None = None
+
     def _table(self, pieces: dict[int, bytes]) -> None:
         every = [pieces.get(i) or b"\xff" for i in range(max(pieces) + 1)]
         self.lengths = np.array([len(p) for p in every], dtype=np.int64)
@@ -132,7 +138,6 @@ class SideA(_Side):
 class SideB(_Side):
     """BPE with byte fallback of the sentencepiece library, which adds the space itself."""
 
-    _memo: PieceMemo | None = None
     _find = staticmethod(re.compile(" +[^ ]*").findall)
 
     def __init__(self, path: str):
@@ -165,7 +170,7 @@ class SideB(_Side):
 
 
 class Aligner:
-    """Aligns windows ``(ids of A, ids of B)``, each as the bytes of 32-bit ids, many at a time."""
+    """Aligns windows, many at a time: each the bytes of its 32-bit ids, those of A and then those of B, which are marked."""
 
     def __init__(self, a: SideA, b: SideB):
         self.a, self.b = a, b
@@ -174,20 +179,21 @@ class Aligner:
         self._at = np.cumsum(self._sizes) - self._sizes
         self._digits = np.frombuffer(b"".join(decimals), dtype=np.uint8)
 
-    def align(self, windows: list[tuple[bytes, bytes]]) -> tuple[list[int], list[bytes], list[bytes]]:
-        """For each window how many groups, their text (each group ends in a semicolon), and the links ``a << 32 | b``."""
-        ids_a = np.frombuffer(b"".join([w[0] for w in windows]), np.uint32).astype(np.int64)
-        ids_b = np.frombuffer(b"".join([w[1] for w in windows]), np.uint32).astype(np.int64)
+    def align(self, windows: list[bytes]) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+        """For each window how many groups, their text (each group ends in a semicolon), how many links, and all links ``a << 32 | b``."""
+        every = np.frombuffer(b"".join(windows), np.uint32)
+        of_b = every >= OF_B
+        ids_a, ids_b = every[~of_b].astype(np.int64), (every[of_b] - OF_B).astype(np.int64)
         ends_a, ends_b = np.cumsum(self.a.lengths[ids_a]), np.cumsum(self.b.lengths[ids_b])
         # both sides of a window have the same bytes, so offsets run through all windows, and a window's end is a group's
         shared = np.intersect1d(ends_a, ends_b, assume_unique=True)
         group_a, group_b = np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)
         n_a, n_b = np.bincount(group_a, minlength=len(shared)), np.bincount(group_b, minlength=len(shared))
         upto_a, upto_b = np.cumsum(n_a), np.cumsum(n_b)
-        last = np.cumsum([len(w[0]) // 4 for w in windows]) - 1
+        last = np.cumsum(~of_b)[np.cumsum([len(w) // 4 for w in windows]) - 1] - 1
         group_at = np.concatenate([[0], group_a[last] + 1])  # first group of each window
         pairs = np.repeat(ids_a, n_b[group_a]) << 32 | ids_b[ragged((upto_b - n_b)[group_a], n_b[group_a])]
-        link_at = np.concatenate([[0], np.cumsum(n_a * n_b)])[group_at] * 8
+        link_at = np.concatenate([[0], np.cumsum(n_a * n_b)])[group_at]
         # the text: a group's ids of A, then its ids of B, each with the mark behind it
         place_a = np.arange(len(ids_a)) + (upto_b - n_b)[group_a]
         place_b = np.arange(len(ids_b)) + upto_a[group_b]
@@ -198,10 +204,15 @@ class Aligner:
         text = self._digits[ragged(self._at[ids], sizes)]
         ends = np.cumsum(sizes)
         text[ends - 1] = marks
-        text_at = np.concatenate([[0], ends[(upto_a + upto_b - 1)[group_at[1:] - 1]]])
-        texts, links = text.tobytes(), pairs.tobytes()
-        cut = lambda raw, at: [raw[i:j] for i, j in zip(at, at[1:])]
-        return np.diff(group_at).tolist(), cut(texts, text_at.tolist()), cut(links, link_at.tolist())
+        text_at = np.concatenate([[0], ends[(upto_a + upto_b - 1)[group_at[1:] - 1]]]).tolist()
+        raw = text.tobytes()
+        return np.diff(group_at), [raw[i:j] for i, j in zip(text_at, text_at[1:])], np.diff(link_at), pairs
+
+    def forget(self) -> None:
+        """Give up what is remembered of texts."""
+        for side in (self.a, self.b):
+            if side._memo is not None:
+                side._memo.forget()
 
 
 def _packed(values: np.ndarray) -> bytes:
@@ -219,15 +230,19 @@ class _Batch:
 
     def __init__(self, aligner: Aligner):
         self.aligner = aligner
-        self.windows = Numbered()  # id tuples in the order they came
-        self.groups: list[int] = []
+        self.windows = self._numbers()  # in the order they came
+        self.groups = self.n_links = np.zeros(0, np.int64)
         self.texts: list[bytes] = []
-        self.links: list[bytes] = []
+        self.links: list[np.ndarray] = []
         self.rows: list[tuple] = []  # doc_id, n_a, n_b, n_groups, n_links, digest
         self.held: list[np.ndarray] = []  # distinct windows of a document
         self.times: list[np.ndarray] = []
         self.chars = 0
 
+    @staticmethod
+    def _numbers() -> dict[bytes, int]:
+        return defaultdict(count().__next__)
+
     @staticmethod
     def _whole(wanted: list[bytes], side: _Side, ids: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Which texts' ids have the bytes of a space and the text."""
@@ -254,17 +269,19 @@ class _Batch:
         ends_a, ends_b = np.cumsum(a.lengths[ids_a]), np.cumsum(b.lengths[ids_b])
         _, cut_a, cut_b = np.intersect1d(ends_a[after_a - 1], ends_b[after_b - 1], assume_unique=True, return_indices=True)
         cut_a, cut_b = after_a[cut_a], after_b[cut_b]
-        raw_a, raw_b = ids_a.tobytes(), ids_b.tobytes()
-        number, numbers, i, j = self.windows.__getitem__, [], 0, 0
-        for x, y in zip((cut_a * 4).tolist(), (cut_b * 4).tolist()):
-            numbers.append(number((raw_a[i:x], raw_b[j:y])))
-            i, j = x, y
-        if self.windows.new:
-            for kept, found in zip((self.groups, self.texts, self.links), self.aligner.align(self.windows.new)):
-                kept += found
-            self.windows.new = []
-        which, groups = np.array(numbers, dtype=np.int64), np.array(self.groups, dtype=np.int64)
-        n_links = np.array([len(x) // 8 for x in self.links], dtype=np.int64)
+        # window after window: its ids of A, then its ids of B
+        ids = np.empty(len(ids_a) + len(ids_b), np.uint32)
+        in_a, in_b = np.diff(cut_a, prepend=0), np.diff(cut_b, prepend=0)
+        ids[np.arange(len(ids_a)) + np.repeat(cut_b - in_b, in_a)] = ids_a
+        ids[np.arange(len(ids_b)) + np.repeat(cut_a, in_b)] = ids_b + OF_B
+        raw, ends, number = ids.tobytes(), ((cut_a + cut_b) * 4).tolist(), self.windows.__getitem__
+        numbers = [number(raw[i:j]) for i, j in zip([0, *ends], ends)]
+        if len(self.windows) > len(self.groups):
+            groups, of_groups, n_links, links = self.aligner.align(list(islice(self.windows, len(self.groups), None)))
+            self.groups, self.n_links = np.append(self.groups, groups), np.append(self.n_links, n_links)
+            self.texts += of_groups
+            self.links.append(links)
+        which, groups, n_links = np.array(numbers, dtype=np.int64), self.groups, self.n_links
         bounds = np.concatenate([[0], np.searchsorted(cut_a, np.cumsum(size_a), side="right")]).tolist()
         for k, doc_id in enumerate(doc_ids):
             mine = which[bounds[k] : bounds[k + 1]] if good[k] else which[:0]
@@ -277,8 +294,9 @@ class _Batch:
 
     def close(self, number: int) -> pa.RecordBatch:
         """The batch's row."""
-        link_at = np.concatenate([[0], np.cumsum([len(x) // 8 for x in self.links])]).astype(np.int64)
-        pairs, links = np.unique(np.frombuffer(b"".join(self.links), np.int64), return_inverse=True)
+        link_at = np.concatenate([[0], np.cumsum(self.n_links)])
+        self.windows, self.texts = self._numbers(), []  # not asked for any more
+        pairs, links = np.unique(np.concatenate([np.zeros(0, np.int64), *self.links]), return_inverse=True)
         holders = np.zeros(len(pairs), dtype=np.int64)
         for a in range(0, len(self.held), 256):  # a few documents at a time: their distinct pairs
             some = self.held[a : a + 256]
@@ -379,6 +397,7 @@ def _tables(docs, id_col, text_col, vocabulary_a, vocabulary_b, batch_chars) ->
                     if batch.chars + len(text) > batch_chars:
                         yield batch.close(number)
                         batch, number = _Batch(tokens), number + 1
+                        give_back()
                 ids.append(doc_id)
                 texts.append(text)
                 size += len(text)
@@ -386,10 +405,11 @@ def _tables(docs, id_col, text_col, vocabulary_a, vocabulary_b, batch_chars) ->
             batch.add(ids, texts)
         if batch.rows:
             yield batch.close(number)
+        tokens.forget()  # a worker that waits, or serves other stages, keeps the tokenizers only
 
     ship(docs.sparkSession)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_of(F.col(f"`{text_col}`")).alias("text"))
-    batches = materialize(rows.mapInArrow(run, _BATCHES), "links-batches")
+    batches = materialize(rows.mapInArrow(tidied(run), _BATCHES), "links-batches")
     return batches, materialize(pair_counts(batches), "links-counts")
 
 
@@ -402,4 +422,4 @@ def document_sums(batches: DataFrame, counts: DataFrame) -> DataFrame:
     asked = batches.select("batch", F.posexplode("pairs").alias("at", "pair"))
     answers = asked.join(counted, "pair").groupBy("batch").agg(F.collect_list(F.struct("at", "n", "best")).alias("counts"))
     kept = batches.drop("pairs", "holders").join(answers, "batch", "left")
-    return kept.mapInArrow(_summed, SCHEMA)
+    return kept.mapInArrow(tidied(_summed), SCHEMA)

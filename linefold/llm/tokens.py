@@ -80,22 +80,22 @@ class PieceMemo:
 
     def __init__(self, learn: Callable[[list[str]], list[list[int]]], cache: int = CACHE):
         self.learn, self.cache = learn, cache
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self._pieces = Numbered()
         self._ids, self._starts, self._lengths = array("I"), array("q"), array("q")
 
     def encode(self, lists: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all pre-tokens in one array, and where each list's begin (one entry more than lists)."""
         if len(self._pieces) > self.cache:
-            self._forget()
+            self.forget()
         return self._encode(*numbered(lists, self._pieces))
 
     def encode_parted(self, pieces: list[str], end: str) -> tuple[np.ndarray, np.ndarray]:
         """As ``encode`` of lists that are given in one, each followed by ``end``."""
         if len(self._pieces) > self.cache:
-            self._forget()
+            self.forget()
         every = np.fromiter(map(self._pieces.__getitem__, pieces), dtype=np.int64, count=len(pieces))
         ends = np.flatnonzero(every == self._pieces[end])
         counts = np.concatenate([[0], ends - np.arange(len(ends))])

@@ -1,6 +1,7 @@
 import hashlib
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -97,6 +98,33 @@ def test_pairs_count_documents_not_occurrences(spark, sides):
     assert sorted((tuple(r) for r in got.collect()), key=str) == brute(rows, sides)
 
 
+def test_workers_remember_no_texts_between_tasks(spark, sides):
+    def remembered(batches):
+        for batch in batches:
+            kept = [len(s._memo._pieces) for x in token_links._LOADED.values() for s in (x.a, x.b)]
+            yield pa.RecordBatch.from_arrays([pa.array([len(kept)] * len(batch)), pa.array([sum(kept)] * len(batch))], names=["sides", "pieces"])
+
+    rows = [(i, f"word{i} of text {i}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    assert sorted((tuple(r) for r in token_links.align(docs).collect()), key=str) == brute(rows, sides)
+    found = spark.range(0, 64, 1, 16).mapInArrow(remembered, "sides long, pieces long").collect()
+    assert max(r["sides"] for r in found) == 2 and max(r["pieces"] for r in found) == 0
+
+
+def test_a_window_is_one_key(sides):
+    """Windows of the same ids of A and of B are one; their groups, texts and links are those of the windows alone."""
+    aligner = token_links.Aligner(*sides)
+    batch = token_links._Batch(aligner)
+    batch.add([0, 1], ["one two one", "two"])
+    batch.add([2], ["one three"])
+    assert all(isinstance(w, bytes) for w in batch.windows) and len(batch.windows) == len(batch.groups) == len(batch.n_links) == len(batch.texts)
+    for i, w in enumerate(batch.windows):
+        groups, texts, n_links, links = aligner.align([w])
+        at = int(batch.n_links[:i].sum())
+        assert [groups[0], texts[0], n_links[0]] == [batch.groups[i], batch.texts[i], batch.n_links[i]]
+        assert links.tolist() == [x for some in batch.links for x in some.tolist()][at : at + n_links[0]]
+
+
 def test_no_documents(nothing):
     assert token_links.align(nothing).collect() == []
 
