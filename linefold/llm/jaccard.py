@@ -242,13 +242,16 @@ def _by_bucket(batches: Iterator[pa.RecordBatch], kinds: np.dtype) -> Iterator[n
         yield np.concatenate(held)
 
 
-def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``(key, text)`` of the wanted ``(key, rid)``: a bitmap of fixed size keeps most other texts out of the shuffle."""
+def _hinted(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The ``rows`` whose number, their first column, is among ``wanted(number)``, and few others.
+
+    A bitmap of fixed size is all that travels: most unwanted texts stay out of the shuffle of the join that follows.
+    """
     spark = rows.sparkSession
 
-    def hashed(rids: np.ndarray) -> np.ndarray:
+    def hashed(numbers: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
-            return np.stack([mix(rids.astype(np.uint64) * np.uint64(4) + np.uint64(k)) >> np.uint64(64 - HINT_BITS) for k in range(4)])
+            return np.stack([mix(numbers.astype(np.uint64) * np.uint64(4) + np.uint64(k)) >> np.uint64(64 - HINT_BITS) for k in range(4)])
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(1 << HINT_BITS, bool)
@@ -256,7 +259,7 @@ def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
             bits[hashed(batch.column(0).to_numpy())] = True
         yield _batch("piece int, blob binary", **_cut(np.packbits(bits)))
 
-    hint = spark.sparkContext.broadcast(_merged(wanted.select("rid").mapInArrow(mark, "piece int, blob binary"), "u1", np.bitwise_or))
+    hint = spark.sparkContext.broadcast(_merged(wanted.mapInArrow(mark, "piece int, blob binary"), "u1", np.bitwise_or))
 
     def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(hint.value).astype(bool)
@@ -264,7 +267,12 @@ def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
             if len(bits):
                 yield batch.filter(pa.array(bits[hashed(batch.column(0).to_numpy())].all(axis=0)))
 
-    likely = rows.select(F.col("_rid").alias("rid"), "_text").mapInArrow(tidied(some), "rid long, _text string")
+    return rows.mapInArrow(tidied(some), rows.schema)
+
+
+def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``(key, text)`` of the wanted ``(key, rid)``."""
+    likely = _hinted(rows.select(F.col("_rid").alias("rid"), "_text"), wanted.select("rid"))
     return materialize(likely.join(wanted, "rid").select("key", F.col("_text").alias("text")), "texts")
 
 
@@ -585,7 +593,9 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", perce
     found = found.unionByName(open_.filter("anchor IS NULL").select("a", "b"))
     # a pair of each class first: in a large group of near copies they join its components
     first = open_.filter("anchor IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    found = found.unionByName(only(_verified(first, texts, "first")))
+    first = materialize(first, "first-pairs")
+    theirs = materialize(_hinted(texts, first.select(F.explode(F.array("a", "b")).alias("key"))), "first-texts")
+    found = found.unionByName(only(_verified(first, theirs, "first")))
     groups = open_.filter("more = 1").select("anchor", F.col("a").alias("key"), "n")
     found = found.unionByName(_joining(groups, _labels(entries, found), texts, percent))
     return per_row, materialize(found, "found")

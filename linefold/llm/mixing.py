@@ -11,7 +11,9 @@ brings the sum nearer.
 Keys are hashes of id and text, so a rerun takes the same documents. A source
 is never sorted in one task: its key range is cut into one bucket for some
 ``per_bucket`` documents, sizes are summed by bucket, and only the bucket in
-which the budget ends is sorted.
+which the budget ends is sorted. What is taken there is told by the last row of
+the run in that order and by the closing row, so that a document needs nothing
+but its source's row: documents are never shuffled.
 
 Defined results: a null or empty text has size 0; a null source is a source
 of its own, the last; an empty table gives no rows. Among equal keys the order
@@ -31,6 +33,8 @@ from linefold.llm.common import WORD, materialize, text_of, with_row_id
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 PER_BUCKET = 4096
+#: The order of a source's documents.
+_ORDER = ("_key", "_id", "_size", "_rid")
 
 
 def word_count(text: Column) -> Column:
@@ -83,8 +87,8 @@ def _bucket(per_bucket: int) -> Column:
 class Mix:
     """The sampling decisions for a table of documents.
 
-    ``sources``: a row per source with its target, whole epochs and the bucket in which its budget ends.
-    ``picks``: row numbers of the documents taken out of those buckets.
+    ``sources``: a row per source with its target, whole epochs, the bucket in which its budget ends, the ``last``
+    row of that bucket's run, and the number of the row that closes the gap.
     """
 
     def __init__(
@@ -117,10 +121,11 @@ class Mix:
             .agg(F.min_by(F.struct("bucket", (F.col("after") - F.col("words")).alias("before")), "bucket").alias("e"))
             .select(F.col("_source").alias("_s"), F.col("e.bucket").alias("end"), F.col("e.before").alias("before"))
         )
+        ended = materialize(targets.join(ends, F.col("_source").eqNullSafe(F.col("_s")), "left").drop("_s"), "ends")
+        picks = self._picks(ended)
         self.sources = materialize(
-            targets.join(ends, F.col("_source").eqNullSafe(F.col("_s")), "left").drop("_s"), "ends"
+            ended.join(picks, F.col("_source").eqNullSafe(F.col("_s")), "left").drop("_s"), "sources"
         )
-        self.picks = materialize(self._picks(), "picks")
 
     def _sized(self, docs: DataFrame) -> DataFrame:
         """Rows of ``docs`` (whole, as ``_row``) with their number, source, size and key."""
@@ -140,39 +145,43 @@ class Mix:
             .select("_rid", "_id", "_source", "_size", "_key", "_row")
         )
 
-    def _picks(self) -> DataFrame:
-        """Rows taken from the end buckets: the longest run of keys that fits, and one document that closes the gap."""
-        s = self.sources.withColumnRenamed("_source", "_s")
+    def _picks(self, ended: DataFrame) -> DataFrame:
+        """What is taken from the end buckets, a row per source: the end of the longest run of keys that fits, and the row that closes the gap."""
+        s = ended.withColumnRenamed("_source", "_s")
         last = (
             self.slim.join(s, F.col("_source").eqNullSafe(F.col("_s")))
             .filter(_bucket(self._per_bucket) == F.col("end"))
             .withColumn("left", F.col("budget") - F.col("before"))
         )
-        by_key = Window.partitionBy("_source").orderBy("_key", "_id", "_size", "_rid")
+        by_key = Window.partitionBy("_source").orderBy(*_ORDER)
         ran = last.withColumn("run", F.sum("_size").over(by_key.rowsBetween(Window.unboundedPreceding, 0)))
         ran = ran.withColumn("fits", F.col("run") <= F.col("left"))
         whole = Window.partitionBy("_source")
         ran = ran.withColumn("gap", F.col("left") - F.coalesce(F.max(F.when(F.col("fits"), F.col("run"))).over(whole), F.lit(0)))
         miss = F.when(~F.col("fits"), F.abs(F.col("_size") - F.col("gap")))
         ran = ran.withColumn("miss", miss)
-        closing = F.row_number().over(whole.orderBy(F.asc_nulls_last("miss"), "_key", "_id", "_size", "_rid")) == 1
+        closing = F.row_number().over(whole.orderBy(F.asc_nulls_last("miss"), *_ORDER)) == 1
         ran = ran.withColumn("closes", closing & F.col("miss").isNotNull() & (F.col("miss") < F.col("gap")))
-        return ran.filter(F.col("fits") | F.col("closes")).select(F.col("_rid").alias("_picked"))
+        return ran.groupBy(F.col("_source").alias("_s")).agg(
+            F.max(F.when(F.col("fits"), F.struct(*_ORDER))).alias("last"),
+            F.max(F.when(F.col("closes"), F.col("_rid"))).alias("closing"),
+        )
 
     def decided(self, sized: DataFrame) -> DataFrame:
-        """``sized`` (rows with ``_rid``, ``_source``, ``_key``) with ``source_size``, ``target`` and ``copies``.
+        """``sized`` (rows with ``_rid``, ``_id``, ``_source``, ``_size``, ``_key``) with ``source_size``, ``target`` and ``copies``.
 
-        Sources and end-bucket picks are small next to the documents and read from files, so Spark's own
-        size threshold broadcasts them when they fit and shuffles otherwise.
+        Sources are few next to the documents and read from files, so Spark's own size threshold broadcasts them
+        when they fit and shuffles otherwise.
         """
         s = self.sources.withColumnRenamed("_source", "_s")
-        out = sized.join(s, F.col("_source").eqNullSafe(F.col("_s"))).join(
-            self.picks, F.col("_rid") == F.col("_picked"), "left"
-        )
+        out = sized.join(s, F.col("_source").eqNullSafe(F.col("_s")))
         bucket = _bucket(self._per_bucket)
-        one_more = (bucket < F.coalesce(F.col("end"), F.lit(2**62))) & (F.col("budget") > 0) | F.col("_picked").isNotNull()
-        copies = F.col("epochs") + F.when(one_more, F.lit(1)).otherwise(F.lit(0))
-        return out.withColumn("copies", copies).drop("_s", "_picked", "n", "epochs", "budget", "end", "before")
+        before = (bucket < F.coalesce(F.col("end"), F.lit(2**62))) & (F.col("budget") > 0)
+        picked = (bucket == F.col("end")) & (F.struct(*_ORDER) <= F.col("last")) | (F.col("_rid") == F.col("closing"))
+        copies = F.col("epochs") + F.when(before | picked, F.lit(1)).otherwise(F.lit(0))
+        return out.withColumn("copies", copies).drop(
+            "_s", "n", "epochs", "budget", "end", "before", "last", "closing"
+        )
 
     def mixed(self, docs: DataFrame) -> DataFrame:
         """The mix itself: the rows of ``docs`` (the table given at the start), each as often as it is taken."""

@@ -132,6 +132,28 @@ def test_a_large_group_of_near_copies_gives_no_rows_by_pair(spark, tmp_root, mon
     assert part is None or made["groups"] > 0
 
 
+def test_open_pairs_meet_with_few_texts_but_their_own(spark, tmp_root, monkeypatch):
+    """Texts whose pairs are all decided stay out of the join that verifies the open ones."""
+    seen = {}
+
+    def noted(pairs, texts, name, verify=jaccard._verified):
+        ends = {x for r in pairs.collect() for x in r}
+        seen[name] = len(ends), texts.count(), {r["key"] for r in texts.select("key").collect()} >= ends
+        return verify(pairs, texts, name)
+
+    monkeypatch.setattr(jaccard, "_verified", noted)
+    rng, base = random.Random(6), prose(8, 90).split()
+    rows = near_copies(1, 60)
+    for i in range(1000, 1060):
+        copy = list(base)
+        for at in rng.sample(range(90), rng.choice([1, 2, 2, 3])):
+            copy[at] = f"w{rng.randint(0, 4)}"
+        rows.append((i, " ".join(copy)))
+    assert result(table(spark, f"{tmp_root}/open_pairs", rows)) == brute(rows)
+    ends, texts, all_there = seen["first"]
+    assert all_there and 0 < ends <= texts <= ends + 5 and texts < seen["hubs"][1]
+
+
 def test_a_long_list_is_looked_at_in_bounded_memory():
     m = 3000
     rng = np.random.default_rng(1)

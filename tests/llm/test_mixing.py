@@ -87,3 +87,23 @@ def test_mixed_rows_and_quality(messy, small):
 def test_empty_table(nothing):
     mix = mixing.Mix(nothing)
     assert mix.decided(mix.slim).count() == 0 and mix.mixed(nothing).count() == 0
+
+
+def test_documents_are_not_shuffled_for_what_an_end_bucket_gives(spark, tmp_root):
+    rows = [(i if i % 5 else None, "word " * (i % 7), "abc"[i % 3]) for i in range(9000)]
+    path = f"{tmp_root}/mix-plan"
+    spark.createDataFrame(rows, "doc_id long, text string, source string").coalesce(2).write.parquet(path)
+    docs = spark.read.parquet(path)
+    mix = mixing.Mix(docs)
+    taken = mix.decided(mix.slim)
+    check(rows, taken.collect())
+    # room for a row per source, not for a row per document of the end buckets
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "12000")
+    try:
+        plans = [df._jdf.queryExecution().executedPlan().toString() for df in (taken, mix.mixed(docs))]
+    finally:
+        spark.conf.set(limit, before)
+    assert all("BroadcastHashJoin" in p and "SortMergeJoin" not in p and "hashpartitioning" not in p for p in plans)
+    assert mix.mixed(docs).count() == sum(r["copies"] for r in taken.collect())
