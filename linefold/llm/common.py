@@ -6,6 +6,7 @@ import ctypes
 import shutil
 import tempfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -89,10 +90,9 @@ def without_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
 def give_back() -> None:
     """Return freed memory to the system: a Python worker that waits for its next task keeps it beside the JVM otherwise."""
     pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL(None).malloc_trim(0)
-    except (AttributeError, OSError):  # another C library than glibc
-        pass
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:  # another C library than glibc has none
+        trim(0)
 
 
 def tidied(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
@@ -105,6 +105,18 @@ def tidied(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator
     return tidy
 
 
+@contextmanager
+def arrow_bytes(spark: SparkSession, most: int) -> Iterator[None]:
+    """What runs inside hands Python workers about ``most`` bytes at once, one row at least; else it is 10,000 rows up to 64 MB."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, most)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors' Python workers this package, once per context (``addPyFile`` of a small archive).
 

@@ -8,11 +8,12 @@ each pair of id tuples and remembers it: byte offsets at which both sides' token
 and all pairs of a group are links.
 
 The counts take one narrow pass and joins by pair. A task works on batches of documents
-of bounded size. It writes, for a batch, each document's windows as numbers into the
-batch's list of windows, the windows' links as numbers into the batch's list of pairs,
-and for each of these pairs how many documents of the batch hold it. The pairs' counts
-are summed over the corpus and joined back, a row for each batch and pair, and a
-batch with its counts gives its documents' sums. The highest count of each id of A is a
+of bounded size. It writes the batch's list of distinct pairs, in rows of bounded length,
+with how many documents of the batch hold each, and a row for each document: the pairs it holds,
+as numbers into that list, and how often. No row grows with the batch. The pairs' counts
+are summed over the corpus and joined back, a row for each batch and pair, and the
+documents of a batch meet them as one group, which is a batch at most and is all that a task
+has in memory at a time. The highest count of each id of A is a
 table bounded by A's vocabulary.
 
 Defined results: a null or empty text, and one whose tokens' bytes are not the text's
@@ -39,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linefold.llm.byte_bpe import LATIN, scanner
-from linefold.llm.common import give_back, materialize, ship, text_of, tidied
+from linefold.llm.common import arrow_bytes, give_back, materialize, ship, text_of, tidied
 from linefold.llm.tokens import PieceMemo, ragged, vocabulary_path
 
 VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -47,14 +48,16 @@ VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 BATCH, SLICE = 4_000_000, 500_000
 #: Distinct pre-tokens of each side that a worker remembers.
 CACHE = 200_000
+#: Pairs of a row, and bytes of texts that a task hands to its Python worker at once.
+PAIRS, INPUT = 10_000, 4 << 20
 #: Added to an id of B where it stands beside ids of A.
 OF_B = np.uint32(1 << 31)
 
 SCHEMA = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
+#: A row of pairs, the first of which has the number ``first``, or of a document, which holds ``n_held`` of them.
 _BATCHES = (
-    "batch long, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, n_links array<long>, "
-    "digest array<string>, windows binary, times binary, doc_windows array<long>, links binary, "
-    "window_links array<long>, pairs array<long>, holders array<int>"
+    "batch long, first long, pairs array<long>, holders array<int>, doc_id long, n_a long, n_b long, n_groups long, "
+    "n_links long, groups_sha256 string, n_held long, held binary, times binary"
 )
 
 
@@ -218,13 +221,28 @@ class Aligner:
 def _packed(values: np.ndarray) -> bytes:
     """Unsigned values in as few whole bytes each as the largest needs."""
     most = int(values.max()) if len(values) else 0
-    return values.astype("<u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4").tobytes()
+    return values.astype("<u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4" if most < 1 << 32 else "<u8").tobytes()
 
 
 def _unpacked(raw: bytes, n: int) -> np.ndarray:
     return np.frombuffer(raw, f"<u{len(raw) // n}" if n else "<u1").astype(np.int64)
 
 
+def _cut(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """The packed values in runs of these lengths."""
+    raw = _packed(values)
+    offsets = np.concatenate([[0], np.cumsum(lengths)]) * (len(raw) // max(len(values), 1))
+    return pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(raw)])
+
+
+def _rows(number: int, n: int, columns: dict[str, pa.Array]) -> pa.RecordBatch:
+    """``n`` rows of a batch; null where they have no value."""
+    types = {"long": pa.int64(), "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()), "string": pa.string(), "binary": pa.binary()}
+    columns = {"batch": pa.array([number] * n, pa.int64())} | columns
+    wanted = [c.split() for c in _BATCHES.split(", ")]
+    return pa.RecordBatch.from_arrays([columns.get(c, pa.nulls(n, types[kind])) for c, kind in wanted], names=[c for c, _ in wanted])
+
+
 class _Batch:
     """Documents of one batch: results of their own, their windows, and which pairs they hold."""
 
@@ -292,34 +310,39 @@ class _Batch:
             self.held.append(some.astype(np.uint32))
             self.times.append(times.astype(np.uint32))
 
-    def close(self, number: int) -> pa.RecordBatch:
-        """The batch's row."""
+    def close(self, number: int) -> Iterator[pa.RecordBatch]:
+        """The batch's rows: its pairs, then its documents."""
         link_at = np.concatenate([[0], np.cumsum(self.n_links)])
         self.windows, self.texts = self._numbers(), []  # not asked for any more
         pairs, links = np.unique(np.concatenate([np.zeros(0, np.int64), *self.links]), return_inverse=True)
+        self.links = []
         holders = np.zeros(len(pairs), dtype=np.int64)
+        held, times, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
         for a in range(0, len(self.held), 256):  # a few documents at a time: their distinct pairs
             some = self.held[a : a + 256]
             windows = np.concatenate(some)
-            sizes = np.diff(link_at)[windows]
-            held = np.repeat(np.repeat(np.arange(len(some)), [len(x) for x in some]), sizes) * len(pairs)
-            held += links[ragged(link_at[windows], sizes)]
-            holders += np.bincount(np.unique(held) % max(len(pairs), 1), minlength=len(pairs))[: len(pairs)]
-        columns = list(zip(*self.rows))
-        longs = pa.list_(pa.int64())
-        row = [
-            pa.array([number], pa.int64()),
-            *[pa.array([list(c)], longs) for c in columns[:5]],
-            pa.array([list(columns[5])], pa.list_(pa.string())),
-            pa.array([_packed(np.concatenate(self.held))], pa.binary()),
-            pa.array([_packed(np.concatenate(self.times))], pa.binary()),
-            pa.array([[len(x) for x in self.held]], longs),
-            pa.array([_packed(links)], pa.binary()),
-            pa.array([np.diff(link_at)], longs),
-            pa.array([pairs], longs),
-            pa.array([holders.astype(np.int32)], pa.list_(pa.int32())),
-        ]
-        return pa.RecordBatch.from_arrays(row, names=[c.split()[0] for c in _BATCHES.split(", ")])
+            of_window = np.diff(link_at)[windows]
+            every = np.repeat(np.repeat(np.arange(len(some)), [len(x) for x in some]), of_window) * len(pairs)
+            every += links[ragged(link_at[windows], of_window)]
+            order = np.argsort(every)
+            every = every[order]
+            first = np.flatnonzero(np.diff(every, prepend=-1))
+            doc, pair = np.divmod(every[first], max(len(pairs), 1))
+            if len(first):
+                often = np.repeat(np.concatenate(self.times[a : a + 256]).astype(np.int64), of_window)
+                times.append(np.add.reduceat(often[order], first))
+            held.append(pair)
+            sizes.append(np.bincount(doc, minlength=len(some)))
+            holders += np.bincount(pair, minlength=len(pairs))[: len(pairs)]
+        parts = np.append(np.arange(0, len(pairs), PAIRS), len(pairs))
+        lists = {"pairs": pa.array(pairs, pa.int64()), "holders": pa.array(holders, pa.int32())}
+        columns = {c: pa.ListArray.from_arrays(pa.array(parts, pa.int32()), x) for c, x in lists.items()}
+        yield _rows(number, len(parts) - 1, {"first": pa.array(parts[:-1], pa.int64())} | columns)
+        n_held = np.concatenate(sizes)
+        columns = {c: pa.array(x, pa.int64()) for c, x in zip(("doc_id", "n_a", "n_b", "n_groups", "n_links"), zip(*self.rows))}
+        columns["groups_sha256"] = pa.array([row[5] for row in self.rows], pa.string())
+        packed = {"held": _cut(np.concatenate(held), n_held), "times": _cut(np.concatenate(times), n_held)}
+        yield _rows(number, len(self.rows), columns | {"n_held": pa.array(n_held, pa.int64())} | packed)
 
 
 _LOADED: dict[tuple[str, str], Aligner] = {}
@@ -333,31 +356,19 @@ def aligner(path_a: str, path_b: str) -> Aligner:
     return _LOADED[path_a, path_b]
 
 
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums of the documents of batches, from the counts of the batches' pairs."""
-    for records in batches:
-        for i in range(records.num_rows):
-            r = {name: records.column(name)[i] for name in records.schema.names}
-            counts, best = np.zeros(0, np.int64), np.zeros(0, np.int64)
-            if r["counts"].is_valid and len(r["counts"].values):
-                found = r["counts"].values
-                at = found.field("at").to_numpy(zero_copy_only=False)
-                counts, best = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
-                counts[at] = found.field("n").to_numpy(zero_copy_only=False)
-                best[at] = found.field("best").to_numpy(zero_copy_only=False)
-            sizes, held = r["window_links"].values.to_numpy(), r["doc_windows"].values.to_numpy()
-            links = _unpacked(r["links"].as_py(), int(sizes.sum()))
-            windows, times = (_unpacked(r[name].as_py(), int(held.sum())) for name in ("windows", "times"))
-            window, doc = np.repeat(np.arange(len(sizes)), sizes), np.repeat(np.arange(len(held)), held)
-            sums = []
-            for of_pair in (best, counts):
-                of_window, of_doc = np.zeros(len(sizes), np.int64), np.zeros(len(held), np.int64)
-                np.add.at(of_window, window, of_pair[links])
-                np.add.at(of_doc, doc, of_window[windows] * times)
-                sums.append(of_doc)
-            columns = [r[c].values for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")]
-            columns += [pa.array(s, pa.int64()) for s in sums] + [r["digest"].values]
-            yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in SCHEMA.split(", ")])
+def _summed(docs: pa.Table, answers: pa.Table) -> pa.Table:
+    """Sums of the documents of a batch, from the counts of its pairs."""
+    at, n_held = answers["at"].to_numpy(), docs["n_held"].to_numpy()
+    held, times = (_unpacked(b"".join(docs[c].to_pylist()), int(n_held.sum())) for c in ("held", "times"))
+    ends = np.cumsum(n_held)
+    columns = {c: docs[c] for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")}
+    for name, of_pair in (("n_best", "best"), ("count_sum", "n")):
+        values = np.zeros(len(at), np.int64)
+        values[at] = answers[of_pair].to_numpy()
+        upto = np.concatenate([[0], np.cumsum(values[held] * times)])
+        columns[name] = pa.array(upto[ends] - upto[ends - n_held], pa.int64())
+    give_back()
+    return pa.table(columns | {"groups_sha256": docs["groups_sha256"]})
 
 
 def align(
@@ -395,7 +406,7 @@ def _tables(docs, id_col, text_col, vocabulary_a, vocabulary_b, batch_chars) ->
                     batch.add(ids, texts)
                     ids, texts, size = [], [], 0
                     if batch.chars + len(text) > batch_chars:
-                        yield batch.close(number)
+                        yield from batch.close(number)
                         batch, number = _Batch(tokens), number + 1
                         give_back()
                 ids.append(doc_id)
@@ -404,12 +415,13 @@ def _tables(docs, id_col, text_col, vocabulary_a, vocabulary_b, batch_chars) ->
         if texts:
             batch.add(ids, texts)
         if batch.rows:
-            yield batch.close(number)
+            yield from batch.close(number)
         tokens.forget()  # a worker that waits, or serves other stages, keeps the tokenizers only
 
     ship(docs.sparkSession)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text_of(F.col(f"`{text_col}`")).alias("text"))
-    batches = materialize(rows.mapInArrow(tidied(run), _BATCHES), "links-batches")
+    with arrow_bytes(docs.sparkSession, INPUT):
+        batches = materialize(rows.mapInArrow(tidied(run), _BATCHES), "links-batches")
     return batches, materialize(pair_counts(batches), "links-counts")
 
 
@@ -419,7 +431,7 @@ def document_sums(batches: DataFrame, counts: DataFrame) -> DataFrame:
     highest = counts.groupBy(a.alias("a")).agg(F.max("n").alias("most"))
     # a row for each id of A at most: its vocabulary bounds what is broadcast
     counted = counts.join(F.broadcast(highest), a == F.col("a")).select("pair", "n", (F.col("n") == F.col("most")).cast("int").alias("best"))
-    asked = batches.select("batch", F.posexplode("pairs").alias("at", "pair"))
-    answers = asked.join(counted, "pair").groupBy("batch").agg(F.collect_list(F.struct("at", "n", "best")).alias("counts"))
-    kept = batches.drop("pairs", "holders").join(answers, "batch", "left")
-    return kept.mapInArrow(tidied(_summed), SCHEMA)
+    asked = batches.select("batch", "first", F.posexplode("pairs").alias("at", "pair"))
+    answers = asked.join(counted, "pair").select(F.col("batch").alias("of"), (F.col("first") + F.col("at")).alias("at"), "n", "best")
+    documents = batches.where(F.col("held").isNotNull()).drop("first", "pairs", "holders")
+    return documents.groupBy("batch").cogroup(answers.groupBy("of")).applyInArrow(_summed, SCHEMA)

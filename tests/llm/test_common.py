@@ -1,4 +1,8 @@
-from linefold.llm import exact_dedup, jaccard
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from linefold.llm import common, exact_dedup, jaccard
 from linefold.llm.common import with_row_id
 
 from .conftest import messy_rows
@@ -52,3 +56,19 @@ def test_operators_do_not_follow_the_splits(spark, messy):
     for f in (exact_dedup.drop_exact_copies, jaccard.drop_near_copies):
         assert run(f) == sorted(map(str, f(messy).collect()))
         assert 0 < len(run(f)) < len(messy_rows())
+
+
+def test_size_of_arrow_batches(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, rows = spark.conf.get(key), spark.range(0, 2000, 1, 1).select(F.repeat(F.lit("x"), 1000).alias("t"))
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"])
+
+    with common.arrow_bytes(spark, 100_000):
+        some = [r["n"] for r in rows.mapInArrow(sizes, "n long").collect()]
+    assert sum(some) == 2000 and max(some) < 200 and spark.conf.get(key) == before
+    with pytest.raises(ZeroDivisionError), common.arrow_bytes(spark, 1):
+        1 / 0
+    assert spark.conf.get(key) == before

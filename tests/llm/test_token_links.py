@@ -125,6 +125,41 @@ def test_a_window_is_one_key(sides):
         assert links.tolist() == [x for some in batch.links for x in some.tolist()][at : at + n_links[0]]
 
 
+def test_no_row_grows_with_its_batch(spark, sides):
+    """All documents are one batch; its rows are those of a few pairs, or of one document."""
+    rows = [(i, f"word{i} of text {i * 7} and {i * i} more") for i in range(6000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    batches, counts = token_links._tables(docs, "doc_id", "text", None, None, token_links.BATCH)
+    assert batches.select("batch").distinct().count() == 1
+    assert batches.agg(F.max(F.length(F.to_json(F.struct("*"))))).first()[0] < 300_000
+    assert sorted((tuple(r) for r in token_links.document_sums(batches, counts).collect()), key=str) == brute(rows, sides)
+
+
+def test_rows_of_a_batch(sides, monkeypatch):
+    """Pairs in rows of bounded length; a document's distinct pairs and how often it holds each."""
+    monkeypatch.setattr(token_links, "PAIRS", 3)
+    texts = ["one two one two one", "", "two " * 300, "x▁y", "three"]
+    batch = token_links._Batch(token_links.Aligner(*sides))
+    batch.add([5, None, 7, 7, 9], texts)
+    pairs, docs = (r.to_pylist() for r in batch.close(11))
+    assert {r["batch"] for r in pairs + docs} == {11} and [r["doc_id"] for r in docs] == [5, None, 7, 7, 9]
+    assert [r["first"] for r in pairs] == [*range(0, 3 * len(pairs), 3)] and len(pairs) > 1
+    every = [p for r in pairs for p in r["pairs"]]
+    want = [Counter(p << 32 | q for a, b in groups_of(t, sides) or [] for p in a for q in b) for t in texts]
+    got = []
+    for r in docs:
+        held, times = (token_links._unpacked(r[c], r["n_held"]) for c in ("held", "times"))
+        got.append(dict(zip([every[i] for i in held], times.tolist())))
+    assert got == want and max(want[2].values()) > 255
+    assert [n for r in pairs for n in r["holders"]] == [sum(p in w for w in want) for p in every]
+
+
+def test_batches_without_pairs(spark):
+    rows = [(1, None), (2, ""), (3, "x▁y"), (None, "")]
+    got = token_links.align(spark.createDataFrame(rows, "doc_id long, text string"), batch_chars=1)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == sorted([(i, 0, 0, 0, 0, 0, 0, "") for i, _ in rows], key=str)
+
+
 def test_no_documents(nothing):
     assert token_links.align(nothing).collect() == []
 
