@@ -47,7 +47,7 @@ VOCABULARY_A, VOCABULARY_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Characters of a batch (a longer text is alone), and of a call of the tokenizers.
 BATCH, SLICE = 4_000_000, 500_000
 #: Distinct pre-tokens of each side that a worker remembers.
-CACHE = 200_000
+CACHE = 400_000
 #: Pairs of a row, and bytes of texts that a task hands to its Python worker at once.
 PAIRS, INPUT = 10_000, 4 << 20
 #: Added to an id of B where it stands beside ids of A.
@@ -108,12 +108,11 @@ class SideA(_Side):
         blank = {*range(9, 14), 0x20, 0x85, 0xA0}
         self._find = scanner((c for c in kinds if kinds[c] == "L"), (c for c in kinds if kinds[c] == "N"), blank)
         self._is_latin = re.compile(f"[\\0-{chr(LATIN - 1)}]*").fullmatch
-        self._is_word = re.compile(" [a-zA-Z]+").fullmatch
         self._memo = PieceMemo(self._learn, CACHE)
 
     def _learn(self, pieces: list[str]) -> list[list[int]]:
         """Ids of pre-tokens; words behind a space go to the library many at once, and are told apart by their spaces."""
-        words = [p for p in pieces if self._is_word(p)]
+        words = [p for p in pieces if p.startswith(" ") and p[1:].isalpha()]
         known: dict[str, list[int]] = {}
         for i in range(0, len(words), 5000):
             some = words[i : i + 5000]
